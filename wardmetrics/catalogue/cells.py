@@ -1 +1,172 @@
-"""Queries."""
+"""Casts, names, raw grids and typed extracts."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from wardmetrics.catalogue.registry import query
+from wardmetrics.catalogue.tables import MESSY_SQL, messy_cells, table
+from wardmetrics.functions.cast import clean_cast
+from wardmetrics.functions.text import sanitise, slugify, standardise
+from wardmetrics.operators.quality import cast_report
+from wardmetrics.operators.quality import coerce_numeric as coerce
+from wardmetrics.plans.metrics import compute_metrics
+from wardmetrics.session import scratch_path
+from wardmetrics.sources.raw import RawSource, extract, layout, scan_raw
+from wardmetrics.sources.tables import read_layer
+
+_LINE = "l_orderkey:l l_linenumber:i l_partkey:l l_suppkey:l"
+
+
+def _clean(spark, folder, column, kind):
+    return messy_cells(spark, folder).withColumn("value", clean_cast(F.col(column), kind))
+
+
+@query(f"{_LINE} value:l", MESSY_SQL + ", q AS (SELECT *, round_even(number, 0) AS value FROM numbers)")
+def clean_int(spark, folder):
+    return _clean(spark, folder, "amount", "INTEGER")
+
+
+@query(f"{_LINE} value:d4", MESSY_SQL + ", q AS (SELECT *, number AS value FROM numbers)")
+def clean_float(spark, folder):
+    return _clean(spark, folder, "amount", "FLOAT")
+
+
+@query(f"{_LINE} value:s", MESSY_SQL + ", q AS (SELECT *, label_text AS value FROM numbers)")
+def clean_string(spark, folder):
+    return _clean(spark, folder, "label", "STRING")
+
+
+_DAY_SQL = "coalesce(try_strptime(trim(day), '%d/%m/%Y'), try_strptime(trim(day), '%Y-%m-%d'))"
+
+
+@query(f"{_LINE} value:ts", MESSY_SQL + f", q AS (SELECT *, {_DAY_SQL} AS value FROM numbers)")
+def clean_datetime(spark, folder):
+    return _clean(spark, folder, "day", "DATETIME")
+
+
+@query(f"{_LINE} value:t", MESSY_SQL + f", q AS (SELECT *, CAST({_DAY_SQL} AS DATE) AS value FROM numbers)")
+def clean_date(spark, folder):
+    return _clean(spark, folder, "day", "DATE")
+
+
+@query(f"{_LINE} value:s", MESSY_SQL + """, q AS (SELECT *, CASE WHEN regexp_matches(clock, '^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$')
+    THEN clock END AS value FROM numbers)""")
+def clean_time(spark, folder):
+    return _clean(spark, folder, "clock", "TIME")
+
+
+@query("column:s raw_value:s problem:s n:l", MESSY_SQL + f""",
+bad AS (SELECT 'amount' AS "column", amount_text AS raw_value, CASE WHEN amount_text IS NOT NULL AND number IS NULL THEN 'failed'
+        WHEN number <> round_even(number, 0) THEN 'rounded' END AS problem FROM numbers
+    UNION ALL SELECT 'day', trim(day), CASE WHEN trim(day) IS NOT NULL AND {_DAY_SQL} IS NULL THEN 'failed' END FROM numbers
+    UNION ALL SELECT 'clock', clock, CASE WHEN NOT regexp_matches(clock, '^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$') THEN 'failed' END FROM numbers),
+q AS (SELECT "column", raw_value, problem, count(*) AS n FROM bad WHERE problem IS NOT NULL GROUP BY ALL)""")
+def cast_failures(spark, folder):
+    """Every cell a cast lost or rounded, all columns in one scan."""
+    return cast_report(messy_cells(spark, folder), {"amount": "INTEGER", "day": "DATETIME", "clock": "TIME", "label": "STRING"})
+
+
+@query("l_orderkey:l l_linenumber:i l_partkey:l l_suppkey:l size:d4 label:s", """q AS (SELECT *,
+    CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS size, l_returnflag || '1' AS label FROM lineitem)""")
+def numeric_net(spark, folder):
+    """Text columns that are all numbers become numbers, others stay text."""
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.col("l_quantity").cast("int").cast("string").alias("size"), F.concat("l_returnflag", F.lit("1")).alias("label"),
+    )
+    return coerce(lines)
+
+
+# ---- names ------------------------------------------------------------------------
+
+
+@query("page_id:l name:s", "q AS (SELECT page_id, regexp_replace(regexp_replace(replace(lower(url), ' ', '_'), '[^a-zA-Z0-9._-]', '_', 'g'), '_{2,}', '_', 'g') AS name FROM pages)")
+def sanitise_names(spark, folder):
+    return table(spark, folder, "pages").select("page_id", sanitise(F.col("url")).alias("name"))
+
+
+@query("doc_id:l name:s", "q AS (SELECT doc_id, trim(replace(lower(text), ' and ', ' & '), ' ') AS name FROM documents)")
+def standardise_keys(spark, folder):
+    """Whole document texts in join-key form."""
+    return table(spark, folder, "documents").select("doc_id", standardise(F.col("text")).alias("name"))
+
+
+@query("p_partkey:l slug:s", "q AS (SELECT p_partkey, trim(regexp_replace(lower('- ' || p_brand || '  ' || p_name || ' /'), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM part)")
+def slugs(spark, folder):
+    text = F.concat(F.lit("- "), F.col("p_brand"), F.lit("  "), F.col("p_name"), F.lit(" /"))
+    return table(spark, folder, "part").select("p_partkey", slugify(text).alias("slug"))
+
+
+# ---- raw grids ------------------------------------------------------------------------
+
+_BLOCK = 2000
+_INGESTED = datetime(2026, 6, 13, 15, 30)
+
+
+def _publish_orders(spark, folder) -> str:
+    """Orders as headerless CSV files of ``_BLOCK`` records, one file per source, in key order."""
+    path = scratch_path(spark, "orders-csv")
+    o = table(spark, folder, "orders")
+    text = o.select(
+        F.col("o_orderkey").cast("string"),
+        F.concat(F.lit("£"), F.format_string("%.2f", "o_totalprice")),
+        F.date_format("o_orderdate", "dd/MM/yyyy"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("[x]")).otherwise(F.col("o_orderstatus")),
+        F.when(F.col("o_custkey") % 9 == 0, F.lit("NA")).otherwise(F.concat(F.lit("a, \"b\" "), F.col("o_custkey").cast("string"))),
+        F.concat(F.lit("y"), F.floor(F.col("o_orderkey") / _BLOCK).cast("string")).alias("source"),
+    )
+    (
+        text.repartition("source").sortWithinPartitions("source", F.col("o_orderkey").cast("bigint"))
+        .write.partitionBy("source").option("header", False).option("escape", '"').csv(path)
+    )
+    return path
+
+
+def raw_orders(spark, folder):
+    """The published files scanned back as a raw grid with audit columns."""
+    path = _publish_orders(spark, folder)
+    return scan_raw(spark, [RawSource(path, "orders")], width=5, ingested_at=_INGESTED)
+
+
+_RAW_SQL = f"""cells AS (SELECT o_orderkey, floor(o_orderkey / {_BLOCK}) AS source,
+    CAST(o_orderkey AS VARCHAR) AS col_0, '£' || printf('%.2f', o_totalprice) AS col_1, strftime(o_orderdate, '%d/%m/%Y') AS col_2,
+    CASE WHEN o_orderstatus = 'P' THEN '[x]' ELSE o_orderstatus END AS col_3,
+    CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE 'a, "b" ' || o_custkey END AS col_4, o_totalprice, o_orderdate, o_orderstatus FROM orders),
+raw AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY o_orderkey) - 1 AS _row_number FROM cells)"""
+
+
+@query("col_0:s col_1:s col_2:s col_3:s col_4:s _source_file:s _sheet_name:s _ingested_at:ts _row_number:l", _RAW_SQL + """,
+q AS (SELECT *, 'orders' AS _source_file, 'na' AS _sheet_name, TIMESTAMP '2026-06-13 00:00:00' AS _ingested_at FROM raw)""")
+def raw_scan(spark, folder):
+    """Text cells, audit columns and each row's number in its own file."""
+    return raw_orders(spark, folder)
+
+
+_ORDER_LAYOUT_FIELDS = [
+    (0, "id", "INTEGER"),
+    (2, "date", "DATETIME"),
+    (1, "price", "FLOAT"),
+    (3, "status", "STRING"),
+    (8, "_row_number", "INTEGER"),
+]
+
+
+@query("id:l date:ts price:d2 status:s _row_number:l year_name:s", _RAW_SQL + """,
+q AS (SELECT o_orderkey AS id, o_orderdate AS date, o_totalprice AS price, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
+    _row_number, '2026' AS year_name FROM raw WHERE _row_number >= 10 AND _row_number < 1990 AND o_totalprice > 1000)""")
+def positional_extract(spark, folder):
+    """Record range, positions, casts and a filter over raw files; the year label last."""
+    spec = layout("orders", 11, 1991, _ORDER_LAYOUT_FIELDS, [lambda df: df.filter("price > 1000")])
+    return extract(raw_orders(spark, folder), spec, year="2026")
+
+
+@query("o_orderpriority:s orders:l", "q AS (SELECT o_orderpriority, count(*) AS orders FROM orders GROUP BY o_orderpriority)")
+def layer_table_scan(spark, folder):
+    """A layer table read by path, pruned to one column."""
+    return compute_metrics(
+        read_layer(spark, f"{folder.rstrip('/')}/orders.parquet"),
+        {"groupby_cols": ["o_orderpriority"], "use_size": True, "rename_cols": {"size": "orders"}},
+    )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -24,7 +23,7 @@ _YEAR_LABEL = "_year_label"
 
 @dataclass(frozen=True)
 class RawSource:
-    """One raw file (or one sheet exported as a file)."""
+    """One raw file, or one sheet exported as a file; a folder or pattern counts as many files."""
 
     path: str
     table: str
@@ -94,10 +93,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def absolute_uri(spark: SparkSession, path: str) -> str:
-    """The path as ``_metadata.file_path`` spells it."""
-    jpath, fs = _hadoop_path(spark, path)
-    return fs.makeQualified(jpath).toUri().toString()
+def file_uris(spark: SparkSession, path: str) -> list[str]:
+    """Files of a source (a file, folder or pattern), as ``_metadata.file_path`` spells them."""
+    jvm = spark._jvm
+    return [
+        jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)).toUri().toString()
+        for name in spark.read.text(path).inputFiles()
+    ]
 
 
 def grid_width(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> int:
@@ -201,7 +203,7 @@ def scan_raw(
 
     A missing source is reported and skipped, the others are read. Rows carry
     ``year_name`` of their source, and (source, sheet, year) stays apart even
-    where two sheets share one year.
+    where two sheets share one year. Give ``width`` to save the pass that finds it.
     """
     report = report if report is not None else IngestReport()
     found = []
@@ -216,14 +218,19 @@ def scan_raw(
     paths = [src.path for src in found]
     width = width or grid_width(spark, paths, multi_line)
     numbered = number_rows(_read_grid(spark, paths, width, multi_line))
-    labels = spark.createDataFrame(
-        [(absolute_uri(spark, s.path), s.table, s.sheet, s.year) for s in found],
-        "_source_path string, _table string, _sheet string, year_name string",
-    )
     cells = [f"col_{i}" for i in range(width)]
     if null_cells:
         numbered = numbered.withColumns({c: F.when(~F.col(c).isin(*null_cells), F.col(c)) for c in cells})
-    labelled = numbered.join(bounded_broadcast(labels, len(found)), "_source_path", "left")
+    labels = {(src.table, src.sheet, src.year) for src in found}
+    if len(labels) == 1:
+        table, sheet, year = next(iter(labels))
+        labelled = numbered.withColumns({
+            "_table": F.lit(table), "_sheet": F.lit(sheet).cast("string"), "year_name": F.lit(year).cast("string"),
+        })
+    else:
+        rows = [(uri, s.table, s.sheet, s.year) for s in found for uri in file_uris(spark, s.path)]
+        files = spark.createDataFrame(rows, "_source_path string, _table string, _sheet string, year_name string")
+        labelled = numbered.join(bounded_broadcast(files, len(rows)), "_source_path", "left")
     audited = with_audit(labelled, F.col("_table"), F.col("_sheet"), ingested_at)
     return audited.select(*cells, *AUDIT_COLUMNS, "year_name")
 
@@ -266,7 +273,3 @@ def skeleton(spark: SparkSession, path: str, grain: Sequence[str]) -> DataFrame:
     if len(header.columns) < len(grain):
         raise ValueError(f"{path}: {len(header.columns)} columns, the grain needs {len(grain)}")
     return header.select(*[F.col(f"`{c}`") for c in header.columns[: len(grain)]]).toDF(*grain)
-
-
-def base_name(path: str) -> str:
-    return os.path.basename(path.rstrip("/"))
