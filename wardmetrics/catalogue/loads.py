@@ -1 +1,174 @@
-"""Queries."""
+"""Calendars, pending work, event files, incremental loads and writers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wardmetrics.catalogue.registry import query
+from wardmetrics.catalogue.tables import EVENTS_SQL, priority_events, table
+from wardmetrics.operators.aggregate import annual_rollup, monthly_counts
+from wardmetrics.session import scratch_path
+from wardmetrics.sinks.upsert import upsert_version
+from wardmetrics.sinks.writers import append_events, export_table, write_latest, write_layer
+from wardmetrics.sources.events import scan_events
+from wardmetrics.streaming.incremental import (
+    batch_signature, load_new_files, month_calendar, read_events_table, stream_new_files,
+)
+
+_SPANS_SQL = """spans AS (SELECT o_custkey AS borough, min(CAST(o_orderdate AS DATE)) AS start, max(CAST(o_orderdate AS DATE)) AS as_of FROM orders GROUP BY o_custkey),
+calendar AS (SELECT borough, strftime(m, '%Y-%m') AS month FROM (SELECT borough, unnest(generate_series(CAST(date_trunc('month', start) AS TIMESTAMP),
+    CAST(date_trunc('month', as_of) AS TIMESTAMP) - INTERVAL 2 MONTH, INTERVAL 1 MONTH)) AS m FROM spans))"""
+
+
+def _spans(spark, folder):
+    """First and last order date of each customer, as report spans."""
+    day = F.to_date("o_orderdate")
+    return table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("borough")).agg(
+        F.min(day).alias("start"), F.max(day).alias("as_of")
+    )
+
+
+@query("borough:l month:s", _SPANS_SQL + ", q AS (SELECT * FROM calendar)")
+def month_calendars(spark, folder):
+    """Months from the first order to two months before the last, per customer."""
+    return month_calendar(_spans(spark, folder))
+
+
+@query("borough:l month:s signature:s", _SPANS_SQL + """,
+done AS (SELECT DISTINCT o_custkey || '_' || strftime(o_orderdate, '%Y-%m') AS signature FROM orders),
+q AS (SELECT borough, month, borough || '_' || month AS signature FROM calendar WHERE borough || '_' || month NOT IN (SELECT signature FROM done))""")
+def pending_months(spark, folder):
+    """Customer months not among the processed ones."""
+    wanted = month_calendar(_spans(spark, folder))
+    signed = wanted.withColumn("signature", batch_signature(F.col("borough").cast("string"), F.col("month")))
+    done = table(spark, folder, "orders").select(
+        batch_signature(F.col("o_custkey").cast("string"), F.date_format("o_orderdate", "yyyy-MM")).alias("signature")
+    ).distinct()
+    return signed.join(done, "signature", "left_anti")
+
+
+# ---- event files: events as JSON arrays per month folder and entity ---------------------------
+
+
+def _publish_events(spark, folder) -> str:
+    """Events as ``year=/month=/<entity>.json`` array files."""
+    path = scratch_path(spark, "event-files")
+    e = table(spark, folder, "events")
+    records = e.select(
+        F.year("ts").alias("year"), F.date_format("ts", "MM").alias("month"),
+        F.concat(F.col("event_type"), F.lit(" & day "), F.date_format("ts", "dd"), F.lit(" "), F.date_format("ts", "HH")).alias("entity"),
+        F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("category"), F.col("value"), F.col("props"))).alias("record"),
+    )
+    arrays = records.groupBy("year", "month", "entity").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")).alias("value")
+    )
+    arrays.foreachPartition(_FileWriter(path))
+    return path
+
+
+class _FileWriter:
+    """Writes each row as one named file; small files by construction (one entity, one hour)."""
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def __call__(self, rows) -> None:
+        import os
+
+        local = self.root.removeprefix("file:")
+        for row in rows:
+            target = f"{local}/year={row['year']}/month={row['month']}"
+            os.makedirs(target, exist_ok=True)
+            with open(f"{target}/{row['entity']}.json", "w", encoding="utf-8") as out:
+                out.write(row["value"])
+
+
+_ENTITY_SQL = "event_type || ' & day ' || strftime(ts, '%d %H')"
+
+
+@query("year:i month:i borough:s category:s count:l", f"""q AS (SELECT year(ts) AS year, month(ts) AS month, {_ENTITY_SQL} AS borough,
+    event_type AS category, count(*) AS count FROM events GROUP BY ALL)""")
+def json_rollup(spark, folder):
+    """Year and month from the folders, the entity from the file name, counts per category."""
+    return monthly_counts(scan_events(spark, _publish_events(spark, folder)))
+
+
+_LOADED_SQL = f"""q AS (SELECT CAST(event_id AS VARCHAR) AS crime_id, make_date(year(ts), month(ts), 1) AS crime_date, {_ENTITY_SQL} AS borough,
+    value, props FROM events)"""
+_LOADED = "crime_id:s crime_date:t borough:s value:d2 props:s"
+
+
+def _flat(events):
+    return events.withColumns({
+        "value": F.variant_get("crime_details", "$.value", "double"), "props": F.variant_get("crime_details", "$.props", "string"),
+    })
+
+
+@query(_LOADED, _LOADED_SQL)
+def incremental_load(spark, folder):
+    """A file stream run twice; the second run finds nothing new."""
+    root, table_path = _publish_events(spark, folder), scratch_path(spark, "event-table")
+    checkpoint = scratch_path(spark, "event-checkpoint")
+    for _ in range(2):
+        stream_new_files(spark, root, table_path, checkpoint).awaitTermination()
+    return _flat(read_events_table(spark, table_path))
+
+
+@query(_LOADED, _LOADED_SQL)
+def processed_keys_load(spark, folder):
+    """The batch form with a processed-keys table, run twice."""
+    root, table_path, state = _publish_events(spark, folder), scratch_path(spark, "keyed-table"), scratch_path(spark, "keyed-state")
+    for batch in ("first", "second"):
+        load_new_files(spark, root, table_path, state, batch, dry_run=False)
+    return _flat(read_events_table(spark, table_path))
+
+
+# ---- writers ------------------------------------------------------------------------------------
+
+
+@query("crime_date:t borough:s crime_id:s k:l", """q AS (SELECT CAST(ts AS DATE) AS crime_date, event_type AS borough, CAST(event_id AS VARCHAR) AS crime_id,
+    CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""")
+def append_partitioned(spark, folder):
+    """Append by day, clustered, the JSON text as a variant."""
+    path = scratch_path(spark, "append")
+    e = table(spark, folder, "events").select(
+        F.col("event_id").cast("string").alias("crime_id"), F.col("ts").alias("crime_date"), F.col("event_type").alias("borough"),
+        F.col("props").alias("crime_details"),
+    )
+    append_events(e, path, "crime_details", "crime_date", "borough", dry_run=False)
+    return spark.read.parquet(path).withColumn("k", F.variant_get("crime_details", "$.k", "bigint"))
+
+
+@query("year:i borough:s category:s total_count:l annualised_rate:d6", EVENTS_SQL + """,
+monthly AS (SELECT year, month, borough, category, count(*) AS n FROM order_events GROUP BY ALL),
+rolled AS (SELECT year, borough, category, sum(n) AS total_count, CAST(sum(n) AS DOUBLE) / count(DISTINCT month) * 12 AS annualised_rate
+    FROM monthly GROUP BY year, borough, category),
+q AS (SELECT * FROM rolled WHERE year = (SELECT max(year) FROM rolled))""")
+def layer_write_latest(spark, folder):
+    """A layer table partitioned by year, its latest year written beside it and read back."""
+    rolled = annual_rollup(monthly_counts(priority_events(spark, folder)))
+    path = write_layer(rolled, scratch_path(spark, "layer"), "year")
+    return spark.read.parquet(write_latest(spark.read.parquet(path), scratch_path(spark, "layer-latest")))
+
+
+@query("o_orderkey:l o_orderstatus:s o_orderpriority:s", "q AS (SELECT * FROM orders)")
+def export_csv(spark, folder):
+    """A table exported as CSV with header under a sanitised, stamped name."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    path = export_table(orders, scratch_path(spark, "export"), "My Project", "Gold Layer", "orders")
+    return spark.read.option("header", True).csv(path)
+
+
+@query("c_custkey:l orders:l version:i", """q AS (SELECT o_custkey AS c_custkey, count(*) AS orders, CASE WHEN max(year(o_orderdate)) >= 1998 THEN 2 ELSE 1 END AS version
+    FROM orders GROUP BY o_custkey)""")
+def versioned_upsert(spark, folder):
+    """Two versions of a serving table, the second put over the first by key."""
+    counts = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("orders"), F.max(F.year("o_orderdate")).alias("last")
+    )
+    base = scratch_path(spark, "serving")
+    upsert_version(spark, base, counts.withColumn("version", F.lit(1)), "c_custkey", 1)
+    path = upsert_version(spark, base, counts.filter("last >= 1998").withColumn("version", F.lit(2)), "c_custkey", 2)
+    return spark.read.parquet(path)
+
+
