@@ -49,41 +49,40 @@ def pending_months(spark, folder):
 
 # ---- event files: events as JSON arrays per month folder and entity ---------------------------
 
+# Records per published file. The bound holds at any scale; more data is more files.
+_FILE_RECORDS = 1000
+
 
 def _publish_events(spark, folder) -> str:
-    """Events as ``year=/month=/<entity>.json`` array files."""
+    """Events as ``year=/month=/<entity>.json`` array files of at most ``_FILE_RECORDS`` records."""
     path = scratch_path(spark, "event-files")
     e = table(spark, folder, "events")
     records = e.select(
         F.year("ts").alias("year"), F.date_format("ts", "MM").alias("month"),
-        F.concat(F.col("event_type"), F.lit(" & day "), F.date_format("ts", "dd"), F.lit(" "), F.date_format("ts", "HH")).alias("entity"),
+        F.concat(F.lit("unit & "), F.floor(F.col("event_id") / _FILE_RECORDS).cast("string")).alias("entity"),
         F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("category"), F.col("value"), F.col("props"))).alias("record"),
     )
     arrays = records.groupBy("year", "month", "entity").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")).alias("value")
     )
-    arrays.foreachPartition(_FileWriter(path))
+    arrays.foreachPartition(lambda rows: _write_named_files(path, rows))
     return path
 
 
-class _FileWriter:
-    """Writes each row as one named file; small files by construction (one entity, one hour)."""
-
-    def __init__(self, root: str):
-        self.root = root
-
-    def __call__(self, rows) -> None:
-        import os
+def _write_named_files(root: str, rows) -> None:
+    """One file per row, on whatever store the shared folder is in; a retried task rewrites its own."""
+    from pyarrow import fs
 
-        local = self.root.removeprefix("file:")
-        for row in rows:
-            target = f"{local}/year={row['year']}/month={row['month']}"
-            os.makedirs(target, exist_ok=True)
-            with open(f"{target}/{row['entity']}.json", "w", encoding="utf-8") as out:
-                out.write(row["value"])
+    uri = root.replace("file:/", "file:///", 1) if root.startswith("file:/") and not root.startswith("file://") else root
+    store, base = fs.FileSystem.from_uri(uri)
+    for row in rows:
+        target = f"{base}/year={row['year']}/month={row['month']}"
+        store.create_dir(target, recursive=True)
+        with store.open_output_stream(f"{target}/{row['entity']}.json") as out:
+            out.write(row["value"].encode("utf-8"))
 
 
-_ENTITY_SQL = "event_type || ' & day ' || strftime(ts, '%d %H')"
+_ENTITY_SQL = f"'unit & ' || CAST(floor(event_id / {_FILE_RECORDS}) AS BIGINT)"
 
 
 @query("year:i month:i borough:s category:s count:l", f"""q AS (SELECT year(ts) AS year, month(ts) AS month, {_ENTITY_SQL} AS borough,

@@ -79,8 +79,8 @@ def _shapes(spark, folder):
 _SHAPES_SQL = """shapes AS (SELECT p_partkey, CAST(p_partkey * 37 % 1000 AS DOUBLE) AS x0, CAST(p_partkey * 91 % 1000 AS DOUBLE) AS y0,
     CAST(p_size + 10 AS DOUBLE) AS side, p_partkey % 2 = 1 AS triangle FROM part)"""
 
-_DOTS_SQL = """dots AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(event_id * 7919 % 10499 AS DOUBLE) / 10 END AS px,
-    CAST(event_id * 104729 % 10601 AS DOUBLE) / 10 AS py FROM events)"""
+_DOTS_SQL = """dots AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(event_id * 7919 % 2099 AS DOUBLE) / 2 END AS px,
+    CAST(event_id * 104729 % 2113 AS DOUBLE) / 2 AS py FROM events)"""
 
 
 def _dots(spark, folder):
@@ -88,15 +88,16 @@ def _dots(spark, folder):
     e = table(spark, folder, "events")
     return e.select(
         "event_id",
-        F.when(F.col("event_type") != "error", (F.col("event_id") * 7919 % 10499).cast("double") / 10).alias("px"),
-        ((F.col("event_id") * 104729 % 10601).cast("double") / 10).alias("py"),
+        F.when(F.col("event_type") != "error", (F.col("event_id") * 7919 % 2099).cast("double") / 2).alias("px"),
+        ((F.col("event_id") * 104729 % 2113).cast("double") / 2).alias("py"),
     )
 
 
 _INSIDE_SQL = """px > x0 AND py > y0 AND px < x0 + side AND py < y0 + side AND (NOT triangle OR (px - x0) + (py - y0) < side)"""
 
 
-@query("event_id:l px:d2 py:d2 p_partkey:l", _SHAPES_SQL + ", " + _DOTS_SQL + f", q AS (SELECT * FROM dots LEFT JOIN shapes ON {_INSIDE_SQL})")
+@query("event_id:l px:d2 py:d2 p_partkey:l", _SHAPES_SQL + ", " + _DOTS_SQL + f""", hits AS (SELECT event_id, px, py, p_partkey FROM dots JOIN shapes ON {_INSIDE_SQL}),
+q AS (SELECT * FROM hits UNION ALL SELECT event_id, px, py, NULL FROM dots WHERE event_id NOT IN (SELECT event_id FROM hits))""")
 def points_in_polygons_grid(spark, folder):
     """Points within overlapping shapes through the cell grid; unmatched points stay."""
     layer = ring_layer(_shapes(spark, folder))

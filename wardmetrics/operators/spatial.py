@@ -35,7 +35,11 @@ def grid_to_lonlat(df: DataFrame, easting: str | None = None, northing: str | No
     out = df
     for stage in grid_steps(F.col(f"`{x}`"), F.col(f"`{y}`")):
         out = out.withColumns(stage)
-    return out.select(*[f"`{c}`" for c in kept], "lon", "lat")
+    # The one-element explode keeps later predicates on lon or lat above the stages;
+    # pushed through them they would be expanded stage by stage. Predicates on the
+    # other columns still pass.
+    pair = F.explode(F.array(F.struct("lon", "lat"))).alias("_place")
+    return out.select(*[f"`{c}`" for c in kept], pair).select(*[f"`{c}`" for c in kept], "_place.lon", "_place.lat")
 
 
 def cover_cells(layer: DataFrame, attributes: Sequence[str], cell: float) -> DataFrame:
