@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wardmetrics.session import tune
 
@@ -31,13 +30,11 @@ def shaped(df: DataFrame, shape: str) -> DataFrame:
     """Named columns in order, cast; doubles rounded so that sum order cannot show."""
     out = []
     for name, code in _columns(shape):
-        column = F.col(f"`{name}`")
         if code[0] == "d":
-            column = F.round(column.cast("double"), int(code[1:])) + F.lit(0.0)
+            out.append(f"round(cast(`{name}` as double), {code[1:]}) + 0.0D as `{name}`")
         else:
-            column = column.cast(_TYPES[code][0])
-        out.append(column.alias(name))
-    return df.select(*out)
+            out.append(f"cast(`{name}` as {_TYPES[code][0]}) as `{name}`")
+    return df.selectExpr(*out)
 
 
 def shaped_sql(body: str, shape: str) -> str:

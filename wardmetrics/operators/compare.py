@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardmetrics.functions.numbers import pct_change, pct_deviation
+from wardmetrics.functions.text import all_of
 
 # Rows of one (entity, year) are compared in blocks of this many order values.
 ORDER_BLOCK = 100_000
@@ -64,9 +65,15 @@ def _deviate(df: DataFrame, group: tuple[str, ...], rules: list[Mapping], weight
     means = [_mean(r["target_col"], weight).alias(r["new_avg_col"]) for r in rules]
     taken = [c for c in df.columns if c not in {r["new_avg_col"] for r in rules}]
     if group:
-        table = df.dropna(subset=list(group)).groupBy(*[F.col(g).alias(f"_by_{g}") for g in group]).agg(*means)
-        condition = [F.col(f"`{g}`") == F.col(f"`_by_{g}`") for g in group]
-        both = df.select(*[f"`{c}`" for c in taken]).join(table, condition, "left").drop(*[f"_by_{g}" for g in group])
+        # Null-safe on purpose: no key filter is pushed under the aggregate, so its
+        # input stays the same plan as the left side and its shuffles are reused.
+        table = df.groupBy(*[F.col(g).alias(f"_by_{g}") for g in group]).agg(*means)
+        same = all_of([F.col(f"`{g}`").eqNullSafe(F.col(f"`_by_{g}`")) for g in group])
+        joined = df.select(*[f"`{c}`" for c in taken]).join(table, same, "left")
+        known = all_of([F.col(f"`{g}`").isNotNull() for g in group])
+        both = joined.select(
+            *[f"`{c}`" for c in taken], *[F.when(known, F.col(f"`{r['new_avg_col']}`")).alias(r["new_avg_col"]) for r in rules]
+        )
     else:
         one = df.agg(F.struct(*means).alias("_means")).scalar()
         both = df.select(*[f"`{c}`" for c in taken], one.alias("_means"))

@@ -243,7 +243,9 @@ def add_conditional(df: DataFrame, rules: Sequence[ConditionalRule], spec: Metri
         outputs = [c for rule in batch for c in _rule_outputs(rule, df.columns, spec)]
         if not outputs:
             continue
-        table = df.dropna(subset=[key]).groupBy(F.col(f"`{key}`").alias("_key")).agg(*outputs)
+        # The null key's group is left in: it matches no row, and no key filter makes
+        # the aggregate's input differ from the rows it is joined to.
+        table = df.groupBy(F.col(f"`{key}`").alias("_key")).agg(*outputs)
         names = [c for c in table.columns if c != "_key"]
         kinds = dict(table.dtypes)
         kept = [c for c in df.columns if c not in names]

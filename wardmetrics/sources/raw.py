@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -95,11 +96,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def file_uris(spark: SparkSession, path: str) -> list[str]:
     """Files of a source (a file, folder or pattern), as ``_metadata.file_path`` spells them."""
-    jvm = spark._jvm
-    return [
-        jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)).toUri().toString()
-        for name in spark.read.text(path).inputFiles()
-    ]
+    return [re.sub("^file:/+", "file:/", name) for name in spark.read.text(path).inputFiles()]
 
 
 def grid_width(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> int:
