@@ -263,7 +263,12 @@ def compose(steps: Sequence[Callable[[DataFrame], DataFrame]]) -> Callable[[Data
 
 
 def skeleton(spark: SparkSession, path: str, grain: Sequence[str]) -> DataFrame:
-    """First ``len(grain)`` columns of a CSV with header, as strings, renamed."""
+    """First ``len(grain)`` columns of a CSV with header, as strings, renamed.
+
+    Spark passes over files named ``_*`` or ``.*``, so the file needs another name.
+    """
+    if path.rstrip("/").rsplit("/", 1)[-1].startswith(("_", ".")):
+        raise ValueError(f"{path}: Spark does not read files whose name starts with '_' or '.'; rename it")
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no skeleton file at {path}")
     header = spark.read.option("header", True).csv(path)
