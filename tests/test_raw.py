@@ -135,3 +135,28 @@ def test_event_files(spark, tmp_path):
 def test_unpivot_keeps_null_values(spark):
     df = spark.createDataFrame([("a", 1.0, None)], "ons_code string, `2021` double, `2022` double")
     assert rows(unpivot_years(df)) == [("a", 2021, 1.0), ("a", 2022, None)]
+
+
+def test_wide_budget_sheet(spark, tmp_path):
+    """The 212-column sheet: title lines, a two-line cell, tokens, a header inside the data."""
+    from wardmetrics.plans.domains import BUDGET_LAYOUT
+    from wardmetrics.plans.layers import SheetFiles, budget_tables
+    from wardmetrics.sinks.writers import write_layer
+
+    width = 212
+    lines = ["Title" + "," * (width - 1)] * 9 + ['"two\nlines"' + "," * (width - 1)]
+    for n in range(413):
+        cells = [""] * width
+        cells[1] = f"E090000{n:02d}" if n < 34 else f"E07{n:06d}"
+        cells[2], cells[12], cells[28] = f"Area {n}", f'"1,{n:03d}.5"' if n % 2 else "[x]", "-"
+        lines.append(",".join(cells))
+    lines.append("after" + "," * (width - 1))
+    path = tmp_path / "sheet.csv"
+    path.write_text("\n".join(lines) + "\n")
+    raw = scan_raw(spark, [RawSource(str(path), "budget", sheet="3")], multi_line=True)
+    assert len(raw.columns) == width + 5
+    older, newer = str(tmp_path / "ingestion_3-2026-01-01"), write_layer(raw, str(tmp_path / "ingestion_3-2026-02-01"))
+    out = budget_tables(spark, [SheetFiles("3", [newer, older]), SheetFiles("4")])
+    assert out.count() == 33 and out.filter("total_highways_and_transport_services is not null").count() == 0
+    got = rows(out.filter("ons_code = 'E09000001'"), "total_education_services", "_row_number", "_sheet_name", "source_sheet")
+    assert got == [(1001.5, 11, "3", "3")]

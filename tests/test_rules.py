@@ -211,3 +211,31 @@ def test_domain_configs_are_valid():
     for config in (EDUCATION_GOLD, HOUSING_GOLD, INFRASTRUCTURE_GOLD, POLICE_GOLD):
         validate_config(config)
     assert len(POLICE_GOLD["post_processing"]["calculate_deviation"]) == 15
+
+
+def test_police_rules_on_a_small_matrix(spark):
+    from wardmetrics.plans.gold import build_matrix
+
+    grain = spark.createDataFrame([("City and Docks", "E1"), ("Barnet", "E2")], "borough_name string, ons_code string")
+    people = spark.createDataFrame([("E1", 2023, 1000), ("E1", 2024, 2000), ("E2", 2024, 0)], "ons_code string, year bigint, population bigint")
+    crimes = spark.createDataFrame(
+        [(2023, "City & Docks", "drugs", 12.0), (2024, "City & Docks", "drugs", 48.0), (2024, "City & Docks", "bicycle-theft", 4.0), (2024, "Barnet", "drugs", 5.0)],
+        "year int, borough string, category string, annualised_rate double",
+    )
+    out = build_matrix(grain, {"population": people, "crimes": crimes}, POLICE_GOLD)
+    got = rows(out, "borough_name", "year", "total_crimes_annualised", "total_crimes_per_1000", "lon_avg_total_crimes_per_1000", "yoy_pct_change_drugs_per_1000")
+    assert got == [
+        ("Barnet", 2024, 5.0, None, 26.0, None), ("City and Docks", 2023, 12.0, 12.0, 12.0, None), ("City and Docks", 2024, 52.0, 26.0, 26.0, 100.0),
+    ]
+    assert len(out.columns) == 4 + 14 + 1 + 15 + 30 + 15
+
+
+def test_hot_group_is_spread(spark):
+    """A group holding most rows: distinct items and firsts are combined before their shuffle."""
+    from wardmetrics.operators.reshape import first_by_key
+
+    df = spark.range(20000).select(F.when(F.col("id") % 10 != 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("g"),
+                                   (F.col("id") % 7).cast("string").alias("t"), "id")
+    plan = first_by_key(df, "g", ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan and "Window" not in plan
+    assert rows(comma_union(df, ["g"], "t", "u", "n").filter("g = 'hot'")) == [("hot", 18000, "0, 1, 2, 3, 4, 5, 6")]

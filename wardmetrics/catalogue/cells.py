@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wardmetrics.catalogue.registry import query
 from wardmetrics.catalogue.tables import MESSY_SQL, messy_cells, table
-from wardmetrics.functions.cast import clean_cast
+from wardmetrics.functions.cast import cast_columns
 from wardmetrics.functions.text import sanitise, slugify, standardise
 from wardmetrics.operators.quality import cast_report
 from wardmetrics.operators.quality import coerce_numeric as coerce
@@ -21,7 +21,7 @@ _LINE = "l_orderkey:l l_linenumber:i l_partkey:l l_suppkey:l"
 
 
 def _clean(spark, folder, column, kind):
-    return messy_cells(spark, folder).withColumn("value", clean_cast(F.col(column), kind))
+    return cast_columns(messy_cells(spark, folder).withColumnRenamed(column, "value"), {"value": kind})
 
 
 @query(f"{_LINE} value:l", MESSY_SQL + ", q AS (SELECT *, round_even(number, 0) AS value FROM numbers)")
@@ -112,7 +112,7 @@ def _publish_orders(spark, folder) -> str:
     o = table(spark, folder, "orders")
     text = o.select(
         F.col("o_orderkey").cast("string"),
-        F.concat(F.lit("£"), F.format_string("%.2f", "o_totalprice")),
+        F.concat(F.lit("£"), F.col("o_totalprice").cast("decimal(18,2)").cast("string")),
         F.date_format("o_orderdate", "dd/MM/yyyy"),
         F.when(F.col("o_orderstatus") == "P", F.lit("[x]")).otherwise(F.col("o_orderstatus")),
         F.when(F.col("o_custkey") % 9 == 0, F.lit("NA")).otherwise(F.concat(F.lit("a, \"b\" "), F.col("o_custkey").cast("string"))),

@@ -101,7 +101,7 @@ measures AS (SELECT ons_code, year, CAST(count(*) AS DOUBLE) AS total_dwellings,
 def messy_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as the text cells of a published sheet: tokens, signs, separators, blanks."""
     n = F.col("l_linenumber")
-    price = F.format_string("%.2f", "l_extendedprice")
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
     amount = (
         F.when(n == 1, F.concat(F.lit("£"), price))
         .when(n == 2, F.regexp_replace(price, "^([0-9]+)([0-9]{3}[.])", "$1,$2"))
@@ -116,7 +116,9 @@ def messy_cells(spark: SparkSession, folder: str) -> DataFrame:
         .when(n % 3 == 1, F.date_format("l_shipdate", "yyyy-MM-dd"))
         .otherwise(F.concat(F.lit("week "), F.col("l_quantity").cast("int").cast("string")))
     )
-    clock = F.format_string("%02d:%02d:%02d", F.col("l_quantity").cast("int") % 30, F.col("l_partkey") % 70, n)
+    clock = F.concat_ws(":", *[
+        F.lpad(part.cast("string"), 2, "0") for part in (F.col("l_quantity").cast("int") % 30, F.col("l_partkey") % 70, n)
+    ])
     return table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         amount.alias("amount"), day.alias("day"), clock.alias("clock"),

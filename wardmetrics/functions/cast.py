@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Cells that mean "no value" in the source files.
@@ -53,8 +53,8 @@ def clean_text(raw: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     return F.when(~trimmed.isin(*tokens), trimmed)
 
 
-def _number(raw: Column, tokens: Sequence[str], scientific: bool) -> Column:
-    text = clean_text(raw, tokens)
+def text_to_float(text: Column, scientific: bool = False) -> Column:
+    """Number with every character but digits, dot and minus dropped first."""
     stripped = F.regexp_replace(text, "[^0-9.-]", "").try_cast("double")
     if scientific:
         plain = F.when(text.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?[eE][+-]?[0-9]+$"), text.try_cast("double"))
@@ -62,72 +62,60 @@ def _number(raw: Column, tokens: Sequence[str], scientific: bool) -> Column:
     return stripped
 
 
-def clean_float(raw: Column, tokens: Sequence[str] = NULL_TOKENS, scientific: bool = False) -> Column:
-    """Number with every character but digits, dot and minus dropped first."""
-    return _number(raw, tokens, scientific)
-
-
-def clean_integer(raw: Column, tokens: Sequence[str] = NULL_TOKENS, scientific: bool = False) -> Column:
-    """:func:`clean_float` rounded half to even."""
-    return F.rint(_number(raw, tokens, scientific)).try_cast("bigint")
+def text_to_integer(text: Column, scientific: bool = False) -> Column:
+    """:func:`text_to_float` rounded half to even."""
+    return F.rint(text_to_float(text, scientific)).try_cast("bigint")
 
 
-def clean_timestamp(
-    raw: Column,
-    tokens: Sequence[str] = NULL_TOKENS,
-    formats: Sequence[tuple[str, str]] = DATE_FORMATS,
-) -> Column:
+def text_to_timestamp(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
     """Date or date-time text; text of no known shape becomes null."""
-    text = clean_text(raw, tokens)
     tries = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern))) for shape, pattern in formats]
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
-def clean_date(
-    raw: Column,
-    tokens: Sequence[str] = NULL_TOKENS,
-    formats: Sequence[tuple[str, str]] = DATE_FORMATS,
-) -> Column:
-    return clean_timestamp(raw, tokens, formats).cast("date")
-
-
-def clean_time(raw: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
+def text_to_time(text: Column) -> Column:
     """``HH:mm:ss`` text, or null when it is no such time."""
-    text = clean_text(raw, tokens)
     return F.when(text.rlike(TIME_PATTERN), text)
 
 
-def clean_cast(
-    raw: Column,
-    logical_type: str,
-    tokens: Sequence[str] = NULL_TOKENS,
-    scientific: bool = False,
-    on_unknown: str = "error",
-) -> Column:
-    """Cast a text cell to a logical type; a cell that does not parse becomes null."""
+def cast_text(text: Column, logical_type: str, scientific: bool = False, on_unknown: str = "error") -> Column:
+    """Cast text that :func:`clean_text` has cleaned already."""
     if logical_type == "STRING":
-        return clean_text(raw, tokens)
+        return text
     if logical_type == "INTEGER":
-        return clean_integer(raw, tokens, scientific)
+        return text_to_integer(text, scientific)
     if logical_type == "FLOAT":
-        return clean_float(raw, tokens, scientific)
+        return text_to_float(text, scientific)
     if logical_type == "DATE":
-        return clean_date(raw, tokens)
+        return text_to_timestamp(text).cast("date")
     if logical_type in ("DATETIME", "TIMESTAMP"):
-        return clean_timestamp(raw, tokens)
+        return text_to_timestamp(text)
     if logical_type == "TIME":
-        return clean_time(raw, tokens)
+        return text_to_time(text)
     if on_unknown == "string":
-        return clean_text(raw, tokens)
+        return text
     raise ValueError(f"unknown column type {logical_type!r}; use one of {sorted(LOGICAL_TYPES)}")
 
 
-def is_fraction(raw: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
-    """True where an INTEGER cast drops decimals."""
-    number = _number(raw, tokens, False)
-    return F.coalesce(number != F.rint(number), F.lit(False))
+def clean_cast(
+    raw: Column,
+    logical_type: str,
+    tokens: Sequence[str] = NULL_TOKENS,
+    scientific: bool = False,
+    on_unknown: str = "error",
+) -> Column:
+    """Cast a text cell to a logical type; a cell that does not parse becomes null.
+
+    Over many columns use :func:`cast_columns`, which cleans each cell once.
+    """
+    return cast_text(clean_text(raw, tokens), logical_type, scientific, on_unknown)
 
 
-def cast_failed(raw: Column, cast: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
-    """True where a real value (no null, no null token) did not survive its cast."""
-    return clean_text(raw, tokens).isNotNull() & cast.isNull()
+def cast_columns(
+    df: DataFrame, types: Mapping[str, str], tokens: Sequence[str] = NULL_TOKENS, scientific: bool = False
+) -> DataFrame:
+    """Cast text columns in place: one stage cleans the cells, the next one casts them."""
+    cleaned = df.withColumns({name: clean_text(F.col(f"`{name}`"), tokens) for name in types})
+    return cleaned.withColumns({
+        name: cast_text(F.col(f"`{name}`"), kind, scientific) for name, kind in types.items() if kind != "STRING"
+    })

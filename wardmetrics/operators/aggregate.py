@@ -119,32 +119,35 @@ def group_metrics(
 def group_medians(df: DataFrame, keys: Sequence[str], column: str, name: str, buckets: int = 1024) -> DataFrame:
     """Exact median per group without gathering a group.
 
-    Equal values are counted first. Each group's range is cut into buckets, the
-    bucket counts tell which buckets hold the middle ranks, and only the
-    distinct values of those are ranked. The result is exact for any data; the
-    buckets only decide how few values get that far.
+    An approximate quantile pair brackets each group's middle. Equal values are
+    counted, the bracket is cut into buckets, and bucket counts tell which ones
+    hold the middle ranks; only the distinct values of those are ranked. Bracket
+    and buckets decide how few values get that far, never the result: values
+    outside the bracket are buckets of their own.
     """
     keys = list(keys)
-    counted = (
-        df.filter(F.col(f"`{column}`").isNotNull())
-        .groupBy(*keys, F.col(f"`{column}`").cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ends = counted.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total"))
-    placed = counted.join(ends, keys).withColumn(
+    values = df.filter(F.col(f"`{column}`").isNotNull()).select(*keys, F.col(f"`{column}`").cast("double").alias("_v"))
+    counted = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    spans = values.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", [0.499, 0.501], 10000).alias("_q")
+    ).select(*keys, "_total", F.element_at("_q", 1).alias("_lo"), F.element_at("_q", 2).alias("_hi"))
+    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    inner = F.coalesce(F.floor((F.col("_v") - F.col("_lo")) / width * buckets), F.lit(0))
+    placed = counted.join(spans, keys).withColumn(
         "_b",
-        F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
-            F.least(
-                F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets), F.lit(buckets - 1)
-            )
-        ),
+        F.when(F.col("_v") < F.col("_lo"), F.lit(-1))
+        .when(F.col("_v") > F.col("_hi"), F.lit(buckets))
+        .otherwise(F.least(inner, F.lit(buckets - 1))),
     )
-    sizes = placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("_size"), F.first("_total").alias("_total"))
+    sizes = placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("_size"), F.max("_total").alias("_total"))
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
     low, high = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
-    middle = sizes.withColumn("_end", F.sum("_size").over(by_bucket)).withColumn(
-        "_start", F.col("_end") - F.col("_size")
-    ).filter((F.col("_start") < high) & (F.col("_end") >= low)).select(*keys, "_b", "_start")
+    middle = (
+        sizes.withColumn("_end", F.sum("_size").over(by_bucket))
+        .withColumn("_start", F.col("_end") - F.col("_size"))
+        .filter((F.col("_start") < high) & (F.col("_end") >= low))
+        .select(*keys, "_b", "_start")
+    )
     in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v")
     ranked = (
         placed.join(middle, [*keys, "_b"])

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmetrics.functions.cast import NULL_TOKENS, cast_failed, clean_cast, clean_text, is_fraction
+from wardmetrics.functions.cast import NULL_TOKENS, cast_text, clean_text, text_to_float
 
 
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -52,20 +52,20 @@ def apply_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 def cast_report(raw: DataFrame, types: Mapping[str, str], tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """(column, raw_value, problem, n): cells a cast lost, and fractions it rounded.
 
-    All columns are checked in one scan: a row yields a record only for its bad
-    cells.
+    One scan for all columns. A value that is missing or a null token is no
+    problem. Cells are cleaned in one stage and judged in the next.
     """
-    problems = []
+    cleaned = raw.select(*[clean_text(F.col(f"`{name}`"), tokens).alias(name) for name in types])
+    cells = []
     for name, kind in types.items():
-        cell = F.col(f"`{name}`")
-        found = F.when(cast_failed(cell, clean_cast(cell, kind, tokens), tokens), F.lit("failed"))
+        text = F.col(f"`{name}`")
+        problem = F.when(text.isNotNull() & cast_text(text, kind).isNull(), F.lit("failed"))
         if kind == "INTEGER":
-            found = found.when(is_fraction(cell, tokens), F.lit("rounded"))
-        problems.append(
-            F.struct(F.lit(name).alias("column"), clean_text(cell, tokens).alias("raw_value"), found.alias("problem"))
-        )
-    cells = raw.select(F.explode(F.filter(F.array(*problems), lambda p: p.problem.isNotNull())).alias("p"))
-    return cells.select("p.*").groupBy("column", "raw_value", "problem").agg(F.count(F.lit(1)).alias("n"))
+            number = text_to_float(text)
+            problem = problem.when(number != F.rint(number), F.lit("rounded"))
+        cells.append(F.struct(F.lit(name).alias("column"), text.alias("raw_value"), problem.alias("problem")))
+    judged = cleaned.select(F.inline(F.array(*cells))).filter(F.col("problem").isNotNull())
+    return judged.groupBy("column", "raw_value", "problem").agg(F.count(F.lit(1)).alias("n"))
 
 
 def coerce_numeric(df: DataFrame, keep: Sequence[str] = ("borough_name",)) -> DataFrame:

@@ -77,7 +77,7 @@ def cover_cells(layer: DataFrame, attributes: Sequence[str], cell: float) -> Dat
     middle_inside = crossings_right(F.col("_band"), left + cell / 2, low + cell / 2) % 2 == 1
     settled = cells.withColumn("_entered", entered).withColumn("_inside", middle_inside & ~F.col("_entered"))
     return settled.filter(F.col("_entered") | F.col("_inside")).select(
-        *attributes, "_cx", "_cy", "_inside",
+        *attributes, "_cx", "_cy", "_inside", "_xlo", "_xhi", "_ylo", "_yhi",
         F.when(F.col("_entered"), F.col("_band")).alias("_edges"),
     )
 
@@ -106,10 +106,13 @@ def points_in_polygons(
         "_px": F.floor(F.col(x) / cell),
         "_py": F.floor(F.col(y) / cell),
     })
+    # The box test is compiled code and spares most ring tests near a boundary.
+    px, py = F.col(x), F.col(y)
+    boxed = (px > F.col("_xlo")) & (px < F.col("_xhi")) & (py > F.col("_ylo")) & (py < F.col("_yhi"))
     hit = (
         (F.col("_px") == F.col("_cx"))
         & (F.col("_py") == F.col("_cy"))
-        & (F.col("_inside") | within_edges(F.col("_edges"), F.col(x), F.col(y)))
+        & (F.col("_inside") | (boxed & within_edges(F.col("_edges"), px, py)))
     )
     return placed.join(cells, hit, how).select(*[f"`{c}`" for c in points.columns], *attributes)
 

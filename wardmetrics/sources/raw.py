@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardmetrics.functions.cast import LOGICAL_TYPES, NULL_TOKENS, READER_NULL_TOKENS, clean_cast
+from wardmetrics.functions.cast import LOGICAL_TYPES, NULL_TOKENS, READER_NULL_TOKENS, cast_columns
 from wardmetrics.session import bounded_broadcast
 
 AUDIT_COLUMNS = ("_source_file", "_sheet_name", "_ingested_at", "_row_number")
@@ -244,16 +244,16 @@ def extract(raw: DataFrame, spec: Layout, year: str | None = None, tokens: Seque
     if missing:
         raise ValueError(f"{spec.table}: no column at the position of {missing}; the grid has {len(columns)}")
     source_types = dict(raw.dtypes)
-    picked = []
+    picked, texts = [], {}
     for f in spec.fields:
         name = columns[f.position]
-        cell = F.col(name)
         if source_types[name] == "string":
-            picked.append(clean_cast(cell, f.type, tokens).alias(f.name))
+            picked.append(F.col(name).alias(f.name))
+            texts[f.name] = f.type
         else:
-            picked.append(cell.cast(LOGICAL_TYPES[f.type]).alias(f.name))
+            picked.append(F.col(name).cast(LOGICAL_TYPES[f.type]).alias(f.name))
     year_column = F.lit(year) if year is not None or "year_name" not in raw.columns else F.col("year_name")
-    typed = kept.select(*picked, year_column.cast("string").alias(_YEAR_LABEL))
+    typed = cast_columns(kept.select(*picked, year_column.cast("string").alias(_YEAR_LABEL)), texts, tokens)
     return compose(spec.filters)(typed).withColumnRenamed(_YEAR_LABEL, "year_name")
 
 
