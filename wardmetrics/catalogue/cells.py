@@ -14,7 +14,7 @@ from wardmetrics.operators.quality import cast_report
 from wardmetrics.operators.quality import coerce_numeric as coerce
 from wardmetrics.plans.metrics import compute_metrics
 from wardmetrics.session import scratch_path
-from wardmetrics.sources.raw import RawSource, extract, layout, scan_raw
+from wardmetrics.sources.raw import RawSource, extract, layout, scan_raw, skeleton
 from wardmetrics.sources.tables import read_layer
 
 _LINE = "l_orderkey:l l_linenumber:i l_partkey:l l_suppkey:l"
@@ -170,3 +170,11 @@ def layer_table_scan(spark, folder):
         read_layer(spark, f"{folder.rstrip('/')}/orders.parquet"),
         {"groupby_cols": ["o_orderpriority"], "use_size": True, "rename_cols": {"size": "orders"}},
     )
+
+
+@query("borough_name:s ons_code:s", "q AS (SELECT c_name AS borough_name, CAST(c_custkey AS VARCHAR) AS ons_code FROM customer)")
+def skeleton_scan(spark, folder):
+    """Leading columns of a CSV with header, by position, as strings, renamed."""
+    path = scratch_path(spark, "skeleton")
+    table(spark, folder, "customer").select("c_name", "c_custkey", "c_acctbal").write.option("header", True).csv(path)
+    return skeleton(spark, path, ["borough_name", "ons_code"])

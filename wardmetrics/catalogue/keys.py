@@ -14,7 +14,7 @@ from wardmetrics.operators.filters import anniversary as on_anniversary
 from wardmetrics.operators.filters import keep_listed, keep_values
 from wardmetrics.operators.filters import year_range as in_years
 from wardmetrics.operators.joins import grain_merge, merge, merge_yearly
-from wardmetrics.operators.quality import duplicate_keys, null_counts, null_rows, orphan_keys, orphan_rows
+from wardmetrics.operators.quality import apply_defaults, duplicate_keys, null_counts, null_rows, orphan_keys, orphan_rows
 from wardmetrics.operators.reshape import ensure_year, first_by_key, latest, union_all, unpivot_years
 from wardmetrics.plans.domains import HOUSING_YEARS
 from wardmetrics.plans.layers import rolled_up_events
@@ -114,6 +114,25 @@ def enrich_suffix(spark, folder):
     return merge(c, s, "key", "left", ("", "_supplier"))
 
 
+@query("c_custkey:l key:i s_suppkey:l", """q AS (SELECT c_custkey, c.key, s_suppkey
+    FROM (SELECT c_custkey, CASE WHEN c_nationkey <> 3 THEN c_nationkey END AS key FROM customer) c
+    LEFT JOIN (SELECT CASE WHEN s_nationkey <> 3 THEN s_nationkey END AS key, s_suppkey FROM supplier) s ON c.key = s.key)""")
+def enrich_null_keys_apart(spark, folder):
+    """The same enrich with null keys matching nothing."""
+    c = table(spark, folder, "customer").select("c_custkey", F.when(F.col("c_nationkey") != 3, F.col("c_nationkey")).alias("key"))
+    s = table(spark, folder, "supplier").select(F.when(F.col("s_nationkey") != 3, F.col("s_nationkey")).alias("key"), "s_suppkey")
+    return merge(c, s, "key", "left", null_keys_match=False)
+
+
+@query("key:l c_name:s o_orderstatus:s", """q AS (SELECT coalesce(c_custkey, o_orderkey) AS key, c_name, o_orderstatus
+    FROM customer FULL JOIN orders ON c_custkey = o_orderkey)""")
+def merge_outer(spark, folder):
+    """Outer merge: the key is kept from whichever side has it."""
+    c = table(spark, folder, "customer").select(F.col("c_custkey").alias("key"), "c_name")
+    o = table(spark, folder, "orders").select(F.col("o_orderkey").alias("key"), "o_orderstatus")
+    return merge(c, o, "key", "outer")
+
+
 @query("ons_code:s year:i average_price:d2 _source_file_x:s total_dwellings:d2 _source_file_y:s", MEASURES_SQL + """,
 q AS (SELECT ons_code, year, average_price, 'prices' AS _source_file_x, total_dwellings, 'stock' AS _source_file_y FROM measures)""")
 def price_stock_join(spark, folder):
@@ -255,6 +274,13 @@ def quality_null_rows(spark, folder):
     return null_rows(_gaps(spark, folder), ["value", "event_type"])
 
 
+@query("event_id:l value:d2 event_type:s", _GAPS_SQL + """,
+q AS (SELECT event_id, coalesce(value, 0) AS value, coalesce(event_type, 'none') AS event_type FROM gaps)""")
+def column_defaults(spark, folder):
+    """Defaults where the value is null; a default for an absent column is ignored."""
+    return apply_defaults(_gaps(spark, folder), {"value": 0.0, "event_type": "none", "absent": 1})
+
+
 _RULES = {"orders": {"keys": ["ons_code", "year"], "required": ["value"]}}
 
 

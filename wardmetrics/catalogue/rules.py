@@ -104,6 +104,15 @@ def cond_agg_multi(spark, folder):
     return compute_metrics(rated_places(spark, folder), {"conditional_aggregations": PLACE_RULES})
 
 
+@query("c_custkey:l area:s private_count:l private_pupils:l avg_grade:d6", PLACES_SQL + ", kept AS (SELECT * FROM places), " + COND_SQL + """,
+bare AS (SELECT kept.*, nullif(private_count, 0) AS private_count, CASE WHEN private_count > 0 THEN private_pupils END AS private_pupils, avg_grade
+    FROM kept LEFT JOIN cond ON kept.area = cond.area_key), q AS (SELECT * FROM bare)""")
+def cond_agg_unfilled(spark, folder):
+    """The same rules with "no data" left null."""
+    spec = MetricSpec.from_dict({"conditional_aggregations": PLACE_RULES}, fill=None)
+    return compute_metrics(rated_places(spark, folder), spec)
+
+
 SCHOOL_RULES = {
     "filter_out": FILTERS,
     "conditional_aggregations": PLACE_RULES,
