@@ -75,11 +75,15 @@ def cover_cells(layer: DataFrame, attributes: Sequence[str], cell: float) -> Dat
         "_band", lambda e: (F.greatest(e.x1, e.x2) >= left - slack) & (F.least(e.x1, e.x2) <= right + slack)
     )
     middle_inside = crossings_right(F.col("_band"), left + cell / 2, low + cell / 2) % 2 == 1
-    settled = cells.withColumn("_entered", entered).withColumn("_inside", middle_inside & ~F.col("_entered"))
-    return settled.filter(F.col("_entered") | F.col("_inside")).select(
-        *attributes, "_cx", "_cy", "_inside", "_xlo", "_xhi", "_ylo", "_yhi",
-        F.when(F.col("_entered"), F.col("_band")).alias("_edges"),
+    judged = cells.withColumns({"_entered": entered, "_middle": middle_inside})
+    # Cells outside are dropped by the explode of a null: unlike a filter it is not
+    # pushed down, where both tests would run a second time.
+    kept = F.when(
+        F.col("_entered") | F.col("_middle"),
+        F.array(F.struct((~F.col("_entered")).alias("_inside"), F.when(F.col("_entered"), F.col("_band")).alias("_edges"))),
     )
+    box = ["_xlo", "_xhi", "_ylo", "_yhi"]
+    return judged.select(*attributes, "_cx", "_cy", *box, F.inline(kept))
 
 
 def points_in_polygons(
