@@ -80,6 +80,8 @@ def named_aggregate(
     if operation == "count_where":
         match = column == F.lit(value)
         return F.count_if(match if when is None else when & match)
+    if operation == MEDIAN:
+        raise ValueError("'median' is planned on its own: use it in groupby_cols aggregations, not in a conditional rule")
     if operation not in AGGREGATES:
         raise ValueError(f"unknown aggregate {operation!r}; known: {sorted([*AGGREGATES, 'count_where', MEDIAN])}")
     return AGGREGATES[operation](column, when, order)
