@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -43,14 +41,9 @@ def build_session(app_name: str = "wardmetrics", master: str | None = None, **co
 
 
 def _shared_root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or a folder below the warehouse where it is unset: both are shared in every mode."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="wardmetrics-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -58,16 +51,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_shared_root(spark)}/wardmetrics/{name}-{uuid.uuid4().hex}"
 
 
-# A side is only ever sent whole to every executor when its row bound, at this
-# row size, stays under this many bytes.
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-BROADCAST_ROW_BYTES = 256
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int, row_bytes: int = BROADCAST_ROW_BYTES) -> DataFrame:
-    """Broadcast hint for a side of at most ``max_rows`` rows, if that is small.
-
-    ``max_rows`` must be a proven bound (length of a given list, number of file
-    splits). Beyond the limit the join is left to adaptive execution.
-    """
-    return F.broadcast(df) if max_rows * row_bytes <= MAX_BROADCAST_BYTES else df
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, read again: cuts the lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
