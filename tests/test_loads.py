@@ -8,7 +8,7 @@ from wardmetrics.operators.quality import apply_defaults, duplicate_keys, null_c
 from wardmetrics.plans.gold import run_gold
 from wardmetrics.plans.layers import HOUSING_JOINS, run_bronze, run_event_silver, run_silver
 from wardmetrics.plans.serving import sync_serving
-from wardmetrics.session import bounded_broadcast, scratch_path
+from wardmetrics.session import scratch_path
 from wardmetrics.sinks.upsert import upsert_version
 from wardmetrics.sinks.writers import append_events, export_name, export_table, layer_path, load_table, logical_schema, write_latest
 from wardmetrics.sources.raw import RawSource, layout
@@ -203,8 +203,15 @@ def test_event_silver(spark, tmp_path):
     assert got == [("drugs", 3, 2, 18.0, "Quality of Life & Public Order"), ("new thing", 1, 1, 12.0, "Other")]
 
 
-def test_scratch_and_broadcast_bounds(spark):
+def test_scratch_paths_are_shared_and_fresh(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
-    small = spark.range(5)
-    assert "ResolvedHint" in bounded_broadcast(small, 5)._jdf.queryExecution().analyzed().toString()
-    assert bounded_broadcast(small, 10**9) is small
+    saved = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        spark.conf.set("spark.checkpoint.dir", "hdfs://store/shared/")
+        assert scratch_path(spark, "a").startswith("hdfs://store/shared/wardmetrics/a-")
+        spark.conf.unset("spark.checkpoint.dir")
+        root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        assert scratch_path(spark, "a").startswith(root.rstrip("/"))
+    finally:
+        if saved:
+            spark.conf.set("spark.checkpoint.dir", saved)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardmetrics.functions.cast import LOGICAL_TYPES, NULL_TOKENS, READER_NULL_TOKENS, cast_columns
-from wardmetrics.session import bounded_broadcast
 
 AUDIT_COLUMNS = ("_source_file", "_sheet_name", "_ingested_at", "_row_number")
 NO_SHEET = "na"
@@ -150,8 +149,7 @@ def number_rows(grid: DataFrame) -> DataFrame:
     offsets = blocks.select(
         "_source_path", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    splits = len(grid.inputFiles()) + 2 * grid.rdd.getNumPartitions()
-    return scan.join(bounded_broadcast(offsets, splits), ["_source_path", "_block"]).select(
+    return scan.join(offsets, ["_source_path", "_block"]).select(
         *data, "_source_path", (F.col("_scan_id") + F.col("_shift")).alias("_row_number")
     )
 
@@ -227,7 +225,7 @@ def scan_raw(
     else:
         rows = [(uri, s.table, s.sheet, s.year) for s in found for uri in file_uris(spark, s.path)]
         files = spark.createDataFrame(rows, "_source_path string, _table string, _sheet string, year_name string")
-        labelled = numbered.join(bounded_broadcast(files, len(rows)), "_source_path", "left")
+        labelled = numbered.join(files, "_source_path", "left")
     audited = with_audit(labelled, F.col("_table"), F.col("_sheet"), ingested_at)
     return audited.select(*cells, *AUDIT_COLUMNS, "year_name")
 
