@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmetrics.llm import mixing, pieces, quality_net, secret_scan
+from wardmetrics.llm import mixing, pieces, quality_net, secret_scan, simhash
 from wardmetrics.llm.queries import PIECE_MODEL, piece_model_path, table
-from wardmetrics.llm.texts import remainder
+from wardmetrics.llm.texts import placed, remainder
 from wardmetrics.session import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,6 +21,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_net.score_quality(docs, model, COLUMNS).filter(F.col("score") >= LEAST_SCORE).select(*COLUMNS)
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates one row stays: that of the smallest key, rows without a key last."""
+    rows = placed(docs)
+    found = simhash.near_duplicates(rows, "_row").filter(F.col("_row.place") == F.col("component_id.place"))
+    first = found.select(F.col("_row.place").alias("_place"))
+    return rows.join(first.hint("shuffle_hash"), rows["_row.place"] == first["_place"], "left_semi").select(*COLUMNS)
+
+
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with a placeholder for each secret; ``n_chars`` follows."""
     found = secret_scan.scan_secrets(docs, secret_scan.fit_secrets(docs))
@@ -30,7 +38,10 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as many times as the mix of sources takes it."""
-    raise NotImplementedError
+    rows = placed(docs)
+    taken = mixing.mix(rows, key="_row").filter("copies > 0").select(F.col("_row.place").alias("_place"), "copies")
+    joined = rows.join(taken.hint("shuffle_hash"), rows["_row.place"] == taken["_place"])
+    return joined.select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")).select(*COLUMNS)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +51,9 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality classifier", quality_stage),
+    ("SimHash near-dedup", simhash_stage),
     ("secret scans", secret_stage),
+    ("mixing sources to target weights", mixing_stage),
     ("SentencePiece encoding", encoding_stage),
 ]
 

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmetrics.llm import language, mixing, outliers, pieces, quality_net, secret_scan, sharding
+from wardmetrics.llm import language, mixing, outliers, pieces, quality_net, secret_scan, sharding, simhash, suffixes, topk
 from wardmetrics.llm.texts import remainder
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -44,6 +44,10 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_inner_products(table(spark, folder, "embeddings"), lambda key: key % 50 == 0)
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return outliers.judge_texts(table(spark, folder, "documents"), ["doc_id"])
 
@@ -64,6 +68,15 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents"), digests=True)
+
+
 MIX_SQL = r"""WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
 weighed AS (
@@ -110,9 +123,21 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality": op3_quality,
+    "op4_topk": op4_topk,
     "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
     "op7_language": op7_language,
     "op8_mixing": op8_mixing,
+    "op9_simhash": op9_simhash,
+    "op10_repeats": op10_repeats,
 }
-SQL = {"op6_sharding": SHARD_SQL, "op8_mixing": MIX_SQL}
+TOPK_SQL = """WITH grown AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM grown q JOIN grown c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+SQL = {"op4_topk": TOPK_SQL, "op6_sharding": SHARD_SQL, "op8_mixing": MIX_SQL}

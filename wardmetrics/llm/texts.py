@@ -110,3 +110,12 @@ def remainder(key: Column, modulus: int) -> Column:
 def smallest_ids(df: DataFrame, rows: int, key: str = "doc_id", seed: int = 7) -> DataFrame:
     """At most ``rows`` rows with the smallest hashes of a non-null key: a bounded sample, the same on every run."""
     return df.filter(F.col(key).isNotNull()).orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(rows)
+
+
+def placed(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``df``, a table as read from files, with ``_row``: a key of each single row that sorts by ``key``, null last.
+
+    ``_row.place`` follows from the row's file split, so every scan of the table under the same settings agrees.
+    """
+    own = F.col(f"`{key}`")
+    return df.withColumn("_row", F.struct(own.isNull().alias("none"), own.alias("key"), F.monotonically_increasing_id().alias("place")))
