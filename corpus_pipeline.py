@@ -23,7 +23,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates one row stays: that of the smallest key, rows without a key last."""
-    rows = placed(docs)
+    rows = placed(docs.select(*COLUMNS))
     found = simhash.near_duplicates(rows, "_row").filter(F.col("_row.place") == F.col("component_id.place"))
     first = found.select(F.col("_row.place").alias("_place"))
     return rows.join(first.hint("shuffle_hash"), rows["_row.place"] == first["_place"], "left_semi").select(*COLUMNS)
@@ -38,7 +38,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as many times as the mix of sources takes it."""
-    rows = placed(docs)
+    rows = placed(docs.select(*COLUMNS))
     taken = mixing.mix(rows, key="_row").filter("copies > 0").select(F.col("_row.place").alias("_place"), "copies")
     joined = rows.join(taken.hint("shuffle_hash"), rows["_row.place"] == taken["_place"])
     return joined.select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")).select(*COLUMNS)

@@ -194,6 +194,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, keep: list[str], te
         for i in range(len(block)):
             if not _LETTER.search(block.text(i).decode("utf-8", "replace")):
                 names[i], scores[i] = UNKNOWN, 0.0
-        return {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
+        # Rounded, as the last digits depend on which texts share a block.
+        return {"lang_pred": pa.array(names, pa.string()), "score": pa.array(np.round(scores, 6), pa.float64())}
 
     return per_block(docs, work, "lang_pred string, score double", keep, text)

@@ -229,6 +229,7 @@ def score_quality(docs: DataFrame, model: QualityModel, keep: list[str], text: s
     """
 
     def work(block):
-        return {"score": pa.array(model.scores(pooled(block, model.vectors)), pa.float64())}
+        # Rounded, as the last digits depend on which texts share a block.
+        return {"score": pa.array(np.round(model.scores(pooled(block, model.vectors)), 9), pa.float64())}
 
     return per_block(docs, work, "score double", keep, text)

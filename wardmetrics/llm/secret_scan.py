@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardmetrics.llm.texts import smallest_ids
+from wardmetrics.llm.texts import free_prefix, smallest_ids
 from wardmetrics.session import written
 
 # The base kinds in their order, their patterns, the group that must be long enough, and its length.
@@ -30,6 +30,8 @@ IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_-]{7,}"
 
 # At most so many documents give the labelled samples.
 SAMPLE_ROWS = 20_000
+# How many observed pairs the fall-back weighs.
+BACK_OFF = 10.0
 # The least log-likelihood ratio of a secret, in all and for each character.
 LEAST_RATIO, LEAST_EACH = 8.0, 1.3
 PLACEHOLDER = "<secret>"
@@ -63,9 +65,13 @@ def _base(text: Column, kind: str) -> Column:
     return F.filter(found, lambda x: F.length(F.regexp_extract(x["m"], pattern, group)) >= least) if group else found
 
 
-def _place(token: Column, i: Column) -> Column:
+def _characters(token: Column) -> Column:
+    return F.filter(F.split(token, ""), lambda c: c != "")
+
+
+def _place(character: Column) -> Column:
     """Place of a character in the alphabet from 1, or 0."""
-    return F.instr(F.lit(ALPHABET), F.substring(token, i, F.lit(1)))
+    return F.instr(F.lit(ALPHABET), character)
 
 
 @dataclass
@@ -79,11 +85,11 @@ class SecretModel:
         width = len(ALPHABET) + 1
         table = F.split(F.lit(",".join(f"{w:.4f}" for w in self.weights)), ",").cast("array<double>")
 
-        def step(acc, i):
-            before = F.when(i > 1, _place(token, i - 1)).otherwise(0)
-            return acc + F.element_at(table, before * width + _place(token, i) + 1)
+        def step(acc, character):
+            at = _place(character)
+            return F.struct(at.alias("before"), (acc["sum"] + F.element_at(table, acc["before"] * width + at + 1)).alias("sum"))
 
-        return F.aggregate(F.sequence(F.lit(1), F.length(token)), F.lit(0.0), step)
+        return F.aggregate(_characters(token), F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("sum")), step, lambda acc: acc["sum"])
 
 
 def fit_secrets(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text") -> SecretModel:
@@ -106,17 +112,21 @@ def fit_secrets(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, key: str = "doc
     strings = texts.select(F.lit(1).alias("random"), F.explode(F.concat(*values)).alias("t")).unionByName(
         texts.select(F.lit(0).alias("random"), F.explode(ordinary).alias("t"))
     )
-    places = strings.select("random", "t", F.explode(F.sequence(F.lit(1), F.length("t"))).alias("i"))
-    pairs = places.select("random", F.when(F.col("i") > 1, _place(F.col("t"), F.col("i") - 1)).otherwise(0).alias("a"), _place(F.col("t"), F.col("i")).alias("b"))
+    places = strings.select("random", F.transform(_characters(F.col("t")), _place).alias("p"))
+    before = F.concat(F.array(F.lit(0)), F.slice("p", 1, F.greatest(F.size("p") - 1, F.lit(0))))
+    pairs = places.select("random", F.inline(F.arrays_zip(before.alias("a"), F.col("p").alias("b")))).toDF("random", "a", "b")
     counts = pairs.filter("b > 0").groupBy("random", "a", "b").count().collect()
     width = len(ALPHABET) + 1
-    table = [[1.0] * (width * width) for _ in range(2)]
-    for r in counts:
-        table[r["random"]][r["a"] * width + r["b"]] += r["count"]
     logs = []
-    for side in table:
-        sums = [sum(side[a * width + 1 : (a + 1) * width]) for a in range(width)]
-        logs.append([math.log(side[i] / sums[i // width]) for i in range(width * width)])
+    for label in (0, 1):
+        table = [[0] * width for _ in range(width)]
+        for r in counts:
+            if r["random"] == label:
+                table[r["a"]][r["b"]] = r["count"]
+        # Pairs not met fall back on how often the character is met at all, and that on all characters alike.
+        single = [sum(row[b] for row in table) + 0.5 for b in range(width)]
+        single = [c / (sum(single) - single[0]) for c in single]
+        logs.append([math.log((row[b] + BACK_OFF * single[b]) / (sum(row) + BACK_OFF)) if b else 0.0 for row in table for b in range(width)])
     return SecretModel([r - o for o, r in zip(*logs)])
 
 
@@ -129,23 +139,25 @@ def scan_secrets(docs: DataFrame, model: SecretModel, text: str = "text") -> Dat
     that touch no base match. A null text counts as empty: empty arrays. Equal
     texts agree; an empty table gives no rows; texts are scanned whole.
     """
-    names = ["n_assign", "n_access", "n_hex", "base", "spans"]
-    rows = docs.drop(*names).withColumn("_body", F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    rows = rows.withColumns({f"_{kind}": _base(F.col("_body"), kind) for kind in BASE_KINDS})
-    rows = rows.withColumn("_long", _find(F.col("_body"), CANDIDATE))
-    of = lambda kind, rank: F.transform(
-        F.col(f"_{kind}"), lambda x: F.struct(x["s"].alias("s"), F.lit(rank).alias("rank"), x["e"].alias("e"), F.lit(kind).alias("kind"))
-    )
     kinds = list(BASE_KINDS)
+    rows = docs.drop(*[f"n_{kind}" for kind in kinds], "base", "spans")
+    tag = free_prefix(rows)
+    body, long, random = f"{tag}body", f"{tag}long", f"{tag}random"
+    rows = rows.withColumn(body, F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    rows = rows.withColumns({**{tag + kind: _base(F.col(body), kind) for kind in kinds}, long: _find(F.col(body), CANDIDATE)})
+
+    def of(column, kind, rank):
+        return F.transform(F.col(column), lambda x: F.struct(x["s"].alias("s"), F.lit(rank).alias("rank"), x["e"].alias("e"), F.lit(kind).alias("kind")))
+
     rows = rows.withColumns({
-        **{f"n_{kind}": F.size(f"_{kind}").cast("long") for kind in kinds},
-        "base": F.array_sort(F.concat(*[of(kind, rank) for rank, kind in enumerate(kinds)])),
+        **{f"n_{kind}": F.size(tag + kind).cast("long") for kind in kinds},
+        "base": F.array_sort(F.concat(*[of(tag + kind, kind, rank) for rank, kind in enumerate(kinds)])),
     })
-    apart = F.filter(F.col("_long"), lambda x: ~F.exists(F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    apart = F.filter(F.col(long), lambda x: ~F.exists(F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
     least = lambda x: F.greatest(F.lit(LEAST_RATIO), F.length(x["m"]) * LEAST_EACH)
-    rows = rows.withColumn("_markov", F.filter(apart, lambda x: model.ratio(x["m"]) >= least(x)))
-    rows = rows.withColumn("spans", F.array_sort(F.concat(F.col("base"), of(MARKOV, len(kinds)))))
-    return rows.drop("_body", "_long", "_markov", *[f"_{kind}" for kind in kinds])
+    rows = rows.withColumn(random, F.filter(apart, lambda x: model.ratio(x["m"]) >= least(x)))
+    rows = rows.withColumn("spans", F.array_sort(F.concat(F.col("base"), of(random, MARKOV, len(kinds)))))
+    return rows.drop(body, long, random, *[tag + kind for kind in kinds])
 
 
 def joined(spans: Column) -> Column:

@@ -7,6 +7,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardmetrics.llm.texts import free_prefix
+
 SHARDS = 64
 SLOTS = 6553  # prime, about a hundred slots for each shard
 
@@ -55,6 +57,7 @@ def assign_shards(df: DataFrame, key: str = "doc_id", shards: int | list[str] =
     """
     names = [f"shard-{i:05d}" for i in range(shards)] if isinstance(shards, int) else list(shards)
     table = lookup_table(names, slots)
-    rows = df.sparkSession.createDataFrame([(slot, names[i]) for slot, i in enumerate(table)], "_slot long, shard string")
     placed = df.drop("slot", "shard").withColumn("slot", F.pmod(key_number(F.col(f"`{key}`")), F.lit(slots)))
-    return placed.join(F.broadcast(rows), F.col("slot") == F.col("_slot"), "left").drop("_slot")
+    own = free_prefix(placed) + "slot"
+    rows = df.sparkSession.createDataFrame([(slot, names[i]) for slot, i in enumerate(table)], f"{own} long, shard string")
+    return placed.join(F.broadcast(rows), F.col("slot") == F.col(own), "left").drop(own)

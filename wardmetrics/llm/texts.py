@@ -107,6 +107,14 @@ def remainder(key: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` begins with, for helper columns beside them."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def smallest_ids(df: DataFrame, rows: int, key: str = "doc_id", seed: int = 7) -> DataFrame:
     """At most ``rows`` rows with the smallest hashes of a non-null key: a bounded sample, the same on every run."""
     return df.filter(F.col(key).isNotNull()).orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(rows)
