@@ -17,7 +17,7 @@ from wardmetrics.plans.domains import (
 from wardmetrics.plans.gold import build_matrix
 from wardmetrics.plans.layers import SheetFiles, SilverJoin, budget_tables, run_bronze, run_silver
 from wardmetrics.plans.serving import sync_serving
-from wardmetrics.session import scratch_path
+from wardmetrics.session import scratch_path, written
 from wardmetrics.sinks.writers import write_layer
 from wardmetrics.sources.polygons import ring_layer
 from wardmetrics.sources.raw import RawSource, layout, scan_raw
@@ -173,7 +173,8 @@ q AS (SELECT borough_name, ons_code, avg_ptal, ptal, CASE WHEN access.place IS N
        "tramlink_count:l dlr_count:l tube_count:l transport_line_name:s", STOPS_SQL)
 def gold_stops(spark, folder):
     """Stops from grid points to boroughs, counted by kind, labelled; one absent source is skipped."""
-    stops = _stops(spark, folder)
+    # Located once and written, as a silver table; each kind reads its rows of it.
+    stops = written(_stops(spark, folder), "stops")
     sources = {name: stops.filter(F.col("event_type") == kind) for name, kind in _STOP_KINDS.items()}
     nations = table(spark, folder, "nation")
     sources["ptal_data"] = (
@@ -186,7 +187,9 @@ def gold_stops(spark, folder):
 
 # ---- layer jobs ---------------------------------------------------------------------------------
 
-_SHEET_RECORDS = 5000
+def _sheet_years(spark, path) -> list[str]:
+    """The sheets there are: one folder each."""
+    return sorted(str(r[0]) for r in spark.read.csv(path).select("sheet").distinct().collect())
 
 
 def _publish_sheets(spark, folder) -> str:
@@ -201,8 +204,8 @@ def _publish_sheets(spark, folder) -> str:
     return path
 
 
-_STOCK = layout("stock", 1, _SHEET_RECORDS + 1, [(0, "ons_code", "STRING"), (1, "amount", "FLOAT"), (5, "_row_number", "INTEGER")])
-_RATES = layout("rates", 1, _SHEET_RECORDS + 1, [(0, "ons_code", "STRING"), (1, "rounded", "INTEGER")])
+_STOCK = layout("stock", 1, None, [(0, "ons_code", "STRING"), (1, "amount", "FLOAT"), (5, "_row_number", "INTEGER")])
+_RATES = layout("rates", 1, None, [(0, "ons_code", "STRING"), (1, "rounded", "INTEGER")])
 
 _SHEETS_SQL = EVENTS_SQL + """,
 sheets AS (SELECT year, ons_code, CASE WHEN count(*) % 7 <> 0 THEN count(*) + 0.5 END AS amount,
@@ -214,8 +217,7 @@ q AS (SELECT ons_code, year AS year_name, amount, _row_number, round_even(amount
 def bronze_to_silver(spark, folder):
     """Files per year to a bronze table, two typed tables, and their join."""
     path, root = _publish_sheets(spark, folder), scratch_path(spark, "layers")
-    years = [str(y) for y in range(1995, 2002)]
-    sources = [RawSource(f"{path}/sheet={y}", "orders", y) for y in years]
+    sources = [RawSource(f"{path}/sheet={y}", "orders", y) for y in _sheet_years(spark, path)]
     bronze = run_bronze(spark, sources, root, "orders").written["orders"]
     join = SilverJoin("stock_rates", ("stock", "rates"), lambda t: merge_yearly(
         {"stock": t["stock"], "rates": t["rates"].withColumnRenamed("year_name", "year")}, {"stock": "year_name", "rates": "year"}
@@ -230,7 +232,7 @@ def budget_sheets(spark, folder):
     """Latest file of each sheet, extracted, tagged and stacked."""
     path, root = _publish_sheets(spark, folder), scratch_path(spark, "budget")
     sheets = []
-    for year in range(1995, 2002):
+    for year in _sheet_years(spark, path):
         raw = scan_raw(spark, [RawSource(f"{path}/sheet={year}", "budget", sheet=str(year))], width=2)
         files = SheetFiles(f"Sheet_{year}")
         files.paths.append(write_layer(raw, f"{root}/ingestion_Sheet_{year}-2026-06-13"))

@@ -72,21 +72,21 @@ def distinct_rows(spark, folder):
 
 @query("borough_name:s ons_code:s year:i total:d2 weight:l", EVENTS_SQL + ", " + ENTITIES_SQL + """,
 grain AS (SELECT upper(replace(borough_name, '_', ' and ')) AS borough_name, ons_code, year FROM entities
-    LEFT JOIN (SELECT DISTINCT year FROM order_events WHERE year > 1998) years ON ons_code <> 'N7'),
-metric AS (SELECT lower(replace(borough, '_', ' & ')) AS place, CAST(CASE WHEN borough <> 'NATION_9' THEN year END AS DOUBLE) AS year,
+    LEFT JOIN (SELECT DISTINCT year FROM order_events) years ON ons_code <> 'N7'),
+metric AS (SELECT lower(replace(borough, '_', ' & ')) AS place, CAST(CASE WHEN borough <> 'NATION_9' THEN year END AS DOUBLE) + CASE WHEN borough = 'NATION_5' THEN 0.5 ELSE 0 END AS year,
     count(*) AS total FROM order_events GROUP BY 1, 2),
 q AS (SELECT borough_name, ons_code, grain.year, total, 1 AS weight FROM grain LEFT JOIN metric
-    ON trim(replace(lower(borough_name), ' and ', ' & ')) = trim(place) AND grain.year IS NOT DISTINCT FROM CAST(metric.year AS BIGINT))""")
+    ON trim(replace(lower(borough_name), ' and ', ' & ')) = trim(place) AND CAST(grain.year AS DOUBLE) IS NOT DISTINCT FROM metric.year)""")
 def grain_merge_composite(spark, folder):
-    """Standardised two-part key: and/&, letter case, int against double years, null against null."""
+    """Standardised two-part key: and/&, letter case, int against double years, fractions matching nothing, null against null."""
     events = priority_events(spark, folder)
-    years = events.filter("year > 1998").select("year").distinct()
+    years = events.select("year").distinct()
     grain = entities(spark, folder).join(years, F.col("ons_code") != "N7", "left").select(
         F.upper(F.replace("borough_name", F.lit("_"), F.lit(" and "))).alias("borough_name"), "ons_code", "year"
     )
     metric = events.groupBy(
         F.lower(F.replace("borough", F.lit("_"), F.lit(" & "))).alias("place"),
-        F.when(F.col("borough") != "NATION_9", F.col("year")).cast("double").alias("yr"),
+        (F.when(F.col("borough") != "NATION_9", F.col("year")).cast("double") + F.when(F.col("borough") == "NATION_5", 0.5).otherwise(0.0)).alias("yr"),
     ).agg(F.count(F.lit(1)).alias("total"), F.lit(1).alias("weight_"))
     merged = grain_merge(grain, metric, {"borough_name": "place", "year": "yr"})
     return merged.withColumn("weight", F.lit(1))
@@ -99,28 +99,28 @@ def merge_chain_yearly(spark, folder):
     return merge_yearly(yearly_measures(spark, folder), HOUSING_YEARS)
 
 
-@query("c_custkey:l key:i name:s name_supplier:s s_suppkey:l", """q AS (SELECT c_custkey, c.key, c.name, s.name AS name_supplier, s_suppkey
-    FROM (SELECT c_custkey, CASE WHEN c_nationkey <> 3 THEN c_nationkey END AS key, c_name AS name FROM customer) c
-    LEFT JOIN (SELECT CASE WHEN s_nationkey <> 3 THEN s_nationkey END AS key, s_name AS name, s_suppkey FROM supplier) s
+@query("c_custkey:l key:l name:s name_supplier:s s_suppkey:l", """q AS (SELECT c_custkey, c.key, c.name, s.name AS name_supplier, s_suppkey
+    FROM (SELECT c_custkey, CASE WHEN c_custkey > 3 THEN c_custkey END AS key, c_name AS name FROM customer) c
+    LEFT JOIN (SELECT CASE WHEN s_suppkey > 2 THEN s_suppkey // 2 * 2 END AS key, s_name AS name, s_suppkey FROM supplier) s
     ON c.key IS NOT DISTINCT FROM s.key)""")
 def enrich_suffix(spark, folder):
     """Two-table enrich: null keys match, a shared name gets the suffix, copies fan out."""
     c = table(spark, folder, "customer").select(
-        "c_custkey", F.when(F.col("c_nationkey") != 3, F.col("c_nationkey")).alias("key"), F.col("c_name").alias("name")
+        "c_custkey", F.when(F.col("c_custkey") > 3, F.col("c_custkey")).alias("key"), F.col("c_name").alias("name")
     )
     s = table(spark, folder, "supplier").select(
-        F.when(F.col("s_nationkey") != 3, F.col("s_nationkey")).alias("key"), F.col("s_name").alias("name"), "s_suppkey"
+        F.when(F.col("s_suppkey") > 2, F.expr("s_suppkey div 2 * 2")).alias("key"), F.col("s_name").alias("name"), "s_suppkey"
     )
     return merge(c, s, "key", "left", ("", "_supplier"))
 
 
-@query("c_custkey:l key:i s_suppkey:l", """q AS (SELECT c_custkey, c.key, s_suppkey
-    FROM (SELECT c_custkey, CASE WHEN c_nationkey <> 3 THEN c_nationkey END AS key FROM customer) c
-    LEFT JOIN (SELECT CASE WHEN s_nationkey <> 3 THEN s_nationkey END AS key, s_suppkey FROM supplier) s ON c.key = s.key)""")
+@query("c_custkey:l key:l s_suppkey:l", """q AS (SELECT c_custkey, c.key, s_suppkey
+    FROM (SELECT c_custkey, CASE WHEN c_custkey > 3 THEN c_custkey END AS key FROM customer) c
+    LEFT JOIN (SELECT CASE WHEN s_suppkey > 2 THEN s_suppkey // 2 * 2 END AS key, s_suppkey FROM supplier) s ON c.key = s.key)""")
 def enrich_null_keys_apart(spark, folder):
     """The same enrich with null keys matching nothing."""
-    c = table(spark, folder, "customer").select("c_custkey", F.when(F.col("c_nationkey") != 3, F.col("c_nationkey")).alias("key"))
-    s = table(spark, folder, "supplier").select(F.when(F.col("s_nationkey") != 3, F.col("s_nationkey")).alias("key"), "s_suppkey")
+    c = table(spark, folder, "customer").select("c_custkey", F.when(F.col("c_custkey") > 3, F.col("c_custkey")).alias("key"))
+    s = table(spark, folder, "supplier").select(F.when(F.col("s_suppkey") > 2, F.expr("s_suppkey div 2 * 2")).alias("key"), "s_suppkey")
     return merge(c, s, "key", "left", null_keys_match=False)
 
 
@@ -145,17 +145,14 @@ def price_stock_join(spark, folder):
 
 # ---- reshapes ---------------------------------------------------------------------------
 
-_YEARS = range(1996, 2000)
-
-
 @query("borough:s year:i net_additions:l", EVENTS_SQL + """,
 q AS (SELECT borough, y.year, nullif(count(*) FILTER (WHERE e.year = y.year), 0) AS net_additions
-    FROM order_events e, (SELECT unnest([1996, 1997, 1998, 1999]) AS year) y GROUP BY borough, y.year)""")
+    FROM order_events e, (SELECT DISTINCT year FROM order_events) y GROUP BY borough, y.year)""")
 def unpivot_year_columns(spark, folder):
     """Digit-named columns become rows; null values stay."""
-    wide = priority_events(spark, folder).groupBy("borough").agg(*[
-        F.nullif(F.count_if(F.col("year") == y), F.lit(0)).alias(str(y)) for y in _YEARS
-    ])
+    events = priority_events(spark, folder)
+    years = sorted(r["year"] for r in events.select("year").distinct().collect())
+    wide = events.groupBy("borough").agg(*[F.nullif(F.count_if(F.col("year") == y), F.lit(0)).alias(str(y)) for y in years])
     return unpivot_years(wide)
 
 

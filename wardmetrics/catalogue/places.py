@@ -64,8 +64,8 @@ def grid_to_lonlat_points(spark, folder):
 
 
 def _shapes(spark, folder):
-    """Parts as shapes on a plane: squares and right triangles of side 10 + p_size, every second one a triangle."""
-    left, low = F.col("p_partkey") * 37 % 1000, F.col("p_partkey") * 91 % 1000
+    """Parts as shapes on a strip that widens with them: squares and right triangles of side 10 + p_size, every second one a triangle."""
+    left, low = F.col("p_partkey") * 37, F.col("p_partkey") * 91 % 150
     side = F.col("p_size") + 10
     right, top = left + side, low + side
     triangle = F.col("p_partkey") % 2 == 1
@@ -76,20 +76,22 @@ def _shapes(spark, folder):
     )
 
 
-_SHAPES_SQL = """shapes AS (SELECT p_partkey, CAST(p_partkey * 37 % 1000 AS DOUBLE) AS x0, CAST(p_partkey * 91 % 1000 AS DOUBLE) AS y0,
+_SHAPES_SQL = """shapes AS (SELECT p_partkey, CAST(p_partkey * 37 AS DOUBLE) AS x0, CAST(p_partkey * 91 % 150 AS DOUBLE) AS y0,
     CAST(p_size + 10 AS DOUBLE) AS side, p_partkey % 2 = 1 AS triangle FROM part)"""
 
-_DOTS_SQL = """dots AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(event_id * 7919 % 2099 AS DOUBLE) / 2 END AS px,
-    CAST(event_id * 104729 % 2113 AS DOUBLE) / 2 AS py FROM events)"""
+_DOTS_SQL = """dots AS (SELECT event_id, CASE WHEN event_type <> 'error' AND event_id % 50 <> 7 THEN CAST(event_id * 74 // 5 AS DOUBLE) / 2 END AS px,
+    CAST(event_id * 104729 % 423 AS DOUBLE) / 2 AS py FROM events)"""
 
 
 def _dots(spark, folder):
-    """Events as points on the same plane; some lie on edges, some nowhere, some have no place."""
+    """Events as points along the same strip; some lie on edges, some nowhere, some have no place (null or NaN)."""
     e = table(spark, folder, "events")
     return e.select(
         "event_id",
-        F.when(F.col("event_type") != "error", (F.col("event_id") * 7919 % 2099).cast("double") / 2).alias("px"),
-        ((F.col("event_id") * 104729 % 2113).cast("double") / 2).alias("py"),
+        F.when(F.col("event_id") % 50 == 7, F.lit(float("nan"))).otherwise(
+            F.when(F.col("event_type") != "error", F.expr("event_id * 74 div 5").cast("double") / 2)
+        ).alias("px"),
+        ((F.col("event_id") * 104729 % 423).cast("double") / 2).alias("py"),
     )
 
 
@@ -101,7 +103,8 @@ q AS (SELECT * FROM hits UNION ALL SELECT event_id, px, py, NULL FROM dots WHERE
 def points_in_polygons_grid(spark, folder):
     """Points within overlapping shapes through the cell grid; unmatched points stay."""
     layer = ring_layer(_shapes(spark, folder))
-    return points_in_polygons(_dots(spark, folder), layer, ["p_partkey"], "px", "py", cell=16.0)
+    placed = points_in_polygons(_dots(spark, folder), layer, ["p_partkey"], "px", "py", cell=16.0)
+    return placed.withColumn("px", F.nanvl("px", F.lit(None).cast("double")))
 
 
 @query("event_id:l px:d2 py:d2 p_partkey:l", _SHAPES_SQL + ", " + _DOTS_SQL + f", q AS (SELECT * FROM dots JOIN shapes ON {_INSIDE_SQL})")

@@ -243,19 +243,16 @@ def deviation_by_year(spark, folder):
 # ---- year on year ------------------------------------------------------------------------
 
 _YEARLY_SQL = EVENTS_SQL + """,
-yearly AS (SELECT borough, year, CASE WHEN count(*) FILTER (WHERE category = 'URGENT') % 4 <> 0
-    THEN count(*) FILTER (WHERE category = 'URGENT') END AS n FROM order_events
-    WHERE NOT (year = 1997 AND category = 'LOW') GROUP BY borough, year HAVING count(*) % 3 <> 0)"""
+yearly AS (SELECT borough, CASE WHEN year > 1996 THEN year + 1 ELSE year END AS year, CASE WHEN count(*) FILTER (WHERE category = 'URGENT') % 4 <> 0
+    THEN count(*) FILTER (WHERE category = 'URGENT') END AS n FROM order_events GROUP BY borough, year)"""
 
 
 def _yearly(spark, folder):
     """Counts per nation and year with gaps in years and in values."""
-    events = priority_events(spark, folder).filter(~((F.col("year") == 1997) & (F.col("category") == "LOW")))
     urgent = F.count_if(F.col("category") == "URGENT")
-    grouped = events.groupBy("borough", "year").agg(F.count(F.lit(1)).alias("all"), urgent.alias("urgent"))
-    return grouped.filter(F.col("all") % 3 != 0).select(
-        "borough", "year", F.when(F.col("urgent") % 4 != 0, F.col("urgent")).alias("n")
-    )
+    grouped = priority_events(spark, folder).groupBy("borough", "year").agg(urgent.alias("urgent"))
+    moved = F.when(F.col("year") > 1996, F.col("year") + 1).otherwise(F.col("year"))
+    return grouped.select("borough", moved.alias("year"), F.when(F.col("urgent") % 4 != 0, F.col("urgent")).alias("n"))
 
 
 _YOY = [{"target_col": "n", "group_col": "borough", "year_col": "year", "output_col": "yoy"}]
@@ -311,16 +308,26 @@ def exact_group_median(spark, folder):
     return group_medians(table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", "mid")
 
 
+@query("area:s capacity:d4 pupils:d4", PLACES_SQL + """, q AS (SELECT area, median(CASE WHEN area <> (SELECT min(area) FROM places) THEN capacity END) AS capacity,
+    median(pupils) AS pupils FROM places WHERE area IS NOT NULL GROUP BY area)""")
+def group_medians_sparse(spark, folder):
+    """Medians where one group holds no value of a column: the group stays."""
+    places = rated_places(spark, folder)
+    least = places.agg(F.min("area").alias("least"))
+    bare = places.join(F.broadcast(least), F.col("area") == F.col("least"), "left")
+    return group_metrics(bare.withColumn("capacity", F.when(F.col("least").isNull(), F.col("capacity"))), ["area"], {"capacity": "median", "pupils": "median"})
+
+
 # ---- finished matrix ---------------------------------------------------------------------------
 
 _NETWORKS = [("signup_count", "Signup"), ("error_count", "Error"), ("click_count", "Click")]
 
 
-@query("user_id:l signup_count:l error_count:l click_count:l transport_line_name:s", """counts AS (SELECT user_id,
+@query("user_id:l signup_count:l error_count:l click_count:l country:s transport_line_name:s", """counts AS (SELECT user_id,
     nullif(count(*) FILTER (WHERE event_type = 'signup'), 0) AS signup_count, nullif(count(*) FILTER (WHERE event_type = 'error'), 0) AS error_count,
     nullif(count(*) FILTER (WHERE event_type = 'click'), 0) AS click_count,
-    CASE WHEN count(*) FILTER (WHERE event_type = 'view') > 1 THEN 'View ' END AS line FROM events GROUP BY user_id),
-q AS (SELECT user_id, coalesce(signup_count, 0) AS signup_count, coalesce(error_count, 0) AS error_count, coalesce(click_count, 0) AS click_count,
+    'c' || user_id AS country, CASE WHEN count(*) FILTER (WHERE event_type = 'view') > 1 THEN 'View ' END AS line FROM events GROUP BY user_id),
+q AS (SELECT user_id, coalesce(signup_count, 0) AS signup_count, coalesce(error_count, 0) AS error_count, coalesce(click_count, 0) AS click_count, country,
     coalesce(nullif(concat_ws(', ', nullif(trim(coalesce(line, '')), ''), CASE WHEN signup_count > 0 THEN 'Signup' END,
     CASE WHEN error_count > 0 THEN 'Error' END, CASE WHEN click_count > 0 THEN 'Click' END), ''), 'None') AS transport_line_name FROM counts)""")
 def finalize_counts(spark, folder):
@@ -330,7 +337,8 @@ def finalize_counts(spark, folder):
         *[F.nullif(F.count_if(F.col("event_type") == kind), F.lit(0)).alias(f"{kind}_count") for kind in ("signup", "error", "click")],
         F.when(F.count_if(F.col("event_type") == "view") > 1, F.lit("View ")).alias("transport_line_name"),
     )
-    return finalize_matrix(counts, "transport_line_name", _NETWORKS)
+    named = counts.withColumn("country", F.concat(F.lit("c"), F.col("user_id").cast("string")))
+    return finalize_matrix(named, "transport_line_name", _NETWORKS)
 
 
 @query("borough_name:s urgent:l pct:d6 label:s", EVENTS_SQL + ", " + ENTITIES_SQL + """,

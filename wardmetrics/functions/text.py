@@ -28,9 +28,11 @@ def standardise(column: Column) -> Column:
 
 
 def standard_key(column: Column, data_type: str) -> Column:
-    """Text form of a key part. Numbers go through bigint so 2023 and 2023.0 agree."""
+    """Text form of a key part. Whole numbers go through bigint so 2023 and 2023.0 agree; others keep their own text."""
     if data_type in ("float", "double") or data_type.startswith("decimal"):
-        column = column.cast("bigint")
+        number = column.cast("double")
+        whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+        return F.coalesce(whole.cast("string"), standardise(number.cast("string")))
     return standardise(column.cast("string"))
 
 

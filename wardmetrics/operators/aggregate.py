@@ -81,7 +81,7 @@ def named_aggregate(
         match = column == F.lit(value)
         return F.count_if(match if when is None else when & match)
     if operation == MEDIAN:
-        raise ValueError("'median' is planned on its own: use it in groupby_cols aggregations, not in a conditional rule")
+        raise ValueError("'median' is planned on its own: see group_medians")
     if operation not in AGGREGATES:
         raise ValueError(f"unknown aggregate {operation!r}; known: {sorted([*AGGREGATES, 'count_where', MEDIAN])}")
     return AGGREGATES[operation](column, when, order)
@@ -110,9 +110,8 @@ def group_metrics(
                 medians[name] = source
             else:
                 plain.append(named_aggregate(operation, F.col(f"`{source}`"), order=order).alias(name))
-    frames = []
-    if plain:
-        frames.append(known.groupBy(*keys).agg(*plain))
+    # One row per group first: a group whose values are all null has no median row.
+    frames = [known.groupBy(*keys).agg(*plain) if plain else known.select(*keys).distinct()]
     frames += [group_medians(known, keys, source, name) for name, source in medians.items()]
     joined = reduce(lambda left, right: left.join(right, list(keys), "left"), frames)
     return joined.select(*keys, *[f"`{n}`" for n in names])

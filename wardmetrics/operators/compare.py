@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from wardmetrics.functions.numbers import pct_change, pct_deviation
 from wardmetrics.functions.text import all_of
+from wardmetrics.session import written
 
 # Rows of one (entity, year) are compared in blocks of this many order values.
 ORDER_BLOCK = 100_000
+# Yearly changes without a tie_break expect about one row per entity and year; more rows of an entity than this fail.
+MOST_YEARS = 100_000
 
 
 def _batches(rules: Sequence[Mapping], place: Callable, outputs: Callable) -> Iterator[list[Mapping]]:
@@ -68,6 +71,10 @@ def _deviate(df: DataFrame, group: tuple[str, ...], rules: list[Mapping], weight
         # Null-safe on purpose: no key filter is pushed under the aggregate, so its
         # input stays the same plan as the left side and its shuffles are reused.
         table = df.groupBy(*[F.col(g).alias(f"_by_{g}") for g in group]).agg(*means)
+        if weight is None:
+            # Rows, not groups: the means are written first, so that their measured size
+            # decides the join before the rows are dealt out by a key of few values.
+            table = written(table, "group-means")
         same = all_of([F.col(f"`{g}`").eqNullSafe(F.col(f"`_by_{g}`")) for g in group])
         joined = df.select(*[f"`{c}`" for c in taken]).join(table, same, "left")
         known = all_of([F.col(f"`{g}`").isNotNull() for g in group])
@@ -135,6 +142,9 @@ def _yoy_rows(df, entity, year, rules, fill, strict_year) -> DataFrame:
         staged = staged.withColumns({name: F.when(next_door, F.col(name)) for name in previous})
     else:
         staged = staged.withColumns(previous)
+    told = F.raise_error(F.lit(f"an entity has over {MOST_YEARS} rows: give a tie_break"))
+    few = F.row_number().over(ordered) <= MOST_YEARS
+    staged = staged.withColumns({f"_now_{t}": F.when(few, F.col(f"_now_{t}")).otherwise(told.cast(dict(staged.dtypes)[f"_now_{t}"])) for t in targets})
     return _finish_yoy(staged, entity, rules, df.columns)
 
 

@@ -42,6 +42,10 @@ def grid_to_lonlat(df: DataFrame, easting: str | None = None, northing: str | No
     return out.select(*[f"`{c}`" for c in kept], pair).select(*[f"`{c}`" for c in kept], "_place.lon", "_place.lat")
 
 
+# A polygon over more grid cells than this is taken for a unit mistake (metres for degrees).
+MOST_CELLS = 4_000_000
+
+
 def cover_cells(layer: DataFrame, attributes: Sequence[str], cell: float) -> DataFrame:
     """Grid cells a layer touches, each with just the edges its points need.
 
@@ -61,6 +65,9 @@ def cover_cells(layer: DataFrame, attributes: Sequence[str], cell: float) -> Dat
     def index(column: str) -> Column:
         return F.floor(F.col(column) / cell)
 
+    many = ((F.col("_xhi") - F.col("_xlo")) / cell + 1) * ((F.col("_yhi") - F.col("_ylo")) / cell + 1) > MOST_CELLS
+    told = F.raise_error(F.lit(f"a polygon covers over {MOST_CELLS} cells of {cell}: is the cell in the layer's unit?"))
+    boxed = boxed.withColumn("_ylo", F.when(many, told.cast("double")).otherwise(F.col("_ylo")))
     rows = boxed.withColumn("_cy", F.explode(F.sequence(index("_ylo"), index("_yhi"))))
     # The slack keeps an edge that floor() and the products place an ulp apart.
     slack = cell * 1e-9
@@ -99,14 +106,15 @@ def points_in_polygons(
 
     ``layer`` has ``edges`` and the attributes. The join is an equi-join on the
     grid cell; the ring test runs only in boundary cells. A point in no polygon
-    keeps nulls, a point in several is repeated, a point on a boundary is
-    outside. Point columns are never renamed or dropped.
+    keeps nulls (one at null or NaN is in none), a point in several is repeated,
+    a point on a boundary is outside. Point columns are never renamed or dropped.
     """
     clash = set(attributes) & set(points.columns)
     if clash:
         raise ValueError(f"rename the layer attributes {sorted(clash)}; the points have columns of that name")
     cells = cover_cells(layer, attributes, cell)
-    placed = points.withColumns({
+    somewhere = F.coalesce(~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double")), F.lit(False)) & F.col(x).isNotNull() & F.col(y).isNotNull()
+    placed = points.filter(somewhere).withColumns({
         "_px": F.floor(F.col(x) / cell),
         "_py": F.floor(F.col(y) / cell),
     })
@@ -116,9 +124,16 @@ def points_in_polygons(
     hit = (
         (F.col("_px") == F.col("_cx"))
         & (F.col("_py") == F.col("_cy"))
-        & (F.col("_inside") | (boxed & within_edges(F.col("_edges"), px, py)))
+        & boxed
+        & (F.col("_inside") | within_edges(F.col("_edges"), px, py))
     )
-    return placed.join(cells, hit, how).select(*[f"`{c}`" for c in points.columns], *attributes)
+    joined = placed.join(cells, hit, how).select(*[f"`{c}`" for c in points.columns], *attributes)
+    if how != "left":
+        return joined
+    # Points without a place match nothing: they pass by the join instead of meeting in the null key's task.
+    kinds = dict(layer.dtypes)
+    nowhere = points.filter(~somewhere).select("*", *[F.lit(None).cast(kinds[a]).alias(a) for a in attributes])
+    return joined.unionByName(nowhere)
 
 
 def drop_layer_attributes(df: DataFrame, names: Sequence[str] = LAYER_ATTRIBUTES) -> DataFrame:

@@ -36,8 +36,9 @@ class GoldGrain:
 def finalize_matrix(
     df: DataFrame, text_col: str = "transport_line_name", labels: Sequence[tuple[str, str]] = NETWORK_LABELS
 ) -> DataFrame:
-    """Counts filled with 0 as integers, and the text column extended by the labels of positive counts."""
-    counts = {c: F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint") for c in df.columns if "count" in c}
+    """Numeric counts filled with 0 as integers, and the text column extended by the labels of positive counts."""
+    numeric = {c for c, kind in df.dtypes if kind.startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"))}
+    counts = {c: F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint") for c in df.columns if "count" in c and c in numeric}
     filled = df.withColumns(counts) if counts else df
     base = F.coalesce(F.col(f"`{text_col}`"), F.lit("")) if text_col in df.columns else F.lit("")
     flags = [(F.col(f"`{c}`"), label) for c, label in labels if c in df.columns]

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardmetrics.functions.numbers import ratio_pct, ratio_per_1k, row_sum
-from wardmetrics.operators.aggregate import comma_union, group_metrics, group_size, named_aggregate
+from wardmetrics.operators.aggregate import MEDIAN, comma_union, group_medians, group_metrics, group_size, named_aggregate
 from wardmetrics.operators.compare import add_deviations, add_yoy_changes
 from wardmetrics.operators.filters import drop_values
+from wardmetrics.session import written
 
 ROWS = "_rows"
 
@@ -186,13 +187,28 @@ def _subset(rule: ConditionalRule) -> Column:
     return F.coalesce(F.col(f"`{rule.filter_column}`").isin(*rule.values), F.lit(False))
 
 
+def _group_table(df: DataFrame, key: str, rules: Sequence[ConditionalRule], spec: MetricSpec, *more: Column) -> DataFrame | None:
+    """One row per value of ``key`` (as ``_key``) with all outputs of the rules; medians are joined to it."""
+    outputs = [c for rule in rules for c in _rule_outputs(rule, df.columns, spec)]
+    medians = [(rule, o) for rule in rules for o in rule.outputs if o.operation == MEDIAN and o.source in df.columns]
+    if not outputs and not medians:
+        return None
+    # The null key's group is left in: it matches no row, and no key filter makes
+    # the aggregate's input differ from the rows it is joined to.
+    table = df.groupBy(F.col(f"`{key}`").alias("_key")).agg(*outputs, *(more or [F.count(F.lit(1)).alias("_size")]))
+    for rule, o in medians:
+        own = group_medians(df.filter(_subset(rule)).withColumn("_key", F.col(f"`{key}`")).dropna(subset=["_key"]), ["_key"], o.source, o.name)
+        table = table.join(own, "_key", "left")
+    return table if more else table.drop("_size")
+
+
 def _rule_outputs(rule: ConditionalRule, columns: Sequence[str], spec: MetricSpec) -> list[Column]:
-    """The rule's aggregates, each over its own subset of the same group."""
+    """The rule's aggregates, each over its own subset of the same group; medians are planned apart."""
     subset = _subset(rule)
     order = F.col(spec.order_by) if spec.order_by else None
     out = []
     for o in rule.outputs:
-        if o.source not in columns:
+        if o.source not in columns or o.operation == MEDIAN:
             continue
         value = named_aggregate(o.operation, F.col(f"`{o.source}`"), subset, order, o.value)
         if spec.fill is None:
@@ -240,12 +256,11 @@ def add_conditional(df: DataFrame, rules: Sequence[ConditionalRule], spec: Metri
     spec = spec or MetricSpec()
     for batch in _grouped_rules(rules, df.columns):
         key = batch[0].group_by
-        outputs = [c for rule in batch for c in _rule_outputs(rule, df.columns, spec)]
-        if not outputs:
+        table = _group_table(df, key, batch, spec)
+        if table is None:
             continue
-        # The null key's group is left in: it matches no row, and no key filter makes
-        # the aggregate's input differ from the rows it is joined to.
-        table = df.groupBy(F.col(f"`{key}`").alias("_key")).agg(*outputs)
+        # Written first, so that its measured size decides the join before the rows are dealt out by a key of few values.
+        table = written(table, "group-values")
         names = [c for c in table.columns if c != "_key"]
         kinds = dict(table.dtypes)
         kept = [c for c in df.columns if c not in names]
@@ -256,8 +271,7 @@ def add_conditional(df: DataFrame, rules: Sequence[ConditionalRule], spec: Metri
 
 def _at_group_grain(df: DataFrame, spec: MetricSpec, key: str) -> DataFrame:
     rules = [r for r in spec.conditional_aggregations if r.filter_column in df.columns]
-    outputs = [c for rule in rules for c in _rule_outputs(rule, df.columns, spec)]
-    table = df.groupBy(key).agg(*outputs, F.count(F.lit(1)).alias(ROWS))
+    table = _group_table(df, key, rules, spec, F.count(F.lit(1)).alias(ROWS)).withColumnRenamed("_key", key)
     kinds = dict(table.dtypes)
     names = [c for c in table.columns if c not in (key, ROWS)]
 

@@ -12,17 +12,28 @@ from wardmetrics.operators.reshape import first_by_key
 from wardmetrics.sources.raw import path_exists
 
 
+def one_per_key(incoming: DataFrame, keys: Sequence[str], newest_first: Sequence[Column | str] | None = None) -> DataFrame:
+    """One incoming row of each key, by the given order or else the largest values of the other columns."""
+    rest = [c for c in incoming.columns if c not in keys]
+    if newest_first:
+        return first_by_key(incoming, keys, newest_first)
+    if not rest:
+        return incoming.dropDuplicates(list(keys))
+    largest = incoming.groupBy(*keys).agg(F.max(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_row"))
+    return largest.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_row.`{c}`").alias(c) for c in incoming.columns])
+
+
 def upsert(
     target: DataFrame, incoming: DataFrame, keys: str | Sequence[str], newest_first: Sequence[Column | str] | None = None
 ) -> DataFrame:
     """Target rows with incoming rows put over them by key.
 
     ``newest_first`` orders incoming rows of one key; the first one wins. Without
-    it the incoming keys must be unique already. Columns only one side has are
-    null on the other. Null keys are equal to each other.
+    it the row with the largest values wins, column by column, nulls last. Columns
+    only one side has are null on the other. Null keys are equal to each other.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    fresh = first_by_key(incoming, keys, newest_first) if newest_first else incoming
+    fresh = one_per_key(incoming, keys, newest_first)
     changed = fresh.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     same = all_of([F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
     return target.join(changed, same, "left_anti").unionByName(fresh, allowMissingColumns=True)
@@ -43,7 +54,7 @@ def upsert_version(
     if path_exists(spark, before):
         merged = upsert(spark.read.parquet(before), incoming, keys, newest_first)
     else:
-        merged = first_by_key(incoming, keys, newest_first) if newest_first else incoming
+        merged = one_per_key(incoming, keys, newest_first)
     merged.write.mode("overwrite").parquet(after)
     return after
 

@@ -46,7 +46,7 @@ class Field:
 
 @dataclass(frozen=True)
 class Layout:
-    """Record range ``[start, end)`` and fields of one typed extract.
+    """Record range ``[start, end)`` and fields of one typed extract; without an end all records from ``start`` on.
 
     Records are counted in the written raw file, whose record 0 is its header,
     so record ``start`` is raw row ``start - 1``.
@@ -54,19 +54,19 @@ class Layout:
 
     table: str
     start: int
-    end: int
+    end: int | None
     fields: tuple[Field, ...]
     filters: tuple[Callable[[DataFrame], DataFrame], ...] = ()
 
     def __post_init__(self) -> None:
-        if self.start >= self.end:
+        if self.end is not None and self.start >= self.end:
             raise ValueError(f"{self.table}: empty record range [{self.start}, {self.end})")
         names = [f.name for f in self.fields]
         if len(names) != len(set(names)):
             raise ValueError(f"{self.table}: duplicate field names")
 
 
-def layout(table: str, start: int, end: int, fields: Sequence[tuple], filters: Sequence[Callable] = ()) -> Layout:
+def layout(table: str, start: int, end: int | None, fields: Sequence[tuple], filters: Sequence[Callable] = ()) -> Layout:
     return Layout(table, start, end, tuple(Field(*f) for f in fields), tuple(filters))
 
 
@@ -116,8 +116,9 @@ def grid_width(spark: SparkSession, paths: Sequence[str], multi_line: bool = Fal
 
 
 def _read_grid(spark: SparkSession, paths: Sequence[str], width: int, multi_line: bool) -> DataFrame:
+    # One column more than the grid has: a record that reaches it is wider, and ends the job instead of losing cells.
     return (
-        spark.read.schema(grid_schema(width))
+        spark.read.schema(grid_schema(width + 1))
         .option("header", False)
         .option("multiLine", multi_line)
         .option("quote", '"')
@@ -127,6 +128,12 @@ def _read_grid(spark: SparkSession, paths: Sequence[str], width: int, multi_line
     )
 
 
+def _within_width(grid: DataFrame, width: int) -> DataFrame:
+    told = F.raise_error(F.concat(F.lit(f"a record is wider than {width} cells: "), F.col("_source_path"))).cast("string")
+    checked = grid.withColumn("col_0", F.when(F.col(f"col_{width}").isNotNull(), told).otherwise(F.col("col_0")))
+    return checked.drop(f"col_{width}")
+
+
 def number_rows(grid: DataFrame) -> DataFrame:
     """Add ``_source_path`` and the 0-based ``_row_number`` of each row in its file.
 
@@ -198,7 +205,8 @@ def scan_raw(
 
     A missing source is reported and skipped, the others are read. Rows carry
     ``year_name`` of their source, and (source, sheet, year) stays apart even
-    where two sheets share one year. Give ``width`` to save the pass that finds it.
+    where two sheets share one year. Give ``width`` to save the pass that finds
+    it; a record wider than that ends the job.
     """
     report = report if report is not None else IngestReport()
     found = []
@@ -212,7 +220,7 @@ def scan_raw(
         raise FileNotFoundError(f"none of the {len(sources)} sources exists")
     paths = [src.path for src in found]
     width = width or grid_width(spark, paths, multi_line)
-    numbered = number_rows(_read_grid(spark, paths, width, multi_line))
+    numbered = _within_width(number_rows(_read_grid(spark, paths, width, multi_line)), width)
     cells = [f"col_{i}" for i in range(width)]
     if null_cells:
         numbered = numbered.withColumns({c: F.when(~F.col(c).isin(*null_cells), F.col(c)) for c in cells})
@@ -236,7 +244,9 @@ def extract(raw: DataFrame, spec: Layout, year: str | None = None, tokens: Seque
     Positions past the grid's data columns address its audit columns, as they do
     in the written raw file. ``year_name`` is the source's own unless given.
     """
-    kept = raw.filter(F.col("_row_number").between(spec.start - 1, spec.end - 2))
+    kept = raw.filter(F.col("_row_number") >= spec.start - 1)
+    if spec.end is not None:
+        kept = kept.filter(F.col("_row_number") <= spec.end - 2)
     columns = [c for c in raw.columns if c != "year_name"]
     missing = [f.name for f in spec.fields if f.position >= len(columns)]
     if missing:
@@ -255,6 +265,13 @@ def extract(raw: DataFrame, spec: Layout, year: str | None = None, tokens: Seque
     return compose(spec.filters)(typed).withColumnRenamed(_YEAR_LABEL, "year_name")
 
 
+def left_out(raw: DataFrame, spec: Layout) -> DataFrame:
+    """Records of each source before and behind the layout's range: what an extract leaves out."""
+    row = F.col("_row_number")
+    behind = F.count_if(row > spec.end - 2) if spec.end is not None else F.lit(0).cast("bigint")
+    return raw.groupBy("_source_file", "_sheet_name", "year_name").agg(F.count_if(row < spec.start - 1).alias("before"), behind.alias("behind"))
+
+
 def compose(steps: Sequence[Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame], DataFrame]:
     """One step that applies all steps in order."""
     return lambda df: reduce(lambda current, step: current.transform(step), steps, df)
