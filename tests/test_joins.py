@@ -146,3 +146,26 @@ def test_polygon_text_swaps_axes(spark):
 def test_drop_layer_attributes(spark):
     df = spark.createDataFrame([(1, 2, 3)], "X int, CODE int, year_name int")
     assert drop_layer_attributes(df).columns == ["X"]
+
+
+def test_fractional_and_huge_keys_keep_apart(spark):
+    left = spark.createDataFrame([(1.7,), (2.0,), (1e30,), (None,)], "k double")
+    right = spark.createDataFrame([(1.2, "a"), (1.9, "b"), (2.0, "c"), (1e30, "d")], "k2 double, v string")
+    got = rows(grain_merge(left, right, {"k": "k2"}).select("k", "v"))
+    assert got == [(1.7, None), (1e30, "d"), (2.0, "c"), (None, None)]
+
+
+def test_points_at_nan_are_in_no_polygon(spark):
+    layer = ring_layer(spark.createDataFrame([("A", [-1.0, 1.0, 1.0, -1.0], [-1.0, -1.0, 1.0, 1.0])], "name string, xs array<double>, ys array<double>"))
+    nan = float("nan")
+    points = spark.createDataFrame([(1, 0.3, 0.3), (2, nan, nan), (3, nan, 0.3), (4, None, 0.3)], "id int, lon double, lat double")
+    for cell in (0.1, 5.0):
+        assert rows(points_in_polygons(points, layer, ["name"], cell=cell).select("id", "name")) == [(1, "A"), (2, None), (3, None), (4, None)]
+        assert rows(points_in_polygons(points, layer, ["name"], cell=cell, how="inner").select("id", "name")) == [(1, "A")]
+
+
+def test_cells_of_the_wrong_unit_are_refused(spark):
+    layer = ring_layer(spark.createDataFrame([("A", [0.0, 1e6, 1e6, 0.0], [0.0, 0.0, 1e6, 1e6])], "name string, xs array<double>, ys array<double>"))
+    points = spark.createDataFrame([(1, 0.3, 0.3)], "id int, lon double, lat double")
+    with pytest.raises(Exception, match="unit"):
+        points_in_polygons(points, layer, ["name"]).collect()

@@ -1,5 +1,6 @@
 import json
 from datetime import date, datetime
+from types import SimpleNamespace
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -47,12 +48,12 @@ def test_keyed_load_keeps_failed_files_pending(spark, tmp_path):
     publish(root, "01", "Barking & Dagenham", [{"id": 1, "a": {"b": 2}}, {"id": 2}])
     publish(root, "02", "Empty", [])
     publish(root, "02", "Broken", "[{oops")
-    fates = rows(load_new_files(spark, str(root), table, state, "b0"), "fate", "records")
+    fates = rows(load_new_files(spark, str(root), table, state), "fate", "records")
     assert fates == [("failed", 0), ("loaded", 0), ("loaded", 2)] and read_state(spark, state).count() == 0
-    load_new_files(spark, str(root), table, state, "b1", dry_run=False)
+    load_new_files(spark, str(root), table, state, dry_run=False)
     assert read_state(spark, state).count() == 2
     publish(root, "02", "Broken", [{"id": 3}])
-    again = load_new_files(spark, str(root), table, state, "b2", dry_run=False)
+    again = load_new_files(spark, str(root), table, state, dry_run=False)
     assert rows(again, "fate", "records") == [("loaded", 1)]
     got = rows(read_events_table(spark, table), "crime_id", "crime_date", "borough")
     assert got == [("1", date(2024, 1, 1), "Barking & Dagenham"), ("2", date(2024, 1, 1), "Barking & Dagenham"), ("3", date(2024, 2, 1), "Broken")]
@@ -205,13 +206,52 @@ def test_event_silver(spark, tmp_path):
 
 def test_scratch_paths_are_shared_and_fresh(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
-    saved = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", "hdfs://store/shared/")
-        assert scratch_path(spark, "a").startswith("hdfs://store/shared/wardmetrics/a-")
-        spark.conf.unset("spark.checkpoint.dir")
-        root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-        assert scratch_path(spark, "a").startswith(root.rstrip("/"))
-    finally:
-        if saved:
-            spark.conf.set("spark.checkpoint.dir", saved)
+    for settings, root in (
+        ({"spark.checkpoint.dir": "hdfs://store/shared/"}, "hdfs://store/shared/wardmetrics/a-"),
+        ({"spark.sql.warehouse.dir": "hdfs://store/warehouse"}, "hdfs://store/warehouse/_scratch/wardmetrics/a-"),
+    ):
+        session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None, own=settings: own.get(key, default)))
+        assert scratch_path(session, "a").startswith(root)
+
+
+def test_second_run_opens_only_new_files(spark, tmp_path, monkeypatch):
+    from wardmetrics.streaming import incremental
+
+    opened = []
+    read = incremental.read_payload_files
+    monkeypatch.setattr(incremental, "read_payload_files", lambda spark, root, paths: opened.append(sorted(paths)) or read(spark, root, paths))
+    root, table, state = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "s")
+    publish(root, "01", "A", [{"id": 1}])
+    publish(root, "02", "Broken", "[{oops")
+    publish(root, "03", "B", [{"id": 2}])
+    load_new_files(spark, str(root), table, state, dry_run=False)
+    assert [[p.rsplit("/", 1)[1] for p in batch] for batch in opened] == [["A.json"], ["Broken.json"], ["B.json"]]
+    opened.clear()
+    publish(root, "04", "C", [{"id": 3}])
+    got = load_new_files(spark, str(root), table, state, dry_run=False)
+    assert [[p.rsplit("/", 1)[1] for p in batch] for batch in opened] == [["Broken.json"], ["C.json"]]
+    assert rows(got, "fate", "records") == [("failed", 0), ("loaded", 1)]
+    assert rows(read_events_table(spark, table), "crime_id") == [("1",), ("2",), ("3",)]
+
+
+def test_month_repeated_after_a_lost_state_adds_nothing_twice(spark, tmp_path):
+    root, table = tmp_path / "in", str(tmp_path / "t")
+    publish(root, "01", "A", [{"id": 1}])
+    for state in ("s1", "s2"):  # the second run knows nothing of the first
+        load_new_files(spark, str(root), table, str(tmp_path / state), dry_run=False)
+    assert rows(read_events_table(spark, table), "crime_id") == [("1",)]
+
+
+def test_incoming_rows_of_one_key_leave_one(spark, tmp_path):
+    frame = spark.createDataFrame([("E1", 2020, 1.0), ("E1", 2020, 3.0), ("E1", 2021, None)], "ons_code string, year int, average_price double")
+    path = upsert_version(spark, str(tmp_path / "u"), frame, ["ons_code", "year"], 1)
+    path = upsert_version(spark, str(tmp_path / "u"), frame, ["ons_code", "year"], 2)
+    assert rows(spark.read.parquet(path)) == [("E1", 2020, 3.0), ("E1", 2021, None)]
+
+
+def test_bronze_goes_on_past_a_bad_table(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("a,1\nb,2\n")
+    (tmp_path / "wide.csv").write_text("a,1\nb,2,3\n")
+    sources = [RawSource(str(tmp_path / "wide.csv"), "wide", "2020"), RawSource(str(tmp_path / "good.csv"), "good", "2020")]
+    report = run_bronze(spark, sources, str(tmp_path / "out"), "d", widths={"wide": 2, "good": 2})
+    assert list(report.written) == ["good"] and report.notes and "wide" in report.notes[0]

@@ -6,7 +6,7 @@ from conftest import rows
 from wardmetrics.operators.filters import keep_values
 from wardmetrics.operators.reshape import unpivot_years
 from wardmetrics.sources.events import scan_events
-from wardmetrics.sources.raw import IngestReport, RawSource, extract, grid_width, layout, scan_raw, skeleton, with_audit
+from wardmetrics.sources.raw import IngestReport, RawSource, extract, grid_width, layout, left_out, scan_raw, skeleton, with_audit
 
 SHEET = '''Title row,,
 "a cell
@@ -160,3 +160,21 @@ def test_wide_budget_sheet(spark, tmp_path):
     assert out.count() == 33 and out.filter("total_highways_and_transport_services is not null").count() == 0
     got = rows(out.filter("ons_code = 'E09000001'"), "total_education_services", "_row_number", "_sheet_name", "source_sheet")
     assert got == [(1001.5, 11, "3", "3")]
+
+
+def test_records_wider_than_given_are_not_cut(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("1,2,3\n4,5,6,7,8\n")
+    raw = scan_raw(spark, [RawSource(str(tmp_path / "f.csv"), "t", "2020")], width=3)
+    with pytest.raises(Exception, match="wider than 3"):
+        raw.collect()
+    assert scan_raw(spark, [RawSource(str(tmp_path / "f.csv"), "t", "2020")]).count() == 2
+
+
+def test_layout_without_an_end_and_what_a_range_leaves_out(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("".join(f"{i}\n" for i in range(10)))
+    raw = scan_raw(spark, [RawSource(str(tmp_path / "f.csv"), "t", "2020")], width=1)
+    open_end, closed = layout("t", 3, None, [(0, "n", "INTEGER")]), layout("t", 3, 6, [(0, "n", "INTEGER")])
+    assert rows(extract(raw, open_end).select("n")) == [(i,) for i in range(2, 10)]
+    assert rows(extract(raw, closed).select("n")) == [(2,), (3,), (4,)]
+    assert rows(left_out(raw, closed).select("before", "behind")) == [(2, 5)]
+    assert rows(left_out(raw, open_end).select("before", "behind")) == [(2, 0)]

@@ -239,3 +239,41 @@ def test_hot_group_is_spread(spark):
     plan = first_by_key(df, "g", ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "Window" not in plan
     assert rows(comma_union(df, ["g"], "t", "u", "n").filter("g = 'hot'")) == [("hot", 18000, "0, 1, 2, 3, 4, 5, 6")]
+
+
+def test_medians_keep_groups_without_values(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.0), ("a", 3.0, 2.0), ("b", None, 5.0)], "g string, x double, y double")
+    assert rows(group_metrics(df, ["g"], {"x": "median"})) == [("a", 2.0), ("b", None)]
+    assert rows(group_metrics(df, ["g"], {"x": "median", "y": "median"})) == [("a", 2.0, 1.5), ("b", None, 5.0)]
+
+
+def test_median_in_a_conditional_rule(spark):
+    df = spark.createDataFrame([(1, "a", "k", 1.0), (2, "a", "k", 4.0), (3, "a", "n", 9.0), (4, "b", "n", 7.0), (5, None, "k", 2.0)], "id int, g string, kind string, x double")
+    rule = {"filter_column": "kind", "filter_value": ["k"], "group_by": "g", "count_column_name": "n", "aggregations": {"x": {"operation": "median", "output_name": "mid"}}}
+    by_row = compute_metrics(df, {"conditional_aggregations": [rule]}, row_order=True)
+    assert rows(by_row.select("id", "mid", "n")) == [(1, 2.5, 2), (2, 2.5, 2), (3, 2.5, 2), (4, 0.0, 0), (5, 0.0, 0)]
+    at_group = compute_metrics(df, {"conditional_aggregations": [rule], "keep_cols": ["g", "mid", "n"]})
+    assert rows(at_group) == [("a", 2.5, 2), ("b", 0.0, 0), (None, 0.0, 0)]
+
+
+def test_rows_are_not_dealt_out_by_the_group_key(spark):
+    df = spark.range(1000).selectExpr("id", "cast(id % 5 as string) as g", "cast(id % 2 as string) as kind", "cast(id as double) as x")
+    rule = {"filter_column": "kind", "filter_value": ["1"], "group_by": "g", "count_column_name": "n", "aggregations": {"x": {"operation": "sum", "output_name": "t"}}}
+    spec = {"conditional_aggregations": [rule], "calculate_deviation": [{"target_col": "x", "new_avg_col": "m", "new_dev_col": "d", "group_by": ["g"]}]}
+    plan = compute_metrics(df, spec, row_order=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and not [line for line in plan.splitlines() if "hashpartitioning(g#" in line and ", id#" not in line]
+
+
+def test_yearly_changes_refuse_a_gathered_entity(spark, monkeypatch):
+    from wardmetrics.operators import compare
+
+    monkeypatch.setattr(compare, "MOST_YEARS", 3)
+    df = spark.range(5).selectExpr("'a' as g", "cast(2000 + id as int) as year", "cast(id as double) as x")
+    changed = compare.add_yoy_changes(df, [{"target_col": "x", "group_col": "g", "year_col": "year", "output_col": "c"}])
+    with pytest.raises(Exception, match="tie_break"):
+        changed.collect()
+
+
+def test_finalize_leaves_text_with_count_in_its_name(spark):
+    df = spark.createDataFrame([("France", 2), ("Spain", None)], "country string, n_count int")
+    assert rows(finalize_matrix(df).select("country", "n_count")) == [("France", 2), ("Spain", 0)]

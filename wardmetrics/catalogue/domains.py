@@ -218,7 +218,7 @@ def bronze_to_silver(spark, folder):
     """Files per year to a bronze table, two typed tables, and their join."""
     path, root = _publish_sheets(spark, folder), scratch_path(spark, "layers")
     sources = [RawSource(f"{path}/sheet={y}", "orders", y) for y in _sheet_years(spark, path)]
-    bronze = run_bronze(spark, sources, root, "orders").written["orders"]
+    bronze = run_bronze(spark, sources, root, "orders", widths={"orders": 2}).written["orders"]
     join = SilverJoin("stock_rates", ("stock", "rates"), lambda t: merge_yearly(
         {"stock": t["stock"], "rates": t["rates"].withColumnRenamed("year_name", "year")}, {"stock": "year_name", "rates": "year"}
     ))

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 from wardmetrics.catalogue.registry import query
 from wardmetrics.catalogue.tables import EVENTS_SQL, priority_events, table
 from wardmetrics.operators.aggregate import annual_rollup, monthly_counts
-from wardmetrics.session import scratch_path
+from wardmetrics.operators.spatial import drop_layer_attributes, points_in_polygons
+from wardmetrics.session import scratch_path, written
 from wardmetrics.sinks.upsert import upsert_version
-from wardmetrics.sinks.writers import append_events, export_table, write_latest, write_layer
+from wardmetrics.sinks.writers import append_events, export_table, load_table, write_latest, write_layer
 from wardmetrics.sources.events import scan_events
+from wardmetrics.sources.polygons import scan_geojson
+from wardmetrics.sources.raw import RawSource, scan_raw
+from wardmetrics.sources.tables import read_layer
 from wardmetrics.streaming.incremental import (
     batch_signature, load_new_files, month_calendar, read_events_table, stream_new_files,
 )
@@ -53,12 +57,20 @@ def pending_months(spark, folder):
 _FILE_RECORDS = 1000
 
 
-def _publish_events(spark, folder) -> str:
+# Files of three months in turn, whatever the months of the events are.
+_MONTH_SQL = f"((month(ts) - 1 + CAST(floor(event_id / {_FILE_RECORDS}) AS BIGINT) % 3) % 12 + 1)"
+
+
+def _file_month():
+    return (F.month("ts") - 1 + F.floor(F.col("event_id") / _FILE_RECORDS) % 3) % 12 + 1
+
+
+def _publish_events(spark, folder, path=None, keep=None) -> str:
     """Events as ``year=/month=/<entity>.json`` array files of at most ``_FILE_RECORDS`` records."""
-    path = scratch_path(spark, "event-files")
-    e = table(spark, folder, "events")
+    path = path or scratch_path(spark, "event-files")
+    e = table(spark, folder, "events").filter(F.lit(True) if keep is None else keep)
     records = e.select(
-        F.year("ts").alias("year"), F.date_format("ts", "MM").alias("month"),
+        F.year("ts").alias("year"), F.lpad(_file_month().cast("string"), 2, "0").alias("month"),
         F.concat(F.lit("unit & "), F.floor(F.col("event_id") / _FILE_RECORDS).cast("string")).alias("entity"),
         F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("category"), F.col("value"), F.col("props"))).alias("record"),
     )
@@ -85,14 +97,14 @@ def _write_named_files(root: str, rows) -> None:
 _ENTITY_SQL = f"'unit & ' || CAST(floor(event_id / {_FILE_RECORDS}) AS BIGINT)"
 
 
-@query("year:i month:i borough:s category:s count:l", f"""q AS (SELECT year(ts) AS year, month(ts) AS month, {_ENTITY_SQL} AS borough,
+@query("year:i month:i borough:s category:s count:l", f"""q AS (SELECT year(ts) AS year, {_MONTH_SQL} AS month, {_ENTITY_SQL} AS borough,
     event_type AS category, count(*) AS count FROM events GROUP BY ALL)""")
 def json_rollup(spark, folder):
     """Year and month from the folders, the entity from the file name, counts per category."""
     return monthly_counts(scan_events(spark, _publish_events(spark, folder)))
 
 
-_LOADED_SQL = f"""q AS (SELECT CAST(event_id AS VARCHAR) AS crime_id, make_date(year(ts), month(ts), 1) AS crime_date, {_ENTITY_SQL} AS borough,
+_LOADED_SQL = f"""q AS (SELECT CAST(event_id AS VARCHAR) AS crime_id, make_date(year(ts), {_MONTH_SQL}, 1) AS crime_date, {_ENTITY_SQL} AS borough,
     value, props FROM events)"""
 _LOADED = "crime_id:s crime_date:t borough:s value:d2 props:s"
 
@@ -115,10 +127,14 @@ def incremental_load(spark, folder):
 
 @query(_LOADED, _LOADED_SQL)
 def processed_keys_load(spark, folder):
-    """The batch form with a processed-keys table, run twice."""
-    root, table_path, state = _publish_events(spark, folder), scratch_path(spark, "keyed-table"), scratch_path(spark, "keyed-state")
-    for batch in ("first", "second"):
-        load_new_files(spark, root, table_path, state, batch, dry_run=False)
+    """The batch form with a processed-keys table: odd months, then the others arrive; a broken file stays pending."""
+    table_path, state = scratch_path(spark, "keyed-table"), scratch_path(spark, "keyed-state")
+    odd = _file_month() % 2 == 1
+    root = _publish_events(spark, folder, keep=odd)
+    _write_named_files(root, [{"year": 1990, "month": "01", "entity": "broken", "value": "[{oops"}])
+    load_new_files(spark, root, table_path, state, dry_run=False)
+    _publish_events(spark, folder, root, ~odd)
+    load_new_files(spark, root, table_path, state, dry_run=False)
     return _flat(read_events_table(spark, table_path))
 
 
@@ -171,3 +187,62 @@ def versioned_upsert(spark, folder):
     return spark.read.parquet(path)
 
 
+
+
+# ---- what writes would do, and layers that come as files ------------------------------------------
+
+
+@query("target:s mode:s column:s type:s n:l", """q AS (SELECT 'local.gold_layer.orders' AS target, 'load' AS mode, unnest(['o_orderkey', 'o_totalprice', 'o_orderdate', 'o_orderstatus']) AS "column",
+    unnest(['INTEGER', 'FLOAT', 'TIMESTAMP', 'STRING']) AS type, (SELECT count(*) FROM orders) AS n)""")
+def dry_run_plan(spark, folder):
+    """The dry run of a truncating load: target, mode, columns with their warehouse types, rows."""
+    plan = load_table(spark, table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus"), "local", "gold_layer", "orders")
+    return spark.createDataFrame([(plan.target, plan.mode, name, kind, plan.rows) for name, kind in plan.schema], "target string, mode string, column string, type string, n long")
+
+
+@query("r_regionkey:i n_nationkey:i n_name:s customers:l", """q AS (SELECT n_regionkey AS r_regionkey, n_nationkey, n_name, count(c_custkey) AS customers
+    FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL)""")
+def table_load(spark, folder):
+    """A truncating load run twice, the table read back by its catalog name."""
+    nations = table(spark, folder, "nation").join(table(spark, folder, "customer"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    counts = nations.groupBy(F.col("n_regionkey").alias("r_regionkey"), "n_nationkey", "n_name").agg(F.count("c_custkey").alias("customers"))
+    name = f"nation_load_{scratch_path(spark, 'x').rsplit('-', 1)[1]}"
+    for _ in range(2):
+        loaded = load_table(spark, counts, "local", "gold_layer", name, dry_run=False)
+    back = written(read_layer(spark, loaded), "table-load")
+    spark.sql(f"DROP TABLE {loaded}")
+    return back
+
+
+@query("event_id:l BOROUGH:s", """dots AS (SELECT event_id, CAST(event_id % 1000 AS DOUBLE) / 100 - 0.005 AS lon, CAST(event_id * 7 % 1000 AS DOUBLE) / 200 - 0.0025 AS lat FROM events),
+q AS (SELECT event_id, n_name AS "BOROUGH" FROM dots LEFT JOIN nation ON lon > n_nationkey % 5 * 2 AND lon < n_nationkey % 5 * 2 + 1 AND lat > n_nationkey // 5 AND lat < n_nationkey // 5 + 1)""")
+def geojson_layer(spark, folder):
+    """Nations as GeoJSON features, scanned, joined to points, the layer's own attributes dropped."""
+    key = F.col("n_nationkey")
+    west, south = (key % 5 * 2).cast("double"), F.floor(key / 5).cast("double")
+    ring = F.array(*[F.array(x, y) for x, y in ((west, south), (west + 1, south), (west + 1, south + 1), (west, south + 1), (west, south))])
+    feature = F.struct(
+        F.lit("Feature").alias("type"), F.struct(F.col("n_name").alias("BOROUGH"), key.cast("long").alias("OBJECTID")).alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"),
+    )
+    path = scratch_path(spark, "geojson")
+    collection = table(spark, folder, "nation").agg(F.collect_list(feature).alias("features"))  # a layer is one document
+    collection.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features"))).write.text(path)
+    layer = scan_geojson(spark, path, "BOROUGH string, OBJECTID bigint")
+    dots = table(spark, folder, "events").select(
+        "event_id", ((F.col("event_id") % 1000).cast("double") / 100 - 0.005).alias("lon"), ((F.col("event_id") * 7 % 1000).cast("double") / 200 - 0.0025).alias("lat")
+    )
+    return drop_layer_attributes(points_in_polygons(dots, layer, ["BOROUGH", "OBJECTID"], cell=0.25), ["OBJECTID", "lon", "lat"])
+
+
+@query("_source_file:s _sheet_name:s year_name:s ons_code:s n:l _row_number:l", EVENTS_SQL + """,
+sheets AS (SELECT year, ons_code, count(*) AS n FROM order_events GROUP BY year, ons_code)
+, q AS (SELECT 'orders' AS _source_file, 'Y' || year AS _sheet_name, 'all' AS year_name, ons_code, n, row_number() OVER (PARTITION BY year ORDER BY ons_code) - 1 AS _row_number FROM sheets)""")
+def sheet_labels(spark, folder):
+    """Sheets of one file and one year label, each with its name and its own row numbers."""
+    path = scratch_path(spark, "labels")
+    counts = priority_events(spark, folder).groupBy("year", "ons_code").agg(F.count(F.lit(1)).cast("string").alias("n"))
+    counts.repartition("year").sortWithinPartitions("year", "ons_code").write.partitionBy("year").csv(path)
+    years = sorted(r[0] for r in spark.read.csv(path).select("year").distinct().collect())
+    raw = scan_raw(spark, [RawSource(f"{path}/year={y}", "orders", "all", f"Y{y}") for y in years], width=2)
+    return raw.select("_source_file", "_sheet_name", "year_name", F.col("col_0").alias("ons_code"), F.col("col_1").cast("long").alias("n"), "_row_number")

@@ -53,19 +53,20 @@ def cast_report(raw: DataFrame, types: Mapping[str, str], tokens: Sequence[str]
     """(column, raw_value, problem, n): cells a cast lost, and fractions it rounded.
 
     One scan for all columns. A value that is missing or a null token is no
-    problem. Cells are cleaned in one stage and judged in the next.
+    problem. Equal cells of a column are counted first and judged once.
     """
-    cleaned = raw.select(*[clean_text(F.col(f"`{name}`"), tokens).alias(name) for name in types])
-    cells = []
+    cells = [F.struct(F.lit(name).alias("column"), clean_text(F.col(f"`{name}`"), tokens).alias("raw_value")) for name in types]
+    texts = raw.select(F.inline(F.array(*cells))).filter(F.col("raw_value").isNotNull())
+    counted = texts.groupBy("column", "raw_value").agg(F.count(F.lit(1)).alias("n"))
+    text, problem = F.col("raw_value"), F.lit(None).cast("string")
     for name, kind in types.items():
-        text = F.col(f"`{name}`")
-        problem = F.when(text.isNotNull() & cast_text(text, kind).isNull(), F.lit("failed"))
+        found = F.when(cast_text(text, kind).isNull(), F.lit("failed"))
         if kind == "INTEGER":
             number = text_to_float(text)
-            problem = problem.when(number != F.rint(number), F.lit("rounded"))
-        cells.append(F.struct(F.lit(name).alias("column"), text.alias("raw_value"), problem.alias("problem")))
-    judged = cleaned.select(F.inline(F.array(*cells))).filter(F.col("problem").isNotNull())
-    return judged.groupBy("column", "raw_value", "problem").agg(F.count(F.lit(1)).alias("n"))
+            found = found.when(number != F.rint(number), F.lit("rounded"))
+        problem = F.when(F.col("column") == name, found).otherwise(problem)
+    judged = counted.withColumn("problem", problem).filter(F.col("problem").isNotNull())
+    return judged.select("column", "raw_value", "problem", "n")
 
 
 def coerce_numeric(df: DataFrame, keep: Sequence[str] = ("borough_name",)) -> DataFrame:

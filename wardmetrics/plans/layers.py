@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,9 +50,15 @@ def run_bronze(
     domain: str,
     project: str = "local",
     dry_run: bool = True,
-    multi_line: bool = False,
+    multi_line: bool | Collection[str] = False,
+    widths: Mapping[str, int] | None = None,
 ) -> RunReport:
-    """Raw files of each table to one bronze table, partitioned by year label."""
+    """Raw files of each table to one bronze table, partitioned by year label and sorted by row number.
+
+    ``widths`` names the cells of a record by table and saves the pass that finds
+    them; ``multi_line`` is for all tables or names those whose cells hold line
+    breaks. A table that cannot be read is reported and the others go on.
+    """
     report = RunReport()
     by_table: dict[str, list[RawSource]] = {}
     for source in sources:
@@ -59,12 +66,16 @@ def run_bronze(
     for table, group in by_table.items():
         ingest = IngestReport()
         try:
-            raw = scan_raw(spark, group, multi_line=multi_line, report=ingest)
+            lines = multi_line if isinstance(multi_line, bool) else table in multi_line
+            raw = scan_raw(spark, group, (widths or {}).get(table), lines, report=ingest)
+            path = write_layer(raw, layer_path(root, "bronze", domain, table), "year_name", ["_row_number"])
         except FileNotFoundError:
             report.missing += [s.path for s in group]
             continue
+        except PySparkException as error:
+            report.notes.append(f"{table} not read: {error}")
+            continue
         report.missing += [entry[0] for entry in ingest.skipped]
-        path = write_layer(raw, layer_path(root, "bronze", domain, table), "year_name")
         report.written[table] = path
         report.loads.append(load_table(spark, spark.read.parquet(path), project, "bronze_layer", f"{domain}_{table}", dry_run))
     return report

@@ -80,11 +80,11 @@ def layer_path(root: str, layer: str, *names: str) -> str:
     return "/".join([root.rstrip("/"), layer, *[sanitise_name(n) for n in names]])
 
 
-def write_layer(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    """Overwrite one layer table as Parquet, so types survive to the next layer."""
+def write_layer(df: DataFrame, path: str, partition_by: str | None = None, cluster_by: Sequence[str] = ()) -> str:
+    """Overwrite one layer table as Parquet, so types survive to the next layer; ``cluster_by`` sorts each file."""
     writer = df.write.mode("overwrite")
     if partition_by and partition_by in df.columns:
-        spread(df, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        spread(df, partition_by, cluster_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
     else:
         writer.parquet(path)
     return path

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+import logging
 from datetime import date
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wardmetrics.session import written
 from wardmetrics.sinks.writers import spread
 from wardmetrics.sources.events import entity_from_file
 from wardmetrics.sources.raw import path_exists
 
+log = logging.getLogger(__name__)
+
 REPORT_LAG_MONTHS = 2
 
 FILE_FIELDS = "value string, year int, month int"
@@ -64,17 +70,29 @@ def append_state(keys: DataFrame, path: str) -> None:
     keys.select("signature").distinct().write.mode("append").parquet(path)
 
 
-def scan_payload_files(spark: SparkSession, root: str) -> DataFrame:
-    """Whole event files with ``year``/``month`` from the folders and the path below ``root``."""
-    files = spark.read.schema(FILE_FIELDS).option("wholetext", True).option("pathGlobFilter", "*.json").text(root)
+def list_payload_files(spark: SparkSession, root: str) -> DataFrame:
+    """Path, month and signature of the event files below ``root``; no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(root)
+    return files.select(
+        "path", F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"), _signature(F.col("_metadata.file_path")).alias("signature")
+    )
+
+
+def read_payload_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """The named event files whole, with ``year``/``month`` from the folders and the path below ``root``."""
+    files = spark.read.schema(FILE_FIELDS).option("wholetext", True).option("basePath", root).text(paths)
     return _with_signature(files)
 
 
+def _signature(path: Column) -> Column:
+    return F.regexp_extract(path, r"(year=[^/]+/month=[^/]+/[^/]+)$", 1)
+
+
 def _with_signature(files: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     return files.select(
         "value", "year", "month", path.alias("path"),
-        F.regexp_extract(path, r"(year=[^/]+/month=[^/]+/[^/]+)$", 1).alias("signature"),
+        _signature(path).alias("signature"),
     )
 
 
@@ -102,27 +120,47 @@ def _write_batch(records: DataFrame, table: str, batch: str, entity: str) -> Non
     spread(records, "crime_date", [entity]).write.mode("overwrite").partitionBy("crime_date").parquet(target)
 
 
-def load_new_files(spark: SparkSession, root: str, table: str, state: str, batch: str, dry_run: bool = True, entity: str = "borough") -> DataFrame:
-    """Load files whose path is not in the state; returns this run's files and their fate.
+FATES = "signature string, fate string, records int"
+
+
+def load_new_files(spark: SparkSession, root: str, table: str, state: str, dry_run: bool = True, entity: str = "borough") -> DataFrame:
+    """Load files whose path is not in the state, month by month in order; returns this run's files and their fate.
 
-    ``loaded`` files (empty ones included) go into the state after the data is
-    written. ``failed`` files hold no JSON array and stay pending. ``batch`` names
-    the run; repeating a run that died half-way repeats its folder.
+    Only the listing covers all files; a run opens those that are pending. A
+    month's batch is named by the month and the paths in it, so a batch that died
+    half-way is repeated into its own folder under any run. ``loaded`` files
+    (empty ones included) go into the state after their month's data is written.
+    ``failed`` files hold no JSON array, or belong to a month that could not be
+    loaded; they stay pending, and later months go on.
     """
-    done = read_state(spark, state)
-    pending = scan_payload_files(spark, root).join(done, "signature", "left_anti")
-    parsed = parse_payload(pending, entity)
+    pending = written(list_payload_files(spark, root).join(read_state(spark, state), "signature", "left_anti"), "pending-files")
+    fates = spark.createDataFrame([], FATES)
+    for year, month in sorted(tuple(r) for r in pending.select("year", "month").distinct().collect()):
+        files = pending.filter((F.col("year") == year) & (F.col("month") == month)).select("path", "signature").orderBy("signature").collect()
+        paths, signatures = [f["path"] for f in files], [f["signature"] for f in files]
+        name = f"{year:04d}-{month:02d}-{hashlib.sha1('|'.join(signatures).encode(), usedforsecurity=False).hexdigest()[:12]}"
+        try:
+            fates = fates.unionByName(_load_month(spark, root, paths, table, state, name, dry_run, entity))
+        except PySparkException as error:
+            log.warning("month %04d-%02d stays pending: %s", year, month, error)
+            lost = [(s, "failed", 0) for s in signatures]
+            fates = fates.unionByName(spark.createDataFrame(lost, FATES))
+    return fates
+
+
+def _load_month(spark: SparkSession, root: str, paths: list[str], table: str, state: str, name: str, dry_run: bool, entity: str) -> DataFrame:
+    # Parsed once: fates and records are both read from what is written here.
+    parsed = written(parse_payload(read_payload_files(spark, root, paths), entity), "parsed-month")
     fate = parsed.select(
         "signature", F.when(F.col("_records").isNull(), F.lit("failed")).otherwise(F.lit("loaded")).alias("fate"),
         F.coalesce(F.size("_records"), F.lit(0)).alias("records"),
     )
     if dry_run:
         return fate
-    log = f"{table.rstrip('/')}_log/load_batch={batch}"
-    fate.write.mode("overwrite").parquet(log)
-    settled = spark.read.schema("signature string, fate string, records int").parquet(log)
-    listed = parsed.join(settled.filter("fate = 'loaded'").select("signature"), "signature", "left_semi")
-    _write_batch(explode_records(listed, entity), table, batch, entity)
+    _write_batch(explode_records(parsed, entity), table, name, entity)
+    done = f"{table.rstrip('/')}_log/load_batch={name}"
+    fate.write.mode("overwrite").parquet(done)
+    settled = spark.read.schema(FATES).parquet(done)
     append_state(settled.filter("fate = 'loaded'"), state)
     return settled
 
@@ -151,8 +189,9 @@ def stream_new_files(
     parsed = parse_payload(_with_signature(reader.load(root)), entity)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(explode_records(batch, entity), table, str(batch_id), entity)
-        failed = batch.filter(F.col("_records").isNull()).select("signature")
+        parsed = written(batch, "parsed-batch")  # read and parsed once for both writes
+        _write_batch(explode_records(parsed, entity), table, str(batch_id), entity)
+        failed = parsed.filter(F.col("_records").isNull()).select("signature")
         failed.write.mode("overwrite").parquet(f"{table.rstrip('/')}_failed/load_batch={batch_id}")
 
     return (
