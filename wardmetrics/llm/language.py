@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from wardmetrics.llm.texts import Block, per_block, smallest_ids
 from wardmetrics.session import written
 
-# At most so many labelled rows are learned from.
+# About so many labelled rows are learned from, at most twice as many.
 TRAIN_ROWS = 6_000
 FEATURES = 2048
 UNKNOWN = "und"
@@ -145,24 +145,24 @@ def _pairs(names: list[str], label: np.ndarray, x: np.ndarray) -> list[Machine]:
 
 
 def fit_languages(docs: DataFrame, train_rows: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
-    """Fit on at most ``train_rows`` rows with a language, those whose keys hash lowest.
+    """Fit on about ``train_rows`` rows with a language, twice as many at most.
 
-    Each language takes an equal share of the bound where it has that many rows.
-    Rows with a null language, key or text are passed over. One language is
-    always answered; without any the answer is ``und``.
+    Each language gets an equal share of them: the rows whose keys hash lowest,
+    or all it has. Rows with a null language, key or text are passed over, and a
+    key that repeats in a language counts once (its smallest text). One language
+    is always answered; without any the answer is ``und``.
     """
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
-    langs = [r[0] for r in known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(200).collect()]
+    keys = known.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"))
+    counts = written(keys.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")), "language-counts")
+    langs = counts.count()
     if not langs:
         return LanguageModel([], [], {}, {})
-    keys = known.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"))
-    chosen = [smallest_ids(keys.filter(F.col("_lang") == name), max(1, train_rows // len(langs)), "_key") for name in langs]
-    picked = chosen[0]
-    for more in chosen[1:]:
-        picked = picked.unionByName(more)
-    picked = written(picked.distinct(), "language-keys")
+    share = F.least(F.lit(1.0), F.lit(max(train_rows / langs, 1.0)) / F.col("_n"))
+    drawn = keys.join(counts, "_lang").filter(F.pmod(F.xxhash64("_key", F.lit(7)), F.lit(1 << 30)) < share * (1 << 30))
+    picked = written(smallest_ids(drawn.select("_key", "_lang").distinct(), 2 * train_rows, "_key"), "language-keys")
     body = known.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("text"))
-    sample = body.join(F.broadcast(picked), ["_key", "_lang"]).dropDuplicates(["_key", "_lang"])
+    sample = body.join(F.broadcast(picked), ["_key", "_lang"]).groupBy("_key", "_lang").agg(F.min("text").alias("text"))
 
     def work(block):
         return {"x": pa.array([r.astype(np.float16).tobytes() for r in gram_features(block)], pa.binary())}
@@ -170,9 +170,9 @@ def fit_languages(docs: DataFrame, train_rows: int = TRAIN_ROWS, key: str = "doc
     rows = per_block(sample, work, "x binary", ["_lang"], "text").orderBy("_lang", "x").toPandas()  # bounded by train_rows
     x = np.frombuffer(b"".join(rows["x"]), np.float16).reshape(-1, FEATURES).astype(np.float32)
     label = rows["_lang"].to_numpy(str)
-    names = sorted(set(label))
+    names = sorted(set(label.tolist()))
     family = np.array([family_of(n) for n in label])
-    families = sorted(set(family))
+    families = sorted(set(family.tolist()))
     languages = {f: [n for n in names if family_of(n) == f] for f in families}
     within = {}
     for f in families:

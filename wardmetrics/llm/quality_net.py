@@ -198,12 +198,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
 
     Only ``text`` and ``label`` are learned from. Labels other than 0 and 1, null
     labels and null keys are passed over; a key labelled twice counts once (the
-    larger label). Without both labels the model answers with their share, or a
+    larger label), and so does a key of several rows (the smallest text). Without both labels the model answers with their share, or a
     half where there is none.
     """
     known = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
     chosen = smallest_ids(known, train_rows, "_key")
-    sample = written(docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key").select("text", "_label"), "quality-sample")
+    labelled = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key")
+    sample = written(labelled.groupBy("_key").agg(F.min("text").alias("text"), F.max("_label").alias("_label")).select("text", "_label"), "quality-sample")
     vectors = learn_vectors(sample)
 
     def work(block):

@@ -101,8 +101,8 @@ def fit_secrets(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, key: str = "doc
     the models are uniform and no candidate is called a secret.
     """
     chosen = smallest_ids(docs.select(F.col(key).alias("_key")), sample_rows, "_key").distinct()
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key").select("text")
-    texts = written(texts.filter(F.col("text").isNotNull()), "secret-sample")
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key")
+    texts = written(texts.filter(F.col("text").isNotNull()).groupBy("_key").agg(F.min("text").alias("text")).select("text"), "secret-sample")
     values, rest = [], F.col("text")
     for pattern, group, least in BASE_KINDS.values():
         found = F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(group))

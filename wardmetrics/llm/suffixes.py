@@ -324,7 +324,8 @@ def hot_spans(docs: DataFrame, hot, length: int, gram: int) -> DataFrame:
     kind = dict(docs.dtypes)["_key"]
     windows = written(_scan(docs, cut, f"_key {kind}, _sum long, w binary, start long"), "hot-windows")
     again = windows.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w")
-    return windows.join(again.hint("merge"), "w", "left_semi").select("_key", "_sum", "start", (F.col("start") + length).alias("end"))
+    found = windows.join(again.hint("merge"), "w", "left_semi").select("_key", "_sum", "start", (F.col("start") + length).alias("end"))
+    return written(found, "hot-spans")  # nothing shuffles behind the join, so adaptive execution may split a hot window
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, hot_gram: int = HOT_GRAM, digests: bool = False) -> DataFrame:
