@@ -102,12 +102,13 @@ def test_markov_adds_random_strings_and_spares_identifiers(spark):
     train = [" ".join(rng.choices(words, k=40)) + f" token={h} password={k}" for h, k in zip(hexes, keys)]
     model = secret_scan.fit_secrets(docs_of(spark, train))
     planted = "q7Zp2KxV9mTb4LwR8sYd"
-    own = docs_of(spark, [f"the {planted} there", "configurationmanagement and internationalunderstanding", "token=q7Zp2KxV9mTb4LwR8sYd"])
+    own = docs_of(spark, [f"the {planted} there", "configurationmanagement and internationalunderstanding", "token=q7Zp2KxV9mTb4LwR8sYd", "-" * 40 + " " + "=" * 40])
     got = rows(secret_scan.scan_secrets(own, model).select("doc_id", secret_scan.joined(F.col("spans")).alias("s"), secret_scan.redacted(F.col("text"), F.col("spans")).alias("t")))
     assert got == [
         (0, "markov:4:24", "the <secret> there"),
         (1, "", "configurationmanagement and internationalunderstanding"),
         (2, "assign:0:26", "<secret>"),
+        (3, "", "-" * 40 + " " + "=" * 40),
     ]
 
 

@@ -34,6 +34,8 @@ SAMPLE_ROWS = 20_000
 BACK_OFF = 10.0
 # The least log-likelihood ratio of a secret, in all and for each character.
 LEAST_RATIO, LEAST_EACH = 8.0, 1.3
+# A rule or a filler of few different characters is no secret.
+LEAST_DISTINCT = 6
 PLACEHOLDER = "<secret>"
 
 
@@ -155,7 +157,8 @@ def scan_secrets(docs: DataFrame, model: SecretModel, text: str = "text") -> Dat
     })
     apart = F.filter(F.col(long), lambda x: ~F.exists(F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
     least = lambda x: F.greatest(F.lit(LEAST_RATIO), F.length(x["m"]) * LEAST_EACH)
-    rows = rows.withColumn(random, F.filter(apart, lambda x: model.ratio(x["m"]) >= least(x)))
+    varied = lambda x: F.size(F.array_distinct(_characters(x["m"]))) >= LEAST_DISTINCT
+    rows = rows.withColumn(random, F.filter(apart, lambda x: varied(x) & (model.ratio(x["m"]) >= least(x))))
     rows = rows.withColumn("spans", F.array_sort(F.concat(F.col("base"), of(random, MARKOV, len(kinds)))))
     return rows.drop(body, long, random, *[tag + kind for kind in kinds])
 
