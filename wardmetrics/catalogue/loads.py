@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from wardmetrics.catalogue.registry import query
 from wardmetrics.catalogue.tables import EVENTS_SQL, priority_events, table
 from wardmetrics.operators.aggregate import annual_rollup, monthly_counts
 from wardmetrics.operators.spatial import drop_layer_attributes, points_in_polygons
+from wardmetrics.plans.layers import run_event_silver
 from wardmetrics.session import scratch_path, written
 from wardmetrics.sinks.upsert import upsert_version
 from wardmetrics.sinks.writers import append_events, export_table, load_table, write_latest, write_layer
@@ -16,9 +20,12 @@ from wardmetrics.sources.polygons import scan_geojson
 from wardmetrics.sources.raw import RawSource, scan_raw
 from wardmetrics.sources.tables import read_layer
 from wardmetrics.streaming.incremental import (
-    batch_signature, load_new_files, month_calendar, read_events_table, stream_new_files,
+    batch_signature, load_new_files, month_calendar, pending_batches, read_events_table, stream_new_files,
 )
 
+# The file writer travels with its code: workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SPANS_SQL = """spans AS (SELECT o_custkey AS borough, min(CAST(o_orderdate AS DATE)) AS start, max(CAST(o_orderdate AS DATE)) AS as_of FROM orders GROUP BY o_custkey),
 calendar AS (SELECT borough, strftime(m, '%Y-%m') AS month FROM (SELECT borough, unnest(generate_series(CAST(date_trunc('month', start) AS TIMESTAMP),
     CAST(date_trunc('month', as_of) AS TIMESTAMP) - INTERVAL 2 MONTH, INTERVAL 1 MONTH)) AS m FROM spans))"""
@@ -51,6 +58,20 @@ def pending_months(spark, folder):
     return signed.join(done, "signature", "left_anti")
 
 
+@query("borough:s month:s signature:s", EVENTS_SQL + """, bounds AS (SELECT min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS b FROM orders),
+months AS (SELECT strftime(unnest(generate_series(CAST(date_trunc('month', a) AS TIMESTAMP), CAST(date_trunc('month', b) AS TIMESTAMP) - INTERVAL 2 MONTH, INTERVAL 1 MONTH)), '%Y-%m') AS month FROM bounds),
+done AS (SELECT DISTINCT borough || '_' || strftime(make_date(year, month, 1), '%Y-%m') AS signature FROM order_events WHERE category = 'URGENT'),
+q AS (SELECT n_name AS borough, month, n_name || '_' || month AS signature FROM nation, months WHERE n_name || '_' || month NOT IN (SELECT signature FROM done))""")
+def pending_entity_months(spark, folder):
+    """Months of each nation without an urgent order: batches not processed."""
+    events = priority_events(spark, folder).filter("category = 'URGENT'")
+    month = F.date_format(F.make_date("year", "month", F.lit(1)), "yyyy-MM")
+    done = events.select(batch_signature(F.col("borough"), month).alias("signature"))
+    span = table(spark, folder, "orders").agg(F.min(F.to_date("o_orderdate")).alias("a"), F.max(F.to_date("o_orderdate")).alias("b")).first()
+    nations = table(spark, folder, "nation").select(F.col("n_name").alias("borough"))
+    return pending_batches(nations, done, span["a"], span["b"])
+
+
 # ---- event files: events as JSON arrays per month folder and entity ---------------------------
 
 # Records per published file. The bound holds at any scale; more data is more files.
@@ -104,6 +125,16 @@ def json_rollup(spark, folder):
     return monthly_counts(scan_events(spark, _publish_events(spark, folder)))
 
 
+@query("year:i borough:s category:s total_count:l months_present:l annualised_rate:d4 analytical_category:s", f"""monthly AS (SELECT year(ts) AS year, {_MONTH_SQL} AS month,
+    {_ENTITY_SQL} AS borough, event_type AS category, count(*) AS n FROM events GROUP BY ALL),
+q AS (SELECT year, borough, category, sum(n) AS total_count, count(DISTINCT month) AS months_present, sum(n) * 12.0 / count(DISTINCT month) AS annualised_rate,
+    'Other' AS analytical_category FROM monthly GROUP BY year, borough, category)""")
+def event_silver(spark, folder):
+    """Event files to the rolled-up silver table; no event type here is in a named group."""
+    report = run_event_silver(spark, _publish_events(spark, folder), scratch_path(spark, "event-silver"))
+    return spark.read.parquet(report.written["crimes"])
+
+
 _LOADED_SQL = f"""q AS (SELECT CAST(event_id AS VARCHAR) AS crime_id, make_date(year(ts), {_MONTH_SQL}, 1) AS crime_date, {_ENTITY_SQL} AS borough,
     value, props FROM events)"""
 _LOADED = "crime_id:s crime_date:t borough:s value:d2 props:s"
