@@ -184,7 +184,7 @@ def repeated_windows(data: np.ndarray, begin: np.ndarray, end: np.ndarray, at: n
     return out
 
 
-def _scan(docs: DataFrame, work, schema: str) -> DataFrame:
+def _scan(docs: DataFrame, work, schema) -> DataFrame:
     def run(batches):
         for block in blocks(batches, "_body"):
             yield from work(block)
@@ -354,7 +354,25 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     # Copies of a row (same key, same text) name the same spans; the set holds them once.
     marks = spans.groupBy("_key", "_sum").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     marks = written(marks.withColumnRenamed("_key", "_of").withColumnRenamed("_sum", "_text"), "repeat-spans")
-    joined = source.join(marks.hint("shuffle_hash"), source["_key"].eqNullSafe(marks["_of"]) & (source["_sum"] == marks["_text"]), "left")
+    # Only texts that lose something meet their spans; the others pass by the shuffle. A false hit meets none.
+    lost = marks.select(F.col("_text").alias("h")).distinct()
+    touched = hash_filter(lost, lost.count())
+
+    def losing(block):
+        sums = block.rows.column(2).to_numpy().view(np.uint64)
+        yield block.rows.filter(pa.array(in_filter(touched, sums)))
+
+    def result(rows, sizes, removed, runs, kept):
+        last = {"kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())} if digests else {"kept": pa.array(kept, pa.binary())}
+        return added(rows, ["_key"], n_bytes=pa.array(sizes), n_removed=pa.array(removed), n_spans=pa.array(runs), **last)
+
+    def keeping(block):
+        alone = ~in_filter(touched, block.rows.column(2).to_numpy().view(np.uint64))
+        none = np.zeros(np.count_nonzero(alone), np.int64)
+        yield result(block.rows.filter(pa.array(alone)), block.sizes[alone], none, none, [block.text(i) for i in np.flatnonzero(alone)])
+
+    meeting = _scan(source, losing, source.schema)
+    joined = meeting.join(marks.hint("shuffle_hash"), meeting["_key"].eqNullSafe(marks["_of"]) & (meeting["_sum"] == marks["_text"]), "left")
     joined = joined.select("_key", "_body", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
 
     def run(batches):
@@ -369,9 +387,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             before[block.offsets[:-1][block.sizes > 0]] = False
             total = lambda flags: np.diff(np.concatenate(([0], np.cumsum(flags)))[block.offsets])  # noqa: E731, B023
             kept = [block.data[a:b][~gone[a:b]].tobytes() for a, b in zip(block.offsets[:-1], block.offsets[1:])]
-            last = {"kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept])} if digests else {"kept": pa.array(kept, pa.binary())}
-            yield added(block.rows, ["_key"], n_bytes=pa.array(block.sizes), n_removed=pa.array(total(gone)), n_spans=pa.array(total(gone & ~before)), **last)
+            yield result(block.rows, block.sizes, total(gone), total(gone & ~before), kept)
 
     kind = dict(source.dtypes)["_key"]
-    out = joined.mapInArrow(run, f"_key {kind}, n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digests else "kept binary"))
+    schema = f"_key {kind}, n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digests else "kept binary")
+    out = joined.mapInArrow(run, schema).unionByName(_scan(source, keeping, schema))
     return out.withColumnRenamed("_key", key)
