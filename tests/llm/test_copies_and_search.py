@@ -10,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wardmetrics.llm import simhash, suffixes, topk
+from wardmetrics.llm import mixing, simhash, suffixes, topk
 from wardmetrics.llm.components import components
+from wardmetrics.session import written
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -254,3 +255,28 @@ def test_stages_on_an_empty_table(spark, tmp_path):
         docs.write.parquet(str(tmp_path / str(k)))
         docs = stage(spark, spark.read.parquet(str(tmp_path / str(k))), FOLDER)
     assert docs.count() == 0
+
+
+@pytest.mark.parametrize("stage", ["simhash", "mixing"])
+def test_stages_keep_their_rows_when_splits_change_between_jobs(spark, tmp_path, monkeypatch, stage):
+    """Places are stored: a scan planned for other splits (an executor more or less) still finds its rows."""
+    rng = random.Random(3)
+    data = [(i, " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=40)), "en", f"s{i % 3}", 79) for i in range(24)]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(12).write.parquet(str(tmp_path / "docs"))
+    module, name = {"simhash": (simhash, "near_duplicates"), "mixing": (mixing, "mix")}[stage]
+    whole = getattr(module, name)
+    run = {"simhash": corpus_pipeline.simhash_stage, "mixing": corpus_pipeline.mixing_stage}[stage]
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    expected = sorted(tuple(r) for r in run(spark, docs, "").collect())
+
+    def then_other_splits(*args, **kwargs):
+        found = written(whole(*args, **kwargs), "found")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        return found
+
+    monkeypatch.setattr(module, name, then_other_splits)
+    try:
+        got = sorted(tuple(r) for r in run(spark, docs, "").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert expected and got == expected

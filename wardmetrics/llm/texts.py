@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardmetrics.session import written
+
 # Texts are worked on in blocks of about this many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
 
@@ -121,9 +123,10 @@ def smallest_ids(df: DataFrame, rows: int, key: str = "doc_id", seed: int = 7) -
 
 
 def placed(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``df``, a table as read from files, with ``_row``: a key of each single row that sorts by ``key``, null last.
+    """``df`` with ``_row``: a key of each single row that sorts by ``key``, null last.
 
-    ``_row.place`` follows from the row's file split, so every scan of the table under the same settings agrees.
+    ``_row.place`` follows from the row's file split, and splits follow from the cores registered when a scan is
+    planned. So the rows are written with their places, and all who read the result see the same ones.
     """
     own = F.col(f"`{key}`")
-    return df.withColumn("_row", F.struct(own.isNull().alias("none"), own.alias("key"), F.monotonically_increasing_id().alias("place")))
+    return written(df.withColumn("_row", F.struct(own.isNull().alias("none"), own.alias("key"), F.monotonically_increasing_id().alias("place"))), "placed")
