@@ -223,6 +223,17 @@ def test_language_by_family_then_pair(spark, edge, empty):
     assert language.predict_languages(edge, language.fit_languages(empty), ["doc_id"]).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_word_vectors_cover_unlabelled_texts(spark):
+    import pyarrow as pa
+
+    own = ["plain words here and there"] * 8 + ["zebrawort quaggafern okapimoss"] * 4
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int")
+    net = quality_net.fit_quality(docs_of(spark, own), labels)
+    batch = pa.RecordBatch.from_arrays([pa.array(["zebrawort quaggafern okapimoss"])], names=["text"])
+    buckets = quality_net.token_buckets(next(texts.blocks([batch], "text")))[0]
+    assert (np.abs(net.vectors[buckets]).sum(1) > 0).all()
+
+
 # --- quality rules
 
 def counts_by_force(text):

@@ -147,15 +147,15 @@ def learn_vectors(docs: DataFrame, buckets: int = BUCKETS, dimensions: int = DIM
     parts = docs.select("text").mapInArrow(run, "bucket long, n long, v array<long>")
     sums = [F.sum(F.col("v")[d]).alias(f"v{d}") for d in range(dimensions)]
     table = parts.groupBy("bucket").agg(F.sum("n").alias("n"), *sums).toPandas()  # at most `buckets` rows
-    vectors = np.zeros((buckets, dimensions), np.float32)
+    vectors = np.zeros((buckets, dimensions))
     counts = np.zeros(buckets)
     if len(table):
         at = table["bucket"].to_numpy()
         counts[at] = table["n"].to_numpy()
-        vectors[at] = table[[f"v{d}" for d in range(dimensions)]].to_numpy(np.float32)
+        vectors[at] = table[[f"v{d}" for d in range(dimensions)]].to_numpy(float)
     # Neighbours of every word share the frequent ones: the mean context goes, and rare words count in full.
     mean = vectors.sum(0) / max(counts.sum(), 1)
-    vectors -= (counts[:, None] * mean).astype(np.float32)
+    vectors -= counts[:, None] * mean
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
     share = counts / max(counts.sum(), 1)
     return (vectors * np.sqrt(1e-3 / (1e-3 + share))[:, None]).astype(np.float32)
@@ -194,7 +194,7 @@ def train_network(x: np.ndarray, y: np.ndarray, hidden: int = HIDDEN, epochs: in
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text", label: str = "quality") -> QualityModel:
-    """Fit on at most ``train_rows`` labelled rows, those whose keys hash lowest.
+    """Fit the network on at most ``train_rows`` labelled rows, those whose keys hash lowest; word vectors on all texts of ``docs``.
 
     Only ``text`` and ``label`` are learned from. Labels other than 0 and 1, null
     labels and null keys are passed over; a key labelled twice counts once (the
@@ -205,7 +205,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     chosen = smallest_ids(known, train_rows, "_key")
     labelled = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key")
     sample = written(labelled.groupBy("_key").agg(F.min("text").alias("text"), F.max("_label").alias("_label")).select("text", "_label"), "quality-sample")
-    vectors = learn_vectors(sample)
+    vectors = learn_vectors(docs.select(F.col(text).alias("text")))
 
     def work(block):
         return {"x": pa.array([r.tobytes() for r in pooled(block, vectors)], pa.binary())}
