@@ -112,6 +112,18 @@ def test_markov_adds_random_strings_and_spares_identifiers(spark):
     ]
 
 
+def test_secret_sample_is_of_keys_not_rows(spark):
+    """A key of many rows that hashes low takes one place of the sample, not all."""
+    words = ["configuration", "international", "management", "responsibility"]
+    rng = random.Random(6)
+    own = [" ".join(rng.choices(words, k=10)) + " token=" + "".join(rng.choices("abcdef0123456789", k=30)) for _ in range(40)]
+    single = docs_of(spark, own)
+    first = texts.smallest_ids(single, 1).first()
+    expected = secret_scan.fit_secrets(single, sample_rows=10)
+    repeated = single.unionByName(spark.createDataFrame([tuple(first)] * 60, DOCS))
+    assert secret_scan.fit_secrets(repeated, sample_rows=10) == expected
+
+
 def test_secret_scan_is_native(spark):
     df = docs_of(spark, ["token=abcdefgh"])
     plan = secret_scan.scan_secrets(df, secret_scan.SecretModel([0.0] * 67 * 67))._jdf.queryExecution().executedPlan().toString()

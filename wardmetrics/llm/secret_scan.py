@@ -102,7 +102,7 @@ def fit_secrets(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, key: str = "doc
     (at most two for each pair of the alphabet) reach the driver. Without samples
     the models are uniform and no candidate is called a secret.
     """
-    chosen = smallest_ids(docs.select(F.col(key).alias("_key")), sample_rows, "_key").distinct()
+    chosen = smallest_ids(docs.select(F.col(key).alias("_key")).distinct(), sample_rows, "_key")
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key")
     texts = written(texts.filter(F.col("text").isNotNull()).groupBy("_key").agg(F.min("text").alias("text")).select("text"), "secret-sample")
     values, rest = [], F.col("text")
