@@ -246,6 +246,15 @@ def test_word_vectors_cover_unlabelled_texts(spark):
     assert (np.abs(net.vectors[buckets]).sum(1) > 0).all()
 
 
+def test_neighbour_sums_by_pieces_equal_the_whole():
+    rng = np.random.default_rng(1)
+    words, row, index = rng.integers(0, 50, 203), np.repeat(np.arange(7), 29), quality_net.index_vectors(50, 8)
+    (_, whole), = quality_net.neighbour_sums(words, row, index)
+    for piece in (1, 2, 3, 64):
+        own, near = zip(*quality_net.neighbour_sums(words, row, index, piece))
+        assert np.array_equal(np.concatenate(own), words) and np.array_equal(np.concatenate(near), whole)
+
+
 # --- quality rules
 
 def counts_by_force(text):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +19,8 @@ BUCKETS = 1 << 15
 DIMENSIONS = 64
 NONZERO = 4
 WINDOW = 2
+# Neighbours are summed for so many words at a time.
+PIECE_TOKENS = 1 << 14
 HIDDEN = 32
 # Pooled figures beside the mean vector.
 POOLED = 5
@@ -113,6 +116,19 @@ def pooled(block: Block, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
+def neighbour_sums(words: np.ndarray, row: np.ndarray, index: np.ndarray, piece: int = PIECE_TOKENS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Words and the sums of their neighbours' index vectors, ``piece`` words at a time: a long text needs no more memory."""
+    for first in range(0, len(words), piece):
+        begin, last = max(first - WINDOW, 0), min(first + piece, len(words))
+        w, r = words[begin : last + WINDOW], row[begin : last + WINDOW]
+        near = np.zeros((len(w), index.shape[1]), np.float32)
+        for step in range(1, WINDOW + 1):
+            same = (r[step:] == r[:-step])[:, None]
+            near[step:] += same * index[w[:-step]]
+            near[:-step] += same * index[w[step:]]
+        yield words[first:last], near[first - begin : last - begin]
+
+
 def learn_vectors(docs: DataFrame, buckets: int = BUCKETS, dimensions: int = DIMENSIONS) -> np.ndarray:
     """Context vectors of all words of ``docs`` (column ``text``), summed over Spark tasks.
 
@@ -132,13 +148,9 @@ def learn_vectors(docs: DataFrame, buckets: int = BUCKETS, dimensions: int = DIM
             if not len(words):
                 continue
             row = np.repeat(np.arange(len(block)), np.diff(first))
-            near = np.zeros((len(words), dimensions), np.float32)
-            for step in range(1, WINDOW + 1):
-                same = (row[step:] == row[:-step])[:, None]
-                near[step:] += same * index[words[:-step]]
-                near[:-step] += same * index[words[step:]]
-            for d in range(dimensions):
-                total[:, d] += np.bincount(words, near[:, d], buckets)
+            for own, near in neighbour_sums(words, row, index):
+                for d in range(dimensions):
+                    total[:, d] += np.bincount(own, near[:, d], buckets)
             seen += np.bincount(words, minlength=buckets)
         found = np.flatnonzero(seen)
         values = pa.FixedSizeListArray.from_arrays(pa.array(total[found].ravel().astype(np.int64)), dimensions).cast(pa.list_(pa.int64()))
