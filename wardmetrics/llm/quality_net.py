@@ -153,8 +153,9 @@ def learn_vectors(docs: DataFrame, buckets: int = BUCKETS, dimensions: int = DIM
                     total[:, d] += np.bincount(own, near[:, d], buckets)
             seen += np.bincount(words, minlength=buckets)
         found = np.flatnonzero(seen)
-        values = pa.FixedSizeListArray.from_arrays(pa.array(total[found].ravel().astype(np.int64)), dimensions).cast(pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(seen[found]), values], names=["bucket", "n", "v"])
+        for some in np.split(found, range(4096, len(found), 4096)):
+            values = pa.FixedSizeListArray.from_arrays(pa.array(total[some].ravel().astype(np.int64)), dimensions).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some]), values], names=["bucket", "n", "v"])
 
     parts = docs.select("text").mapInArrow(run, "bucket long, n long, v array<long>")
     sums = [F.sum(F.col("v")[d]).alias(f"v{d}") for d in range(dimensions)]
