@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmetrics.llm import language, mixing, outliers, pieces, quality_net, secret_scan, sharding, simhash, suffixes, topk
+from wardmetrics.llm import language, mixing, outliers, pieces, prefix_trie, quality_net, secret_scan, sharding, simhash, spelling, suffixes, topk, warc
 from wardmetrics.llm.texts import remainder
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -77,6 +77,19 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents"), digests=True)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.archived(table(spark, folder, "pages"))
+    return found.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 MIX_SQL = r"""WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
 weighed AS (
@@ -130,6 +143,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_repeats": op10_repeats,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_warc": op12_warc,
+    "op13_spelling": op13_spelling,
 }
 TOPK_SQL = """WITH grown AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
@@ -140,4 +156,71 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
-SQL = {"op4_topk": TOPK_SQL, "op6_sharding": SHARD_SQL, "op8_mixing": MIX_SQL}
+# The remainders of the CRC-32 polynomial by byte, and the checksum of the bytes ``b`` from them.
+CRC_TABLE = """polynomial AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS t
+    FROM range(256) r(i))"""
+CRC = "xor(list_reduce([4294967295::BIGINT] || b, lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295)"
+
+TRIE_SQL = f"""WITH {CRC_TABLE},
+turns AS (
+    SELECT conv_id AS c, coalesce(text, '') AS txt, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS s, turn
+    FROM conversations WHERE conv_id IS NOT NULL),
+ranked AS (SELECT c, s, length(txt) AS chars, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, s) AS p FROM turns),
+ids AS (
+    SELECT c, {CRC} % 6 AS h
+    FROM (SELECT DISTINCT c, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT) AS b FROM turns), polynomial),
+parts AS (
+    SELECT ids.c, 0 AS half, p, s, chars FROM ids JOIN ranked ON ranked.c = ids.c - ids.c % 100 AND p <= h
+    UNION ALL SELECT ids.c, 1, p, s, chars FROM ids JOIN ranked ON ranked.c = ids.c AND p > h),
+built AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY half, p) AS d, s, chars FROM parts),
+prefixes AS (
+    SELECT c, d, chars, string_agg(s, '') OVER (PARTITION BY c ORDER BY d) AS k FROM built
+    UNION ALL SELECT c, 0, 0, '' FROM ids),
+nodes AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM prefixes GROUP BY d, k),
+children AS (SELECT d - 1 AS d, left(k, length(k) - 64) AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (d, k)),
+totals AS (
+    SELECT prefixes.d, prefixes.k, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * counted.chars)::BIGINT AS saved_tokens
+    FROM counted JOIN prefixes ON prefixes.c = counted.conv_id AND prefixes.d <= counted.d GROUP BY ALL),
+lengths AS (SELECT c, max(d) AS d FROM prefixes GROUP BY c),
+ends AS (
+    SELECT d, k, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends_sha256 FROM prefixes JOIN lengths USING (c, d) GROUP BY d, k)
+SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM counted n JOIN totals USING (d, k) LEFT JOIN ends USING (d, k)
+LEFT JOIN nodes up ON up.d = n.d - 1 AND up.k = left(n.k, greatest(length(n.k) - 64, 0))"""
+
+WARC_SQL = """WITH paid AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
+ranked AS (
+    SELECT page_id, p, strlen(p) AS payload_bytes, row_number() OVER same AS r, first_value(page_id) OVER same AS top
+    FROM paid WINDOW same AS (PARTITION BY p ORDER BY page_id DESC NULLS LAST))
+SELECT page_id, payload_bytes, sha1(p) AS payload_digest, CASE WHEN payload_bytes >= 1000 AND r > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND r > 1 THEN top END AS refers_to
+FROM ranked"""
+
+SPELLING_SQL = f"""WITH RECURSIVE {CRC_TABLE},
+runs AS (
+    SELECT key, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS m
+    FROM (SELECT coalesce(doc_id::VARCHAR, '') AS key, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (
+    SELECT w, m, {CRC} AS h
+    FROM (SELECT w, m, flatten(list_transform(string_split(key || ':' || w, ''), lambda x: CASE WHEN ord(x) >= 192 THEN [195::BIGINT, ord(x)::BIGINT - 64] ELSE [ord(x)::BIGINT] END)) AS b
+          FROM runs WHERE length(w) >= 5), polynomial),
+words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, sum(m)::BIGINT AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND n >= 3),
+shorter AS (SELECT word, p, left(word, p::INT - 1) || substr(word, p::INT + 1) AS v FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words)),
+pairs AS (
+    SELECT a.word AS a, b.word AS b FROM shorter a JOIN shorter b ON a.p = b.p AND a.v = b.v AND a.word <> b.word
+    UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.v = w.word
+    UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.v = w.word),
+near AS (SELECT a AS word, count(*) AS n_near, min((-n, b)) AS best FROM pairs JOIN words ON b = word GROUP BY a),
+formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 2 * n THEN best[2] END AS form, CASE WHEN -best[1] >= 2 * n THEN -best[1] END AS form_n
+    FROM words LEFT JOIN near USING (word)),
+steps AS (
+    SELECT word, word AS at FROM formed
+    UNION ALL SELECT steps.word, formed.form FROM steps JOIN formed ON steps.at = formed.word WHERE formed.form IS NOT NULL)
+SELECT f.word, f.form, g.word AS root, f.n, f.n_near, f.form_n FROM formed f JOIN steps ON f.word = steps.word JOIN formed g ON steps.at = g.word AND g.form IS NULL"""
+
+SQL = {"op4_topk": TOPK_SQL, "op6_sharding": SHARD_SQL, "op8_mixing": MIX_SQL, "op11_prefix_trie": TRIE_SQL, "op12_warc": WARC_SQL, "op13_spelling": SPELLING_SQL}
