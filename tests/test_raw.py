@@ -1,3 +1,7 @@
+import csv
+import json
+import random
+from contextlib import contextmanager
 from datetime import datetime
 
 import pytest
@@ -5,7 +9,9 @@ from conftest import rows
 
 from wardmetrics.operators.filters import keep_values
 from wardmetrics.operators.reshape import unpivot_years
-from wardmetrics.sources.events import scan_events
+from pyspark.sql import functions as F
+
+from wardmetrics.sources.events import array_objects, scan_events, sound_files
 from wardmetrics.sources.raw import IngestReport, RawSource, extract, grid_width, layout, left_out, scan_raw, skeleton, with_audit
 
 SHEET = '''Title row,,
@@ -178,3 +184,136 @@ def test_layout_without_an_end_and_what_a_range_leaves_out(spark, tmp_path):
     assert rows(extract(raw, closed).select("n")) == [(2,), (3,), (4,)]
     assert rows(left_out(raw, closed).select("before", "behind")) == [(2, 5)]
     assert rows(left_out(raw, open_end).select("before", "behind")) == [(2, 0)]
+
+
+@pytest.mark.parametrize("select", [["*"], ["col_1", "col_2"], ["_row_number"]])
+@pytest.mark.parametrize("record", ["4,5,6,,8", "4,5,6,7,8", "4,5,6,", '"4,4",5,6,"7"'])
+def test_a_wide_record_ends_the_job_whatever_is_read(spark, tmp_path, record, select):
+    (tmp_path / "f.csv").write_text(f"1,2,3\n{record}\n")
+    for lines in (False, True):
+        raw = scan_raw(spark, [RawSource(str(tmp_path / "f.csv"), "t", "2020")], width=3, multi_line=lines)
+        with pytest.raises(Exception, match="wider than 3"):
+            raw.select(*select).collect()
+        spec = layout("t", 1, 3, [(1, "b")])
+        with pytest.raises(Exception, match="wider than 3"):
+            extract(raw, spec).collect()
+
+
+def test_records_as_wide_as_given_and_quotes_inside_cells(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('1,2,3\n"a,b",5" pipe,"6 ""x"", y"\n7\n\n')
+    raw = scan_raw(spark, [RawSource(str(tmp_path / "f.csv"), "t", "2020")], width=3)
+    assert rows(raw, "col_0", "col_1", "col_2") == [("1", "2", "3"), ("7", None, None), ("a,b", '5" pipe', '6 "x", y')]
+
+
+# ---- files cut anywhere
+
+@contextmanager
+def splits_of(spark, size):
+    names = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def quoted_file(path, rng, end):
+    cells = ['"a\nb, ""q""\n\nc"', '"x,y"', "", 'in 5" pipe', '"' + "long\n" * 40 + '"', '"open, ""', "7", '""', "plain text"]
+    cells[5] = '"say ""yes"""'
+    with open(path, "w", newline="") as out:
+        for i in range(60):
+            out.write(",".join([str(i), *rng.choices(cells, k=rng.randint(0, 4))]).replace("\n", end) + end)
+            if rng.random() < 0.1:
+                out.write(end)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [53, 900, 10_000_000])
+def test_quoted_files_cut_anywhere_read_as_if_whole(spark, tmp_path, size, end):
+    rng = random.Random(size)
+    paths = [str(tmp_path / f"f{i}.csv") for i in range(3)]
+    for path in paths:
+        quoted_file(path, rng, end)
+    with splits_of(spark, size):
+        raw = scan_raw(spark, [RawSource(p, f"t{i}", str(i)) for i, p in enumerate(paths)], multi_line=True, null_cells=())
+        cells = [c for c in raw.columns if c.startswith("col_")]
+        found = {}
+        for r in raw.select("_source_file", "_row_number", *cells).collect():
+            found[r[0], r[1]] = [c or "" for c in r[2:]]
+    for i, path in enumerate(paths):
+        with open(path, newline="") as text:
+            expected = [r for r in csv.reader(text) if r]
+        got = [found[f"t{i}", n] for n in range(len(expected))]
+        assert [[c.replace("\r\n", "\n") for c in g[: len(e)]] for g, e in zip(got, expected)] == [[c.replace("\r\n", "\n") for c in e] for e in expected]
+    assert len(found) == 180
+
+
+def test_ranges_give_the_cells_and_numbers_of_one_task(spark, tmp_path):
+    quoted_file(tmp_path / "f.csv", random.Random(4), "\n")
+    schema = ", ".join(f"col_{i} string" for i in range(5))
+    whole = spark.read.schema(schema).option("multiLine", True).option("quote", '"').option("escape", '"').csv(str(tmp_path / "f.csv")).coalesce(1)
+    whole = rows(whole.withColumn("_row_number", F.monotonically_increasing_id()))
+    with splits_of(spark, 100):
+        raw = scan_raw(spark, [RawSource(str(tmp_path / "f.csv"), "t")], width=5, multi_line=True, null_cells=())
+        assert rows(raw, "col_0", "col_1", "col_2", "col_3", "col_4", "_row_number") == whole
+
+
+def test_a_cell_longer_than_many_ranges_and_one_left_open(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('1,"' + "x\n" * 3000 + '",2\n3,4,5\n')
+    (tmp_path / "b.csv").write_text('6,7,8\n9,"open\nto the end\n')
+    with splits_of(spark, 64):
+        raw = scan_raw(spark, [RawSource(str(tmp_path / "a.csv"), "a"), RawSource(str(tmp_path / "b.csv"), "b")], width=3, multi_line=True)
+        got = {(r["_source_file"], r["_row_number"]): r["col_1"] for r in raw.collect()}
+    assert got["a", 0] == "x\n" * 3000 and got["a", 1] == "4" and got["b", 0] == "7" and got["b", 1].startswith("open\nto the end") and len(got) == 4
+
+
+def nested(rng, deep=0):
+    kind = rng.randint(0, 6)
+    if kind == 0 and deep < 4:
+        return {"a": nested(rng, deep + 1), "}{": nested(rng, deep + 1)}
+    if kind == 1 and deep < 4:
+        return [nested(rng, deep + 1) for _ in range(rng.randint(0, 3))]
+    return rng.choice([1, None, "x}y", "{[", 'q"}\\', "\\\\", "é]}", "long " * rng.randint(0, 40)])
+
+
+@pytest.mark.parametrize("size", [41, 700, 10_000_000])
+def test_array_files_cut_anywhere(spark, tmp_path, size):
+    rng = random.Random(size)
+    expected = {}
+    for i, n in enumerate((0, 1, 30, 30)):
+        records = [{"id": k, "v": nested(rng)} for k in range(n)] or []
+        (tmp_path / f"f{i}.json").write_text(json.dumps(records, indent=[None, 1][i % 2], ensure_ascii=False) + ["", "\n", " \n "][i % 3])
+        expected[f"f{i}.json"] = records
+    (tmp_path / "long.json").write_text(json.dumps([{"id": 0, "v": "}" * 900}, {"id": 1}]))
+    expected["long.json"] = [{"id": 0, "v": "}" * 900}, {"id": 1}]
+    broken = ['[{"a":1},{oops}]', '[{"a":1}', '[{"a":1}]}', '{"a":1}', '[{"a":1} {"b":2}]', "nope", '[{"a":1},]', '[{"a":"x}]', '[{"a":1}] [{"a":2}]', "[1, 2]", ',{"a":1}]', '[{"a":1}]]']
+    for i, text in enumerate(broken):
+        (tmp_path / f"broken{i}.json").write_text(text)
+    with splits_of(spark, size):
+        objects = array_objects(spark, [str(tmp_path)]).withColumn("f", F.element_at(F.split("_source_path", "/"), -1)).cache()
+        got = {}
+        for r in objects.filter("fate = 'record'").collect():
+            got.setdefault(r["f"], []).append(json.loads(r["record"]))
+        sound = {r["_source_path"].rsplit("/", 1)[1] for r in sound_files(objects).filter("sound").collect()}
+        objects.unpersist()
+    assert sound == set(expected)
+    for name, records in expected.items():
+        assert sorted(got.get(name, []), key=str) == sorted(records, key=str)
+
+
+def test_events_of_large_files_equal_those_read_whole(spark, tmp_path):
+    folder = tmp_path / "year=2024" / "month=03"
+    folder.mkdir(parents=True)
+    rng = random.Random(9)
+    (folder / "Barking & Dagenham.json").write_text(json.dumps([{"id": i, "category": rng.choice(["x}", "[y", None]), "more": nested(rng)} for i in range(300)]))
+    (folder / "A+B.json").write_text('[{"id": 3, "category": "y"}]')
+    (folder / "Broken.json").write_text('[{"id": 3, "category": "y"},' + " " * 2000)
+    columns = ["borough", "id", "category", "year", "month"]
+    whole = rows(scan_events(spark, str(tmp_path)).filter("borough <> 'Broken'"), *columns)
+    with splits_of(spark, 500):
+        split = scan_events(spark, str(tmp_path), whole_bytes=1000)
+        assert rows(split.filter("borough <> 'Broken'"), *columns) == whole and len(whole) == 301
+        assert rows(split.filter("borough = 'Broken'"), *columns) == [("Broken", None, None, 2024, 3)]

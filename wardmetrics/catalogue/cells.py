@@ -145,6 +145,32 @@ def raw_scan(spark, folder):
     return raw_orders(spark, folder)
 
 
+# Records of one file whose cells hold line breaks; a file is read in as many ranges as it has splits.
+_LARGE_BLOCK = 1_000_000
+
+
+@query("col_0:s col_1:s col_2:s col_3:s _row_number:l year_name:s", f"""cells AS (SELECT o_orderkey, floor(o_orderkey / {_LARGE_BLOCK}) AS source, CAST(o_orderkey AS VARCHAR) AS col_0,
+    'status "' || o_orderstatus || '",' || chr(10) || chr(10) || o_orderpriority AS col_1, CASE WHEN o_custkey % 7 = 0 THEN 'in 5" steps' ELSE CAST(o_custkey AS VARCHAR) END AS col_2,
+    CASE WHEN o_custkey % 5 > 0 THEN repeat('x' || chr(10), CAST(o_custkey % 40 AS INTEGER)) || 'end' END AS col_3 FROM orders),
+q AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY o_orderkey) - 1 AS _row_number, '2026' AS year_name FROM cells)""")
+def raw_scan_multiline(spark, folder):
+    """Files whose quoted cells hold line breaks, read in ranges: cells, and each record's number in its file."""
+    path = scratch_path(spark, "multiline-csv")
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+
+    def quoted(text):
+        return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    line = F.concat_ws(
+        ",", key.cast("string"), quoted(F.concat(F.lit('status "'), "o_orderstatus", F.lit('",\n\n'), "o_orderpriority")),
+        F.when(customer % 7 == 0, F.lit('in 5" steps')).otherwise(customer.cast("string")),
+        F.when(customer % 5 > 0, quoted(F.concat(F.repeat(F.lit("x\n"), (customer % 40).cast("int")), F.lit("end")))).otherwise(F.lit("")),
+    )
+    text = table(spark, folder, "orders").select(F.floor(key / _LARGE_BLOCK).alias("source"), key, line.alias("line"))
+    text.repartition("source").sortWithinPartitions("source", "o_orderkey").select("source", "line").write.partitionBy("source").text(path)
+    return scan_raw(spark, [RawSource(path, "orders", "2026")], width=4, multi_line=True)
+
+
 _ORDER_LAYOUT_FIELDS = [
     (0, "id", "INTEGER"),
     (2, "date", "DATETIME"),

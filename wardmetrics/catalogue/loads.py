@@ -15,7 +15,7 @@ from wardmetrics.plans.layers import run_event_silver
 from wardmetrics.session import scratch_path, written
 from wardmetrics.sinks.upsert import upsert_version
 from wardmetrics.sinks.writers import append_events, export_table, load_table, write_latest, write_layer
-from wardmetrics.sources.events import scan_events
+from wardmetrics.sources.events import array_objects, folder_number, scan_events
 from wardmetrics.sources.polygons import scan_geojson
 from wardmetrics.sources.raw import RawSource, scan_raw
 from wardmetrics.sources.tables import read_layer
@@ -125,6 +125,33 @@ def json_rollup(spark, folder):
     return monthly_counts(scan_events(spark, _publish_events(spark, folder)))
 
 
+# Records of one large array file.
+_LARGE_FILE_RECORDS = 200_000
+
+
+@query("year:i month:i unit:l category:s n:l total:d2 last_id:l", f"""q AS (SELECT year(ts) AS year, month(ts) AS month, CAST(floor(event_id / {_LARGE_FILE_RECORDS}) AS BIGINT) AS unit,
+    event_type AS category, count(*) AS n, sum(value) AS total, max(event_id) AS last_id FROM events GROUP BY ALL)""")
+def json_array_split(spark, folder):
+    """Large array files read in ranges: objects with nested values and brackets in their texts, summed by folder."""
+    path = scratch_path(spark, "array-files")
+    place = ["year", "month", "unit"]
+    events = table(spark, folder, "events").select(
+        F.year("ts").alias("year"), F.month("ts").alias("month"), F.floor(F.col("event_id") / _LARGE_FILE_RECORDS).alias("unit"), F.col("event_id").alias("id"),
+        F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("category"), "value", F.struct("props", F.lit('}],"{').alias("note")).alias("more"))).alias("record"),
+    )
+    firsts = events.groupBy(*[F.col(c).alias(f"_{c}") for c in place]).agg(F.min("id").alias("_first"))
+    joined = events.join(firsts, [events[c] == firsts[f"_{c}"] for c in place])
+    lines = joined.select(*place, F.lit(0).alias("closing"), "id", F.concat(F.when(F.col("id") == F.col("_first"), F.lit("[")).otherwise(F.lit(",")), "record").alias("line"))
+    ends = firsts.select(*[F.col(f"_{c}").alias(c) for c in place], F.lit(1).alias("closing"), F.lit(0).cast("bigint").alias("id"), F.lit("]").alias("line"))
+    ordered = lines.unionByName(ends).repartition(*place).sortWithinPartitions(*place, "closing", "id")
+    ordered.select(*place, "line").write.partitionBy(*place).text(path)
+    objects = array_objects(spark, [path]).filter("fate <> 'end'")
+    one = F.from_json("record", "id bigint, category string, value double")
+    where = F.col("_source_path")
+    parsed = objects.select(folder_number(where, "year").alias("year"), folder_number(where, "month").alias("month"), folder_number(where, "unit").cast("bigint").alias("unit"), one.alias("e"))
+    return parsed.groupBy(*place, F.col("e.category").alias("category")).agg(F.count(F.lit(1)).alias("n"), F.sum("e.value").alias("total"), F.max("e.id").alias("last_id"))
+
+
 @query("year:i borough:s category:s total_count:l months_present:l annualised_rate:d4 analytical_category:s", f"""monthly AS (SELECT year(ts) AS year, {_MONTH_SQL} AS month,
     {_ENTITY_SQL} AS borough, event_type AS category, count(*) AS n FROM events GROUP BY ALL),
 q AS (SELECT year, borough, category, sum(n) AS total_count, count(DISTINCT month) AS months_present, sum(n) * 12.0 / count(DISTINCT month) AS annualised_rate,

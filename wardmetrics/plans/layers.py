@@ -15,6 +15,7 @@ from wardmetrics.operators.joins import merge, merge_yearly
 from wardmetrics.operators.reshape import union_all
 from wardmetrics.plans.domains import BUDGET_LAYOUT, CRIME_GROUPS, HOUSING_YEARS
 from wardmetrics.plans.gold import RunReport
+from wardmetrics.session import written as stored
 from wardmetrics.sinks.writers import layer_path, load_table, write_layer
 from wardmetrics.sources.events import scan_events
 from wardmetrics.sources.raw import IngestReport, Layout, RawSource, extract, scan_raw
@@ -57,7 +58,8 @@ def run_bronze(
 
     ``widths`` names the cells of a record by table and saves the pass that finds
     them; ``multi_line`` is for all tables or names those whose cells hold line
-    breaks. A table that cannot be read is reported and the others go on.
+    breaks. A source that cannot be read is reported, and the other sources of its
+    table and the other tables go on.
     """
     report = RunReport()
     by_table: dict[str, list[RawSource]] = {}
@@ -67,8 +69,13 @@ def run_bronze(
         ingest = IngestReport()
         try:
             lines = multi_line if isinstance(multi_line, bool) else table in multi_line
-            raw = scan_raw(spark, group, (widths or {}).get(table), lines, report=ingest)
-            path = write_layer(raw, layer_path(root, "bronze", domain, table), "year_name", ["_row_number"])
+            path = layer_path(root, "bronze", domain, table)
+            try:
+                write_layer(scan_raw(spark, group, (widths or {}).get(table), lines, report=ingest), path, "year_name", ["_row_number"])
+            except PySparkException:
+                # One of the sources is at fault: each is read apart, and the sound ones make the table.
+                ingest = IngestReport()
+                write_layer(_sound_sources(spark, group, (widths or {}).get(table), lines, ingest, report), path, "year_name", ["_row_number"])
         except FileNotFoundError:
             report.missing += [s.path for s in group]
             continue
@@ -81,6 +88,26 @@ def run_bronze(
     return report
 
 
+def _sound_sources(spark: SparkSession, group: Sequence[RawSource], width: int | None, lines: bool, ingest: IngestReport, report: RunReport) -> DataFrame:
+    """The sources that can be read, as one table as wide as the widest; the others go to the report."""
+    parts, failure = [], None
+    for source in group:
+        try:
+            parts.append(stored(scan_raw(spark, [source], width, lines, report=ingest), "bronze-source"))
+        except FileNotFoundError:
+            continue
+        except PySparkException as error:
+            failure = error
+            report.notes.append(f"{source.table} {source.path} not read: {error}")
+    if not parts:
+        raise failure or FileNotFoundError(f"none of the {len(group)} sources exists")
+    widest = max(parts, key=lambda p: len(p.columns)).columns
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked.select(*widest)
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """A bronze table with its columns in file order."""
     raw = spark.read.parquet(path)

@@ -8,11 +8,11 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wardmetrics.functions.cast import LOGICAL_TYPES, NULL_TOKENS, READER_NULL_TOKENS, cast_columns
+from wardmetrics.sources.ranges import CellRecords, range_records
 
 AUDIT_COLUMNS = ("_source_file", "_sheet_name", "_ingested_at", "_row_number")
 NO_SHEET = "na"
@@ -78,10 +78,6 @@ class IngestReport:
     skipped: list[tuple] = field(default_factory=list)
 
 
-def grid_schema(width: int) -> T.StructType:
-    return T.StructType([T.StructField(f"col_{i}", T.StringType()) for i in range(width)])
-
-
 def _hadoop_path(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -98,49 +94,64 @@ def file_uris(spark: SparkSession, path: str) -> list[str]:
     return [re.sub("^file:/+", "file:/", name) for name in spark.read.text(path).inputFiles()]
 
 
-def grid_width(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> int:
-    """Width of the widest record over all files.
+# A cell that begins with a quote, to its closing one. Quotes inside an unquoted cell are text.
+_QUOTED_CELL = r'(^|,)"[^"]*+(?:""[^"]*+)*+'
+
+_CELL_OPTIONS = {"header": "false", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
+def _separators(record: Column) -> Column:
+    """Separators of a record outside its quoted cells."""
+
+    def commas(text: Column) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
 
-    Quoted stretches are cut out first, so the separators left are exactly the
-    record's own. One aggregate over the text; a single number reaches the driver.
+    return F.when(F.contains(record, F.lit('"')), commas(F.regexp_replace(record, _QUOTED_CELL, "$1"))).otherwise(commas(record))
+
+
+def scan_records(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
+    """``_record`` (text), ``_source_path`` and 0-based ``_row_number`` of every record that is not blank.
+
+    A record is a line, or with ``multi_line`` a line whose quoted cells may hold
+    line breaks; then lines end in ``\\n`` or ``\\r\\n``, and breaks inside cells
+    stay as they are. Either way a file is read by as many tasks as it has splits.
     """
-    text = spark.read.text(list(paths), wholetext=multi_line)
-    bare = F.regexp_replace("value", '"[^"]*"', "")
+    if multi_line:
+        found = range_records(spark, paths, CellRecords)
+        return found.select(F.regexp_replace("value", r"\r$", "").alias("_record"), "_source_path", F.col("_row").alias("_row_number"))
+    return number_rows(spark.read.text(list(paths)).filter(F.col("value").rlike(r"[^\x00-\x20]"))).withColumnRenamed("value", "_record")
 
-    def separators(line):
-        return F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
 
-    widest = F.array_max(F.transform(F.split(bare, "\n"), separators)) if multi_line else separators(bare)
-    found = text.agg(F.max(widest)).first()[0]
+def grid_width(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> int:
+    """Width of the widest record over all files: one aggregate over the text; a single number reaches the driver."""
+    if multi_line:
+        records = range_records(spark, paths, CellRecords)
+    else:
+        records = spark.read.text(list(paths))
+    found = records.agg(F.max(_separators(F.col("value")))).first()[0]
     return int(found or 0) + 1
 
 
-def _read_grid(spark: SparkSession, paths: Sequence[str], width: int, multi_line: bool) -> DataFrame:
-    # One column more than the grid has: a record that reaches it is wider, and ends the job instead of losing cells.
-    return (
-        spark.read.schema(grid_schema(width + 1))
-        .option("header", False)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(list(paths))
-    )
+def _within_width(records: DataFrame, width: int) -> DataFrame:
+    """A wider record ends the job. A filter, which no column choice removes, over the text, so that empty cells count too."""
+    told = F.raise_error(F.concat(F.lit(f"a record is wider than {width} cells: "), F.col("_source_path"), F.lit(", record "), F.col("_row_number"))).cast("boolean")
+    return records.filter(F.when(_separators(F.col("_record")) < width, F.lit(True)).otherwise(told))
 
 
-def _within_width(grid: DataFrame, width: int) -> DataFrame:
-    told = F.raise_error(F.concat(F.lit(f"a record is wider than {width} cells: "), F.col("_source_path"))).cast("string")
-    checked = grid.withColumn("col_0", F.when(F.col(f"col_{width}").isNotNull(), told).otherwise(F.col("col_0")))
-    return checked.drop(f"col_{width}")
+def _cells(records: DataFrame, width: int) -> DataFrame:
+    schema = ", ".join(f"col_{i} string" for i in range(width))
+    split = records.select("_source_path", "_row_number", F.from_csv("_record", schema, _CELL_OPTIONS).alias("_cells"))
+    return split.select(*[F.col(f"_cells.col_{i}") for i in range(width)], "_source_path", "_row_number")
 
 
 def number_rows(grid: DataFrame) -> DataFrame:
     """Add ``_source_path`` and the 0-based ``_row_number`` of each row in its file.
 
-    ``grid`` must be a plain file scan. Rows keep their scan order inside a file
-    split, so a row's number is its place in the split plus the rows of the
-    file's earlier splits. Only the split counts are shuffled (one record per
-    split), never the rows, and no file is gathered into one task.
+    ``grid`` must be a file scan, filtered at most. Rows keep their scan order
+    inside a file split, so a row's number is its place in the split plus the rows
+    of the file's earlier splits. Only the split counts are shuffled (one record
+    per split), never the rows, and no file is gathered into one task. Where two
+    scans of one job split a file differently the job ends; it can be run again.
     """
     data = list(grid.columns)
     scan = grid.select(
@@ -156,8 +167,9 @@ def number_rows(grid: DataFrame) -> DataFrame:
     offsets = blocks.select(
         "_source_path", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    return scan.join(offsets, ["_source_path", "_block"]).select(
-        *data, "_source_path", (F.col("_scan_id") + F.col("_shift")).alias("_row_number")
+    told = F.raise_error(F.lit("the splits of a file changed between two scans; run the job again")).cast("bigint")
+    return scan.join(offsets, ["_source_path", "_block"], "left").select(
+        *data, "_source_path", (F.col("_scan_id") + F.coalesce("_shift", told)).alias("_row_number")
     )
 
 
@@ -206,7 +218,7 @@ def scan_raw(
     A missing source is reported and skipped, the others are read. Rows carry
     ``year_name`` of their source, and (source, sheet, year) stays apart even
     where two sheets share one year. Give ``width`` to save the pass that finds
-    it; a record wider than that ends the job.
+    it; a record wider than that ends the job, whichever columns are read.
     """
     report = report if report is not None else IngestReport()
     found = []
@@ -220,7 +232,7 @@ def scan_raw(
         raise FileNotFoundError(f"none of the {len(sources)} sources exists")
     paths = [src.path for src in found]
     width = width or grid_width(spark, paths, multi_line)
-    numbered = _within_width(number_rows(_read_grid(spark, paths, width, multi_line)), width)
+    numbered = _cells(_within_width(scan_records(spark, paths, multi_line), width), width)
     cells = [f"col_{i}" for i in range(width)]
     if null_cells:
         numbered = numbered.withColumns({c: F.when(~F.col(c).isin(*null_cells), F.col(c)) for c in cells})
