@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmetrics.llm.texts import SPACE, Block, per_block, smallest_ids
+from wardmetrics.llm.texts import SPACE, Block, blocks, per_block, smallest_ids
 from wardmetrics.session import written
 
 # At most so many labelled rows are learned from.
@@ -138,8 +138,6 @@ def learn_vectors(docs: DataFrame, buckets: int = BUCKETS, dimensions: int = DIM
     """
 
     def run(batches):
-        from wardmetrics.llm.texts import blocks
-
         index = index_vectors(buckets, dimensions)
         total = np.zeros((buckets, dimensions), np.float64)
         seen = np.zeros(buckets, np.int64)
