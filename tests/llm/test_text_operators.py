@@ -246,13 +246,20 @@ def test_word_vectors_cover_unlabelled_texts(spark):
     assert (np.abs(net.vectors[buckets]).sum(1) > 0).all()
 
 
-def test_neighbour_sums_by_pieces_equal_the_whole():
+def test_neighbour_sums_by_pieces_equal_brute_force():
     rng = np.random.default_rng(1)
-    words, row, index = rng.integers(0, 50, 203), np.repeat(np.arange(7), 29), quality_net.index_vectors(50, 8)
-    (_, whole), = quality_net.neighbour_sums(words, row, index)
-    for piece in (1, 2, 3, 64):
-        own, near = zip(*quality_net.neighbour_sums(words, row, index, piece))
-        assert np.array_equal(np.concatenate(own), words) and np.array_equal(np.concatenate(near), whole)
+    words, row = rng.integers(0, 50, 203), np.repeat(np.arange(7), 29)
+    places, signs = quality_net.index_entries(50, 8)
+    expected = np.zeros((50, 8))
+    for i in range(len(words)):
+        for j in range(max(i - quality_net.WINDOW, 0), min(i + quality_net.WINDOW + 1, len(words))):
+            if i != j and row[i] == row[j]:
+                np.add.at(expected[words[i]], places[words[j]], signs[words[j]])
+    for piece in (1, 2, 3, 64, 1000):
+        total = np.zeros(400)
+        for at, sign in quality_net.neighbour_sums(words, row, (places, signs), 8, piece):
+            np.add.at(total, at, sign)
+        assert np.array_equal(total.reshape(50, 8), expected)
 
 
 # --- quality rules

@@ -20,7 +20,7 @@ DIMENSIONS = 64
 NONZERO = 4
 WINDOW = 2
 # Neighbours are summed for so many words at a time.
-PIECE_TOKENS = 1 << 14
+PIECE_TOKENS = 1 << 15
 HIDDEN = 32
 # Pooled figures beside the mean vector.
 POOLED = 5
@@ -65,14 +65,14 @@ def token_buckets(block: Block, buckets: int = BUCKETS) -> tuple[np.ndarray, np.
     return (h % np.uint64(buckets)).astype(np.int64), np.searchsorted(starts, block.offsets)
 
 
-def index_vectors(buckets: int = BUCKETS, dimensions: int = DIMENSIONS, seed: int = 5) -> np.ndarray:
-    """Sparse random index vectors: a few entries of +1 or -1 for each bucket."""
+def index_entries(buckets: int = BUCKETS, dimensions: int = DIMENSIONS, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Sparse random index vectors: for each bucket the places of a few entries, and their signs."""
     rng = np.random.default_rng(seed)
-    out = np.zeros((buckets, dimensions), np.float32)
-    rows = np.arange(buckets)
+    places, signs = [], []
     for _ in range(NONZERO):
-        out[rows, rng.integers(0, dimensions, buckets)] += rng.choice(np.array([-1, 1], np.float32), buckets)
-    return out
+        places.append(rng.integers(0, dimensions, buckets))
+        signs.append(rng.choice(np.array([-1, 1], np.float32), buckets))
+    return np.stack(places, 1), np.stack(signs, 1).astype(np.float64)
 
 
 @dataclass
@@ -116,17 +116,21 @@ def pooled(block: Block, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def neighbour_sums(words: np.ndarray, row: np.ndarray, index: np.ndarray, piece: int = PIECE_TOKENS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Words and the sums of their neighbours' index vectors, ``piece`` words at a time: a long text needs no more memory."""
+def neighbour_sums(words: np.ndarray, row: np.ndarray, entries: tuple[np.ndarray, np.ndarray], dimensions: int, piece: int = PIECE_TOKENS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """What neighbours add to the context table, as flat places and signs, ``piece`` words at a time: a long text needs no more memory."""
+    places, signs = entries
     for first in range(0, len(words), piece):
-        begin, last = max(first - WINDOW, 0), min(first + piece, len(words))
-        w, r = words[begin : last + WINDOW], row[begin : last + WINDOW]
-        near = np.zeros((len(w), index.shape[1]), np.float32)
+        last = min(first + piece + WINDOW, len(words))
+        w, r = words[first:last], row[first:last]
+        own, near = [], []
         for step in range(1, WINDOW + 1):
-            same = (r[step:] == r[:-step])[:, None]
-            near[step:] += same * index[w[:-step]]
-            near[:-step] += same * index[w[step:]]
-        yield words[first:last], near[first - begin : last - begin]
+            # Pairs whose left word lies in this piece; the right one may lie behind it.
+            pairs = np.flatnonzero(r[step:][:piece] == r[:-step][:piece])
+            left, right = w[pairs], w[pairs + step]
+            own += [left, right]
+            near += [right, left]
+        own, near = np.concatenate(own), np.concatenate(near)
+        yield (own[:, None] * dimensions + places[near]).ravel(), signs[near].ravel()
 
 
 def learn_vectors(docs: DataFrame, buckets: int = BUCKETS, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -138,19 +142,19 @@ def learn_vectors(docs: DataFrame, buckets: int = BUCKETS, dimensions: int = DIM
     """
 
     def run(batches):
-        index = index_vectors(buckets, dimensions)
-        total = np.zeros((buckets, dimensions), np.float64)
+        entries = index_entries(buckets, dimensions)
+        total = np.zeros(buckets * dimensions, np.float64)
         seen = np.zeros(buckets, np.int64)
         for block in blocks(batches, "text", 1 << 18):
             words, first = token_buckets(block, buckets)
             if not len(words):
                 continue
             row = np.repeat(np.arange(len(block)), np.diff(first))
-            for own, near in neighbour_sums(words, row, index):
-                for d in range(dimensions):
-                    total[:, d] += np.bincount(own, near[:, d], buckets)
+            for at, signs in neighbour_sums(words, row, entries, dimensions):
+                total += np.bincount(at, signs, len(total))
             seen += np.bincount(words, minlength=buckets)
         found = np.flatnonzero(seen)
+        total = total.reshape(buckets, dimensions)
         for some in np.split(found, range(4096, len(found), 4096)):
             values = pa.FixedSizeListArray.from_arrays(pa.array(total[some].ravel().astype(np.int64)), dimensions).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some]), values], names=["bucket", "n", "v"])
