@@ -96,8 +96,8 @@ def brute_force(ring_sets, x, y):
     return inside
 
 
-@pytest.mark.parametrize("cell", [0.3, 1.0, 50.0])
-def test_points_in_polygons_against_brute_force(spark, cell):
+@pytest.mark.parametrize("unit", [1.0, 1e5, 1e-7])
+def test_points_in_polygons_against_brute_force(spark, unit, monkeypatch):
     rnd = random.Random(3)
     polygons = []
     for p in range(12):
@@ -105,10 +105,16 @@ def test_points_in_polygons_against_brute_force(spark, cell):
         turns = sorted(rnd.uniform(0, 2 * math.pi) for _ in range(rnd.randint(3, 9)))
         polygons.append((p, [(cx + r * rnd.uniform(0.4, 1) * math.cos(t), cy + r * rnd.uniform(0.4, 1) * math.sin(t)) for t in turns]))
     polygons.append((99, [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (-1.0, 1.0)]))
+    # A star of 300 corners and a dot-sized square beside it: quadtrees of many levels.
+    polygons.append((77, [(5 * rnd.uniform(0.3, 1) * math.cos(t / 300 * math.tau), 5 * rnd.uniform(0.3, 1) * math.sin(t / 300 * math.tau)) for t in range(300)]))
+    polygons.append((88, [(0.5, 0.5), (0.51, 0.5), (0.51, 0.51), (0.5, 0.51)]))
+    polygons = [(p, [(x * unit, y * unit) for x, y in r]) for p, r in polygons]
     layer = ring_layer(spark.createDataFrame([(p, [x for x, _ in r], [y for _, y in r]) for p, r in polygons], "poly int, xs array<double>, ys array<double>"))
-    points = [(i, rnd.uniform(-7, 7), rnd.uniform(-7, 7)) for i in range(400)] + [(900, 1.0, 0.0), (901, 0.0, -1.0), (902, -1.0, -1.0), (903, None, 2.0)]
+    points = [(i, rnd.uniform(-7, 7), rnd.uniform(-7, 7)) for i in range(400)] + [(900, 1.0, 0.0), (901, 0.0, -1.0), (902, -1.0, -1.0), (903, None, 2.0), (904, 0.505, 0.505), (905, 1e30, 1e30)]
+    points = [(i, x if x is None else x * unit, y * unit) for i, x, y in points]
     df = spark.createDataFrame(points, "id int, lon double, lat double")
-    got = set(rows(points_in_polygons(df, layer, ["poly"], cell=cell), "id", "poly"))
+    got = set(rows(points_in_polygons(df, layer, ["poly"]), "id", "poly"))
+    assert set(rows(points_in_polygons(df, layer, ["poly"], how="inner"), "id", "poly")) == {g for g in got if g[1] is not None}
     want = set()
     for i, x, y in points:
         hits = [p for p, r in polygons if x is not None and brute_force([r], x, y)]
@@ -130,7 +136,7 @@ def test_geojson_with_hole_and_multipolygon(spark, tmp_path):
     ]}))
     layer = scan_geojson(spark, str(path), "BOROUGH string, X long", keep=["BOROUGH"])
     df = spark.createDataFrame([(0.5, 0.5), (2.0, 2.0), (10.5, 10.5), (20.8, 20.2), (9.0, 9.0)], "lon double, lat double")
-    got = rows(points_in_polygons(df, layer, ["BOROUGH"], cell=0.7), "lon", "BOROUGH")
+    got = rows(points_in_polygons(df, layer, ["BOROUGH"]), "lon", "BOROUGH")
     assert dict(got) == {0.5: "A", 2.0: None, 10.5: "B", 20.8: "B", 9.0: None}
     with pytest.raises(ValueError):
         points_in_polygons(df.withColumn("BOROUGH", F.lit(1)), layer, ["BOROUGH"])
@@ -159,13 +165,31 @@ def test_points_at_nan_are_in_no_polygon(spark):
     layer = ring_layer(spark.createDataFrame([("A", [-1.0, 1.0, 1.0, -1.0], [-1.0, -1.0, 1.0, 1.0])], "name string, xs array<double>, ys array<double>"))
     nan = float("nan")
     points = spark.createDataFrame([(1, 0.3, 0.3), (2, nan, nan), (3, nan, 0.3), (4, None, 0.3)], "id int, lon double, lat double")
-    for cell in (0.1, 5.0):
-        assert rows(points_in_polygons(points, layer, ["name"], cell=cell).select("id", "name")) == [(1, "A"), (2, None), (3, None), (4, None)]
-        assert rows(points_in_polygons(points, layer, ["name"], cell=cell, how="inner").select("id", "name")) == [(1, "A")]
+    assert rows(points_in_polygons(points, layer, ["name"]).select("id", "name")) == [(1, "A"), (2, None), (3, None), (4, None)]
+    assert rows(points_in_polygons(points, layer, ["name"], how="inner").select("id", "name")) == [(1, "A")]
 
 
-def test_cells_of_the_wrong_unit_are_refused(spark):
-    layer = ring_layer(spark.createDataFrame([("A", [0.0, 1e6, 1e6, 0.0], [0.0, 0.0, 1e6, 1e6])], "name string, xs array<double>, ys array<double>"))
-    points = spark.createDataFrame([(1, 0.3, 0.3)], "id int, lon double, lat double")
-    with pytest.raises(Exception, match="unit"):
-        points_in_polygons(points, layer, ["name"]).collect()
+def test_a_layer_in_metres_needs_no_more_cells_than_one_in_degrees(spark):
+    from wardmetrics.operators.spatial import cover_cells
+
+    ring = [(math.cos(t / 500 * math.tau), math.sin(t / 500 * math.tau)) for t in range(500)]
+    counts = []
+    for unit in (1.0, 1e6, 3e-5):
+        layer = ring_layer(spark.createDataFrame([("A", [x * unit for x, _ in ring], [y * unit for _, y in ring])], "name string, xs array<double>, ys array<double>"))
+        counts.append(cover_cells(layer, ["name"]).count())
+    assert max(counts) <= 4 * min(counts) and max(counts) < 2000
+
+
+def test_layers_without_polygons_and_many_edges_at_one_corner(spark):
+    points = spark.createDataFrame([(1, 0.3, 0.3), (2, 0.7, 0.1)], "id int, lon double, lat double")
+    kinds = "name string, xs array<double>, ys array<double>"
+    empty = ring_layer(spark.createDataFrame([], kinds))
+    assert rows(points_in_polygons(points, empty, ["name"]).select("id", "name")) == [(1, None), (2, None)]
+    assert points_in_polygons(points, empty, ["name"], how="inner").count() == 0
+    nan = float("nan")
+    # A fan of forty spikes that all touch the origin, a ring with a NaN, a ring that is one point.
+    fan = [p for k in range(40) for p in ((0.0, 0.0), (math.cos(k / 30), math.sin(k / 30)), (math.cos(k / 30 + 0.01), math.sin(k / 30 + 0.01)))]
+    layer = ring_layer(spark.createDataFrame([("fan", [x for x, _ in fan], [y for _, y in fan]), ("nan", [0.0, nan, 1.0], [0.0, 1.0, 1.0]), ("dot", [0.3] * 3, [0.3] * 3)], kinds))
+    many = spark.createDataFrame([(i, math.cos(i / 100) * 0.5, math.sin(i / 100) * 0.5) for i in range(150)], "id int, lon double, lat double")
+    got = dict(rows(points_in_polygons(many, layer, ["name"]), "id", "name"))
+    assert got == {i: "fan" if brute_force([fan], math.cos(i / 100) * 0.5, math.sin(i / 100) * 0.5) else None for i in range(150)}

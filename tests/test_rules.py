@@ -156,8 +156,7 @@ def test_yoy_previous_row_strict_and_pad(spark):
 
 
 @pytest.mark.parametrize("fill", [None, "pad"])
-def test_yoy_in_blocks_equals_pandas(spark, fill, monkeypatch):
-    monkeypatch.setattr("wardmetrics.operators.compare.ORDER_BLOCK", 7)
+def test_yoy_over_range_parts_equals_pandas(spark, fill):
     rnd = random.Random(5)
     data = [(rnd.choice("ab"), rnd.randint(2020, 2022), float(i), rnd.choice([None, 1.0, 2.0, 4.0])) for i in range(120)]
     df = spark.createDataFrame(data, "g string, year int, i double, x double")
@@ -259,21 +258,90 @@ def test_median_in_a_conditional_rule(spark):
 def test_rows_are_not_dealt_out_by_the_group_key(spark):
     df = spark.range(1000).selectExpr("id", "cast(id % 5 as string) as g", "cast(id % 2 as string) as kind", "cast(id as double) as x")
     rule = {"filter_column": "kind", "filter_value": ["1"], "group_by": "g", "count_column_name": "n", "aggregations": {"x": {"operation": "sum", "output_name": "t"}}}
-    spec = {"conditional_aggregations": [rule], "calculate_deviation": [{"target_col": "x", "new_avg_col": "m", "new_dev_col": "d", "group_by": ["g"]}]}
-    plan = compute_metrics(df, spec, row_order=True)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") == 2 and not [line for line in plan.splitlines() if "hashpartitioning(g#" in line and ", id#" not in line]
+    deviation = {"calculate_deviation": [{"target_col": "x", "new_avg_col": "m", "new_dev_col": "d", "group_by": ["g"]}]}
+    # Both together: the rows with their group values are written between the two joins.
+    for spec in ({"conditional_aggregations": [rule]}, deviation, {"conditional_aggregations": [rule], **deviation}):
+        plan = compute_metrics(df, spec, row_order=True)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 1 and not [line for line in plan.splitlines() if "hashpartitioning(g#" in line and ", id#" not in line]
 
 
-def test_yearly_changes_refuse_a_gathered_entity(spark, monkeypatch):
-    from wardmetrics.operators import compare
+@pytest.mark.parametrize("fill", [None, "pad"])
+@pytest.mark.parametrize("strict", [False, True])
+def test_yearly_changes_of_one_entity_over_many_parts(spark, fill, strict):
+    rnd = random.Random(11)
+    years = [y for y in range(1, 4000) if rnd.random() < 0.9]
+    data = [("a", y, rnd.choice([None, None, None, 1.0, 2.0, 5.0])) for y in years] + [("b", 1, 3.0), ("b", 2, None), (None, 1, 1.0), (None, 2, 2.0)]
+    df = spark.createDataFrame(data, "g string, year int, x double")
+    changed = add_yoy_changes(df, YOY, strict_year=strict, fill=fill)
+    got = {(r["g"], r["year"]): r["yoy"] for r in changed.collect()}
+    last, known, want = {}, {}, {}
+    for g, y, x in data:
+        now = x if fill is None or x is not None else known.get(g)
+        known[g] = now if fill else known.get(g)
+        before = last.get(g)
+        ok = g is not None and before and before[1] and now is not None and (not strict or before[0] == y - 1)
+        want[g, y] = (now / before[1] - 1) * 100 if ok else None
+        last[g] = (y, now)
+    assert got.keys() == want.keys()
+    assert all((got[k] is None) == (want[k] is None) and (want[k] is None or abs(got[k] - want[k]) < 1e-9) for k in want)
+    plan = changed._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(g#" not in plan
+
+
+def test_what_stands_below_a_deviation_runs_once(spark):
+    from wardmetrics.session import is_plain_scan, read_once
+
+    facts = spark.range(100).selectExpr("id % 7 as year", "cast(id as double) as x")
+    assert is_plain_scan(facts.filter("x > 3").select("x")) and read_once(facts, "t") is facts
+    grouped = facts.groupBy("year").agg(F.sum("x").alias("x"))
+    assert not is_plain_scan(grouped) and not is_plain_scan(facts.join(grouped, "year"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
 
-    monkeypatch.setattr(compare, "MOST_YEARS", 3)
-    df = spark.range(5).selectExpr("'a' as g", "cast(2000 + id as int) as year", "cast(id as double) as x")
-    changed = compare.add_yoy_changes(df, [{"target_col": "x", "group_col": "g", "year_col": "year", "output_col": "c"}])
-    with pytest.raises(Exception, match="tie_break"):
-        changed.collect()
+    rule = {"target_col": "x", "new_avg_col": "m", "new_dev_col": "d", "group_by": ["year"]}
+    assert add_deviations(grouped.mapInArrow(count, grouped.schema), [rule, {**rule, "new_avg_col": "m2", "new_dev_col": "d2"}]).count() == 7
+    assert seen.value == 7
 
 
 def test_finalize_leaves_text_with_count_in_its_name(spark):
     df = spark.createDataFrame([("France", 2), ("Spain", None)], "country string, n_count int")
     assert rows(finalize_matrix(df).select("country", "n_count")) == [("France", 2), ("Spain", 0)]
+
+
+def test_subsets_of_one_table_are_counted_in_one_pass(spark):
+    from wardmetrics.plans.gold import Subset, build_matrix
+
+    rnd = random.Random(3)
+    data = [(rnd.choice(["A", "B", "C", None]), rnd.choice(["bus", "tube", "dlr", None]), rnd.choice(["N, P", "P", "", None])) for _ in range(300)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    facts = spark.createDataFrame(data, "BOROUGH string, kind string, line_name string")
+    grain = spark.createDataFrame([("A",), ("B",), ("C",), ("D",)], "borough_name string")
+
+    def source(kind, **more):
+        return {"source": kind, "join_on": {"borough_name": "BOROUGH"}, "groupby_cols": ["BOROUGH"], "use_size": True, "rename_cols": {"size": f"{kind}_count"}, **more}
+
+    config = {"metric_sources": [source("bus"), source("dlr"), source("tube", textual_col="line_name"), source("gone")], "finalize": "transport_line_name"}
+    apart = build_matrix(grain, {k: facts.filter(F.col("kind") == k) for k in ("bus", "tube", "dlr")}, config)
+    table = facts.mapInArrow(count, facts.schema)
+    together = build_matrix(grain, {k: Subset(table, "kind", k) for k in ("bus", "tube", "dlr")}, config)
+    assert together.columns == apart.columns and rows(together) == rows(apart)
+    assert seen.value == 300
+
+
+def test_counts_by_sets(spark):
+    from wardmetrics.operators.aggregate import counts_by_sets
+
+    df = spark.createDataFrame([("a", 1, None), ("a", 1, "x"), ("a", 2, "x"), (None, 2, "x")], "g string, y int, c string")
+    got = counts_by_sets(df, {"one": ["g", "y"], "two": ["c"], "three": ["y", "c"]})
+    for name, keys in (("one", ["g", "y"]), ("two", ["c"]), ("three", ["y", "c"])):
+        assert rows(got[name]) == rows(df.groupBy(*keys).count())

@@ -14,10 +14,10 @@ from wardmetrics.operators.spatial import grid_to_lonlat, points_in_polygons
 from wardmetrics.plans.domains import (
     EDUCATION_GOLD, GRADED, HOUSING_DEVIATIONS, HOUSING_GOLD, HOUSING_YEARS, INFRASTRUCTURE_GOLD,
 )
-from wardmetrics.plans.gold import build_matrix
+from wardmetrics.plans.gold import Subset, build_matrix
 from wardmetrics.plans.layers import SheetFiles, SilverJoin, budget_tables, run_bronze, run_silver
 from wardmetrics.plans.serving import sync_serving
-from wardmetrics.session import scratch_path, written
+from wardmetrics.session import scratch_path
 from wardmetrics.sinks.writers import write_layer
 from wardmetrics.sources.polygons import ring_layer
 from wardmetrics.sources.raw import RawSource, layout, scan_raw
@@ -173,9 +173,9 @@ q AS (SELECT borough_name, ons_code, avg_ptal, ptal, CASE WHEN access.place IS N
        "tramlink_count:l dlr_count:l tube_count:l transport_line_name:s", STOPS_SQL)
 def gold_stops(spark, folder):
     """Stops from grid points to boroughs, counted by kind, labelled; one absent source is skipped."""
-    # Located once and written, as a silver table; each kind reads its rows of it.
-    stops = written(_stops(spark, folder), "stops")
-    sources = {name: stops.filter(F.col("event_type") == kind) for name, kind in _STOP_KINDS.items()}
+    # Each kind is a subset of the located points, and all of them are counted in one pass.
+    stops = _stops(spark, folder)
+    sources = {name: Subset(stops, "event_type", kind) for name, kind in _STOP_KINDS.items()}
     nations = table(spark, folder, "nation")
     sources["ptal_data"] = (
         table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from wardmetrics.catalogue.registry import query
 from wardmetrics.catalogue.tables import (
     ENTITIES_SQL, EVENTS_SQL, GROUP_SQL, POPULATION_SQL, PRIORITIES, PRIORITY_GROUPS, ROLLUP_SQL,
-    active_customers, entities, priority_events,
+    entities, priority_events,
 )
 from wardmetrics.functions.text import category_group
-from wardmetrics.operators.aggregate import annual_rollup, monthly_counts
+from wardmetrics.operators.aggregate import annual_rollup, counts_by_sets, monthly_counts
 from wardmetrics.operators.reshape import category_lookup, pivot_categories
 from wardmetrics.plans.domains import event_gold_rules
 from wardmetrics.plans.gold import build_matrix
-from wardmetrics.plans.layers import rolled_up_events
+from wardmetrics.plans.layers import rolled_up_counts, rolled_up_events
 
 _MEASURES = ["total_orders_per_1000", *[f"{p}_per_1000" for p in PRIORITIES]]
 
@@ -66,8 +66,11 @@ q AS (SELECT *, {', '.join(f'({m} - avg_{m}) / nullif(avg_{m}, 0) * 100 AS pct_d
 @query(MATRIX_SHAPE, MATRIX_SQL)
 def gold_event_matrix(spark, folder):
     """Roll-up, rate, pivot, entity join, per-1,000, deviation by year, yearly change."""
-    events = priority_events(spark, folder)
-    sources = {"population": active_customers(events), "rolled": rolled_up_events(events, PRIORITY_GROUPS)}
+    counts = counts_by_sets(priority_events(spark, folder), {
+        "monthly": ["year", "month", "borough", "category"], "customers": ["ons_code", "year", "o_custkey"],
+    })
+    active = counts["customers"].groupBy("ons_code", "year").agg(F.count("o_custkey").alias("population"))
+    sources = {"population": active, "rolled": rolled_up_counts(counts["monthly"].dropna(subset=["category"]), PRIORITY_GROUPS)}
     return build_matrix(entities(spark, folder), sources, EVENT_GOLD)
 
 

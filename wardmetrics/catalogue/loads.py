@@ -290,7 +290,7 @@ def geojson_layer(spark, folder):
     dots = table(spark, folder, "events").select(
         "event_id", ((F.col("event_id") % 1000).cast("double") / 100 - 0.005).alias("lon"), ((F.col("event_id") * 7 % 1000).cast("double") / 200 - 0.0025).alias("lat")
     )
-    return drop_layer_attributes(points_in_polygons(dots, layer, ["BOROUGH", "OBJECTID"], cell=0.25), ["OBJECTID", "lon", "lat"])
+    return drop_layer_attributes(points_in_polygons(dots, layer, ["BOROUGH", "OBJECTID"]), ["OBJECTID", "lon", "lat"])
 
 
 @query("_source_file:s _sheet_name:s year_name:s ons_code:s n:l _row_number:l", EVENTS_SQL + """,

@@ -101,17 +101,17 @@ _INSIDE_SQL = """px > x0 AND py > y0 AND px < x0 + side AND py < y0 + side AND (
 @query("event_id:l px:d2 py:d2 p_partkey:l", _SHAPES_SQL + ", " + _DOTS_SQL + f""", hits AS (SELECT event_id, px, py, p_partkey FROM dots JOIN shapes ON {_INSIDE_SQL}),
 q AS (SELECT * FROM hits UNION ALL SELECT event_id, px, py, NULL FROM dots WHERE event_id NOT IN (SELECT event_id FROM hits))""")
 def points_in_polygons_grid(spark, folder):
-    """Points within overlapping shapes through the cell grid; unmatched points stay."""
+    """Points within overlapping shapes through their quadtrees; unmatched points stay."""
     layer = ring_layer(_shapes(spark, folder))
-    placed = points_in_polygons(_dots(spark, folder), layer, ["p_partkey"], "px", "py", cell=16.0)
+    placed = points_in_polygons(_dots(spark, folder), layer, ["p_partkey"], "px", "py")
     return placed.withColumn("px", F.nanvl("px", F.lit(None).cast("double")))
 
 
 @query("event_id:l px:d2 py:d2 p_partkey:l", _SHAPES_SQL + ", " + _DOTS_SQL + f", q AS (SELECT * FROM dots JOIN shapes ON {_INSIDE_SQL})")
 def points_in_polygons_coarse(spark, folder):
-    """The same layer with large cells, matched points only: the answer does not hang on the cell size."""
+    """The same layer, matched points only."""
     layer = ring_layer(_shapes(spark, folder))
-    return points_in_polygons(_dots(spark, folder), layer, ["p_partkey"], "px", "py", cell=75.0, how="inner")
+    return points_in_polygons(_dots(spark, folder), layer, ["p_partkey"], "px", "py", how="inner")
 
 
 @query("p_partkey:l polygon:s", _SHAPES_SQL + """, q AS (SELECT p_partkey, CASE WHEN triangle

@@ -60,11 +60,6 @@ rolled AS (SELECT year, borough, category, sum(n) AS total_count, count(DISTINCT
     """ + GROUP_SQL + """ AS analytical_category FROM monthly GROUP BY year, borough, category)"""
 
 
-def active_customers(events: DataFrame) -> DataFrame:
-    """Population stand-in: customers with an order, per nation and year."""
-    return events.groupBy("ons_code", "year").agg(F.count_distinct("o_custkey").alias("population"))
-
-
 POPULATION_SQL = "population AS (SELECT ons_code, year, count(DISTINCT o_custkey) AS population FROM order_events GROUP BY ons_code, year)"
 
 

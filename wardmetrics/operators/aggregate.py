@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardmetrics.functions.numbers import annualised
+from wardmetrics.session import written
 
 UNKNOWN_ENTITY = "Unknown / Outside London"
 
@@ -159,20 +160,23 @@ def group_medians(df: DataFrame, keys: Sequence[str], column: str, name: str, bu
     return ranked.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias(name))
 
 
-def group_size(df: DataFrame, keys: Sequence[str], name: str = "size") -> DataFrame:
-    """Rows per group; rows with a null key are left out."""
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+def group_size(df: DataFrame, keys: Sequence[str], name: str = "size", weight: str | None = None) -> DataFrame:
+    """Rows per group; rows with a null key are left out. ``weight`` names a column saying how many rows a row stands for."""
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(size.alias(name))
 
 
-def comma_union(df: DataFrame, keys: Sequence[str], text: str, name: str, size: str | None = None) -> DataFrame:
+def comma_union(df: DataFrame, keys: Sequence[str], text: str, name: str, size: str | None = None, weight: str | None = None) -> DataFrame:
     """Distinct items of all comma lists of a group, sorted, as one comma list.
 
-    With ``size`` the group's row count comes out of the same pass. Items are
-    made distinct under (group, item), so a large group is spread over tasks.
+    With ``size`` the group's row count comes out of the same pass, ``weight``
+    rows for each row where given. Items are made distinct under (group, item), so
+    a large group is spread over tasks.
     """
     keys = list(keys)
-    items = df.dropna(subset=keys).select(*keys, F.posexplode_outer(F.split(F.col(f"`{text}`"), ",")).alias("_pos", "_part"))
-    rows = F.count_if(F.coalesce(F.col("_pos"), F.lit(0)) == 0)
+    stands_for = F.col(weight) if weight else F.lit(1)
+    items = df.dropna(subset=keys).select(*keys, stands_for.cast("bigint").alias("_for"), F.posexplode_outer(F.split(F.col(f"`{text}`"), ",")).alias("_pos", "_part"))
+    rows = F.coalesce(F.sum(F.when(F.coalesce(F.col("_pos"), F.lit(0)) == 0, F.col("_for"))), F.lit(0))
     distinct = items.groupBy(*keys, F.trim("_part").alias("_item")).agg(rows.alias("_rows"))
     out = [F.array_join(F.array_sort(F.collect_list("_item")), ", ").alias(name)]
     if size:
@@ -180,6 +184,24 @@ def comma_union(df: DataFrame, keys: Sequence[str], text: str, name: str, size:
     return distinct.groupBy(*keys).agg(*out)
 
 
+def counts_by_sets(df: DataFrame, sets: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
+    """Row counts of ``df`` by several sets of keys, in one pass over ``df``.
+
+    One aggregate over grouping sets, combined before its shuffle and written; each
+    result has its keys and ``count``. Null keys are groups of their own.
+    """
+    columns = list(dict.fromkeys(c for keys in sets.values() for c in keys))
+    one = df.groupingSets([[F.col(f"`{c}`") for c in keys] for keys in sets.values()], *[F.col(f"`{c}`") for c in columns]).agg(
+        F.count(F.lit(1)).alias("count"), F.grouping_id().alias("_set"))
+    stored = written(one, "counts-by-sets")
+
+    def away(keys: Sequence[str]) -> int:
+        """The set's grouping id: one bit for each column it leaves out."""
+        return sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+
+    return {name: stored.filter(F.col("_set") == away(keys)).select(*[F.col(f"`{c}`") for c in keys], "count") for name, keys in sets.items()}
+
+
 def count_with_unknown(df: DataFrame, name: str, entity: str = "BOROUGH", unknown: str = UNKNOWN_ENTITY) -> DataFrame:
     """Rows per entity; a null entity is counted under ``unknown``."""
     return df.groupBy(F.coalesce(F.col(entity), F.lit(unknown)).alias(entity)).agg(F.count(F.lit(1)).alias(name))

@@ -13,12 +13,7 @@ from pyspark.sql import functions as F
 
 from wardmetrics.functions.numbers import pct_change, pct_deviation
 from wardmetrics.functions.text import all_of
-from wardmetrics.session import written
-
-# Rows of one (entity, year) are compared in blocks of this many order values.
-ORDER_BLOCK = 100_000
-# Yearly changes without a tie_break expect about one row per entity and year; more rows of an entity than this fail.
-MOST_YEARS = 100_000
+from wardmetrics.session import read_once, written
 
 
 def _batches(rules: Sequence[Mapping], place: Callable, outputs: Callable) -> Iterator[list[Mapping]]:
@@ -65,6 +60,9 @@ def add_deviations(df: DataFrame, rules: Sequence[Mapping], weight: str | None =
 
 
 def _deviate(df: DataFrame, group: tuple[str, ...], rules: list[Mapping], weight: str | None) -> DataFrame:
+    if weight is None:
+        # The means and the rows both read it; what stands below runs once.
+        df = read_once(df, "deviation-rows")
     means = [_mean(r["target_col"], weight).alias(r["new_avg_col"]) for r in rules]
     taken = [c for c in df.columns if c not in {r["new_avg_col"] for r in rules}]
     if group:
@@ -104,10 +102,14 @@ def add_yoy_changes(
 
     - ``strict_year``: compare with year - 1 only, null where it is absent.
     - ``fill="pad"``: a null value repeats the entity's last known one first.
-    - ``tie_break``: a numeric column ordering rows of one entity and year. Give
-      it when ``df`` may hold many rows per entity and year; the rows are then
-      compared in blocks and no entity is gathered into one task. Without it
-      ``df`` is taken to hold about one row per entity and year.
+    - ``tie_break``: a column ordering rows of one entity and year; else the
+      compared values themselves order them.
+
+    A prefix scan in two levels: rows are dealt out by ranges of (entity, year),
+    compared inside each part, and a part's first row of an entity takes over the
+    last row, the last known value and the last year of the earlier parts. So an
+    entity of any size is spread over many tasks; the second level has one row
+    per entity and part.
     """
     if fill not in (None, "pad"):
         raise ValueError(f"fill={fill!r}")
@@ -115,75 +117,50 @@ def add_yoy_changes(
         raise ValueError("strict_year compares entity-year rows; it takes no tie_break")
     for batch in _batches(rules, lambda r: (r["group_col"], r["year_col"]), lambda r: {r["output_col"]}):
         usable = [r for r in batch if {r["target_col"], r["group_col"], r["year_col"]} <= set(df.columns)]
-        if not usable:
-            continue
-        entity, year = usable[0]["group_col"], usable[0]["year_col"]
-        if tie_break:
-            df = _yoy_blocks(df, entity, year, usable, fill, tie_break)
-        else:
-            df = _yoy_rows(df, entity, year, usable, fill, strict_year)
+        if usable:
+            df = _scan_years(df, usable[0]["group_col"], usable[0]["year_col"], usable, fill, strict_year, tie_break)
     return df
 
 
-def _yoy_rows(df, entity, year, rules, fill, strict_year) -> DataFrame:
-    ordered = Window.partitionBy(entity).orderBy(year)
-    known_to_here = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _scan_years(df, entity, year, rules, fill, strict_year, tie_break) -> DataFrame:
     targets = list(dict.fromkeys(r["target_col"] for r in rules))
+    order = list(dict.fromkeys([year, *([tie_break] if tie_break else targets)]))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    by_key = [F.col(f"`{c}`") for c in [entity, *[c for c in order if c != entity]]]
+    ranged = read_once(df, "yearly-rows").repartitionByRange(parts, *by_key)
+    # Written, so that both levels see the same parts.
+    rows = written(ranged.withColumn("_part", F.spark_partition_id()), "yearly-parts")
+    place = F.struct(*[F.col(f"`{c}`") for c in order])
+    ends = rows.groupBy("_part", F.col(f"`{entity}`").alias("_entity")).agg(
+        *[F.max_by(f"`{t}`", place).alias(f"_end_{t}") for t in targets],
+        *[F.max_by(f"`{t}`", F.when(F.col(f"`{t}`").isNotNull(), place)).alias(f"_known_{t}") for t in targets],
+        F.max_by(f"`{year}`", place).alias("_end_year"),
+    )
+    across = Window.partitionBy("_entity").orderBy("_part")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        F.col("_part").alias("_p"), "_entity", F.lag("_end_year").over(across).alias("_year_carried"),
+        *[F.lag(f"_end_{t}").over(across).alias(f"_end_carried_{t}") for t in targets],
+        *[F.last(f"_known_{t}", ignorenulls=True).over(earlier).alias(f"_known_carried_{t}") for t in targets],
+    )
+    # Rows without an entity find nothing here and are compared with nothing.
+    joined = rows.join(carried, (rows["_part"] == carried["_p"]) & (rows[entity] == carried["_entity"]), "left")
+    inside = Window.partitionBy("_part", entity).orderBy(*[F.col(f"`{c}`") for c in order])
+    to_here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def current(target):
         value = F.col(f"`{target}`")
-        return F.last(value, ignorenulls=True).over(known_to_here) if fill == "pad" else value
+        return F.coalesce(F.last(value, ignorenulls=True).over(to_here), F.col(f"_known_carried_{target}")) if fill == "pad" else value
 
-    staged = df.withColumns({f"_now_{t}": current(t) for t in targets})
-    previous = {f"_before_{t}": F.lag(f"_now_{t}").over(ordered) for t in targets}
+    staged = joined.withColumns({"_first": F.row_number().over(inside) == 1, **{f"_now_{t}": current(t) for t in targets}})
+    taken_over = "_known_carried_" if fill == "pad" else "_end_carried_"
+    before = {f"_before_{t}": F.when(F.col("_first"), F.col(f"{taken_over}{t}")).otherwise(F.lag(f"_now_{t}").over(inside)) for t in targets}
     if strict_year:
-        staged = staged.withColumns({**previous, "_year_before": F.lag(year).over(ordered)})
-        next_door = F.col("_year_before") == F.col(year) - 1
-        staged = staged.withColumns({name: F.when(next_door, F.col(name)) for name in previous})
-    else:
-        staged = staged.withColumns(previous)
-    told = F.raise_error(F.lit(f"an entity has over {MOST_YEARS} rows: give a tie_break"))
-    few = F.row_number().over(ordered) <= MOST_YEARS
-    staged = staged.withColumns({f"_now_{t}": F.when(few, F.col(f"_now_{t}")).otherwise(told.cast(dict(staged.dtypes)[f"_now_{t}"])) for t in targets})
-    return _finish_yoy(staged, entity, rules, df.columns)
-
-
-def _yoy_blocks(df, entity, year, rules, fill, tie_break) -> DataFrame:
-    targets = list(dict.fromkeys(r["target_col"] for r in rules))
-    blocked = df.withColumn("_block", F.floor(F.col(tie_break) / ORDER_BLOCK))
-    place = [entity, year, "_block"]
-    ends = blocked.groupBy(*place).agg(*[
-        pick
-        for t in targets
-        for pick in (
-            F.max_by(f"`{t}`", tie_break).alias(f"_end_{t}"),
-            F.max_by(f"`{t}`", F.when(F.col(f"`{t}`").isNotNull(), F.col(tie_break))).alias(f"_known_{t}"),
-        )
-    ])
-    across = Window.partitionBy(entity).orderBy(year, "_block")
-    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
-        F.col(entity).alias("_e"), F.col(year).alias("_y"), F.col("_block").alias("_b"),
-        *[F.lag(f"_end_{t}").over(across).alias(f"_prev_end_{t}") for t in targets],
-        *[F.last(f"_known_{t}", ignorenulls=True).over(earlier).alias(f"_prev_known_{t}") for t in targets],
-    )
-    same = F.col(entity).eqNullSafe(F.col("_e")) & F.col(year).eqNullSafe(F.col("_y")) & F.col("_block").eqNullSafe(F.col("_b"))
-    joined = blocked.join(carried, same, "left")
-    inside = Window.partitionBy(*place).orderBy(tie_break)
-    to_here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    columns = {"_place": F.row_number().over(inside)}
-    for t in targets:
-        value = F.col(f"`{t}`")
-        if fill == "pad":
-            columns[f"_now_{t}"] = F.coalesce(F.last(value, ignorenulls=True).over(to_here), F.col(f"_prev_known_{t}"))
-        else:
-            columns[f"_now_{t}"] = value
-    staged = joined.withColumns(columns)
-    carry = "_prev_known_" if fill == "pad" else "_prev_end_"
-    staged = staged.withColumns({
-        f"_before_{t}": F.when(F.col("_place") == 1, F.col(f"{carry}{t}")).otherwise(F.lag(f"_now_{t}").over(inside))
-        for t in targets
-    })
+        before["_year_before"] = F.when(F.col("_first"), F.col("_year_carried")).otherwise(F.lag(f"`{year}`").over(inside))
+    staged = staged.withColumns(before)
+    if strict_year:
+        next_door = F.col("_year_before") == F.col(f"`{year}`") - 1
+        staged = staged.withColumns({f"_before_{t}": F.when(next_door, F.col(f"_before_{t}")) for t in targets})
     return _finish_yoy(staged, entity, rules, df.columns)
 
 

@@ -1,13 +1,24 @@
-"""Point-in-polygon joins over a grid of cells."""
+"""Point-in-polygon joins over quadtrees of cells."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import sys
+from collections import deque
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wardmetrics.functions.geo import crossings_right, grid_steps, within_edges
+from wardmetrics.functions.geo import grid_steps, within_edges
+from wardmetrics.session import read_once, written
+
+# The cover of a layer travels with its code: workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EASTING_NAMES = ("easting", "x", "X")
 NORTHING_NAMES = ("northing", "y", "Y")
@@ -42,55 +53,101 @@ def grid_to_lonlat(df: DataFrame, easting: str | None = None, northing: str | No
     return out.select(*[f"`{c}`" for c in kept], pair).select(*[f"`{c}`" for c in kept], "_place.lon", "_place.lat")
 
 
-# A polygon over more grid cells than this is taken for a unit mistake (metres for degrees).
-MOST_CELLS = 4_000_000
+# A cell that more edges enter is cut into four by four, as long as the polygon has no more cells than this and four for each edge.
+EDGES_IN_CELL = 8
+FEW_CELLS = 64
 
 
-def cover_cells(layer: DataFrame, attributes: Sequence[str], cell: float) -> DataFrame:
-    """Grid cells a layer touches, each with just the edges its points need.
+def _cover(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray | None]]:
+    """(level, column, row, edges) of the cells of one polygon; no edges where the cell lies wholly inside.
 
-    A cell no edge enters lies wholly inside or outside its polygon: that is
-    settled here once (``_inside``), so its points need no ring test. A cell on
-    the boundary keeps the edges of its own row of cells.
+    A cell of level k is a square of side 2**k, so its borders are exact. A cell
+    no edge enters is settled here; others keep the edges a ray to the right can
+    meet. Cells outside are left out.
     """
-    boxed = layer.select(
-        *attributes,
-        "edges",
-        F.array_min(F.transform("edges", lambda e: F.least(e.x1, e.x2))).alias("_xlo"),
-        F.array_max(F.transform("edges", lambda e: F.greatest(e.x1, e.x2))).alias("_xhi"),
-        F.array_min(F.transform("edges", lambda e: F.least(e.y1, e.y2))).alias("_ylo"),
-        F.array_max(F.transform("edges", lambda e: F.greatest(e.y1, e.y2))).alias("_yhi"),
-    ).filter(F.col("_xlo").isNotNull())
-
-    def index(column: str) -> Column:
-        return F.floor(F.col(column) / cell)
-
-    many = ((F.col("_xhi") - F.col("_xlo")) / cell + 1) * ((F.col("_yhi") - F.col("_ylo")) / cell + 1) > MOST_CELLS
-    told = F.raise_error(F.lit(f"a polygon covers over {MOST_CELLS} cells of {cell}: is the cell in the layer's unit?"))
-    boxed = boxed.withColumn("_ylo", F.when(many, told.cast("double")).otherwise(F.col("_ylo")))
-    rows = boxed.withColumn("_cy", F.explode(F.sequence(index("_ylo"), index("_yhi"))))
-    # The slack keeps an edge that floor() and the products place an ulp apart.
-    slack = cell * 1e-9
-    low, high = F.col("_cy") * cell, (F.col("_cy") + 1) * cell
-    banded = rows.withColumn(
-        "_band",
-        F.filter("edges", lambda e: (F.greatest(e.y1, e.y2) >= low - slack) & (F.least(e.y1, e.y2) <= high + slack)),
-    ).drop("edges")
-    cells = banded.withColumn("_cx", F.explode(F.sequence(index("_xlo"), index("_xhi"))))
-    left, right = F.col("_cx") * cell, (F.col("_cx") + 1) * cell
-    entered = F.exists(
-        "_band", lambda e: (F.greatest(e.x1, e.x2) >= left - slack) & (F.least(e.x1, e.x2) <= right + slack)
-    )
-    middle_inside = crossings_right(F.col("_band"), left + cell / 2, low + cell / 2) % 2 == 1
-    judged = cells.withColumns({"_entered": entered, "_middle": middle_inside})
-    # Cells outside are dropped by the explode of a null: unlike a filter it is not
-    # pushed down, where both tests would run a second time.
-    kept = F.when(
-        F.col("_entered") | F.col("_middle"),
-        F.array(F.struct((~F.col("_entered")).alias("_inside"), F.when(F.col("_entered"), F.col("_band")).alias("_edges"))),
+    left_of, right_of, low_of, high_of = np.minimum(x1, x2), np.maximum(x1, x2), np.minimum(y1, y2), np.maximum(y1, y2)
+    if not len(x1) or not np.isfinite([left_of.min(), right_of.max(), low_of.min(), high_of.max()]).all():
+        return
+    span = max(right_of.max() - left_of.min(), high_of.max() - low_of.min())
+    # Not so small beside the coordinates that a cell's number would lose digits.
+    reach = max(abs(left_of.min()), abs(right_of.max()), abs(low_of.min()), abs(high_of.max()), 1e-300)
+    finest = math.frexp(reach)[1] - 48
+    level = max(math.frexp(span)[1] if span > 0 else finest, finest)
+    level += level % 2
+    side = 2.0**level
+    dx, dy = x2 - x1, y2 - y1
+    # What rounding can do to the side of a line that a corner is on.
+    doubt = 1e-12 * (abs(dx) + abs(dy)) * reach
+    queue = deque(
+        (level, i, j, np.arange(len(x1)))
+        for i in range(math.floor(left_of.min() / side), math.floor(right_of.max() / side) + 1)
+        for j in range(math.floor(low_of.min() / side), math.floor(high_of.max() / side) + 1)
     )
-    box = ["_xlo", "_xhi", "_ylo", "_yhi"]
-    return judged.select(*attributes, "_cx", "_cy", *box, F.inline(kept))
+    cells, most = len(queue), FEW_CELLS + 4 * len(x1)
+    while queue:
+        level, i, j, edges = queue.popleft()
+        side = 2.0**level
+        left, low = i * side, j * side
+        edges = edges[(high_of[edges] >= low) & (low_of[edges] <= low + side) & (right_of[edges] >= left)]
+        near = edges[left_of[edges] <= left + side]
+        turns = [dx[near] * (low + b - y1[near]) - dy[near] * (left + a - x1[near]) for a in (0.0, side) for b in (0.0, side)]
+        entered = np.count_nonzero((np.min(turns, 0) <= doubt[near]) & (np.max(turns, 0) >= -doubt[near]))
+        if not entered:
+            x, y = left + side / 2, low + side / 2
+            a, b = y1[edges], y2[edges]
+            across = edges[(a > y) != (b > y)]
+            if np.count_nonzero(x < (x2[across] - x1[across]) * (y - y1[across]) / (y2[across] - y1[across]) + x1[across]) % 2:
+                yield level, i, j, None
+        elif entered <= EDGES_IN_CELL or cells > most or level - 2 < finest:
+            yield level, i, j, edges
+        else:
+            cells += 15
+            queue.extend((level - 2, 4 * i + di, 4 * j + dj, edges) for di in range(4) for dj in range(4))
+
+
+_CORNERS = ("x1", "y1", "x2", "y2")
+_EDGE = pa.struct([(c, pa.float64()) for c in _CORNERS])
+
+
+def cover_cells(layer: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """The cells of each polygon of a layer: its own quadtree, as deep as its edges are dense.
+
+    Columns: the attributes, ``_level``, ``_cx``, ``_cy``, the polygon's box, and
+    ``_inside`` or the ``_edges`` a point of the cell is tested with. A polygon
+    begins with at most four cells of its own size, whatever its unit, so small
+    and large polygons of one layer each have few.
+    """
+    source = layer.select(*[F.col(f"`{a}`") for a in attributes], F.col("edges"))
+    box = ("_xlo", "_xhi", "_ylo", "_yhi")
+    edge = "array<struct<" + ",".join(f"{c}:double" for c in _CORNERS) + ">>"
+    new = T.StructType.fromDDL("_level int, _cx long, _cy long, " + ", ".join(f"{b} double" for b in box) + f", _inside boolean, _edges {edge}")
+    out = T.StructType([*[source.schema[a] for a in attributes], *new.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(len(attributes))
+            for n in range(batch.num_rows):
+                if not lists[n].is_valid:
+                    continue
+                flat = lists[n].values
+                x1, y1, x2, y2 = (flat.field(c).to_numpy(zero_copy_only=False) for c in _CORNERS)
+                cells = list(_cover(x1, y1, x2, y2))
+                for first in range(0, len(cells), 4096):
+                    yield made(batch, n, cells[first : first + 4096], (x1, y1, x2, y2))
+
+    def made(batch, n, cells, corners):
+        count = len(cells)
+        own = [pa.repeat(batch.column(i)[n], count) for i in range(len(attributes))]
+        x1, y1, x2, y2 = corners
+        bounds = (min(x1.min(), x2.min()), max(x1.max(), x2.max()), min(y1.min(), y2.min()), max(y1.max(), y2.max()))
+        kept = [np.empty(0, np.int64) if c[3] is None else c[3] for c in cells]
+        at = np.concatenate(kept) if kept else np.empty(0, np.int64)
+        offsets = pa.array(np.concatenate(([0], np.cumsum([len(k) for k in kept]))), pa.int32())
+        edges = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(c[at]) for c in corners], fields=list(_EDGE)))
+        numbers = [pa.array([c[i] for c in cells], t) for i, t in ((0, pa.int32()), (1, pa.int64()), (2, pa.int64()))]
+        return pa.RecordBatch.from_arrays([*own, *numbers, *[pa.array([float(b)] * count) for b in bounds], pa.array([c[3] is None for c in cells]), edges], names=out.names)
+
+    return source.mapInArrow(run, out)
 
 
 def points_in_polygons(
@@ -99,41 +156,57 @@ def points_in_polygons(
     attributes: Sequence[str],
     x: str = "lon",
     y: str = "lat",
-    cell: float = 0.01,
     how: str = "left",
 ) -> DataFrame:
     """Attributes of the polygons each point lies within.
 
-    ``layer`` has ``edges`` and the attributes. The join is an equi-join on the
-    grid cell; the ring test runs only in boundary cells. A point in no polygon
-    keeps nulls (one at null or NaN is in none), a point in several is repeated,
-    a point on a boundary is outside. Point columns are never renamed or dropped.
+    ``layer`` has ``edges`` and the attributes, in the unit of the points. Each
+    polygon is covered by a quadtree of its own; a point looks up the cell it is
+    in on each level that some polygon uses, an equi-join, and the ring test runs
+    only in cells that edges enter. A point in no polygon keeps nulls (one at
+    null or NaN is in none), a point in several is repeated, a point on a
+    boundary is outside. Point columns are never renamed or dropped.
     """
     clash = set(attributes) & set(points.columns)
     if clash:
         raise ValueError(f"rename the layer attributes {sorted(clash)}; the points have columns of that name")
-    cells = cover_cells(layer, attributes, cell)
-    somewhere = F.coalesce(~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double")), F.lit(False)) & F.col(x).isNotNull() & F.col(y).isNotNull()
-    placed = points.filter(somewhere).withColumns({
-        "_px": F.floor(F.col(x) / cell),
-        "_py": F.floor(F.col(y) / cell),
-    })
+    if how not in ("left", "inner"):
+        raise ValueError(f"how={how!r}")
+    cells = written(cover_cells(layer, attributes), "layer-cells")
+    # Levels are exponents of two: some dozens at most, whatever the layer.
+    known = cells.agg(F.collect_set("_level").alias("levels"), F.min("_xlo"), F.max("_xhi"), F.min("_ylo"), F.max("_yhi")).first()
+    levels, box = sorted(known["levels"]), known[1:]
+    names = [F.col(f"`{c}`") for c in points.columns]
+    kinds = dict(layer.dtypes)
+    nothing = [F.lit(None).cast(kinds[a]).alias(a) for a in attributes]
+    if not levels:
+        return points.select(*names, *nothing) if how == "left" else points.select(*names, *nothing).limit(0)
+    px, py = F.col(f"`{x}`").cast("double"), F.col(f"`{y}`").cast("double")
+    # A NaN is above all numbers, and so outside of every box.
+    in_box = F.coalesce((px > box[0]) & (px < box[1]) & (py > box[2]) & (py < box[3]), F.lit(False))
     # The box test is compiled code and spares most ring tests near a boundary.
-    px, py = F.col(x), F.col(y)
     boxed = (px > F.col("_xlo")) & (px < F.col("_xhi")) & (py > F.col("_ylo")) & (py < F.col("_yhi"))
-    hit = (
-        (F.col("_px") == F.col("_cx"))
-        & (F.col("_py") == F.col("_cy"))
-        & boxed
-        & (F.col("_inside") | within_edges(F.col("_edges"), px, py))
-    )
-    joined = placed.join(cells, hit, how).select(*[f"`{c}`" for c in points.columns], *attributes)
-    if how != "left":
-        return joined
-    # Points without a place match nothing: they pass by the join instead of meeting in the null key's task.
-    kinds = dict(layer.dtypes)
-    nowhere = points.filter(~somewhere).select("*", *[F.lit(None).cast(kinds[a]).alias(a) for a in attributes])
-    return joined.unionByName(nowhere)
+
+    def place(value: Column, side: Column) -> Column:
+        return F.floor(value / side)
+
+    hit = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & boxed & (F.col("_inside") | within_edges(F.col("_edges"), px, py))
+    if len(levels) == 1:
+        side = F.lit(2.0 ** levels[0])
+        one = points.filter(in_box).withColumns({"_px": place(px, side), "_py": place(py, side)}).join(cells, hit, how).select(*names, *attributes)
+        return one.unionByName(points.filter(~in_box).select(*names, *nothing)) if how == "left" else one
+    points = read_once(points, "points") if how == "left" else points
+    asked = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.lit(2.0**k).alias("side")) for k in levels]))
+    probes = points.filter(in_box).withColumn("_asked", asked).withColumns({"_px": place(px, F.col("_asked.side")), "_py": place(py, F.col("_asked.side"))})
+    found = probes.join(cells, (F.col("_asked.level") == F.col("_level")) & hit).select(*names, *attributes)
+    if how == "inner":
+        return found
+    # Who is in no polygon of any level: level by level, as a point would otherwise be missed once per level.
+    alone = points.filter(in_box)
+    for k in levels:
+        side = F.lit(2.0**k)
+        alone = alone.withColumns({"_px": place(px, side), "_py": place(py, side)}).join(cells.filter(F.col("_level") == k), hit, "left_anti").select(*names)
+    return found.unionByName(alone.unionByName(points.filter(~in_box)).select(*names, *nothing))
 
 
 def drop_layer_attributes(df: DataFrame, names: Sequence[str] = LAYER_ATTRIBUTES) -> DataFrame:

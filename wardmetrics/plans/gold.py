@@ -12,7 +12,8 @@ from wardmetrics.functions.text import presence_text
 from wardmetrics.operators.joins import grain_merge
 from wardmetrics.operators.reshape import category_lookup, pivot_categories
 from wardmetrics.plans.domains import NETWORK_LABELS
-from wardmetrics.plans.metrics import MetricSpec, compute_metrics
+from wardmetrics.plans.metrics import MetricSpec, compute_metrics, only_counts
+from wardmetrics.session import written
 from wardmetrics.sinks.writers import layer_path, load_table, write_latest, write_layer
 from wardmetrics.sources.raw import skeleton
 from wardmetrics.sources.tables import read_present
@@ -45,16 +46,61 @@ def finalize_matrix(
     return filled.withColumn(text_col, presence_text(base, flags))
 
 
-def build_matrix(grain: DataFrame, sources: Mapping[str, DataFrame], config: Mapping) -> DataFrame:
+@dataclass(frozen=True)
+class Subset:
+    """A source that is the rows of a table whose ``column`` has ``value``."""
+
+    table: DataFrame
+    column: str
+    value: object
+
+    @property
+    def frame(self) -> DataFrame:
+        return self.table.filter(F.col(f"`{self.column}`") == F.lit(self.value))
+
+
+def _counted_subsets(sources: Mapping[str, DataFrame | Subset], config: Mapping) -> dict[str, DataFrame]:
+    """Metrics of the subsets whose rules only count: one pass over each table they are cut from.
+
+    The table is counted by (group, subset, text) once, whatever the number of
+    its subsets, and each rule set goes on from those counts.
+    """
+    together: dict[tuple, list[tuple[Mapping, MetricSpec, Subset]]] = {}
+    for rules in config["metric_sources"]:
+        source = sources.get(rules["source"])
+        if isinstance(source, Subset) and not rules.get("pivot"):
+            spec = MetricSpec.from_dict(rules)
+            if only_counts(spec):
+                together.setdefault((id(source.table), source.column, tuple(spec.groupby_cols)), []).append((rules, spec, source))
+    out = {}
+    for (_, column, keys), members in together.items():
+        place = F.col(f"`{column}`")
+        texts: dict[str, list] = {}
+        for _, spec, source in members:
+            if spec.textual_col:
+                texts.setdefault(spec.textual_col, []).append(source.value)
+        # A text counts for the subsets whose rules unite it; elsewhere it would only make the counts finer.
+        cut = members[0][2].table.filter(place.isin(*{source.value for _, _, source in members})).dropna(subset=list(keys))
+        cut = cut.select(*[F.col(f"`{k}`") for k in keys], place.alias("_subset"), *[F.when(place.isin(*values), F.col(f"`{t}`")).alias(t) for t, values in texts.items()])
+        counted = written(cut.groupBy(*keys, "_subset", *texts).agg(F.count(F.lit(1)).alias("_counted")), "counted-subsets")
+        for rules, spec, source in members:
+            out[rules["source"]] = compute_metrics(counted.filter(F.col("_subset") == F.lit(source.value)), spec, counted="_counted")
+    return out
+
+
+def build_matrix(grain: DataFrame, sources: Mapping[str, DataFrame | Subset], config: Mapping) -> DataFrame:
     """All sources of a config merged onto the grain, then its rules on the whole matrix."""
     gold = GoldGrain(grain)
+    counted = _counted_subsets(sources, config)
     for rules in config["metric_sources"]:
         frame = sources.get(rules["source"])
         if frame is None:
             continue
-        if rules.get("pivot"):
-            frame = pivot_categories(frame, rules["pivot"])
-        gold.merge_metric(compute_metrics(frame, rules), rules["join_on"], rules.get("how", "left"))
+        metrics = counted.get(rules["source"])
+        if metrics is None:
+            frame = frame.frame if isinstance(frame, Subset) else frame
+            metrics = compute_metrics(pivot_categories(frame, rules["pivot"]) if rules.get("pivot") else frame, rules)
+        gold.merge_metric(metrics, rules["join_on"], rules.get("how", "left"))
     matrix = gold.base_df
     if config.get("post_processing"):
         matrix = compute_metrics(matrix, config["post_processing"])

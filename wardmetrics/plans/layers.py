@@ -152,7 +152,14 @@ def rolled_up_events(
     events: DataFrame, groups: Mapping[str, str] = CRIME_GROUPS, entity: str = "borough", category: str = "category"
 ) -> DataFrame:
     """Yearly totals, months, annualised rate and category group of raw events."""
-    yearly = annual_rollup(monthly_counts(events, entity, category), entity, category)
+    return rolled_up_counts(monthly_counts(events, entity, category), groups, entity, category)
+
+
+def rolled_up_counts(
+    counts: DataFrame, groups: Mapping[str, str] = CRIME_GROUPS, entity: str = "borough", category: str = "category"
+) -> DataFrame:
+    """:func:`rolled_up_events` from monthly counts."""
+    yearly = annual_rollup(counts, entity, category)
     return yearly.withColumn("analytical_category", category_group(F.col(category), groups))
 
 

@@ -17,7 +17,7 @@ from wardmetrics.functions.numbers import ratio_pct, ratio_per_1k, row_sum
 from wardmetrics.operators.aggregate import MEDIAN, comma_union, group_medians, group_metrics, group_size, named_aggregate
 from wardmetrics.operators.compare import add_deviations, add_yoy_changes
 from wardmetrics.operators.filters import drop_values
-from wardmetrics.session import written
+from wardmetrics.session import read_once, written
 
 ROWS = "_rows"
 
@@ -134,15 +134,28 @@ class MetricSpec:
         return names
 
 
-def compute_metrics(df: DataFrame, spec: MetricSpec | Mapping, row_order: bool = False) -> DataFrame:
+def only_counts(spec: MetricSpec) -> bool:
+    """Whether the rules only count rows by group, with the text union, before ratios and what follows."""
+    before = (spec.filter_out, spec.conditional_aggregations, spec.sum_columns, spec.aggregations)
+    return spec.groupby_cols is not None and spec.use_size and not any(before)
+
+
+def compute_metrics(df: DataFrame, spec: MetricSpec | Mapping, row_order: bool = False, counted: str | None = None) -> DataFrame:
     """Apply a rule set. A dict is checked and turned into a spec first.
 
+    ``counted`` names a column saying how many rows each row of ``df`` stands for;
+    it is for rules that :func:`only_counts`.
+
     Where every kept column is constant within the conditional rules' group, the
     plan stays at group grain and carries row counts as weights, instead of
     joining group values back to each row and removing the copies afterwards.
     """
     if not isinstance(spec, MetricSpec):
         spec = MetricSpec.from_dict(spec)
+    if counted:
+        if not only_counts(spec):
+            raise ValueError("counted rows serve rules that only count")
+        return _finish(df, spec, weight=None, counted=counted)
     kept = drop_values(df, spec.filter_out)
     key = group_grain_key(spec, kept.columns)
     if key is not None and not row_order:
@@ -256,6 +269,7 @@ def add_conditional(df: DataFrame, rules: Sequence[ConditionalRule], spec: Metri
     spec = spec or MetricSpec()
     for batch in _grouped_rules(rules, df.columns):
         key = batch[0].group_by
+        df = read_once(df, "group-rows")
         table = _group_table(df, key, batch, spec)
         if table is None:
             continue
@@ -284,7 +298,7 @@ def _at_group_grain(df: DataFrame, spec: MetricSpec, key: str) -> DataFrame:
     return _finish(grouped, spec, weight=ROWS)
 
 
-def _finish(df: DataFrame, spec: MetricSpec, weight: str | None) -> DataFrame:
+def _finish(df: DataFrame, spec: MetricSpec, weight: str | None, counted: str | None = None) -> DataFrame:
     for rule in spec.sum_columns:
         missing = [c for c in rule["inputs"] if c not in df.columns]
         if missing:
@@ -292,7 +306,7 @@ def _finish(df: DataFrame, spec: MetricSpec, weight: str | None) -> DataFrame:
     if spec.sum_columns:
         df = _staged(df, [(r["output_name"], r["inputs"], _sum_of) for r in spec.sum_columns])
     if spec.groupby_cols is not None:
-        df = _grouped(df, spec)
+        df = _grouped(df, spec, counted)
     df = _staged(df, [(r["output_col"], [r["numerator_col"], r["denominator_col"]], _pct_of) for r in spec.calculate_ratio])
     df = _staged(
         df, [(r["output_col"], [r["numerator_col"], r["denominator_col"]], _per_1k_of) for r in spec.calculate_ratio_per_1k]
@@ -340,12 +354,12 @@ def _staged(df: DataFrame, steps: Sequence[tuple]) -> DataFrame:
     return df.withColumns(stage) if stage else df
 
 
-def _grouped(df: DataFrame, spec: MetricSpec) -> DataFrame:
+def _grouped(df: DataFrame, spec: MetricSpec, counted: str | None = None) -> DataFrame:
     keys = list(spec.groupby_cols)
     text = spec.textual_col
     if text and spec.use_size:
-        return comma_union(df, keys, text, f"transport_{text}", size="size")
-    grouped = group_size(df, keys) if spec.use_size else group_metrics(df, keys, spec.aggregations, spec.order_by)
+        return comma_union(df, keys, text, f"transport_{text}", size="size", weight=counted)
+    grouped = group_size(df, keys, weight=counted) if spec.use_size else group_metrics(df, keys, spec.aggregations, spec.order_by)
     if text:
         grouped = grouped.join(comma_union(df, keys, text, f"transport_{text}"), keys, "left")
     return grouped

@@ -56,3 +56,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Plan nodes that cost no more to run twice than a scan does.
+_SCAN_NODES = {"Project", "Filter", "SubqueryAlias", "LogicalRelation", "Relation", "LocalRelation", "Range", "LogicalRDD", "Union"}
+
+
+def is_plain_scan(df: DataFrame) -> bool:
+    """Whether ``df`` only reads, picks and filters: no join, aggregate, sort, window or Python above its files."""
+
+    def plain(node) -> bool:
+        children = node.children()
+        return node.nodeName().split(" ")[0] in _SCAN_NODES and all(plain(children.apply(i)) for i in range(children.size()))
+
+    return plain(df._jdf.queryExecution().optimizedPlan())
+
+
+def read_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` for two uses: as it is where that is a plain scan, else written once and read from there."""
+    return df if is_plain_scan(df) else written(df, name)
