@@ -127,7 +127,7 @@ def _scan_years(df, entity, year, rules, fill, strict_year, tie_break) -> DataFr
     order = list(dict.fromkeys([year, *([tie_break] if tie_break else targets)]))
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     by_key = [F.col(f"`{c}`") for c in [entity, *[c for c in order if c != entity]]]
-    ranged = read_once(df, "yearly-rows").repartitionByRange(parts, *by_key)
+    ranged = df.repartitionByRange(parts, *by_key)
     # Written, so that both levels see the same parts.
     rows = written(ranged.withColumn("_part", F.spark_partition_id()), "yearly-parts")
     place = F.struct(*[F.col(f"`{c}`") for c in order])

@@ -58,31 +58,58 @@ EDGES_IN_CELL = 8
 FEW_CELLS = 64
 
 
-def _cover(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray | None]]:
+class _Shapes:
+    """The polygons of a batch: edges end to end, boxes, and the square each one begins with."""
+
+    def __init__(self, lists: pa.ListArray):
+        flat, offsets = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        self.first = offsets[:-1] - offsets[0]
+        self.size = np.where(lists.is_null().to_numpy(zero_copy_only=False), 0, np.diff(offsets))
+        x1, y1, x2, y2 = self.corners = tuple(flat.field(c).to_numpy(zero_copy_only=False).astype(float) for c in _CORNERS)
+        self.left, self.right, self.low, self.high = np.minimum(x1, x2), np.maximum(x1, x2), np.minimum(y1, y2), np.maximum(y1, y2)
+        some = np.flatnonzero(self.size)
+        box = np.full((4, len(self.size)), np.nan)
+        for i, (values, pick) in enumerate(((self.left, np.minimum), (self.right, np.maximum), (self.low, np.minimum), (self.high, np.maximum))):
+            if len(some):
+                box[i, some] = pick.reduceat(values, self.first[some])
+        self.box = box
+        # Polygons without an edge, or with one that is nowhere, have no cells.
+        self.placed = np.isfinite(box).all(0)
+        known = np.where(self.placed, box, 0.0)
+        self.reach = np.maximum(abs(known).max(0), 1e-300)
+        # Not so small beside the coordinates that a cell's number would lose digits.
+        self.finest = np.frexp(self.reach)[1].astype(np.int64) - 48
+        span = np.maximum(known[1] - known[0], known[3] - known[2])
+        level = np.maximum(np.where(span > 0, np.frexp(span)[1], self.finest), self.finest).astype(np.int64)
+        self.level = level + level % 2
+        side = np.exp2(self.level.astype(float))
+        self.at = np.floor(known / side).astype(np.int64)  # first and last column, first and last row
+
+    def simple(self) -> tuple[np.ndarray, ...]:
+        """(polygon, level, column, row) of polygons of few edges: the squares they begin with, at most four."""
+        few = np.flatnonzero(self.placed & (self.size <= EDGES_IN_CELL))
+        wide, high = (self.at[1] - self.at[0] + 1)[few], (self.at[3] - self.at[2] + 1)[few]
+        each = wide * high
+        n = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        of, per_row = np.repeat(few, each), np.repeat(wide, each)
+        return of, self.level[of], self.at[0][of] + n % per_row, self.at[2][of] + n // per_row
+
+
+def _cover(shapes: _Shapes, n: int) -> Iterator[tuple[int, int, int, np.ndarray | None]]:
     """(level, column, row, edges) of the cells of one polygon; no edges where the cell lies wholly inside.
 
     A cell of level k is a square of side 2**k, so its borders are exact. A cell
     no edge enters is settled here; others keep the edges a ray to the right can
     meet. Cells outside are left out.
     """
-    left_of, right_of, low_of, high_of = np.minimum(x1, x2), np.maximum(x1, x2), np.minimum(y1, y2), np.maximum(y1, y2)
-    if not len(x1) or not np.isfinite([left_of.min(), right_of.max(), low_of.min(), high_of.max()]).all():
-        return
-    span = max(right_of.max() - left_of.min(), high_of.max() - low_of.min())
-    # Not so small beside the coordinates that a cell's number would lose digits.
-    reach = max(abs(left_of.min()), abs(right_of.max()), abs(low_of.min()), abs(high_of.max()), 1e-300)
-    finest = math.frexp(reach)[1] - 48
-    level = max(math.frexp(span)[1] if span > 0 else finest, finest)
-    level += level % 2
-    side = 2.0**level
+    own = slice(shapes.first[n], shapes.first[n] + shapes.size[n])
+    x1, y1, x2, y2 = (c[own] for c in shapes.corners)
+    left_of, right_of, low_of, high_of = (v[own] for v in (shapes.left, shapes.right, shapes.low, shapes.high))
     dx, dy = x2 - x1, y2 - y1
     # What rounding can do to the side of a line that a corner is on.
-    doubt = 1e-12 * (abs(dx) + abs(dy)) * reach
-    queue = deque(
-        (level, i, j, np.arange(len(x1)))
-        for i in range(math.floor(left_of.min() / side), math.floor(right_of.max() / side) + 1)
-        for j in range(math.floor(low_of.min() / side), math.floor(high_of.max() / side) + 1)
-    )
+    doubt = 1e-12 * (abs(dx) + abs(dy)) * shapes.reach[n]
+    columns, rows = (range(int(shapes.at[i, n]), int(shapes.at[i + 1, n]) + 1) for i in (0, 2))
+    queue = deque((int(shapes.level[n]), i, j, np.arange(len(x1))) for i in columns for j in rows)
     cells, most = len(queue), FEW_CELLS + 4 * len(x1)
     while queue:
         level, i, j, edges = queue.popleft()
@@ -98,7 +125,7 @@ def _cover(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> It
             across = edges[(a > y) != (b > y)]
             if np.count_nonzero(x < (x2[across] - x1[across]) * (y - y1[across]) / (y2[across] - y1[across]) + x1[across]) % 2:
                 yield level, i, j, None
-        elif entered <= EDGES_IN_CELL or cells > most or level - 2 < finest:
+        elif entered <= EDGES_IN_CELL or cells > most or level - 2 < shapes.finest[n]:
             yield level, i, j, edges
         else:
             cells += 15
@@ -124,28 +151,29 @@ def cover_cells(layer: DataFrame, attributes: Sequence[str]) -> DataFrame:
     out = T.StructType([*[source.schema[a] for a in attributes], *new.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(len(attributes))
-            for n in range(batch.num_rows):
-                if not lists[n].is_valid:
-                    continue
-                flat = lists[n].values
-                x1, y1, x2, y2 = (flat.field(c).to_numpy(zero_copy_only=False) for c in _CORNERS)
-                cells = list(_cover(x1, y1, x2, y2))
-                for first in range(0, len(cells), 4096):
-                    yield made(batch, n, cells[first : first + 4096], (x1, y1, x2, y2))
-
-    def made(batch, n, cells, corners):
-        count = len(cells)
-        own = [pa.repeat(batch.column(i)[n], count) for i in range(len(attributes))]
-        x1, y1, x2, y2 = corners
-        bounds = (min(x1.min(), x2.min()), max(x1.max(), x2.max()), min(y1.min(), y2.min()), max(y1.max(), y2.max()))
-        kept = [np.empty(0, np.int64) if c[3] is None else c[3] for c in cells]
-        at = np.concatenate(kept) if kept else np.empty(0, np.int64)
-        offsets = pa.array(np.concatenate(([0], np.cumsum([len(k) for k in kept]))), pa.int32())
-        edges = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(c[at]) for c in corners], fields=list(_EDGE)))
-        numbers = [pa.array([c[i] for c in cells], t) for i, t in ((0, pa.int32()), (1, pa.int64()), (2, pa.int64()))]
-        return pa.RecordBatch.from_arrays([*own, *numbers, *[pa.array([float(b)] * count) for b in bounds], pa.array([c[3] is None for c in cells]), edges], names=out.names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2048):
+                batch = whole.slice(start, 2048)
+                shapes = _Shapes(batch.column(len(attributes)))
+                of, level, i, j = shapes.simple()
+                if len(of):
+                    yield made(batch, shapes, of, level, i, j, np.zeros(len(of), bool), shapes.size[of], ranges(shapes.first[of], shapes.size[of]))
+                for n in np.flatnonzero(shapes.placed & (shapes.size > EDGES_IN_CELL)):
+                    cells = list(_cover(shapes, n))
+                    for first in range(0, len(cells), 4096):
+                        levels, columns, rows, edges = zip(*cells[first : first + 4096])
+                        inside = np.array([e is None for e in edges])
+                        kept = [np.empty(0, np.int64) if e is None else e + shapes.first[n] for e in edges]
+                        yield made(batch, shapes, np.full(len(levels), n), levels, columns, rows, inside, [len(k) for k in kept], np.concatenate(kept))
+
+    def ranges(first, size):
+        return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+    def made(batch, shapes, of, level, i, j, inside, sizes, at):
+        own = [batch.column(c).take(pa.array(of)) for c in range(len(attributes))]
+        edges = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.StructArray.from_arrays([pa.array(c[at]) for c in shapes.corners], fields=list(_EDGE)))
+        cells = [pa.array(level, pa.int32()), pa.array(i, pa.int64()), pa.array(j, pa.int64())]
+        return pa.RecordBatch.from_arrays([*own, *cells, *[pa.array(b[of]) for b in shapes.box], pa.array(inside), edges], names=out.names)
 
     return source.mapInArrow(run, out)
 
