@@ -2,6 +2,7 @@ import json
 from datetime import date, datetime
 from types import SimpleNamespace
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from wardmetrics.plans.gold import run_gold
 from wardmetrics.plans.layers import HOUSING_JOINS, run_bronze, run_event_silver, run_silver
 from wardmetrics.plans.serving import sync_serving
 from wardmetrics.session import scratch_path
-from wardmetrics.sinks.upsert import upsert_version
+from wardmetrics.sinks.upsert import read_version, upsert_version, versions
 from wardmetrics.sinks.writers import append_events, export_name, export_table, layer_path, load_table, logical_schema, write_latest
 from wardmetrics.sources.raw import RawSource, layout
 from wardmetrics.streaming.incremental import (
@@ -143,8 +144,9 @@ def test_upsert_versions_are_repeatable(spark, tmp_path):
     first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     upsert_version(spark, base, first, "k", 1)
     for _ in range(2):
-        path = upsert_version(spark, base, first.filter("k = 2").withColumn("v", F.lit("B")), "k", 2)
-    assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "B")]
+        upsert_version(spark, base, first.filter("k = 2").withColumn("v", F.lit("B")), "k", 2)
+    assert rows(read_version(spark, base)) == [(1, "a"), (2, "B")]
+    assert rows(read_version(spark, base, 1)) == [(1, "a"), (2, "b")]
 
 
 def test_serving_violations(spark, tmp_path):
@@ -244,9 +246,9 @@ def test_month_repeated_after_a_lost_state_adds_nothing_twice(spark, tmp_path):
 
 def test_incoming_rows_of_one_key_leave_one(spark, tmp_path):
     frame = spark.createDataFrame([("E1", 2020, 1.0), ("E1", 2020, 3.0), ("E1", 2021, None)], "ons_code string, year int, average_price double")
-    path = upsert_version(spark, str(tmp_path / "u"), frame, ["ons_code", "year"], 1)
-    path = upsert_version(spark, str(tmp_path / "u"), frame, ["ons_code", "year"], 2)
-    assert rows(spark.read.parquet(path)) == [("E1", 2020, 3.0), ("E1", 2021, None)]
+    for version in (1, 2):
+        upsert_version(spark, str(tmp_path / "u"), frame, ["ons_code", "year"], version)
+    assert rows(read_version(spark, str(tmp_path / "u"))) == [("E1", 2020, 3.0), ("E1", 2021, None)]
 
 
 def test_bronze_goes_on_past_a_bad_table(spark, tmp_path):
@@ -255,3 +257,82 @@ def test_bronze_goes_on_past_a_bad_table(spark, tmp_path):
     sources = [RawSource(str(tmp_path / "wide.csv"), "wide", "2020"), RawSource(str(tmp_path / "good.csv"), "good", "2020")]
     report = run_bronze(spark, sources, str(tmp_path / "out"), "d", widths={"wide": 2, "good": 2})
     assert list(report.written) == ["good"] and report.notes and "wide" in report.notes[0]
+
+
+def test_one_unreadable_source_leaves_the_others_of_its_table(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("a,1\nb,2\n")
+    (tmp_path / "wide.csv").write_text("a,1\nb,2,3\n")
+    (tmp_path / "more.csv").write_text("c\n")
+    sources = [RawSource(str(tmp_path / f"{n}.csv"), "t", y) for n, y in (("good", "2020"), ("wide", "2021"), ("more", "2022"), ("gone", "2023"))]
+    report = run_bronze(spark, sources, str(tmp_path / "out"), "d", widths={"t": 2})
+    assert rows(spark.read.parquet(report.written["t"]), "col_0", "col_1", "_row_number", "year_name") == [("a", "1", 0, 2020), ("b", "2", 1, 2020), ("c", None, 0, 2022)]
+    assert len(report.notes) == 1 and "wide.csv" in report.notes[0] and report.missing == [str(tmp_path / "gone.csv")]
+
+
+def test_all_rules_of_a_table_in_one_pass(spark):
+    from wardmetrics.plans.serving import constraint_report
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    data = [("a|b", "c", 1), ("a", "b|c", 1), ("a", "b", None), ("a", "b", 2), (None, "b", 3), (None, "b", None), ("z", None, 4), ("", None, 5)]
+    df = spark.createDataFrame(data, "k string, l string, v int")
+    known = spark.createDataFrame([("a",), ("",), (None,)], "k string")
+    spec = {"t": {"keys": ["k", "l"], "required": ["v"]}}
+    report = constraint_report(df.mapInArrow(count, df.schema), "t", known, spec)
+    assert rows(report, "rule", "subject", "n") == sorted([
+        ("unique", "a|b", 2), ("unique", "b", 2), ("not_null", "k", 2), ("not_null", "l", 2), ("not_null", "v", 2), ("foreign_key", "a|b", 1), ("foreign_key", "z", 1),
+    ])
+    assert seen.value == len(data)
+    assert rows(constraint_report(df, "t", None, spec), "rule").count(("foreign_key",)) == 0
+
+
+def test_dry_run_samples_the_first_rows(spark):
+    df = spark.createDataFrame([(i, f"v{i}") for i in (5, 3, 9, 1, 7)], "_row_number long, v string")
+    plan = load_table(spark, df, "p", "l", "t")
+    assert [r["_row_number"] for r in plan.sample] == [1, 3, 5, 7] and "v3" in plan.describe()
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
+    base = str(tmp_path / "t")
+    first = spark.range(5000).selectExpr("id as k", "cast(id as string) as v")
+    upsert_version(spark, base, first, "k", 1, buckets=16)
+
+    def written_bytes():
+        return sum(p.stat().st_size for p in (tmp_path / "t" / "data").rglob("*.parquet"))
+
+    whole = written_bytes()
+    upsert_version(spark, base, spark.createDataFrame([(7, "seven", 1.5)], "k int, v string, x double"), "k", 2)
+    assert written_bytes() - whole < whole / 8
+    now = read_version(spark, base)
+    assert now.count() == 5000 and rows(now.filter("k in (7, 8)")) == [(7, "seven", 1.5), (8, "8", None)]
+    assert read_version(spark, base, 1).columns == ["k", "v"] and rows(read_version(spark, base, 1).filter("k = 7")) == [(7, "7")]
+    nulls = spark.createDataFrame([(None, "none"), (None, "other")], "k long, v string")
+    for version in (3, 4):
+        upsert_version(spark, base, nulls, "k", version)
+    assert rows(read_version(spark, base).filter("k is null"), "v") == [("other",)]
+
+
+def test_a_died_upsert_leaves_the_older_version(spark, tmp_path, monkeypatch):
+    from wardmetrics.sinks import upsert as upserts
+
+    base = str(tmp_path / "t")
+    frame = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    upsert_version(spark, base, frame, "k", 1)
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(upserts, "put_marker", die)
+    with pytest.raises(KeyboardInterrupt):
+        upsert_version(spark, base, frame.withColumn("v", F.lit("lost")), "k", 2)
+    monkeypatch.undo()
+    assert versions(spark, base) == [1] and rows(read_version(spark, base)) == [(1, "a"), (2, "b")]
+    upsert_version(spark, base, frame.filter("k = 1").withColumn("v", F.lit("again")), "k", 2)
+    assert rows(read_version(spark, base)) == [(1, "again"), (2, "b")]
+    with pytest.raises(FileNotFoundError):
+        read_version(spark, base, 9)

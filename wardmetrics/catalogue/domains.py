@@ -18,6 +18,7 @@ from wardmetrics.plans.gold import Subset, build_matrix
 from wardmetrics.plans.layers import SheetFiles, SilverJoin, budget_tables, run_bronze, run_silver
 from wardmetrics.plans.serving import sync_serving
 from wardmetrics.session import scratch_path
+from wardmetrics.sinks.upsert import read_version
 from wardmetrics.sinks.writers import write_layer
 from wardmetrics.sources.polygons import ring_layer
 from wardmetrics.sources.raw import RawSource, layout, scan_raw
@@ -252,7 +253,7 @@ def serving_sync(spark, folder):
     rows = matrix.drop("borough_name")
     names = [(matrix.select("ons_code", "borough_name").distinct(), "ons_code", "borough_name")]
     sync_serving(spark, root, 1, {"borough_housing_historical": rows.filter("year < 1999")}, names)
-    written, _ = sync_serving(spark, root, 2, {"borough_housing_historical": rows}, names)
-    return spark.read.parquet(written["borough_housing_historical"])
+    paths, _ = sync_serving(spark, root, 2, {"borough_housing_historical": rows}, names)
+    return read_version(spark, paths["borough_housing_historical"])
 
 

@@ -13,7 +13,7 @@ from wardmetrics.operators.aggregate import annual_rollup, monthly_counts
 from wardmetrics.operators.spatial import drop_layer_attributes, points_in_polygons
 from wardmetrics.plans.layers import run_event_silver
 from wardmetrics.session import scratch_path, written
-from wardmetrics.sinks.upsert import upsert_version
+from wardmetrics.sinks.upsert import read_version, upsert_version
 from wardmetrics.sinks.writers import append_events, export_table, load_table, write_latest, write_layer
 from wardmetrics.sources.events import array_objects, folder_number, scan_events
 from wardmetrics.sources.polygons import scan_geojson
@@ -241,8 +241,8 @@ def versioned_upsert(spark, folder):
     )
     base = scratch_path(spark, "serving")
     upsert_version(spark, base, counts.withColumn("version", F.lit(1)), "c_custkey", 1)
-    path = upsert_version(spark, base, counts.filter("last >= 1998").withColumn("version", F.lit(2)), "c_custkey", 2)
-    return spark.read.parquet(path)
+    upsert_version(spark, base, counts.filter("last >= 1998").withColumn("version", F.lit(2)), "c_custkey", 2)
+    return read_version(spark, base)
 
 
 
@@ -250,12 +250,17 @@ def versioned_upsert(spark, folder):
 # ---- what writes would do, and layers that come as files ------------------------------------------
 
 
-@query("target:s mode:s column:s type:s n:l", """q AS (SELECT 'local.gold_layer.orders' AS target, 'load' AS mode, unnest(['o_orderkey', 'o_totalprice', 'o_orderdate', 'o_orderstatus']) AS "column",
-    unnest(['INTEGER', 'FLOAT', 'TIMESTAMP', 'STRING']) AS type, (SELECT count(*) FROM orders) AS n)""")
+@query("target:s mode:s column:s type:s n:l sample:s", """firsts AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 4),
+q AS (SELECT 'local.gold_layer.orders' AS target, 'load' AS mode, unnest(['_row_number', 'o_totalprice', 'o_orderdate', 'o_orderstatus']) AS "column",
+    unnest(['INTEGER', 'FLOAT', 'DATE', 'STRING']) AS type, (SELECT count(*) FROM orders) AS n,
+    unnest((SELECT [string_agg(CAST(o_orderkey AS VARCHAR), ' ' ORDER BY o_orderkey), string_agg(CAST(o_totalprice AS VARCHAR), ' ' ORDER BY o_orderkey),
+        string_agg(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), ' ' ORDER BY o_orderkey), string_agg(o_orderstatus, ' ' ORDER BY o_orderkey)] FROM firsts)) AS sample)""")
 def dry_run_plan(spark, folder):
-    """The dry run of a truncating load: target, mode, columns with their warehouse types, rows."""
-    plan = load_table(spark, table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus"), "local", "gold_layer", "orders")
-    return spark.createDataFrame([(plan.target, plan.mode, name, kind, plan.rows) for name, kind in plan.schema], "target string, mode string, column string, type string, n long")
+    """The dry run of a truncating load: target, mode, columns with their warehouse types, rows, and the first four rows in row order."""
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("_row_number"), "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderstatus")
+    plan = load_table(spark, orders, "local", "gold_layer", "orders")
+    rows = [(plan.target, plan.mode, name, kind, plan.rows, " ".join(str(row[name]) for row in plan.sample)) for name, kind in plan.schema]
+    return spark.createDataFrame(rows, "target string, mode string, column string, type string, n long, sample string")
 
 
 @query("r_regionkey:i n_nationkey:i n_name:s customers:l", """q AS (SELECT n_regionkey AS r_regionkey, n_nationkey, n_name, count(c_custkey) AS customers

@@ -49,24 +49,50 @@ def apply_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return df.fillna({c: v for c, v in defaults.items() if c in df.columns})
 
 
+def rule_counts(df: DataFrame, keys: Sequence[str], required: Sequence[str] = (), foreign: str | None = None) -> DataFrame:
+    """Duplicate keys, nulls and foreign keys of a table, counted in one pass.
+
+    Columns: ``rule`` (``unique``, ``not_null``, ``foreign_key``), ``column`` (of a
+    ``not_null`` row), the keys, ``n``. Each row is expanded to what its rules
+    count: its keys, its nulls, its foreign key; one aggregate, combined before
+    the shuffle, counts them all. Keys held once are left out; foreign keys are
+    counted whether or not their dimension has them.
+    """
+    keys = list(keys)
+    kinds = dict(df.dtypes)
+    absent = {k: F.lit(None).cast(kinds[k]) for k in keys}
+
+    def entry(rule: str, column: str | None = None, held: Sequence[str] = ()):
+        return F.struct(F.lit(rule).alias("rule"), F.lit(column).cast("string").alias("column"), *[(F.col(f"`{k}`") if k in held else absent[k]).alias(k) for k in keys])
+
+    entries = [entry("unique", held=keys)]
+    entries += [F.when(F.col(f"`{c}`").isNull(), entry("not_null", c)) for c in required]
+    if foreign:
+        entries.append(F.when(F.col(f"`{foreign}`").isNotNull(), entry("foreign_key", held=[foreign])))
+    expanded = df.select(F.inline(F.array_compact(F.array(*entries))))
+    counted = expanded.groupBy("rule", "column", *[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter((F.col("rule") != "unique") | (F.col("n") > 1))
+
+
 def cast_report(raw: DataFrame, types: Mapping[str, str], tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """(column, raw_value, problem, n): cells a cast lost, and fractions it rounded.
 
     One scan for all columns. A value that is missing or a null token is no
-    problem. Equal cells of a column are counted first and judged once.
+    problem. Cells are judged where they stand and only problems leave their row,
+    so what is shuffled grows with the problems, not with the cells.
     """
-    cells = [F.struct(F.lit(name).alias("column"), clean_text(F.col(f"`{name}`"), tokens).alias("raw_value")) for name in types]
-    texts = raw.select(F.inline(F.array(*cells))).filter(F.col("raw_value").isNotNull())
-    counted = texts.groupBy("column", "raw_value").agg(F.count(F.lit(1)).alias("n"))
-    text, problem = F.col("raw_value"), F.lit(None).cast("string")
+    cleaned = raw.select(*[clean_text(F.col(f"`{name}`"), tokens).alias(name) for name in types])
+    found = []
     for name, kind in types.items():
-        found = F.when(cast_text(text, kind).isNull(), F.lit("failed"))
+        text = F.col(f"`{name}`")
+        problem = F.when(cast_text(text, kind).isNull(), F.lit("failed"))
         if kind == "INTEGER":
             number = text_to_float(text)
-            found = found.when(number != F.rint(number), F.lit("rounded"))
-        problem = F.when(F.col("column") == name, found).otherwise(problem)
-    judged = counted.withColumn("problem", problem).filter(F.col("problem").isNotNull())
-    return judged.select("column", "raw_value", "problem", "n")
+            problem = problem.when(number != F.rint(number), F.lit("rounded"))
+        cell = F.struct(F.lit(name).alias("column"), text.alias("raw_value"), problem.alias("problem"))
+        found.append(F.when(text.isNotNull(), cell))
+    problems = cleaned.select(F.filter(F.array(*found), lambda c: c.problem.isNotNull()).alias("_found")).select(F.inline("_found"))
+    return problems.groupBy("column", "raw_value", "problem").agg(F.count(F.lit(1)).alias("n"))
 
 
 def coerce_numeric(df: DataFrame, keep: Sequence[str] = ("borough_name",)) -> DataFrame:
