@@ -336,3 +336,67 @@ def test_a_died_upsert_leaves_the_older_version(spark, tmp_path, monkeypatch):
     assert rows(read_version(spark, base)) == [(1, "again"), (2, "b")]
     with pytest.raises(FileNotFoundError):
         read_version(spark, base, 9)
+
+
+def test_a_load_that_dies_before_its_marker_shows_nothing_and_doubles_nothing(spark, tmp_path, monkeypatch):
+    from wardmetrics.streaming import incremental
+
+    root, table, state = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "s")
+    publish(root, "01", "A", [{"id": 1}])
+    publish(root, "02", "B", [{"id": 2}])
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    for step in ("put_marker", "append_state"):
+        monkeypatch.setattr(incremental, step, die)
+        with pytest.raises(KeyboardInterrupt):
+            load_new_files(spark, str(root), table, state, dry_run=False)
+        monkeypatch.undo()
+        assert rows(read_events_table(spark, table), "crime_id") == ([] if step == "put_marker" else [("1",), ("put_marker",)])
+        publish(root, "01", f"late {step}", [{"id": step}])  # the batch gets another name than the one that died
+    load_new_files(spark, str(root), table, state, dry_run=False)
+    assert rows(read_events_table(spark, table), "crime_id") == [("1",), ("2",), ("append_state",), ("put_marker",)]
+    assert load_new_files(spark, str(root), table, state, dry_run=False).count() == 0
+
+
+def test_records_without_an_id_fail_their_file_alone(spark, tmp_path):
+    root, table, state = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "s")
+    publish(root, "01", "A", [{"id": 1}, {"id": None}])
+    publish(root, "01", "NoId", [{"id": 2}, {"no": 3}])
+    publish(root, "01", "Number", [4])
+    for whole_bytes in (0, 1 << 20):  # read in ranges, and whole
+        fates = load_new_files(spark, str(root), table, state, whole_bytes=whole_bytes)
+        assert rows(fates.withColumn("f", F.element_at(F.split("signature", "/"), -1)), "f", "fate", "records") == [("A.json", "loaded", 2), ("NoId.json", "failed", 0), ("Number.json", "failed", 0)]
+    load_new_files(spark, str(root), table, state, dry_run=False, whole_bytes=0)
+    assert rows(read_events_table(spark, table), "crime_id", "borough", "crime_date") == [("1", "A", date(2024, 1, 1)), (None, "A", date(2024, 1, 1))]
+
+
+def test_a_month_of_many_files_loads_in_batches(spark, tmp_path, monkeypatch):
+    from wardmetrics.streaming import incremental
+
+    monkeypatch.setattr(incremental, "FILES_PER_BATCH", 3)
+    root, table, state = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "s")
+    for i in range(7):
+        publish(root, "01", f"F{i}", [{"id": i}])
+    got = load_new_files(spark, str(root), table, state, dry_run=False)
+    assert got.select("batch").distinct().count() == 3 == len(incremental.published_batches(spark, table))
+    assert rows(read_events_table(spark, table), "crime_id") == [(str(i),) for i in range(7)]
+
+
+def test_rolling_totals_equal_the_roll_up_of_everything(spark, tmp_path):
+    import random
+
+    from wardmetrics.operators.aggregate import annual_rollup, monthly_counts
+    from wardmetrics.streaming.rolling import add_batch, rolling_rates
+
+    rnd = random.Random(2)
+    kinds = "year int, month int, borough string, category string"
+    batches = [[(rnd.choice([2023, 2024]), rnd.randint(1, 12), rnd.choice(["A", "B", None]), rnd.choice(["x", "y", None])) for _ in range(n)] for n in (40, 0, 60, 5)]
+    base = str(tmp_path / "totals")
+    for i, batch in enumerate(batches):
+        frame = spark.createDataFrame(batch, kinds)
+        assert add_batch(spark, base, frame, f"b{i}") and not add_batch(spark, base, frame, f"b{i}")
+        so_far = spark.createDataFrame([r for b in batches[: i + 1] for r in b], kinds)
+        columns = ["year", "borough", "category", "total_count", "months_present", "annualised_rate"]
+        assert rows(rolling_rates(spark, base), *columns) == rows(annual_rollup(monthly_counts(so_far)), *columns)

@@ -14,6 +14,7 @@ from wardmetrics.operators.quality import cast_report
 from wardmetrics.operators.quality import coerce_numeric as coerce
 from wardmetrics.plans.metrics import compute_metrics
 from wardmetrics.session import scratch_path
+from wardmetrics.operators.dates import cast_by_order, date_orders
 from wardmetrics.sources.raw import RawSource, extract, layout, scan_raw, skeleton
 from wardmetrics.sources.tables import read_layer
 
@@ -100,6 +101,38 @@ def slugs(spark, folder):
     return table(spark, folder, "part").select("p_partkey", slugify(text).alias("slug"))
 
 
+# ---- dates whose order only the whole column tells ---------------------------------
+
+_WRITTEN_SQL = """written AS (SELECT o_orderkey, o_orderkey % 5 AS source, CASE WHEN o_orderkey % 5 = 3 THEN make_date(year(o_orderdate), month(o_orderdate), (day(o_orderdate) - 1) % 12 + 1)
+    ELSE CAST(o_orderdate AS DATE) END AS day, o_custkey % 24 AS hour FROM orders)"""
+
+
+def _written_dates(spark, folder):
+    """Order dates as five sources write them: day first, month first with two-digit years, year first, days up to 12 only, with a zone."""
+    day, source, key = F.to_date("o_orderdate"), F.col("o_orderkey") % 5, F.col("o_orderkey")
+    early = F.make_date(F.year(day), F.month(day), (F.dayofmonth(day) - 1) % 12 + 1)
+    clock = F.concat(F.lpad((F.col("o_custkey") % 24).cast("string"), 2, "0"), F.lit(":30"))
+    text = (
+        F.when(source == 0, F.date_format(day, "dd/MM/yyyy")).when(source == 1, F.date_format(day, "M-d-yy"))
+        .when(source == 2, F.concat(F.date_format(day, "yyyy/MM/dd "), clock, F.lit(":15.250"))).when(source == 3, F.date_format(early, "d/M/yyyy"))
+        .otherwise(F.concat(F.date_format(day, "yyyy-MM-dd'T'"), clock, F.lit(":00+00:00")))
+    )
+    return table(spark, folder, "orders").select(key, source.alias("source"), text.alias("day"))
+
+
+@query("o_orderkey:l source:l day:ts", _WRITTEN_SQL + """, q AS (SELECT o_orderkey, source, CASE source WHEN 2 THEN CAST(day AS TIMESTAMP) + to_hours(hour) + INTERVAL '30 minutes 15.25 seconds'
+    WHEN 4 THEN CAST(day AS TIMESTAMP) + to_hours(hour) + INTERVAL 30 MINUTE ELSE CAST(day AS TIMESTAMP) END AS day FROM written)""")
+def date_cast_by_order(spark, folder):
+    """Dates of each source read in the one order that all its cells allow."""
+    return cast_by_order(_written_dates(spark, folder), {"day": "DATETIME"}, ["source"])[0]
+
+
+@query("source:l column:s order:s", """q AS (SELECT unnest([0, 1, 2, 3, 4]) AS source, 'day' AS "column", unnest(['day', 'month', NULL, 'either', NULL]) AS "order")""")
+def date_column_orders(spark, folder):
+    """What each source's cells say about the order of day and month; one source leaves both."""
+    return date_orders(_written_dates(spark, folder), ["day"], ["source"])
+
+
 # ---- raw grids ------------------------------------------------------------------------
 
 _BLOCK = 2000

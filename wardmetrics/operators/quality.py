@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardmetrics.functions.cast import NULL_TOKENS, cast_text, clean_text, text_to_float
@@ -62,14 +62,15 @@ def rule_counts(df: DataFrame, keys: Sequence[str], required: Sequence[str] = ()
     kinds = dict(df.dtypes)
     absent = {k: F.lit(None).cast(kinds[k]) for k in keys}
 
-    def entry(rule: str, column: str | None = None, held: Sequence[str] = ()):
-        return F.struct(F.lit(rule).alias("rule"), F.lit(column).cast("string").alias("column"), *[(F.col(f"`{k}`") if k in held else absent[k]).alias(k) for k in keys])
+    def entry(rule: str, column: str | None = None, held: Sequence[str] = (), when: Column | None = None):
+        name = F.lit(rule) if when is None else F.when(when, F.lit(rule))
+        return F.struct(name.alias("rule"), F.lit(column).cast("string").alias("column"), *[(F.col(f"`{k}`") if k in held else absent[k]).alias(k) for k in keys])
 
     entries = [entry("unique", held=keys)]
-    entries += [F.when(F.col(f"`{c}`").isNull(), entry("not_null", c)) for c in required]
+    entries += [entry("not_null", c, when=F.col(f"`{c}`").isNull()) for c in required]
     if foreign:
-        entries.append(F.when(F.col(f"`{foreign}`").isNotNull(), entry("foreign_key", held=[foreign])))
-    expanded = df.select(F.inline(F.array_compact(F.array(*entries))))
+        entries.append(entry("foreign_key", held=[foreign], when=F.col(f"`{foreign}`").isNotNull()))
+    expanded = df.select(F.inline(F.array(*entries))).filter(F.col("rule").isNotNull())
     counted = expanded.groupBy("rule", "column", *[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("n"))
     return counted.filter((F.col("rule") != "unique") | (F.col("n") > 1))
 
@@ -81,18 +82,20 @@ def cast_report(raw: DataFrame, types: Mapping[str, str], tokens: Sequence[str]
     problem. Cells are judged where they stand and only problems leave their row,
     so what is shuffled grows with the problems, not with the cells.
     """
-    cleaned = raw.select(*[clean_text(F.col(f"`{name}`"), tokens).alias(name) for name in types])
-    found = []
-    for name, kind in types.items():
-        text = F.col(f"`{name}`")
-        problem = F.when(cast_text(text, kind).isNull(), F.lit("failed"))
+    cleaned = raw.select(*[clean_text(F.col(f"`{name}`"), tokens).alias(f"_t{i}") for i, name in enumerate(types)])
+    numbered = cleaned.select("*", *[text_to_float(F.col(f"_t{i}")).alias(f"_x{i}") for i, kind in enumerate(types.values()) if kind in ("INTEGER", "FLOAT")])
+    problems, cells = [], []
+    for i, (name, kind) in enumerate(types.items()):
+        text, number = F.col(f"_t{i}"), F.col(f"_x{i}")
+        value = F.rint(number).try_cast("bigint") if kind == "INTEGER" else number if kind == "FLOAT" else cast_text(text, kind)
+        problem = F.when(text.isNotNull() & value.isNull(), F.lit("failed"))
         if kind == "INTEGER":
-            number = text_to_float(text)
             problem = problem.when(number != F.rint(number), F.lit("rounded"))
-        cell = F.struct(F.lit(name).alias("column"), text.alias("raw_value"), problem.alias("problem"))
-        found.append(F.when(text.isNotNull(), cell))
-    problems = cleaned.select(F.filter(F.array(*found), lambda c: c.problem.isNotNull()).alias("_found")).select(F.inline("_found"))
-    return problems.groupBy("column", "raw_value", "problem").agg(F.count(F.lit(1)).alias("n"))
+        problems.append(problem.alias(f"_p{i}"))
+        cells.append(F.struct(F.lit(name).alias("column"), text.alias("raw_value"), F.col(f"_p{i}").alias("problem")))
+    # Plain arrays and a filter behind: all of it is compiled, and sound cells end inside the task.
+    judged = numbered.select("*", *problems).select(F.inline(F.array(*cells))).filter(F.col("problem").isNotNull())
+    return judged.groupBy("column", "raw_value", "problem").agg(F.count(F.lit(1)).alias("n"))
 
 
 def coerce_numeric(df: DataFrame, keep: Sequence[str] = ("borough_name",)) -> DataFrame:

@@ -69,7 +69,7 @@ def scan_events(
     if not multi_line:
         return reader.json(root).withColumn(entity, name)
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json*").load(root)
-    large = [r[0] for r in listed.filter(F.col("length") > whole_bytes).select("path").toLocalIterator()]  # each is over whole_bytes, so few
+    large = [r[0] for r in listed.filter(F.col("length") > whole_bytes).select("path").collect()]  # each is over whole_bytes, so few
     small = reader.json(root).filter(F.col("_metadata.file_size") <= whole_bytes).withColumn(entity, name)
     if not large:
         return small

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
+from collections.abc import Iterator
 from datetime import date
 
 from pyspark.errors import PySparkException
@@ -11,9 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wardmetrics.operators.reshape import union_all
 from wardmetrics.session import written
+from wardmetrics.sinks.published import marker_names, put_marker
 from wardmetrics.sinks.writers import spread
-from wardmetrics.sources.events import entity_from_file
+from wardmetrics.sources.events import WHOLE_FILE_BYTES, array_objects, entity_from_file, folder_number
 from wardmetrics.sources.raw import path_exists
 
 log = logging.getLogger(__name__)
@@ -71,10 +74,10 @@ def append_state(keys: DataFrame, path: str) -> None:
 
 
 def list_payload_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path, month and signature of the event files below ``root``; no file is opened."""
+    """Path, length, month and signature of the event files below ``root``; no file is opened."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(root)
     return files.select(
-        "path", F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"), _signature(F.col("_metadata.file_path")).alias("signature")
+        "path", "length", F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"), _signature(F.col("_metadata.file_path")).alias("signature")
     )
 
 
@@ -96,12 +99,15 @@ def _with_signature(files: DataFrame) -> DataFrame:
     )
 
 
+def _lacks_id(record: Column) -> Column:
+    """Whether a record is no object with an ``id``; an id of null is one."""
+    return F.try_variant_get(record, "$.id", "variant").isNull()
+
+
 def parse_payload(files: DataFrame, entity: str = "borough") -> DataFrame:
-    """One row per file with its records as an array of variants; null where it is no JSON array."""
-    return files.select(
-        F.from_json("value", "array<variant>").alias("_records"), "year", "month", "signature",
-        entity_from_file(F.col("path")).alias(entity),
-    )
+    """One row per file with its records as an array of variants; null where it is no JSON array of records with an ``id``."""
+    parsed = files.select(F.from_json("value", "array<variant>").alias("_all"), "year", "month", "signature", entity_from_file(F.col("path")).alias(entity))
+    return parsed.select(F.when(~F.exists("_all", _lacks_id), F.col("_all")).alias("_records"), "year", "month", "signature", entity)
 
 
 def explode_records(parsed: DataFrame, entity: str = "borough", payload: str = "crime_details") -> DataFrame:
@@ -120,53 +126,130 @@ def _write_batch(records: DataFrame, table: str, batch: str, entity: str) -> Non
     spread(records, "crime_date", [entity]).write.mode("overwrite").partitionBy("crime_date").parquet(target)
 
 
-FATES = "signature string, fate string, records int"
+FATES = "signature string, fate string, records int, batch string"
+
+# Files of one batch. Larger months load in several batches; the driver holds the paths of one.
+FILES_PER_BATCH = 5000
+
+
+def _batches(pending: DataFrame) -> Iterator[tuple[str, list]]:
+    """Named batches of pending files, month by month in order; a name follows from the files in the batch."""
+    held: list = []
+
+    def named():
+        signatures = "|".join(r["signature"] for r in held)
+        return f"{held[0]['year']:04d}-{held[0]['month']:02d}-{hashlib.sha1(signatures.encode(), usedforsecurity=False).hexdigest()[:12]}", held
+
+    for row in pending.orderBy("year", "month", "signature").toLocalIterator():
+        if held and (len(held) == FILES_PER_BATCH or (row["year"], row["month"]) != (held[0]["year"], held[0]["month"])):
+            yield named()
+            held = []
+        held.append(row)
+    if held:
+        yield named()
+
 
+def _log_of(table: str) -> str:
+    return f"{table.rstrip('/')}_log"
 
-def load_new_files(spark: SparkSession, root: str, table: str, state: str, dry_run: bool = True, entity: str = "borough") -> DataFrame:
-    """Load files whose path is not in the state, month by month in order; returns this run's files and their fate.
 
-    Only the listing covers all files; a run opens those that are pending. A
-    month's batch is named by the month and the paths in it, so a batch that died
-    half-way is repeated into its own folder under any run. ``loaded`` files
-    (empty ones included) go into the state after their month's data is written.
-    ``failed`` files hold no JSON array, or belong to a month that could not be
-    loaded; they stay pending, and later months go on.
+def published_batches(spark: SparkSession, table: str) -> list[str]:
+    """Batches of an event table that count; what else lies in its folder was staged by a job that died."""
+    return marker_names(spark, table)
+
+
+def _published_log(spark: SparkSession, table: str) -> DataFrame:
+    names = published_batches(spark, table)
+    return spark.read.schema(FATES).parquet(*[f"{_log_of(table)}/load_batch={n}" for n in names]) if names else spark.createDataFrame([], FATES)
+
+
+def load_new_files(
+    spark: SparkSession, root: str, table: str, state: str, dry_run: bool = True, entity: str = "borough", whole_bytes: int = WHOLE_FILE_BYTES,
+) -> DataFrame:
+    """Load files not loaded yet, month by month in order; returns this run's files, their fate and batch.
+
+    Only the listing covers all files; a run opens those that are pending: in
+    neither the state nor the log of a published batch. A batch's rows and log
+    are staged in folders of its own, and one marker then publishes both: a job
+    that dies in between leaves nothing that readers see, and its files stay
+    pending. The state follows the marker. ``failed`` files hold no JSON array of
+    records with an ``id``, or belong to a batch that could not be loaded; they
+    stay pending, and later ones go on. Files over ``whole_bytes`` are read in
+    ranges by many tasks.
     """
-    pending = written(list_payload_files(spark, root).join(read_state(spark, state), "signature", "left_anti"), "pending-files")
+    done = read_state(spark, state).unionByName(_published_log(spark, table).filter("fate = 'loaded'").select("signature"))
+    pending = written(list_payload_files(spark, root).join(done, "signature", "left_anti"), "pending-files")
     fates = spark.createDataFrame([], FATES)
-    for year, month in sorted(tuple(r) for r in pending.select("year", "month").distinct().collect()):
-        files = pending.filter((F.col("year") == year) & (F.col("month") == month)).select("path", "signature").orderBy("signature").collect()
-        paths, signatures = [f["path"] for f in files], [f["signature"] for f in files]
-        name = f"{year:04d}-{month:02d}-{hashlib.sha1('|'.join(signatures).encode(), usedforsecurity=False).hexdigest()[:12]}"
+    for name, files in _batches(pending):
         try:
-            fates = fates.unionByName(_load_month(spark, root, paths, table, state, name, dry_run, entity))
+            fates = fates.unionByName(_load_batch(spark, root, files, table, state, name, dry_run, entity, whole_bytes))
         except PySparkException as error:
-            log.warning("month %04d-%02d stays pending: %s", year, month, error)
-            lost = [(s, "failed", 0) for s in signatures]
-            fates = fates.unionByName(spark.createDataFrame(lost, FATES))
+            log.warning("batch %s stays pending: %s", name, error)
+            fates = fates.unionByName(spark.createDataFrame([(f["signature"], "failed", 0, name) for f in files], FATES))
     return fates
 
 
-def _load_month(spark: SparkSession, root: str, paths: list[str], table: str, state: str, name: str, dry_run: bool, entity: str) -> DataFrame:
-    # Parsed once: fates and records are both read from what is written here.
-    parsed = written(parse_payload(read_payload_files(spark, root, paths), entity), "parsed-month")
-    fate = parsed.select(
-        "signature", F.when(F.col("_records").isNull(), F.lit("failed")).otherwise(F.lit("loaded")).alias("fate"),
-        F.coalesce(F.size("_records"), F.lit(0)).alias("records"),
+def _large_files(spark: SparkSession, paths: list[str], entity: str) -> tuple[DataFrame, DataFrame]:
+    """Records and fates of array files that are read in ranges."""
+    path = F.col("_source_path")
+    objects = array_objects(spark, paths).select(
+        _signature(path).alias("signature"), folder_number(path, "year").alias("year"), folder_number(path, "month").alias("month"),
+        entity_from_file(path).alias(entity), F.try_parse_json("record").alias("payload"), "fate",
     )
+    objects = written(objects.withColumn("fate", F.when((F.col("fate") == "record") & _lacks_id(F.col("payload")), F.lit("bad")).otherwise(F.col("fate"))), "parsed-objects")
+    sound = (F.count_if(F.col("fate") == "bad") == 0) & (F.count_if(F.col("fate") == "end") == 1)
+    fate = objects.groupBy("signature").agg(F.when(sound, F.lit("loaded")).otherwise(F.lit("failed")).alias("fate"), F.count_if(F.col("fate") == "record").cast("int").alias("records"))
+    fate = fate.withColumn("records", F.when(F.col("fate") == "loaded", F.col("records")).otherwise(F.lit(0)))
+    kept = objects.filter("fate = 'record'").join(fate.filter("fate = 'loaded'").select("signature"), "signature", "left_semi")
+    return kept, fate
+
+
+def _as_records(parsed: DataFrame, entity: str, payload: str = "crime_details") -> DataFrame:
+    return parsed.select(
+        F.variant_get("payload", "$.id", "string").alias("crime_id"), F.make_date("year", "month", F.lit(1)).alias("crime_date"), entity, F.col("payload").alias(payload))
+
+
+def _load_batch(spark: SparkSession, root: str, files: list, table: str, state: str, name: str, dry_run: bool, entity: str, whole_bytes: int) -> DataFrame:
+    large = [f["path"] for f in files if f["length"] > whole_bytes]
+    small = [f["path"] for f in files if f["length"] <= whole_bytes]
+    parts = []
+    if small:
+        # Parsed once: fates and records are both read from what is written here.
+        parsed = written(parse_payload(read_payload_files(spark, root, small), entity), "parsed-files")
+        fate = parsed.select(
+            "signature", F.when(F.col("_records").isNull(), F.lit("failed")).otherwise(F.lit("loaded")).alias("fate"), F.coalesce(F.size("_records"), F.lit(0)).alias("records"))
+        parts.append((explode_records(parsed, entity), fate))
+    if large:
+        kept, fate = _large_files(spark, large, entity)
+        parts.append((_as_records(kept, entity), fate))
+    records, fates = (union_all([p[i] for p in parts]) for i in (0, 1))
+    fates = fates.withColumn("batch", F.lit(name))
     if dry_run:
-        return fate
-    _write_batch(explode_records(parsed, entity), table, name, entity)
-    done = f"{table.rstrip('/')}_log/load_batch={name}"
-    fate.write.mode("overwrite").parquet(done)
-    settled = spark.read.schema(FATES).parquet(done)
+        return fates
+    _write_batch(records, table, name, entity)
+    staged = f"{_log_of(table)}/load_batch={name}"
+    fates.write.mode("overwrite").parquet(staged)
+    put_marker(spark, table, name, "")
+    settled = spark.read.schema(FATES).parquet(staged)
     append_state(settled.filter("fate = 'loaded'"), state)
     return settled
 
 
-def read_events_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(table).drop("load_batch")
+def _event_rows(entity: str) -> str:
+    return f"crime_id string, {entity} string, crime_details variant, crime_date date"
+
+
+def read_batch(spark: SparkSession, table: str, batch: str, entity: str = "borough") -> DataFrame:
+    """The rows of one batch; none where all its files were empty or failed."""
+    return spark.read.schema(_event_rows(entity)).parquet(f"{table.rstrip('/')}/load_batch={batch}")
+
+
+def read_events_table(spark: SparkSession, table: str, entity: str = "borough") -> DataFrame:
+    """All rows of the published batches."""
+    names, base = published_batches(spark, table), table.rstrip("/")
+    if not names:
+        return spark.createDataFrame([], _event_rows(entity))
+    return spark.read.schema(_event_rows(entity)).option("basePath", base).parquet(*[f"{base}/load_batch={n}" for n in names])
 
 
 def stream_new_files(
@@ -191,6 +274,7 @@ def stream_new_files(
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = written(batch, "parsed-batch")  # read and parsed once for both writes
         _write_batch(explode_records(parsed, entity), table, str(batch_id), entity)
+        put_marker(spark, table, str(batch_id), "")
         failed = parsed.filter(F.col("_records").isNull()).select("signature")
         failed.write.mode("overwrite").parquet(f"{table.rstrip('/')}_failed/load_batch={batch_id}")
 
