@@ -388,3 +388,55 @@ def test_mix_edges(spark, edge, empty):
     assert mixing.mix(empty).count() == 0
     nothing = mixing.mix(docs_of(spark, [None, "", "  "])).collect()
     assert all((r["size"], r["target"], r["copies"]) == (0, 0.0, 0) for r in nothing)
+
+
+# --- secrets of texts full of matches
+
+def test_blocks_of_matches_give_what_one_walk_gives(spark, monkeypatch):
+    rng = random.Random(12)
+    kinds = ["password=abc123def", "word", "secret: xyz", "AKIA" + "Q7" * 9, "é" * 3, "customer_order_totals", "function_returning_values", "mean_of_all_columns"]
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def noisy():
+        parts = []
+        for _ in range(rng.randint(0, 120)):
+            parts.append(rng.choice([*kinds, f"{rng.getrandbits(128):032x}", f"token='{''.join(rng.choices(signs, k=40))}'", "".join(rng.choices(signs, k=30))]))
+        return rng.choice([" ", "", " \n"]).join(parts)
+
+    docs = spark.createDataFrame([(i, noisy()) for i in range(60)] + [(60, None), (61, "")], "doc_id long, text string")
+    model = secret_scan.SecretModel([2.0] * (len(secret_scan.ALPHABET) + 1) ** 2)  # every candidate is random enough
+    results = []
+    for block in (1, 2, 7, 10_000):
+        monkeypatch.setattr(secret_scan, "BLOCK", block)
+        found = secret_scan.scan_secrets(docs, model)
+        clean = found.withColumn("clean", secret_scan.redacted(F.coalesce("text", F.lit("")), F.col("spans")))
+        results.append([tuple(r) for r in clean.orderBy("doc_id").select("base", "spans", "clean").collect()])
+    assert all(r == results[0] for r in results)
+    texts = [r[0] or "" for r in docs.orderBy("doc_id").select("text").collect()]
+    some = 0
+    for text, (base, spans, clean) in zip(texts, results[0]):
+        hexes = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]{24,}", text)]
+        assert [(b["s"], b["e"]) for b in base if b["kind"] == "hex"] == hexes
+        taken = {(x["s"], x["e"]) for x in base}
+        for x in spans:
+            if x["kind"] == "markov":
+                some += 1
+                assert all(x["e"] <= s or e <= x["s"] for s, e in taken)
+        expected, at = "", 0
+        for x in spans:
+            if x["s"] >= at:
+                expected += text[at : x["s"]] + secret_scan.PLACEHOLDER
+            at = max(at, x["e"])
+        assert clean == expected + text[at:]
+    assert some > 10
+
+
+def test_a_text_of_hashes_takes_seconds(spark):
+    import time
+
+    rng = random.Random(1)
+    text = " ".join(f"{rng.getrandbits(128):032x}" for _ in range(60_000))  # two million characters
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.time()
+    row = secret_scan.scan_secrets(docs, secret_scan.SecretModel([0.0] * (len(secret_scan.ALPHABET) + 1) ** 2)).select("n_hex", F.size("spans").alias("n")).first()
+    assert (row["n_hex"], row["n"]) == (60_000, 60_000) and time.time() - start < 60

@@ -7,6 +7,7 @@ aggregates over character pairs.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,28 +38,92 @@ LEAST_RATIO, LEAST_EACH = 8.0, 1.3
 # A rule or a filler of few different characters is no secret.
 LEAST_DISTINCT = 6
 PLACEHOLDER = "<secret>"
+# Matches of a text are walked in blocks of so many.
+BLOCK = 128
+
+
+def _once(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make`` of a value that is computed once, however often it is used and inside whatever loop."""
+    return F.element_at(F.transform(F.array(value), make), 1)
+
+
+def _blocks(items: Column) -> Column:
+    """``items`` in blocks of ``BLOCK`` in order: an array grown entry by entry is copied each time, so none grows longer than a block."""
+
+    def cut(own: Column) -> Column:
+        last = F.floor((F.size(own) - 1) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.slice(own, i * BLOCK + 1, F.lit(BLOCK)))
+        return F.when(F.size(own) > 0, blocks).otherwise(F.slice(blocks, 1, 0))
+
+    return _once(items, cut)
+
+
+def _carried(values: Column, start: Column, step, kind: str) -> Column:
+    """What ``step`` has made of ``start`` and the values before each value: one entry per block, a short array."""
+    none = F.expr(f"cast(array() as array<{kind}>)")
+    walk = F.aggregate(
+        values, F.struct(start.cast(kind).alias("now"), none.alias("out")),
+        lambda acc, v: F.struct(step(acc["now"], v).cast(kind).alias("now"), F.concat(acc["out"], F.array(acc["now"])).alias("out")),
+    )
+    return walk["out"]
 
 
 def _find(text: Column, pattern: str) -> Column:
     """Start, end and text of each match, from left to right; positions count code points.
 
-    Pieces between matches and the matches themselves add up to the positions.
-    Texts without a match pay one scan.
+    Pieces between matches and the matches themselves add up to the positions,
+    first inside blocks of matches, then over the blocks, so a text full of
+    matches costs little more for each of them. Texts without a match pay one scan.
     """
     pieces = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.zip_with(pieces, found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m")))
+    steps = F.filter(F.zip_with(pieces, found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m"))), lambda x: x["m"].isNotNull())
     none = F.expr("cast(array() as array<struct<s:int,e:int,m:string>>)")
-    walk = F.aggregate(
-        F.filter(steps, lambda x: x["m"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.length(x["m"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("s"), (acc["at"] + x["gap"] + F.length(x["m"])).alias("e"), x["m"].alias("m")))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(text.rlike(pattern), walk).otherwise(none)
+
+    def inside(block: Column) -> Column:
+        return F.aggregate(
+            block, F.struct(F.lit(0).alias("at"), none.alias("out")),
+            lambda acc, x: F.struct(
+                (acc["at"] + x["gap"] + F.length(x["m"])).alias("at"),
+                F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("s"), (acc["at"] + x["gap"] + F.length(x["m"])).alias("e"), x["m"].alias("m")))).alias("out"),
+            ),
+        )
+
+    def shifted(walked: Column) -> Column:
+        starts = _carried(F.transform(walked, lambda w: w["at"]), F.lit(0), lambda now, size: now + size, "int")
+        return F.flatten(F.zip_with(walked, starts, lambda w, o: F.transform(w["out"], lambda x: F.struct((x["s"] + o).alias("s"), (x["e"] + o).alias("e"), x["m"].alias("m")))))
+
+    walked = F.transform(_blocks(steps), inside)
+    return F.when(text.rlike(pattern), _once(walked, shifted)).otherwise(none)
+
+
+def _apart(candidates: Column, base: Column) -> Column:
+    """Candidates (s, e, m) that touch no base span; both are in order of start.
+
+    Merged in order and cut into blocks: a candidate is compared with the spans of
+    its block, the furthest end of the blocks before and the next start behind.
+    """
+    mark = F.lit(None).cast("string")
+    merged = F.array_sort(F.concat(
+        F.transform(base, lambda b: F.struct(b["s"].alias("s"), F.lit(0).alias("own"), b["e"].alias("e"), mark.alias("m"))),
+        F.transform(candidates, lambda x: F.struct(x["s"].alias("s"), F.lit(1).alias("own"), x["e"].alias("e"), x["m"].alias("m"))),
+    ))
+
+    def told(blocks: Column) -> Column:
+        spans = F.transform(blocks, lambda b: F.filter(b, lambda x: x["own"] == 0))
+        ends = F.transform(spans, lambda b: F.coalesce(F.array_max(F.transform(b, lambda x: x["e"])), F.lit(-1)))
+        firsts = F.transform(spans, lambda b: F.coalesce(F.array_min(F.transform(b, lambda x: x["s"])), F.lit(2147483647)))
+        before = _carried(ends, F.lit(-1), lambda now, e: F.greatest(now, e), "int")
+        behind = F.reverse(_carried(F.reverse(firsts), F.lit(2147483647), lambda now, s: F.least(now, s), "int"))
+        return F.arrays_zip(blocks.alias("items"), spans.alias("spans"), before.alias("before"), behind.alias("behind"))
+
+    def kept(b: Column) -> Column:
+        free = F.filter(b["items"], lambda x: (x["own"] == 1) & (b["before"] <= x["s"]) & (b["behind"] >= x["e"])
+                        & ~F.exists(b["spans"], lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])))
+        return F.transform(free, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
+
+    whole = F.flatten(F.transform(_once(_blocks(merged), told), kept))
+    return F.when((F.size(candidates) > 0) & (F.size(base) > 0), whole).otherwise(candidates)
 
 
 def _base(text: Column, kind: str) -> Column:
@@ -155,7 +220,7 @@ def scan_secrets(docs: DataFrame, model: SecretModel, text: str = "text") -> Dat
         **{f"n_{kind}": F.size(tag + kind).cast("long") for kind in kinds},
         "base": F.array_sort(F.concat(*[of(tag + kind, kind, rank) for rank, kind in enumerate(kinds)])),
     })
-    apart = F.filter(F.col(long), lambda x: ~F.exists(F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    apart = _apart(F.col(long), F.col("base"))
     least = lambda x: F.greatest(F.lit(LEAST_RATIO), F.length(x["m"]) * LEAST_EACH)
     varied = lambda x: F.size(F.array_distinct(_characters(x["m"]))) >= LEAST_DISTINCT
     rows = rows.withColumn(random, F.filter(apart, lambda x: varied(x) & (model.ratio(x["m"]) >= least(x))))
@@ -169,12 +234,27 @@ def joined(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """``text`` with each span (or run of overlapping spans) replaced by a placeholder."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """``text`` with each span (or run of overlapping spans) replaced by a placeholder.
+
+    Blocks of spans cut their stretch out of the text once and rebuild it alone;
+    the stretches are joined at the end.
+    """
+
+    def stretch(block: Column) -> Column:
+        # The text from where the earlier spans end to where those of this block end; positions count from its start.
+        own = F.substring(text, block["before"] + 1, F.greatest(block["upto"] - block["before"], F.lit(0)))
+
+        def step(acc, x):
+            put = F.concat(acc["out"], F.substring(acc["own"], acc["at"] - block["before"] + 1, x["s"] - acc["at"]), F.lit(PLACEHOLDER))
+            return F.struct(acc["own"].alias("own"), F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], put).otherwise(acc["out"]).alias("out"))
+
+        start = F.struct(own.alias("own"), block["before"].alias("at"), F.lit("").alias("out"))
+        return F.aggregate(block["items"], start, step, lambda acc: acc["out"])
 
-    def step(acc, x):
-        put = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(PLACEHOLDER))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], put).otherwise(acc["out"]).alias("out"))
+    def told(blocks: Column) -> Column:
+        ends = F.transform(blocks, lambda b: F.array_max(F.transform(b, lambda x: x["e"])))
+        return F.arrays_zip(blocks.alias("items"), _carried(ends, F.lit(0), lambda now, e: F.greatest(now, e), "int").alias("before"), ends.alias("upto"))
 
-    done = F.aggregate(spans, begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    parts = F.transform(_once(_blocks(spans), told), stretch)
+    tail = F.substring(text, F.array_max(F.transform(spans, lambda x: x["e"])) + 1, F.length(text))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), tail)).otherwise(text)
