@@ -190,8 +190,10 @@ def test_removal_from_nothing(spark):
 def search_by_force(data, k):
     sound = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in data if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q, u in {(i, tuple(v)) for i, v in sound if i % 5 == 0}:
-        scored = sorted((-sum(a * b for a, b in zip(u, v)), i) for i, v in sound if i != q)
+    for place, (q, u) in enumerate(sound):
+        if q % 5:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(u, v)), i) for other, (i, v) in enumerate(sound) if other != place)
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -203,6 +205,8 @@ def test_search_equals_brute_force(spark, monkeypatch, slices):
     rng = np.random.default_rng(3)
     data = [(i, (rng.normal(0, 1, 6) * rng.exponential(1)).tolist()) for i in range(70)]
     data += [(100, [1.0] * 6), (101, [1.0] * 6), (102, [1.0] * 6), (103, [0.0] * 6), (105, None), (110, [None] + [1.0] * 5), (115, [float("nan")] * 6), (120, [float("inf")] * 6), (125, [0.5, 0.25]), (130, []), (None, [1.0] * 6), (7, data[7][1])]
+    # Rows of one key: another vector, the same vector twice more.
+    data += [(0, [3.0, 0.5, 0.0, 0.0, 0.25, 1.0]), (5, data[5][1]), (5, data[5][1])]
     df = with_clashes(spark.createDataFrame(data, "vec_id long, embedding array<float>"))
     got = topk.top_inner_products(df, lambda key: key % 5 == 0)
     assert sorted(tuple(r) for r in got.collect()) == search_by_force(data, 5)

@@ -83,17 +83,17 @@ def _products(q: np.ndarray, c: np.ndarray, bound: float) -> np.ndarray:
 
 
 class Search:
-    """Top ``k`` of a set of queries over candidates that come in slices."""
+    """Top ``k`` of a set of queries over candidates that come in slices. A query is a row, known by its place."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, axes: np.ndarray, stops: np.ndarray, k: int, least: np.ndarray | None = None):
-        self.ids, self.vectors, self.axes, self.stops, self.k = ids, vectors, axes, stops, k
+    def __init__(self, places: np.ndarray, vectors: np.ndarray, axes: np.ndarray, stops: np.ndarray, k: int, least: np.ndarray | None = None):
+        self.places, self.vectors, self.axes, self.stops, self.k = places, vectors, axes, stops, k
         self.turned = vectors @ axes
         self.norms = np.linalg.norm(vectors, axis=1)
         self.rest = {s: np.linalg.norm(self.turned[:, s:], axis=1) for s in stops.tolist()}
-        self.least = np.full(len(ids), -np.inf) if least is None else least.astype(float)
-        self.found = [(np.empty(0), np.empty(0, np.int64)) for _ in ids]
+        self.least = np.full(len(places), -np.inf) if least is None else least.astype(float)
+        self.found = [(np.empty(0), np.empty(0, np.int64)) for _ in places]
 
-    def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def meet(self, ids: np.ndarray, places: np.ndarray, vectors: np.ndarray) -> None:
         """Candidates in descending length. A query goes on while its bound reaches its threshold: first by the
         lengths alone, then by a partial sum over the strongest rotated coordinates plus the product of the lengths of
         the rests, which no inner product exceeds; only survivors are multiplied out."""
@@ -103,8 +103,8 @@ class Search:
         for at in range(0, len(ids), SLICE):
             own = slice(at, at + SLICE)
             longest = norms[own].max(initial=0)
-            for first in range(0, len(self.ids), TILE):
-                q = np.arange(first, min(first + TILE, len(self.ids)))
+            for first in range(0, len(self.places), TILE):
+                q = np.arange(first, min(first + TILE, len(self.places)))
                 slack = 1e-9 * (1 + self.norms[q] * longest)
                 q = q[self.norms[q] * longest + slack >= self.least[q]]
                 if not len(q):
@@ -121,10 +121,10 @@ class Search:
                     continue
                 columns = np.flatnonzero(open_.any(axis=0))
                 exact = _products(self.vectors[q[rows]], vectors[own][columns], float(self.norms[q].max() * longest) + 1)
-                names = ids[own][columns]
+                names, others = ids[own][columns], places[own][columns]
                 for r, row in zip(rows.tolist(), exact):
                     i = q[r]
-                    take = np.flatnonzero((row >= self.least[i]) & open_[r, columns] & (names != self.ids[i]))
+                    take = np.flatnonzero((row >= self.least[i]) & open_[r, columns] & (others != self.places[i]))
                     if len(take):
                         scores = np.concatenate((self.found[i][0], row[take]))
                         whom = np.concatenate((self.found[i][1], names[take]))
@@ -138,7 +138,7 @@ class Search:
         scores = [int(s) for f in self.found for s in f[0]]
         whom = np.concatenate([f[1] for f in self.found]) if self.found else np.empty(0, np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(self.ids, sizes), pa.int64()), pa.array(whom, pa.int64()), pa.array(scores, pa.int64())], names=["query_id", "vec_id", "score"]
+            [pa.array(np.repeat(self.places, sizes), pa.int64()), pa.array(whom, pa.int64()), pa.array(scores, pa.int64())], names=["place", "vec_id", "score"]
         )
 
 
@@ -153,9 +153,10 @@ def top_inner_products(df: DataFrame, asks: Callable[[Column], Column], k: int =
     query its threshold, which all groups start from.
 
     Null keys and unusable vectors take no part; vectors of fewer components
-    count as padded with zeros; rows of one key are no answers to that key's
-    query, and repeated rows are answers of their own; a query with fewer than
-    ``k`` others gets all; an empty table gives no rows. Scores must fit a long.
+    count as padded with zeros. A query is a row: rows of one key are queries
+    with answers and ranks of their own, and answers to each other; a query with
+    fewer than ``k`` others gets all; an empty table gives no rows. Scores must
+    fit a long.
     """
     spark = df.sparkSession
     vectors = written(whole_vectors(df, key, vector, scale).withColumn("_place", F.monotonically_increasing_id()), "topk-vectors")
@@ -164,37 +165,39 @@ def top_inner_products(df: DataFrame, asks: Callable[[Column], Column], k: int =
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     width = found["w"]
     axes, stops = rotation(vectors, width)
-    seed = vectors.orderBy(F.desc("norm2"), "id", "_place").limit(SEED_ROWS).select("id", "v").toArrow()
-    seed_ids, seed_rows = seed["id"].to_numpy(), _matrix(seed["v"], width)
+    seed = vectors.orderBy(F.desc("norm2"), "id", "_place").limit(SEED_ROWS).select("id", "_place", "v").toArrow()
+    seed_ids, seed_places, seed_rows = seed["id"].to_numpy(), seed["_place"].to_numpy(), _matrix(seed["v"], width)
 
-    asked = vectors.filter(asks(F.col("id"))).select("id", "v").distinct()
+    asked = vectors.filter(asks(F.col("id"))).select("id", F.col("_place").alias("place"), "v")
 
     def first_pass(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, QUERY_ROWS):
                 own = batch.slice(at, QUERY_ROWS)
-                search = Search(own["id"].to_numpy(), _matrix(own["v"], width), axes, stops, k)
-                search.meet(seed_ids, seed_rows)
-                yield pa.RecordBatch.from_arrays([own["id"], own["v"], pa.array(search.least)], names=["id", "v", "least"])
+                search = Search(own["place"].to_numpy(), _matrix(own["v"], width), axes, stops, k)
+                search.meet(seed_ids, seed_places, seed_rows)
+                yield pa.RecordBatch.from_arrays([own["id"], own["place"], own["v"], pa.array(search.least)], names=["id", "place", "v", "least"])
 
-    started = written(asked.mapInArrow(first_pass, "id long, v array<double>, least double").withColumn("_place", F.monotonically_increasing_id()), "topk-queries")
+    started = written(asked.mapInArrow(first_pass, "id long, place long, v array<double>, least double"), "topk-queries")
     n_queries = started.count()
     query_groups = max(1, -(-n_queries // QUERY_ROWS))
     candidate_groups = max(1, -(-found["n"] // CANDIDATE_ROWS), min(2 * spark.sparkContext.defaultParallelism, -(-found["n"] // SLICE)))
-    group = lambda n: F.pmod(F.xxhash64("_place"), F.lit(n))
+    group = lambda n: F.pmod(F.xxhash64("place"), F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    ours = started.select(group(query_groups).alias("a"), every(candidate_groups).alias("b"), F.lit(True).alias("asks"), "id", "v", "least", F.lit(0.0).alias("norm2"))
-    theirs = vectors.select(every(query_groups).alias("a"), group(candidate_groups).alias("b"), F.lit(False).alias("asks"), "id", "v", F.lit(0.0).alias("least"), "norm2")
+    ours = started.select(group(query_groups).alias("a"), every(candidate_groups).alias("b"), F.lit(True).alias("asks"), "id", "place", "v", "least", F.lit(0.0).alias("norm2"))
+    theirs = vectors.withColumnRenamed("_place", "place").select(every(query_groups).alias("a"), group(candidate_groups).alias("b"), F.lit(False).alias("asks"), "id", "place", "v", F.lit(0.0).alias("least"), "norm2")
     cells = ours.unionByName(theirs)
 
     def cell(table: pa.Table) -> pa.Table:
         asks = table["asks"].to_numpy(zero_copy_only=False)
         own, others = table.filter(pa.array(asks)), table.filter(pa.array(~asks))
         others = others.take(pa.array(np.argsort(-others["norm2"].to_numpy(), kind="stable")))
-        search = Search(own["id"].to_numpy(), _matrix(own["v"], width), axes, stops, k, own["least"].to_numpy())
-        search.meet(others["id"].to_numpy(), _matrix(others["v"], width))
+        search = Search(own["place"].to_numpy(), _matrix(own["v"], width), axes, stops, k, own["least"].to_numpy())
+        search.meet(others["id"].to_numpy(), others["place"].to_numpy(), _matrix(others["v"], width))
         return pa.Table.from_batches([search.rows()])
 
-    answers = cells.groupBy("a", "b").applyInArrow(cell, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return answers.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    answers = cells.groupBy("a", "b").applyInArrow(cell, "place long, vec_id long, score long")
+    rank = F.row_number().over(W.partitionBy("place").orderBy(F.desc("score"), "vec_id"))
+    ranked = answers.withColumn("rank", rank).filter(F.col("rank") <= k)
+    names = started.select(F.col("id").alias("query_id"), F.col("place").alias("_of"))
+    return ranked.join(names, ranked["place"] == names["_of"]).select("query_id", "rank", "vec_id", "score")
