@@ -400,3 +400,24 @@ def test_rolling_totals_equal_the_roll_up_of_everything(spark, tmp_path):
         so_far = spark.createDataFrame([r for b in batches[: i + 1] for r in b], kinds)
         columns = ["year", "borough", "category", "total_count", "months_present", "annualised_rate"]
         assert rows(rolling_rates(spark, base), *columns) == rows(annual_rollup(monthly_counts(so_far)), *columns)
+
+
+def test_an_extract_opens_only_bronze_files_of_its_rows(spark, tmp_path):
+    from wardmetrics.plans.layers import read_bronze
+    from wardmetrics.sources.raw import extract
+
+    for name in ("a +b", "c"):
+        (tmp_path / f"{name}.csv").write_text("".join(f"{i},x\n" for i in range(20_000)))
+    sources = [RawSource(str(tmp_path / "a +b.csv"), "t", "20/21 +"), RawSource(str(tmp_path / "c.csv"), "t", "2022")]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = run_bronze(spark, sources, str(tmp_path / "out"), "d", widths={"t": 2}).written["t"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    spec = layout("t", 5_001, 5_011, [(0, "n", "INTEGER")])
+    some, whole = read_bronze(spark, path, spec), read_bronze(spark, path)
+    assert len(whole.inputFiles()) >= 8 and len(some.inputFiles()) <= 4
+    assert rows(extract(some, spec)) == rows(extract(whole, spec)) == sorted([(i, y) for i in range(5_000, 5_010) for y in ("20/21 +", "2022")], key=str)
+    assert read_bronze(spark, path, layout("t", 30_000, None, [(0, "n")])).count() == 0
+    assert len(read_bronze(spark, path, layout("t", 1, None, [(0, "n")])).inputFiles()) == len(whole.inputFiles())

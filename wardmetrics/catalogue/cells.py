@@ -12,6 +12,7 @@ from wardmetrics.functions.cast import cast_columns
 from wardmetrics.functions.text import sanitise, slugify, standardise
 from wardmetrics.operators.quality import cast_report
 from wardmetrics.operators.quality import coerce_numeric as coerce
+from wardmetrics.plans.layers import read_bronze, run_bronze
 from wardmetrics.plans.metrics import compute_metrics
 from wardmetrics.session import scratch_path
 from wardmetrics.operators.dates import cast_by_order, date_orders
@@ -222,6 +223,16 @@ def positional_extract(spark, folder):
     return extract(raw_orders(spark, folder), spec, year="2026")
 
 
+@query("id:l date:ts price:d2 status:s _row_number:l year_name:s", _RAW_SQL + """,
+q AS (SELECT o_orderkey AS id, o_orderdate AS date, o_totalprice AS price, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
+    _row_number, '2026' AS year_name FROM raw WHERE _row_number >= 10 AND _row_number < 1990 AND o_totalprice > 1000)""")
+def bronze_row_range(spark, folder):
+    """The same extract from a bronze table, opening only files that hold a record of the range."""
+    spec = layout("orders", 11, 1991, _ORDER_LAYOUT_FIELDS, [lambda df: df.filter("price > 1000")])
+    bronze = run_bronze(spark, [RawSource(_publish_orders(spark, folder), "orders", "2026")], scratch_path(spark, "bronze"), "orders", widths={"orders": 5})
+    return extract(read_bronze(spark, bronze.written["orders"], spec), spec)
+
+
 @query("o_orderpriority:s orders:l", "q AS (SELECT o_orderpriority, count(*) AS orders FROM orders GROUP BY o_orderpriority)")
 def layer_table_scan(spark, folder):
     """A layer table read by path, pruned to one column."""

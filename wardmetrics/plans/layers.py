@@ -18,7 +18,7 @@ from wardmetrics.plans.gold import RunReport
 from wardmetrics.session import written as stored
 from wardmetrics.sinks.writers import layer_path, load_table, write_layer
 from wardmetrics.sources.events import scan_events
-from wardmetrics.sources.raw import IngestReport, Layout, RawSource, extract, scan_raw
+from wardmetrics.sources.raw import IngestReport, Layout, RawSource, extract, files_in_range, path_exists, row_ranges, scan_raw
 from wardmetrics.sources.tables import missing_inputs, source_exists
 
 
@@ -71,11 +71,11 @@ def run_bronze(
             lines = multi_line if isinstance(multi_line, bool) else table in multi_line
             path = layer_path(root, "bronze", domain, table)
             try:
-                write_layer(scan_raw(spark, group, (widths or {}).get(table), lines, report=ingest), path, "year_name", ["_row_number"])
+                write_bronze(scan_raw(spark, group, (widths or {}).get(table), lines, report=ingest), path)
             except PySparkException:
                 # One of the sources is at fault: each is read apart, and the sound ones make the table.
                 ingest = IngestReport()
-                write_layer(_sound_sources(spark, group, (widths or {}).get(table), lines, ingest, report), path, "year_name", ["_row_number"])
+                write_bronze(_sound_sources(spark, group, (widths or {}).get(table), lines, ingest, report), path)
         except FileNotFoundError:
             report.missing += [s.path for s in group]
             continue
@@ -108,9 +108,32 @@ def _sound_sources(spark: SparkSession, group: Sequence[RawSource], width: int |
     return stacked.select(*widest)
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """A bronze table with its columns in file order."""
-    raw = spark.read.parquet(path)
+# Beside a bronze table, in a folder its readers pass over.
+_RANGES = "_row_ranges"
+
+
+def write_bronze(raw: DataFrame, path: str) -> str:
+    """A raw table by year label in files of disjoint row ranges, and beside it the range of each file.
+
+    The rows are dealt out by ranges of (year label, row number), so a large
+    source is many files, and an extract of some records opens only those with
+    one of them.
+    """
+    ranged = raw.repartitionByRange("year_name", "_row_number").sortWithinPartitions("year_name", "_row_number")
+    ranged.write.mode("overwrite").partitionBy("year_name").parquet(path)
+    row_ranges(raw.sparkSession.read.parquet(path)).write.mode("overwrite").parquet(f"{path}/{_RANGES}")
+    return path
+
+
+def read_bronze(spark: SparkSession, path: str, spec: Layout | None = None) -> DataFrame:
+    """A bronze table with its columns in file order; for a layout, of the files that hold a record of its range."""
+    ranges = f"{path.rstrip('/')}/{_RANGES}"
+    files = files_in_range(spark.read.parquet(ranges), spec) if spec is not None and path_exists(spark, ranges) else None
+    if files:
+        raw = spark.read.option("basePath", path).parquet(*files)
+    else:
+        raw = spark.read.parquet(path)
+        raw = raw.limit(0) if files == [] else raw
     return raw.withColumn("year_name", F.col("year_name").cast("string"))
 
 
@@ -132,7 +155,7 @@ def run_silver(
         if location is None or not source_exists(spark, location):
             report.missing.append(spec.table)
             continue
-        path = write_layer(extract(read_bronze(spark, location), spec), layer_path(root, "silver", domain, spec.table))
+        path = write_layer(extract(read_bronze(spark, location, spec), spec), layer_path(root, "silver", domain, spec.table))
         written[spec.table] = spark.read.parquet(path)
         report.written[spec.table] = path
         report.loads.append(load_table(spark, written[spec.table], project, "silver_layer", f"{domain}_{spec.table}", dry_run))

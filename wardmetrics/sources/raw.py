@@ -277,6 +277,22 @@ def extract(raw: DataFrame, spec: Layout, year: str | None = None, tokens: Seque
     return compose(spec.filters)(typed).withColumnRenamed(_YEAR_LABEL, "year_name")
 
 
+def row_ranges(table: DataFrame) -> DataFrame:
+    """``file``, ``low``, ``high``: the least and greatest ``_row_number`` in each file of a written raw table."""
+    path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return table.groupBy(F.url_decode(path).alias("file")).agg(F.min("_row_number").alias("low"), F.max("_row_number").alias("high"))
+
+
+def files_in_range(ranges: DataFrame, spec: Layout) -> list[str] | None:
+    """Files that hold a record of the layout's range, by :func:`row_ranges`; None where all of them may."""
+    if spec.start <= 1 and spec.end is None:
+        return None
+    kept = ranges.filter(F.col("high") >= spec.start - 1)
+    if spec.end is not None:
+        kept = kept.filter(F.col("low") <= spec.end - 2)
+    return [r[0] for r in kept.select("file").orderBy("file").collect()]
+
+
 def left_out(raw: DataFrame, spec: Layout) -> DataFrame:
     """Records of each source before and behind the layout's range: what an extract leaves out."""
     row = F.col("_row_number")
