@@ -282,14 +282,15 @@ def test_counts_equal_brute_force(spark):
         assert r["base_failed"] == (expected[0] < 10 or 100 * expected[4] > 20 * expected[0])
 
 
-def test_outliers_go_by_group_and_small_groups_stay(spark, edge, empty):
+def test_outliers_go_by_group_and_small_groups_by_their_parents(spark, edge, empty):
     rng = random.Random(6)
     usual = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) for _ in range(rng.randint(80, 140))) for _ in range(160)]
     odd = [" ".join("".join(rng.choice("abcdefgh") for _ in range(40)) + "###" for _ in range(100))]
-    df = docs_of(spark, usual + odd).unionByName(spark.createDataFrame([(900, odd[0], "xx", None, 0)], DOCS))
+    df = docs_of(spark, usual + odd).unionByName(spark.createDataFrame([(900, odd[0], "xx", None, 0), (901, usual[0], "xx", None, 0), (902, usual[1], "yy", "alone", 0)], DOCS))
     got = {r["doc_id"]: r for r in outliers.judge_texts(df, ["doc_id"]).collect()}
     assert not got[160]["kept"] and sum(got[i]["kept"] for i in range(160)) >= 158
-    assert got[900]["kept"] and got[900]["distance"] is None
+    assert not got[900]["kept"] and got[901]["kept"] and got[902]["kept"]
+    assert all((r["distance"] is None) == r["base_failed"] for r in got.values())
     again = {r["doc_id"]: r for r in outliers.judge_texts(with_clashes(df).repartition(6), ["doc_id"]).collect()}
     assert all(again[k]["distance"] == got[k]["distance"] for k in got)
     assert outliers.judge_texts(edge, ["doc_id"]).count() == 12
@@ -305,6 +306,41 @@ def test_covariance_core_ignores_a_far_cloud(spark):
     assert np.abs(np.array(shape["_mu"]) - 2).max() < 0.1
 
 
+def shrunk_by_force(sets, shapes):
+    """Centre and covariance of a group from those of its levels, finest first."""
+    mu, cov = None, np.diag(np.square(outliers.FLOORS))
+    for name in reversed(sets):
+        n, own, white = shapes[name]
+        spread = np.linalg.inv(white)
+        mu = own if mu is None else mu
+        share = n / (n + outliers.PARENT_ROWS)
+        mu, cov = share * own + (1 - share) * mu, share * spread @ spread.T + (1 - share) * cov
+    return mu, cov
+
+
+def test_shapes_are_drawn_to_parents_and_verdicts_follow(spark):
+    rng = np.random.default_rng(5)
+    rows_, groups = [], {("en", "a"): 300, ("en", "b"): 20, ("de", "a"): 1, ("de", "c"): 120}
+    for k, ((lang, source), n) in enumerate(groups.items()):
+        rows_ += [(f"{lang}{source}", lang, "all", *z) for z in np.round(rng.normal(2 + k, 0.5 + 0.1 * k, (n, 5)) * outliers.GRAIN).astype(int).tolist()]
+    kinds = "_own string, _lang string, _all string, " + ", ".join(f"_z{i} long" for i in range(5))
+    df = spark.createDataFrame(rows_, kinds)
+    got = {r["_g"]: (np.array(r["_mu"]), np.array(r["_w"]).reshape(5, 5)) for r in outliers.shrunk_shapes(df, ["_own", "_lang", "_all"]).collect()}
+    shapes = {}
+    for level in ("_own", "_lang", "_all"):
+        sizes = dict(rows(df.groupBy(level).count()))
+        for r in outliers.group_shapes(df.withColumn("_g", F.col(level))).collect():
+            shapes[level, r["_g"]] = (sizes[r["_g"]], np.array(r["_mu"]), np.array(r["_w"]).reshape(5, 5))
+    for lang, source in groups:
+        mu, cov = shrunk_by_force([("_own", lang + source), ("_lang", lang), ("_all", "all")], shapes)
+        assert np.allclose(got[lang + source][0], mu) and np.allclose(np.linalg.inv(got[lang + source][1].T @ got[lang + source][1]), cov)
+    # The common path: distances of the query follow from the shapes by the textbook formula.
+    point = np.array(rows_[0][3:]) / outliers.GRAIN
+    mu, cov = shrunk_by_force([("_own", "ena"), ("_lang", "en"), ("_all", "all")], shapes)
+    frame = spark.createDataFrame([(*rows_[0][3:], mu.tolist(), np.linalg.inv(np.linalg.cholesky(cov)).ravel().tolist())], ", ".join(f"_z{i} long" for i in range(5)) + ", _mu array<double>, _w array<double>")
+    assert abs(frame.select(outliers._distance().alias("d")).first()["d"] - (point - mu) @ np.linalg.inv(cov) @ (point - mu)) < 1e-6
+
+
 # --- sharding
 
 def slots_by_force(names, slots):

@@ -18,7 +18,8 @@ RUN = 5
 # Share of a group's rows that the covariance of least determinant is taken over.
 CORE = 0.75
 STEPS = 5
-LEAST_ROWS = 50
+# A group's shape weighs as many rows as it has, its parent's as many as this.
+PARENT_ROWS = 50
 # Squared distances of a normal cloud of five dimensions: its median, the 97.5 % point, and the point that one row in
 # ten million is beyond. Fixed values of the chi-squared distribution.
 MEDIAN_5, INNER_5, CUT_5 = 4.351, 12.833, 42.0
@@ -187,28 +188,61 @@ def group_shapes(rows: DataFrame) -> DataFrame:
     return written(shapes, "mcd-final")
 
 
+def shrunk_shapes(rows: DataFrame, levels: list[str]) -> DataFrame:
+    """``_g``, ``_mu``, ``_w`` of the finest level's groups, each drawn towards its parents by row count.
+
+    ``levels`` names the label columns of ``rows`` from the finest on. Every level
+    has its own minimum-covariance-determinant shapes, found together; then a
+    centre and covariance of n rows count n, the parent's (drawn to its own parent
+    first, the last one to the floors) count ``PARENT_ROWS``. One rule at every
+    size: a large group keeps its shape, a group of one row has its parent's.
+    """
+    labels = F.explode(F.array(*[F.concat(F.lit(f"{i}:"), F.col(name)) for i, name in enumerate(levels)]))
+    marked = written(rows.select(labels.alias("_g"), *[f"_z{i}" for i in range(5)]), "mcd-rows")
+    shapes = group_shapes(marked).join(written(marked.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")), "mcd-sizes"), "_g")
+    shapes = written(shapes, "mcd-levels")
+    chain = written(rows.select(*levels).distinct(), "mcd-groups")
+    for i, name in enumerate(levels):
+        own = shapes.select(F.col("_g").alias("_key"), *[F.col(c).alias(f"{c}{i}") for c in ("_n", "_mu", "_w")])
+        chain = chain.join(own, F.concat(F.lit(f"{i}:"), F.col(name)) == own["_key"]).drop("_key")
+
+    def run(frames):
+        for pdf in frames:
+            centres, whites = [], []
+            for row in pdf.itertuples(index=False):
+                mu = cov = None
+                for i in reversed(range(len(levels))):
+                    n, own = row[1 + 3 * i], np.array(row[2 + 3 * i])
+                    spread = np.linalg.inv(np.array(row[3 + 3 * i]).reshape(5, 5))
+                    mu = own if mu is None else mu
+                    cov = np.diag(np.square(FLOORS)) if cov is None else cov
+                    mu, cov = (n * own + PARENT_ROWS * mu) / (n + PARENT_ROWS), (n * spread @ spread.T + PARENT_ROWS * cov) / (n + PARENT_ROWS)
+                centres.append(mu.tolist())
+                whites.append(np.linalg.inv(np.linalg.cholesky(cov)).ravel().tolist())
+            yield pd.DataFrame({"_g": pdf.iloc[:, 0], "_mu": centres, "_w": whites})
+
+    ordered = chain.select(levels[0], *[f"{c}{i}" for i in range(len(levels)) for c in ("_n", "_mu", "_w")])
+    return written(ordered.mapInPandas(run, "_g string, _mu array<double>, _w array<double>"), "mcd-shrunk")
+
+
 def judge_texts(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", source: str = "source", cut: float = CUT_5) -> DataFrame:
     """``keep``, the base counts, ``base_failed``, ``distance`` and ``kept`` of every row.
 
     Rows that fail a base rule are out. Of the others, each language and source
-    (null being a value like any other) gets a robust centre and shape, and rows
-    whose squared Mahalanobis distance is above ``cut`` are out. Languages and
-    sources with under LEAST_ROWS rows share one common group; if that has too
-    few itself, its rows stay, with a null distance. Equal texts of a group share
-    a verdict; null and empty texts fail the base rule; an empty table gives no
-    rows.
+    (null being a value like any other) gets a robust centre and shape, drawn
+    towards its language's and that towards all rows' by row count, and rows whose
+    squared Mahalanobis distance is above ``cut`` are out. Equal texts of a group
+    share a verdict; null and empty texts fail the base rule; an empty table gives
+    no rows.
     """
     names = [n for n in dict.fromkeys([*keep, lang, source])]
     counted = count_texts(docs, names, text)
-    group = F.to_json(F.struct(F.col(f"`{lang}`").alias("l"), F.col(f"`{source}`").alias("s")))
-    rows = written(counted.withColumn("_own", group).select("*", *statistic_vector()), "text-counts")
-    passed = rows.filter(~F.col("base_failed"))
-    sizes = written(passed.groupBy("_own").agg(F.count(F.lit(1)).alias("_rows")), "mcd-groups")
-    grouped = rows.join(sizes, "_own", "left").withColumn("_g", F.when(F.col("_rows") >= LEAST_ROWS, F.col("_own")).otherwise(F.lit("few")))
-    grouped = written(grouped.drop("_own", "_rows"), "text-groups")
-    fitted = grouped.filter(~F.col("base_failed"))
-    enough = written(fitted.groupBy("_g").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= LEAST_ROWS).select("_g"), "mcd-enough")
-    shapes = group_shapes(fitted.join(enough, "_g", "left_semi"))
-    judged = grouped.join(shapes, "_g", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    levels = {
+        "_own": F.to_json(F.struct(F.col(f"`{lang}`").alias("l"), F.col(f"`{source}`").alias("s"))),
+        "_lang": F.to_json(F.struct(F.col(f"`{lang}`").alias("l"))), "_all": F.lit("all"),
+    }
+    rows = written(counted.withColumns(levels).select("*", *statistic_vector()), "text-counts")
+    shapes = shrunk_shapes(rows.filter(~F.col("base_failed")), list(levels))
+    judged = rows.join(shapes, rows["_own"] == shapes["_g"], "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cut)
     return judged.select(*[F.col(f"`{k}`") for k in keep], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", kept.alias("kept"))
