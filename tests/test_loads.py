@@ -214,6 +214,14 @@ def test_scratch_paths_are_shared_and_fresh(spark):
     ):
         session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None, own=settings: own.get(key, default)))
         assert scratch_path(session, "a").startswith(root)
+    for master, fails in (("local[2]", False), ("spark://host:7077", True)):
+        own = {"spark.sql.warehouse.dir": "file:/home/me/warehouse", "spark.master": master}
+        session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None, own=own: own.get(key, default)))
+        if fails:
+            with pytest.raises(ValueError, match="checkpoint"):
+                scratch_path(session, "a")
+        else:
+            assert scratch_path(session, "a").startswith("file:/home/me/warehouse/_scratch")
 
 
 def test_second_run_opens_only_new_files(spark, tmp_path, monkeypatch):

@@ -41,9 +41,14 @@ def build_session(app_name: str = "wardmetrics", master: str | None = None, **co
 
 
 def _shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a folder below the warehouse where it is unset: both are shared in every mode."""
+    """``spark.checkpoint.dir``; where it is unset a folder below the warehouse, unless that is a local folder of a cluster."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
-    return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if root:
+        return root.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("/", "file:")) and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors reach; {warehouse} is local to one machine")
+    return f"{warehouse}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
