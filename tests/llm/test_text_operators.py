@@ -426,6 +426,21 @@ def test_mix_edges(spark, edge, empty):
     assert all((r["size"], r["target"], r["copies"]) == (0, 0.0, 0) for r in nothing)
 
 
+# --- what a task remembers
+
+def test_remembered_segments_are_bounded_by_their_length(model, monkeypatch):
+    import sentencepiece
+
+    monkeypatch.setattr(pieces, "REMEMBERED_CHARACTERS", 5_000)
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    own, rng, most = pieces.PieceModel(model), random.Random(4), 0
+    for _ in range(30):
+        texts_ = ["".join(rng.choices("abcdeé漢", k=rng.choice([5, 900]))) + " und dann" for _ in range(4)]
+        assert [ids.tolist() for ids in own.ids(texts_)] == library.encode(texts_)
+        most = max(most, own.held)
+    assert own.held == sum(map(len, own.known)) and most < 5_000 + 4 * 920
+
+
 # --- secrets of texts full of matches
 
 def test_blocks_of_matches_give_what_one_walk_gives(spark, monkeypatch):

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame
 
 from wardmetrics.llm.texts import per_block
 
-# A task remembers the pieces of at most so many segments, then starts anew.
+# A task remembers the pieces of at most so many segments and so many characters of them, then starts anew: texts
+# without spaces are one segment each.
 REMEMBERED = 600_000
+REMEMBERED_CHARACTERS = 16 << 20
 _MARK = "▁"
 _SEGMENT = re.compile("▁+[^▁]*|[^▁]+")
 
@@ -134,10 +136,12 @@ class PieceModel:
     def _forget(self) -> None:
         self.known: dict[str, int] = {}  # number of a segment; its ids are flat[start:start + count]
         self.flat, self.start, self.count = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.held = 0  # characters of the known segments
 
     def _learn(self, fresh: list[str]) -> None:
         coded = [own if s else [self.processor.piece_to_id(_MARK)] for s, own in zip(fresh, self.processor.encode(fresh, num_threads=1))]
         count = np.fromiter(map(len, coded), np.int64, len(coded))
+        self.held += sum(map(len, fresh))
         self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
         self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(count) - count))
         self.count = np.concatenate((self.count, count))
@@ -149,7 +153,7 @@ class PieceModel:
             return [np.array(i, np.int64) for i in self.processor.encode(texts, num_threads=1)]
         parts = [self.segments(t) for t in texts]
         needed = set().union(*parts)
-        if len(self.known) + len(needed) > REMEMBERED:
+        if len(self.known) + len(needed) > REMEMBERED or self.held > REMEMBERED_CHARACTERS:
             self._forget()
         self._learn(list(needed - self.known.keys()))
         number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64)
