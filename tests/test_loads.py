@@ -429,3 +429,44 @@ def test_an_extract_opens_only_bronze_files_of_its_rows(spark, tmp_path):
     assert rows(extract(some, spec)) == rows(extract(whole, spec)) == sorted([(i, y) for i in range(5_000, 5_010) for y in ("20/21 +", "2022")], key=str)
     assert read_bronze(spark, path, layout("t", 30_000, None, [(0, "n")])).count() == 0
     assert len(read_bronze(spark, path, layout("t", 1, None, [(0, "n")])).inputFiles()) == len(whole.inputFiles())
+
+
+def test_a_layer_is_replaced_whole_or_not_at_all(spark, tmp_path):
+    from wardmetrics.sinks.writers import write_layer
+
+    path = str(tmp_path / "layer")
+    frame = spark.createDataFrame([(2020, "a"), (2021, "b")], "year int, v string")
+    write_layer(frame, path, "year")
+    broken = frame.withColumn("v", F.when(F.col("year") == 2021, F.raise_error(F.lit("died"))).otherwise(F.col("v")).cast("string"))
+    with pytest.raises(Exception, match="died"):
+        write_layer(broken, path, "year")
+    assert rows(spark.read.parquet(path), "year", "v") == [(2020, "a"), (2021, "b")]
+    write_layer(spark.read.parquet(path).filter("year = 2021"), path)  # from its own rows
+    assert rows(spark.read.parquet(path), "year", "v") == [(2021, "b")]
+    assert [p.name for p in tmp_path.iterdir() if p.name.startswith("_old")] == []
+
+
+def test_a_named_batch_is_appended_once(spark, tmp_path, monkeypatch):
+    from wardmetrics.sinks import writers
+
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("1", datetime(2024, 1, 5, 3), '{"x": 1}')], "id string, day timestamp_ntz, j string")
+
+    def append(batch, frame=df):
+        append_events(frame, path, "j", "day", dry_run=False, batch=batch)
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    append("a")
+    monkeypatch.setattr(writers, "put_marker", die)
+    with pytest.raises(KeyboardInterrupt):
+        append("b")
+    monkeypatch.undo()
+    assert writers.read_appended(spark, path).count() == 1
+    for batch in ("b", "a", "b", "c"):
+        append(batch, df if batch != "c" else df.filter("id = 'none'"))
+    got = writers.read_appended(spark, path)
+    assert rows(got, "id", "day") == [("1", date(2024, 1, 5))] * 2 and got.select(F.variant_get("j", "$.x", "int")).first()[0] == 1
+    with pytest.raises(FileNotFoundError):
+        writers.read_appended(spark, str(tmp_path / "none"))

@@ -119,8 +119,8 @@ def write_bronze(raw: DataFrame, path: str) -> str:
     source is many files, and an extract of some records opens only those with
     one of them.
     """
-    ranged = raw.repartitionByRange("year_name", "_row_number").sortWithinPartitions("year_name", "_row_number")
-    ranged.write.mode("overwrite").partitionBy("year_name").parquet(path)
+    ranged = raw.repartitionByRange("year_name", "_row_number")
+    write_layer(ranged, path, "year_name", ["_row_number"], dealt=True)
     row_ranges(raw.sparkSession.read.parquet(path)).write.mode("overwrite").parquet(f"{path}/{_RANGES}")
     return path
 

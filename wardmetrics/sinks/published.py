@@ -50,3 +50,20 @@ def marker_text(spark: SparkSession, base: str, name: str) -> str | None:
         return bytes(stream.readAllBytes()).decode("utf-8")
     finally:
         stream.close()
+
+
+def take_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a whole staged folder in the place of ``path``; what was there goes once the new one is in."""
+    new, store = _file_system(spark, staged)
+    target, _ = _file_system(spark, path)
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    old, _ = _file_system(spark, f"{folder}/_old-{name}-{uuid.uuid4().hex}")
+    there = store.exists(target)
+    if there and not store.rename(target, old):
+        raise OSError(f"{path} cannot be moved aside")
+    if not store.rename(new, target):
+        if there:
+            store.rename(old, target)
+        raise OSError(f"{staged} cannot take the place of {path}")
+    if there:
+        store.delete(old, True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 
 from wardmetrics.functions.text import sanitise_name
 from wardmetrics.operators.reshape import latest
+from wardmetrics.sinks.published import marker_names, marker_text, put_marker, take_place
 
 ORDER_NOTE = "Rows are not guaranteed to be in original order. Use ORDER BY _row_number to restore original row sequence."
 
@@ -80,13 +83,24 @@ def layer_path(root: str, layer: str, *names: str) -> str:
     return "/".join([root.rstrip("/"), layer, *[sanitise_name(n) for n in names]])
 
 
-def write_layer(df: DataFrame, path: str, partition_by: str | None = None, cluster_by: Sequence[str] = ()) -> str:
-    """Overwrite one layer table as Parquet, so types survive to the next layer; ``cluster_by`` sorts each file."""
-    writer = df.write.mode("overwrite")
+def write_layer(df: DataFrame, path: str, partition_by: str | None = None, cluster_by: Sequence[str] = (), dealt: bool = False) -> str:
+    """Replace one layer table as Parquet, so types survive to the next layer; ``cluster_by`` sorts each file.
+
+    ``dealt`` rows stay in the partitions they are in.
+
+    The new table is written beside the old one and takes its place when it is
+    whole: a job that dies while writing leaves the old table as it was, and a
+    table may be rebuilt from its own rows.
+    """
+    path = path.rstrip("/")
+    folder, name = path.rsplit("/", 1)
+    staged = f"{folder}/_staged-{name}-{uuid.uuid4().hex}"
     if partition_by and partition_by in df.columns:
-        spread(df, partition_by, cluster_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        placed = df.sortWithinPartitions(partition_by, *cluster_by) if dealt else spread(df, partition_by, cluster_by)
+        placed.write.partitionBy(partition_by).parquet(staged)
     else:
-        writer.parquet(path)
+        df.write.parquet(staged)
+    take_place(df.sparkSession, staged, path)
     return path
 
 
@@ -117,22 +131,44 @@ def append_events(
     partition_by: str | None = None,
     cluster_by: str | Sequence[str] = (),
     dry_run: bool = True,
+    batch: str | None = None,
 ) -> WritePlan | str:
     """Append to a partitioned, clustered Parquet table with a variant column.
 
-    A JSON text column becomes a variant, the partition column a date.
+    A JSON text column becomes a variant, the partition column a date. A named
+    ``batch`` counts once: its rows lie in a folder of their own that counts from
+    the moment its marker is there, and a rerun finds the marker and adds nothing.
+    Read such a table with :func:`read_appended`.
     """
     clusters = [cluster_by] if isinstance(cluster_by, str) else list(cluster_by)
     typed = prepare_append(df, json_column, partition_by)
     if dry_run:
         return plan_write(typed, path, "append", 2, partition_by, clusters)
+    if batch is not None and marker_text(df.sparkSession, path, batch) is not None:
+        return path
+    target, mode = (path, "append") if batch is None else (f"{path.rstrip('/')}/{_BATCH}={batch}", "overwrite")
     if partition_by:
-        spread(typed, partition_by, clusters).write.mode("append").partitionBy(partition_by).parquet(path)
+        spread(typed, partition_by, clusters).write.mode(mode).partitionBy(partition_by).parquet(target)
     else:
-        (typed.sortWithinPartitions(*clusters) if clusters else typed).write.mode("append").parquet(path)
+        (typed.sortWithinPartitions(*clusters) if clusters else typed).write.mode(mode).parquet(target)
+    if batch is not None:
+        put_marker(df.sparkSession, path, batch, json.dumps(json.loads(typed.schema.json())))
     return path
 
 
+_BATCH = "load_batch"
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the batches that were appended whole."""
+    names = marker_names(spark, path)
+    if not names:
+        raise FileNotFoundError(f"{path}: no batch was appended")
+    schema = T.StructType.fromJson(json.loads(marker_text(spark, path, names[-1])))
+    base = path.rstrip("/")
+    return spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{_BATCH}={n}" for n in names])
+
+
 def prepare_append(df: DataFrame, json_column: str | None, partition_by: str | None) -> DataFrame:
     changes: dict[str, Column] = {}
     if json_column and dict(df.dtypes)[json_column] == "string":
