@@ -11,6 +11,8 @@ from wardmetrics.operators.filters import keep_values
 from wardmetrics.operators.reshape import unpivot_years
 from pyspark.sql import functions as F
 
+from wardmetrics.session import written
+from wardmetrics.sources import ranges
 from wardmetrics.sources.events import array_objects, scan_events, sound_files
 from wardmetrics.sources.raw import IngestReport, RawSource, extract, grid_width, layout, left_out, scan_raw, skeleton, with_audit
 
@@ -270,6 +272,18 @@ def test_a_cell_longer_than_many_ranges_and_one_left_open(spark, tmp_path):
     assert got["a", 0] == "x\n" * 3000 and got["a", 1] == "4" and got["b", 0] == "7" and got["b", 1].startswith("open\nto the end") and len(got) == 4
 
 
+def test_lines_of_a_quoted_file_stay_where_they_are_read(spark, tmp_path):
+    quoted_file(tmp_path / "f.csv", random.Random(6), "\n")
+    with splits_of(spark, 400):
+        pieces = ranges._pieces(spark, [str(tmp_path / "f.csv")], "\n")
+        states = written(ranges.range_states(ranges._facts(pieces, ranges.CellRecords)), "states")
+        plan = ranges._cut(pieces, states, ranges.CellRecords)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Sort" not in plan and "hashpartitioning" not in plan
+        # What follows reads the records as they were cut, and scans no line again.
+        records = ranges.range_records(spark, [str(tmp_path / "f.csv")], ranges.CellRecords)
+        assert "MapInArrow" not in records._jdf.queryExecution().executedPlan().toString() and records.count() == 60
+
+
 def nested(rng, deep=0):
     kind = rng.randint(0, 6)
     if kind == 0 and deep < 4:

@@ -2,8 +2,8 @@
 
 A range is scanned once under every state it may begin in. The outcomes are
 composed over a file's ranges in order, so each range learns its true state, and
-a second scan cuts out the records. Whole records never move; only the ends of
-ranges are shuffled, to be put together.
+a second scan cuts out the records, which are written where they are cut. Lines
+and whole records are never shuffled; only the ends of ranges are, to be put together.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wardmetrics.session import written
+
 # Task functions travel with their code: workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -51,8 +53,33 @@ def quoted_after(line: bytes, quoted: bool) -> bool:
         at += 2
 
 
-def _blank(line: bytes) -> bool:
-    return line in (b"", b"\r")
+def _blank(lines: pa.Array) -> np.ndarray:
+    """Which lines hold nothing, or the carriage return of an ending."""
+    return (_sizes(lines) == 0) | pc.equal(lines, pa.scalar(b"\r", lines.type)).to_numpy(zero_copy_only=False)
+
+
+def _sizes(pieces: pa.Array) -> np.ndarray:
+    return pc.binary_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _quoted_lines(lines: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+    """Places and texts of the lines with a quote: no other line changes the state."""
+    places = pc.indices_nonzero(pc.match_substring(lines, b'"'))
+    return places.to_numpy(zero_copy_only=False).astype(np.int64), lines.take(places).to_pylist()
+
+
+def _open_before(n: int, places: np.ndarray, after: list[bool], state: bool) -> np.ndarray:
+    """Whether a quoted cell is open before each of ``n`` lines, from the states behind the lines with a quote."""
+    edges = np.concatenate(([-1], places, [n - 1]))
+    return np.repeat(np.array([state, *after], bool), np.diff(edges))
+
+
+def _states_after(texts: list[bytes], state: bool) -> list[bool]:
+    after = []
+    for text in texts:
+        state = quoted_after(text, state)
+        after.append(state)
+    return after
 
 
 class CellRecords:
@@ -67,40 +94,56 @@ class CellRecords:
             self.bytes, self.ends, self.begun = 0, [False, True], [0, 0]
 
         def take(self, lines: pa.Array) -> None:
-            values = lines.to_pylist()
-            self.bytes += sum(map(len, values)) + len(values)
-            special = pc.indices_nonzero(pc.match_substring(lines, b'"')).to_pylist()
-            filled = np.concatenate(([0], np.cumsum([not _blank(v) for v in values])))
-            for h in (0, 1):
-                at, state = 0, self.ends[h]
-                for i in [*special, len(values)]:
-                    if not state:
-                        self.begun[h] += int(filled[min(i + 1, len(values))] - filled[at])
-                    if i < len(values):
-                        state = quoted_after(values[i], state)
-                    at = i + 1
-                self.ends[h] = state
+            self.bytes += int(_sizes(lines).sum()) + len(lines)
+            places, texts = _quoted_lines(lines)
+            filled = ~_blank(lines)
+            # Once both outcomes agree they stay the same.
+            same = self.ends[0] == self.ends[1]
+            for h in (0,) if same else (0, 1):
+                after = _states_after(texts, self.ends[h])
+                begun = int(np.count_nonzero(filled & ~_open_before(len(lines), places, after, self.ends[h])))
+                self.ends[h] = after[-1] if after else self.ends[h]
+                self.begun[h] += begun
+            if same:
+                self.ends[1] = self.ends[0]
+                self.begun[1] += begun
 
         def row(self) -> tuple:
             return (self.bytes, *map(int, self.ends), *self.begun, 0, 0, 0, 0, [], [])
 
     @staticmethod
-    def cut(pieces: Iterator[bytes], state: int, depth: int, first: int) -> Iterator[tuple]:
-        """(row, whole, text) of the records of one range; ``first`` records were begun in the file before it."""
+    def cut(pieces: Iterator[pa.Array], state: int, depth: int, first: int) -> Iterator[tuple]:
+        """(rows, whole, texts) of the records of one range, some at a time; ``first`` records were begun in the file before it."""
         quoted, row, held, whole = bool(state), first - 1, [], False
-        for line in pieces:
-            if not quoted:
-                if held:
-                    yield row, whole, b"\n".join(held)
-                    held = []
-                if _blank(line):
-                    continue
-                row, whole = row + 1, True
-            held.append(line)
-            if b'"' in line:
-                quoted = quoted_after(line, quoted)
+        for lines in pieces:
+            places, texts = _quoted_lines(lines)
+            after = _states_after(texts, quoted)
+            inside = _open_before(len(lines), places, after, quoted)
+            quoted = after[-1] if after else quoted
+            keep = inside | ~_blank(lines)
+            lines, begins = lines.filter(pa.array(keep)), np.flatnonzero(~inside[keep])
+            # Lines before the first that begins a record belong to the one left open; the last one stays open if its cell is.
+            head = int(begins[0]) if len(begins) else len(lines)
+            if head:
+                held.append(lines.slice(0, head))
+            if held and (len(begins) or not quoted):
+                yield [row], [whole], _joined(pa.concat_arrays(held), [0])
+                held = []
+            closed = begins[:-1] if quoted else begins
+            if len(closed):
+                last = int(begins[-1]) if quoted else len(lines)
+                yield range(row + 1, row + 1 + len(closed)), [True] * len(closed), _joined(lines.slice(head, last - head), closed - head)
+            row += len(begins)
+            if len(begins) and quoted:
+                held, whole = [lines.slice(int(begins[-1]))], True
         if held:
-            yield row, whole and not quoted, b"\n".join(held)
+            yield [row], [False], _joined(pa.concat_arrays(held), [0])
+
+
+def _joined(lines: pa.Array, begins: Sequence[int]) -> pa.Array:
+    """The records that begin at these lines, the first at line 0, with the breaks between their lines."""
+    edges = pa.array(np.append(np.asarray(begins, np.int32), np.int32(len(lines))))
+    return pc.binary_join(pa.ListArray.from_arrays(edges, lines), pa.scalar(b"\n", lines.type))
 
 
 _STRING = re.compile(rb'[^"\\]*+(?:\\.[^"\\]*+)*+', re.DOTALL)
@@ -158,18 +201,27 @@ class ArrayRecords:
             return (self.bytes, *map(int, self.ends), 0, 0, *self.depth, *self.low, *self.at)
 
     @staticmethod
-    def cut(pieces: Iterator[bytes], state: int, depth: int, first: int) -> Iterator[tuple]:
+    def cut(pieces: Iterator[pa.Array], state: int, depth: int, first: int) -> Iterator[tuple]:
         """As for cells; what follows a range's last record begins the next one, or ends the file."""
         inside, row, held, whole = bool(state), first, [], depth == 1 and not state and first > 0
-        for piece in pieces:
+        rows, wholes, texts, size = [], [], [], 0
+        for piece in (p for some in pieces for p in some.to_pylist()):
             held.append(piece + b"}")
             inside, change = nested_after(piece, inside)
             depth += change
             if depth == 1 and not inside:
-                yield row, whole, b"".join(held)
+                rows.append(row)
+                wholes.append(whole)
+                texts.append(b"".join(held))
+                size += len(texts[-1])
                 row, held, whole = row + 1, [], True
+                if len(rows) >= _BATCH_ROWS or size >= _BATCH_BYTES:
+                    yield rows, wholes, pa.array(texts, pa.binary())
+                    rows, wholes, texts, size = [], [], [], 0
         if held:
-            yield row, False, b"".join(held)
+            rows, wholes, texts = [*rows, row], [*wholes, False], [*texts, b"".join(held)]
+        if rows:
+            yield rows, wholes, pa.array(texts, pa.binary())
 
 
 # ---- ranges, their states, their records ---------------------------------------------------------
@@ -185,12 +237,12 @@ def _pieces(spark: SparkSession, paths: Sequence[str], separator: str) -> DataFr
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, pa.RecordBatch]]:
     """The batch cut where the file or the range changes."""
-    files, ranges = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-    first = 0
-    for i in range(1, batch.num_rows + 1):
-        if i == batch.num_rows or files[i] != files[first] or ranges[i] != ranges[first]:
-            yield (files[first], ranges[first]), batch.slice(first, i - first)
-            first = i
+    if not batch.num_rows:
+        return
+    files, ranges = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    edges = [0, *(np.flatnonzero((files[1:] != files[:-1]) | (ranges[1:] != ranges[:-1])) + 1).tolist(), batch.num_rows]
+    for first, last in zip(edges[:-1], edges[1:]):
+        yield (int(files[first]), int(ranges[first])), batch.slice(first, last - first)
 
 
 def _facts(pieces: DataFrame, kind: type) -> DataFrame:
@@ -240,16 +292,24 @@ def range_states(facts: DataFrame) -> DataFrame:
     return counted.select("_file", "_range", "_bytes", "_state", "_depth", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
 
 
-def _cut(pieces: DataFrame, states: DataFrame, kind: type, whole: bool) -> DataFrame:
-    """Records that lie whole in a range, or the ends of ranges."""
+def _cut(pieces: DataFrame, states: DataFrame, kind: type) -> DataFrame:
+    """Records and ends of ranges: ``whole`` are those that lie in one range.
+
+    The states, one row for each split of the files, are broadcast to the scan: its lines stay where and as they are read.
+    """
     own = states.select(F.col("_file").alias("_f"), F.col("_range").alias("_r"), "_state", "_depth", "_first")
     told = F.raise_error(F.lit("the ranges of a file changed between two scans; run the job again")).cast("int")
-    joined = pieces.join(own, (pieces["_file"] == own["_f"]) & (pieces["_range"] == own["_r"]), "left").select(
+    joined = pieces.join(F.broadcast(own), (pieces["_file"] == own["_f"]) & (pieces["_range"] == own["_r"]), "left").select(
         "_file", "_range", "_scan", "value", F.coalesce("_state", told).alias("_state"), "_depth", "_first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
+            last = -1
             for batch in batches:
+                scan = batch.column(2).to_numpy(zero_copy_only=False)
+                if len(scan) and (scan[0] <= last or (np.diff(scan) <= 0).any()):
+                    raise ValueError("the lines of a file are out of order")
+                last = scan[-1] if len(scan) else last
                 yield from _runs(batch)
 
         runs = rows()
@@ -261,42 +321,34 @@ def _cut(pieces: DataFrame, states: DataFrame, kind: type, whole: bool) -> DataF
             def values():
                 nonlocal ahead
                 while ahead and ahead[0] == place:
-                    yield from ahead[1].column(3).to_pylist()
+                    yield ahead[1].column(3)
                     ahead = next(runs, None)
 
-            out, size = [], 0
-            for row, complete, text in kind.cut(values(), *start):
-                if complete == whole:
-                    out.append((row, text))
-                    size += len(text)
-                    if len(out) >= _BATCH_ROWS or size >= _BATCH_BYTES:
-                        yield made(place, out)
-                        out, size = [], 0
-            if out:
-                yield made(place, out)
-
-    def made(place, out):
-        n = len(out)
-        columns = [pa.array([place[0]] * n, pa.int64()), pa.array([r for r, _ in out], pa.int64()), pa.array([place[1]] * n, pa.int64()), pa.array([whole] * n), pa.array([t for _, t in out], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=["_file", "_row", "_range", "whole", "value"])
+            for numbers, whole, texts in kind.cut(values(), *start):
+                n = len(texts)
+                columns = [pa.array([place[0]] * n, pa.int64()), pa.array(numbers, pa.int64()), pa.array([place[1]] * n, pa.int64()), pa.array(whole, pa.bool_()), texts]
+                yield pa.RecordBatch.from_arrays(columns, names=["_file", "_row", "_range", "whole", "value"])
 
-    return joined.sortWithinPartitions("_file", "_range", "_scan").mapInArrow(run, _CUT)
+    return joined.mapInArrow(run, _CUT)
 
 
 def range_records(spark: SparkSession, paths: Sequence[str], kind: type) -> DataFrame:
     """``_source_path``, ``_row`` (from 0 in its file), ``value`` (text) of each record, and of its file ``_read`` and ``_size`` in bytes.
 
     ``kind`` is :class:`CellRecords` or :class:`ArrayRecords`. Files are read in
-    as many tasks as they have splits, twice for the records and once for their
-    states. A file without a byte has no row.
+    as many tasks as they have splits, once for their states and once for the
+    records; both run here and are written to the shared folder. A file without
+    a byte has no row.
     """
     pieces = _pieces(spark, paths, kind.separator)
-    states = range_states(_facts(pieces, kind))
+    states = written(range_states(_facts(pieces, kind)), "range-states")
+    cut = written(_cut(pieces, states, kind).select("_file", "_row", "_range", "whole", F.col("value").cast("string").alias("value")), "range-records")
     link = "\n" if kind is CellRecords else ""
-    ends = _cut(pieces, states, kind, False).groupBy("_file", "_row").agg(F.array_sort(F.collect_list(F.struct("_range", F.col("value").cast("string").alias("v")))).alias("_parts"))
+    ends = cut.filter(~F.col("whole")).groupBy("_file", "_row").agg(F.array_sort(F.collect_list(F.struct("_range", F.col("value").alias("v")))).alias("_parts"))
     mended = ends.select("_file", "_row", F.array_join(F.transform("_parts", lambda p: p.v), link).alias("value"))
-    records = _cut(pieces, states, kind, True).select("_file", "_row", F.col("value").cast("string").alias("value")).unionByName(mended)
+    records = cut.filter("whole").select("_file", "_row", "value").unionByName(mended)
     listed = spark.read.format("binaryFile").load(list(paths)).select(F.col("_metadata.file_path").alias("_source_path"), F.col("_metadata.file_size").alias("_size"))
     read = states.groupBy(F.col("_file").alias("_f")).agg(F.sum("_bytes").alias("_read"))
-    files = listed.join(read, F.xxhash64("_source_path") == F.col("_f"))
+    # Written, a row a file: its true size, not that of the files, tells whether it is broadcast.
+    files = written(listed.join(read, F.xxhash64("_source_path") == F.col("_f")), "range-files")
     return records.join(files, F.col("_file") == F.col("_f")).select("_source_path", "_row", "value", "_read", "_size")
