@@ -7,6 +7,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -491,3 +492,23 @@ def test_a_text_of_hashes_takes_seconds(spark):
     start = time.time()
     row = secret_scan.scan_secrets(docs, secret_scan.SecretModel([0.0] * (len(secret_scan.ALPHABET) + 1) ** 2)).select("n_hex", F.size("spans").alias("n")).first()
     assert (row["n_hex"], row["n"]) == (60_000, 60_000) and time.time() - start < 60
+
+
+def test_long_texts_reach_python_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.unset(name)  # 64 MB
+    try:
+        docs = spark.range(1000).coalesce(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 5000).alias("text"))
+
+        def work(block):
+            held = block.rows.column(1).buffers()[2].size
+            return {"held": pa.array([held] * len(block), pa.int64())}
+
+        found = texts.per_block(docs, work, "held long", ["doc_id"]).agg(F.max("held"), F.count("*")).first()
+        assert found[0] < 10_000_000 and found[1] == 1000
+        spark.conf.set(name, "100k")
+        texts.in_small_batches(docs)
+        assert spark.conf.get(name) == "100k"
+    finally:
+        spark.conf.set(name, before)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmetrics.llm.texts import SPACE, Block, blocks, per_block, smallest_ids
+from wardmetrics.llm.texts import SPACE, Block, blocks, in_small_batches, per_block, smallest_ids
 from wardmetrics.session import written
 
 # At most so many labelled rows are learned from.
@@ -159,7 +159,7 @@ def learn_vectors(docs: DataFrame, buckets: int = BUCKETS, dimensions: int = DIM
             values = pa.FixedSizeListArray.from_arrays(pa.array(total[some].ravel().astype(np.int64)), dimensions).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some]), values], names=["bucket", "n", "v"])
 
-    parts = docs.select("text").mapInArrow(run, "bucket long, n long, v array<long>")
+    parts = in_small_batches(docs.select("text")).mapInArrow(run, "bucket long, n long, v array<long>")
     sums = [F.sum(F.col("v")[d]).alias(f"v{d}") for d in range(dimensions)]
     table = parts.groupBy("bucket").agg(F.sum("n").alias("n"), *sums).toPandas()  # at most `buckets` rows
     vectors = np.zeros((buckets, dimensions))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,10 @@ from wardmetrics.session import written
 # Texts are worked on in blocks of about this many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
 
+# Rows travel to Python in batches of about this many bytes, or of one row: a batch is held several times over, by the
+# JVM and by the worker, and the session's limit of 10,000 rows says nothing of the length of texts.
+ARROW_BYTES = "4m"
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -88,6 +93,20 @@ def added(rows: pa.RecordBatch, keep: list[str], **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*arrays, *(c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values())], names=names)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session sends rows to Python in batches of ``ARROW_BYTES``, or of fewer where it already does."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if _bytes(conf.get(name)) > _bytes(ARROW_BYTES):
+        conf.set(name, ARROW_BYTES)
+    return df
+
+
+def _bytes(size: str) -> int:
+    """A size as Spark writes it: a number and perhaps a unit."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def per_block(df: DataFrame, work: Callable[[Block], dict], schema: str, keep: list[str], column: str = "text") -> DataFrame:
     """``keep`` columns plus what ``work`` returns for each block of texts; ``schema`` lists the new columns.
 
@@ -101,7 +120,7 @@ def per_block(df: DataFrame, work: Callable[[Block], dict], schema: str, keep: l
         for block in blocks(batches, "_text"):
             yield added(block.rows, keep, **work(block))
 
-    return source.mapInArrow(run, out)
+    return in_small_batches(source).mapInArrow(run, out)
 
 
 def remainder(key: Column, modulus: int) -> Column:
