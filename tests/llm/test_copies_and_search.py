@@ -179,6 +179,54 @@ def test_multikey_order_and_shared_lengths():
         assert shared[k] == (same if group[order[k]] == group[order[k - 1]] else 0)
 
 
+def test_the_driver_gets_pages_of_the_filter_and_a_bounded_sample(spark, monkeypatch):
+    rows = 60_000
+    h = np.random.default_rng(8).integers(-(1 << 63), 1 << 63, rows)
+    hashes = written(spark.createDataFrame([(int(x), i) for i, x in enumerate(h)], "h long, lead long").withColumn("n", F.lit(2)).repartition(5), "hashes")
+    brought, frame = [], type(hashes)
+    for name in ("collect", "toPandas"):
+        def counted(self, *args, _own=getattr(frame, name), **kwargs):
+            out = _own(self, *args, **kwargs)
+            brought.append(len(out))
+            return out
+
+        monkeypatch.setattr(frame, name, counted)
+    words, bits = suffixes.hash_filter(hashes, rows)
+    slots = np.zeros(1 << bits, bool)
+    slots[h & (1 << bits) - 1] = True
+    assert np.array_equal(np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool), slots)
+    assert suffixes.in_filter((words, bits), h.view(np.uint64)).all()
+    assert max(brought) <= rows // 500
+    cuts = suffixes.splitters(hashes, rows, 10, sample=3000)
+    assert len(cuts) == 9 and np.all(np.abs(cuts - rows / 10 * np.arange(1, 10)) < rows / 20)
+    assert max(brought) < 3500
+
+
+def test_only_windows_of_hot_grams_go_one_by_one(spark, monkeypatch):
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    shared = [words(10) for _ in range(40)]
+    pairs = [(i, words(20) + " " + shared[i % 40] + " " + words(20)) for i in range(160)]
+    seen = {}
+
+    def noted(df, name):
+        out = written(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(suffixes, "written", noted)
+    got = suffixes.remove_repeats(docs_of(spark, pairs), length=50, gram=20, hot_gram=2, digests=True).collect()
+    assert sorted((tuple(r) for r in got), key=str) == removal_by_force(pairs, 50)
+    windows = Counter()
+    for _, t in pairs:
+        data = np.frombuffer(t.encode(), np.uint8)
+        a = suffixes.anchors(suffixes.Block(None, data, np.array([0, len(data)])), 50, 20)
+        for key, first, last in zip(a.hash.tolist(), a.first.tolist(), a.last.tolist()):
+            windows[key, "places"] += 1
+            windows[key, "all"] += last - first + 1
+    assert seen["hot-windows"] == sum(n for (key, kind), n in windows.items() if kind == "all" and windows[key, "places"] > 2) > 0
+
+
 def test_removal_from_nothing(spark):
     assert suffixes.remove_repeats(docs_of(spark, [])).count() == 0
     kept = suffixes.remove_repeats(docs_of(spark, [(1, "short")])).first()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmetrics.llm.texts import Block, added, blocks
+from wardmetrics.llm.texts import Block, added, blocks, in_small_batches
 from wardmetrics.session import written
 
 LENGTH = 200
@@ -26,6 +26,8 @@ GRAM = 32
 HOT_GRAM = 20_000
 # The filter of repeated grams has at most so many bits (32 MB); it only saves work, a false hit costs a comparison.
 FILTER_BITS = 28
+# Tasks fill it in pages of so many bits (4 kB), so that the driver takes over bytes and no row for each of its words.
+PAGE_BITS = 15
 # Suffix groups are compared in chunks of about so many rows.
 CHUNK_ROWS = 30_000
 
@@ -100,14 +102,28 @@ def anchors(block: Block, length: int = LENGTH, gram: int = GRAM) -> Anchors:
 
 
 def hash_filter(hashes: DataFrame, rows: int) -> tuple[np.ndarray, int]:
-    """A bit set of the hashes ``h`` (as bytes) and its size as a power of two, at most FILTER_BITS."""
+    """A bit set of the hashes ``h`` (as words) and its size as a power of two, at most FILTER_BITS.
+
+    The driver gets the pages that tasks have filled: as many bytes as the filter has, however many hashes there are.
+    """
     bits = int(min(max(np.ceil(np.log2(max(rows, 1) * 16)), 10), FILTER_BITS))
-    slot = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
-    words = hashes.select(F.shiftright(slot, 5).alias("word"), F.expr("shiftleft(1L, int(h & 31))").alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(1 << (bits - 5), np.uint32)
-    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint32)
-    return out, bits
+    page = min(bits, PAGE_BITS)
+    slots = hashes.select(F.col("h").bitwiseAND(F.lit((1 << bits) - 1)).alias("slot"))
+
+    def fill(batches):
+        held: dict = {}
+        for batch in batches:
+            slot = np.sort(batch.column(0).to_numpy())
+            for own in np.split(slot, np.flatnonzero(np.diff(slot >> page)) + 1):
+                if len(own):
+                    words = held.setdefault(int(own[0]) >> page, np.zeros(1 << (page - 5), np.uint32))
+                    np.bitwise_or.at(words, own >> 5 & (1 << (page - 5)) - 1, np.uint32(1) << (own & 31).astype(np.uint32))
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([w.tobytes() for w in held.values()], pa.binary())], names=["page", "words"])
+
+    out = np.zeros((1 << (bits - page), 1 << (page - 5)), np.uint32)
+    for row in slots.repartition(F.shiftright("slot", page)).mapInArrow(fill, "page int, words binary").collect():
+        out[row["page"]] = np.frombuffer(row["words"], np.uint32)
+    return out.ravel(), bits
 
 
 def in_filter(table: tuple[np.ndarray, int], h: np.ndarray) -> np.ndarray:
@@ -189,7 +205,7 @@ def _scan(docs: DataFrame, work, schema) -> DataFrame:
         for block in blocks(batches, "_body"):
             yield from work(block)
 
-    return docs.mapInArrow(run, schema)
+    return in_small_batches(docs).mapInArrow(run, schema)
 
 
 def _leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -208,9 +224,13 @@ def gram_counts(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return grams.filter("n > 1")
 
 
-def splitters(grams: DataFrame, parts: int, sample: int = 20_000) -> np.ndarray:
-    """Leading bytes that cut the suffixes into ``parts`` ranges of about equal numbers, from a bounded sample."""
-    drawn = grams.orderBy(F.xxhash64("h"), "h").limit(sample).select("lead", "n").toPandas().sort_values("lead")
+def splitters(grams: DataFrame, rows: int, parts: int, sample: int = 20_000) -> np.ndarray:
+    """Leading bytes that cut the suffixes of ``rows`` grams into ``parts`` ranges of about equal numbers, from a bounded sample.
+
+    It holds the grams below a bound on their hash, about ``sample`` of them: each task drops the others by itself.
+    """
+    bound = -(1 << 63) + min(sample * (1 << 64) // max(rows, 1), 1 << 64) - 1
+    drawn = grams.filter(F.xxhash64("h") <= F.lit(bound)).select("lead", "n").toPandas().sort_values("lead")
     if not len(drawn):
         return np.empty(0, np.int64)
     upto = np.cumsum(drawn["n"].to_numpy(float))
@@ -222,8 +242,8 @@ def _owner(block: Block, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(block.offsets, at, "right") - 1
 
 
-def suffix_spans(docs: DataFrame, table, hot, cuts: np.ndarray, parts: int, length: int, gram: int) -> DataFrame:
-    """Spans (``_key``, ``_sum``, ``start``, ``end``) from suffixes of the grams in ``table`` but not in ``hot``.
+def suffix_spans(docs: DataFrame, table, hot: np.ndarray, cuts: np.ndarray, parts: int, length: int, gram: int) -> DataFrame:
+    """Spans (``_key``, ``_sum``, ``start``, ``end``) from suffixes of the grams in ``table``, a broadcast filter, but not in ``hot``.
 
     A suffix row carries the bytes of its windows only. Stretches that repeat
     within a text travel once, with all their places.
@@ -231,9 +251,9 @@ def suffix_spans(docs: DataFrame, table, hot, cuts: np.ndarray, parts: int, leng
 
     def cut(block):
         found = anchors(block, length, gram)
-        use = in_filter(table, found.hash)
-        if hot:
-            use &= ~in_filter(hot, found.hash)
+        use = in_filter(table.value, found.hash)
+        if len(hot):
+            use &= ~np.isin(found.hash, hot)
         at, first, last, h = found.at[use], found.first[use], found.last[use] + length, found.hash[use]
         row = _owner(block, first)
         raw = block.data.tobytes()
@@ -308,12 +328,12 @@ def suffix_spans(docs: DataFrame, table, hot, cuts: np.ndarray, parts: int, leng
     return dealt.mapInArrow(run, f"_key {kind}, _sum long, start long, end long")
 
 
-def hot_spans(docs: DataFrame, hot, length: int, gram: int) -> DataFrame:
+def hot_spans(docs: DataFrame, hot: np.ndarray, length: int, gram: int) -> DataFrame:
     """Spans from windows of the grams in ``hot``: windows are counted by a 128-bit digest, combined before the shuffle."""
 
     def cut(block):
         found = anchors(block, length, gram)
-        use = in_filter(hot, found.hash)
+        use = np.isin(found.hash, hot)
         raw = block.data.tobytes()
         starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(found.first[use], found.last[use])] or [np.empty(0, np.int64)])
         row = _owner(block, starts)
@@ -344,30 +364,29 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     source = docs.select(F.col(f"`{key}`").alias("_key"), body.alias("_body"), F.xxhash64(body).alias("_sum"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     grams = written(gram_counts(source, length, gram), "repeat-grams")
-    table = hash_filter(grams, grams.count())
-    hottest = grams.filter(F.col("n") > hot_gram)
-    n_hot = hottest.count()
-    hot = hash_filter(hottest, n_hot) if n_hot else None
-    spans = suffix_spans(source, table, hot, splitters(grams, 4 * parts), parts, length, gram)
-    if hot:
+    n_grams = grams.count()
+    table = spark.sparkContext.broadcast(hash_filter(grams, n_grams))
+    # One hash for more than ``hot_gram`` places: few, and named exactly, since a false hit costs all its windows.
+    hot = grams.filter(F.col("n") > hot_gram).select("h").toPandas()["h"].to_numpy(np.int64).view(np.uint64)
+    spans = suffix_spans(source, table, hot, splitters(grams, n_grams, 4 * parts), parts, length, gram)
+    if len(hot):
         spans = spans.unionByName(hot_spans(source, hot, length, gram))
     # Copies of a row (same key, same text) name the same spans; the set holds them once.
     marks = spans.groupBy("_key", "_sum").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     marks = written(marks.withColumnRenamed("_key", "_of").withColumnRenamed("_sum", "_text"), "repeat-spans")
     # Only texts that lose something meet their spans; the others pass by the shuffle. A false hit meets none.
-    lost = marks.select(F.col("_text").alias("h")).distinct()
-    touched = hash_filter(lost, lost.count())
+    touched = spark.sparkContext.broadcast(hash_filter(marks.select(F.col("_text").alias("h")), marks.count()))
 
     def losing(block):
         sums = block.rows.column(2).to_numpy().view(np.uint64)
-        yield block.rows.filter(pa.array(in_filter(touched, sums)))
+        yield block.rows.filter(pa.array(in_filter(touched.value, sums)))
 
     def result(rows, sizes, removed, runs, kept):
         last = {"kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())} if digests else {"kept": pa.array(kept, pa.binary())}
         return added(rows, ["_key"], n_bytes=pa.array(sizes), n_removed=pa.array(removed), n_spans=pa.array(runs), **last)
 
     def keeping(block):
-        alone = ~in_filter(touched, block.rows.column(2).to_numpy().view(np.uint64))
+        alone = ~in_filter(touched.value, block.rows.column(2).to_numpy().view(np.uint64))
         none = np.zeros(np.count_nonzero(alone), np.int64)
         yield result(block.rows.filter(pa.array(alone)), block.sizes[alone], none, none, [block.text(i) for i in np.flatnonzero(alone)])
 
